@@ -121,6 +121,17 @@ def stg_order_items(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def _split_amount(amount: Column, parts: Column) -> Column:
+    """``amount / parts`` rounded half-up to the cent, in exact integer cents.
+
+    Casting the DOUBLE quotient to DECIMAL(18,2) would round half-cent ties
+    differently across engines; integer cents make the value exact.
+    """
+    cents = F.round(amount * 100).cast("bigint")
+    num, den = cents * 2 + parts, parts * 2
+    return ((num - num % den) / den).cast("bigint").cast("double") / 100.0
+
+
 def stg_order_payments(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     o = orders.where(k % 97 != 0).select(
@@ -136,7 +147,7 @@ def stg_order_payments(orders: DataFrame) -> DataFrame:
         F.col("seq").cast("bigint").alias("payment_sequential"),
         code_text.alias("payment_type"),
         (1 + k % 10).cast("bigint").alias("payment_installments"),
-        (F.col("o_totalprice") / (1 + k % 3)).cast(MONEY).cast("double").alias("payment_value"),
+        _split_amount(F.col("o_totalprice"), 1 + k % 3).alias("payment_value"),
     )
 
 
