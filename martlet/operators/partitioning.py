@@ -1,0 +1,25 @@
+"""Input parallelism.
+
+A scan has one task per file split, and a parquet row group cannot be split.
+A small table written as one row group is therefore read by a single task,
+and every narrow operator after the scan (explode, casts, text formatting,
+partial aggregation) runs on one core. ``spread`` repartitions such a scan
+to the session's default parallelism; a scan that already has at least that
+many splits -- any large input on a cluster -- is returned untouched, so the
+extra exchange only ever costs a small input's worth of shuffle.
+
+The repartition is round-robin (no key), so a hot key or a block of copied
+rows cannot land in one task; Spark sorts rows before a round-robin
+exchange so a retried task reproduces the same partitioning.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlet.operators import checks, metrics
 from martlet.plans import oracle
-from martlet.plans.mart import Mart, mart_from_testdata
+from martlet.plans.mart import Mart
+from martlet.plans.store import stored_mart, stored_staging
 from martlet.session import ensure_conf
 from martlet.sources import testdata
 
@@ -41,8 +42,16 @@ def _staging(fn_name: str) -> QueryFn:
 
 
 def _mart(fn: Callable[[Mart], DataFrame]) -> QueryFn:
+    """Query planned over the stored staging layer (written once per application)."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(mart_from_testdata(spark, sf_dir))
+        return fn(Mart(stored_staging(spark, sf_dir)))
+    return run
+
+
+def _star(fn: Callable[[Mart], DataFrame]) -> QueryFn:
+    """Query over the stored star (built once per application and folder)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(stored_mart(spark, sf_dir))
     return run
 
 
@@ -70,13 +79,13 @@ for _name in ("dim_customers", "dim_date", "dim_products", "dim_sellers",
     ORACLE_SQL[_name] = oracle.table_sql(_name)
 
 # -- data tests (C1-C7) --------------------------------------------------------
-QUERIES["check_unique_fact_order_items"] = _mart(
+QUERIES["check_unique_fact_order_items"] = _star(
     lambda m: checks.duplicate_order_items(m.fact_order_items))
 ORACLE_SQL["check_unique_fact_order_items"] = oracle.with_star("""
 SELECT order_id, product_id, count(*) AS duplicate_count
 FROM fact_order_items GROUP BY order_id, product_id HAVING count(*) > 1""")
 
-QUERIES["check_order_process_sequence"] = _mart(
+QUERIES["check_order_process_sequence"] = _star(
     lambda m: checks.order_sequence_violations(m.fact_orders))
 ORACLE_SQL["check_order_process_sequence"] = oracle.with_star("""
 SELECT * FROM fact_orders
@@ -90,7 +99,7 @@ WHERE (approved_timestamp_id IS NOT NULL AND purchase_timestamp_id > approved_ti
 
 for _name, _kinds in (("check_not_null", ("not_null",)), ("check_unique_keys", ("unique",)),
                       ("check_relationships", ("relationships",)), ("test_report", None)):
-    QUERIES[_name] = _mart(lambda m, _k=_kinds: checks.test_report(_tables(m), _k))
+    QUERIES[_name] = _star(lambda m, _k=_kinds: checks.test_report(_tables(m), _k))
     ORACLE_SQL[_name] = oracle.with_star(oracle.report_sql(checks.SUITE, _kinds))
 
 # -- metrics (K1-K15, E1) -------------------------------------------------------
@@ -117,7 +126,7 @@ _METRICS: dict[str, Callable[[Mart], DataFrame]] = {
     "customer_cohorts": lambda m: metrics.customer_cohorts(m.fact_orders),
 }
 for _name, _fn in _METRICS.items():
-    QUERIES[_name] = _mart(_fn)
+    QUERIES[_name] = _star(_fn)
     ORACLE_SQL[_name] = oracle.with_star(oracle.METRICS_SQL[_name])
 
 FLAGSHIP = "fact_orders"

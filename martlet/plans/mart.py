@@ -26,10 +26,18 @@ MART_TABLES = (
 class Mart:
     """Lazily planned star schema over ``staging``."""
 
-    def __init__(self, staging: Staging, fact_orders: DataFrame | None = None):
+    def __init__(self, staging: Staging | None, fact_orders: DataFrame | None = None):
         self.staging = staging
         self._fact_orders = fact_orders
 
+    @classmethod
+    def from_tables(cls, tables: dict[str, DataFrame]) -> "Mart":
+        """A mart over already-built tables (e.g. read back from storage)."""
+        m = cls(None, fact_orders=tables.get("fact_orders"))
+        for name, df in tables.items():
+            m.__dict__[name] = df  # pre-fill the cached properties
+        return m
+
     @cached_property
     def dim_customers(self) -> DataFrame:
         return dims.dim_customers(self.staging.customers, self.staging.orders)
@@ -67,13 +75,17 @@ class Mart:
         return getattr(self, name)
 
 
+def read_mart(spark: SparkSession, paths: dict[str, str]) -> Mart:
+    return Mart.from_tables({name: spark.read.parquet(p) for name, p in paths.items()})
+
+
 def mart_from_testdata(spark: SparkSession, sf_dir: str) -> Mart:
     ensure_conf(spark)
     return Mart(load_staging(spark, sf_dir))
 
 
 def write_mart(spark: SparkSession, mart: Mart, out_dir: str,
-               tables: tuple[str, ...] = MART_TABLES) -> dict[str, str]:
+               tables: tuple[str, ...] = MART_TABLES, *, skip_empty: bool = True) -> dict[str, str]:
     """Write the star as parquet under ``out_dir`` (the ``marts`` namespace).
 
     The order fact is written first and read back, so the item fact, the
@@ -88,7 +100,8 @@ def write_mart(spark: SparkSession, mart: Mart, out_dir: str,
         order.insert(order.index("fact_order_items"), "fact_orders")
     for name in order:
         path = f"{out_dir.rstrip('/')}/marts/{name}"
-        write_table(mart.table(name), path)
+        if not write_table(mart.table(name), path, skip_empty=skip_empty):
+            continue
         paths[name] = path
         if name == "fact_orders":
             stored = spark.read.parquet(path)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from martlet.functions.money import MONEY
 from martlet.functions.timekeys import add_minutes, format_time
 from martlet.operators.joins import broadcast_if_small
+from martlet.operators.partitioning import spread
 from martlet.sources.staging import STAGING_SCHEMAS, Staging
 
 RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -40,8 +41,13 @@ CATEGORY_TRANSLATION = [
 ]
 
 
+# Tables large enough that a single-split scan would serialize the adapter.
+SPREAD_TABLES = ("orders", "lineitem")
+
+
 def read_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in SPREAD_TABLES else df
 
 
 def _key_text(col: str) -> Column:
@@ -80,9 +86,8 @@ def stg_orders(orders: DataFrame) -> DataFrame:
 
 
 def _nation_region(nation: DataFrame, region: DataFrame) -> DataFrame:
-    geo = nation.join(
-        broadcast_if_small(region), nation.n_regionkey == region.r_regionkey
-    ).select("n_nationkey", "n_name", "r_name")
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        "n_nationkey", "n_name", "r_name")
     return broadcast_if_small(geo)
 
 
