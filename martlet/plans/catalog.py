@@ -8,6 +8,7 @@ same column names.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from martlet.operators import checks, metrics
 from martlet.plans import oracle
 from martlet.plans.mart import Mart
-from martlet.plans.store import stored_mart, stored_staging
+from martlet.plans.store import star_root, stored_mart, stored_staging
 from martlet.session import ensure_conf
 from martlet.sources import testdata
+from martlet.streaming.incremental import incremental_orders_load
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -129,4 +131,16 @@ for _name, _fn in _METRICS.items():
     QUERIES[_name] = _star(_fn)
     ORACLE_SQL[_name] = oracle.with_star(oracle.METRICS_SQL[_name])
 
+# -- incremental load (E2): a file stream into staging ------------------------
+
+
+def _incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_conf(spark)
+    out = f"{star_root(spark)}/martlet-incremental/{uuid.uuid4().hex}"
+    return incremental_orders_load(spark, sf_dir, out)
+
+
+QUERIES["incremental_orders_load"] = _incremental_orders
+ORACLE_SQL["incremental_orders_load"] = oracle.table_sql("stg_orders")
+
 FLAGSHIP = "fact_orders"
