@@ -169,3 +169,68 @@ def test_report(tables: dict[str, DataFrame], kinds: tuple[str, ...] | None = No
     for r in rows[1:]:
         out = out.unionByName(r)
     return out
+
+
+# -- further quality checks (accepted values, ranges, row-count drift) ---------
+
+# Order statuses a marketplace order can have.
+ORDER_STATUSES = ("approved", "canceled", "created", "delivered", "invoiced",
+                  "processing", "shipped", "unavailable")
+
+
+def accepted_values(df: DataFrame, column: str, values: tuple[str, ...]) -> DataFrame:
+    """Rows whose non-NULL ``column`` is outside ``values``."""
+    return df.where(F.col(column).isNotNull() & ~F.col(column).isin(*values))
+
+
+def below(df: DataFrame, column: str, minimum: float) -> DataFrame:
+    """Rows whose non-NULL ``column`` is below ``minimum``."""
+    return df.where(F.col(column) < F.lit(minimum))
+
+
+def row_count_drift(source: DataFrame, source_key: str, target: DataFrame, target_key: str,
+                    max_loss: float) -> DataFrame:
+    """One row: distinct keys lost between ``source`` and ``target`` and whether
+    the loss ratio exceeds ``max_loss`` (each count is a distributed aggregate)."""
+    s = source.agg(F.count_distinct(source_key).alias("source_keys"))
+    t = target.agg(F.count_distinct(target_key).alias("target_keys"))
+    lost = F.col("source_keys") - t.select("target_keys").scalar()
+    return s.select(
+        lost.cast("bigint").alias("failures"),
+        (lost / F.col("source_keys") > F.lit(max_loss)).alias("over_limit"),
+    )
+
+
+# Fixed value: largest share of staged orders the lifecycle filter may drop.
+MAX_ORDER_LOSS = 0.05
+
+
+def quality_report(tables: dict[str, DataFrame], staged_orders: DataFrame) -> DataFrame:
+    """(check_name, table_name, column_name, failures, status) for the extra checks."""
+    def count_row(name, table, column, violations):
+        return violations.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(
+            F.lit(name).alias("check_name"), F.lit(table).alias("table_name"),
+            F.lit(column).alias("column_name"), "failures",
+            _status(F.col("failures")).alias("status"))
+
+    fo, fi = tables["fact_orders"], tables["fact_order_items"]
+    rows = [
+        count_row("accepted_values_fact_orders_status", "fact_orders", "status",
+                  accepted_values(fo, "status", ORDER_STATUSES)),
+        count_row("non_negative_fact_orders_total_order_amount", "fact_orders", "total_order_amount",
+                  below(fo, "total_order_amount", 0)),
+        count_row("non_negative_fact_order_items_total_price", "fact_order_items", "total_price",
+                  below(fi, "total_price", 0)),
+        count_row("non_negative_fact_order_items_total_freight", "fact_order_items", "total_freight",
+                  below(fi, "total_freight", 0)),
+        count_row("positive_fact_order_items_quantity", "fact_order_items", "quantity",
+                  below(fi, "quantity", 1)),
+    ]
+    drift = row_count_drift(staged_orders, "order_id", fo, "order_id", MAX_ORDER_LOSS).select(
+        F.lit("row_count_drift_fact_orders").alias("check_name"), F.lit("fact_orders").alias("table_name"),
+        F.lit("order_id").alias("column_name"), "failures",
+        F.when(F.col("over_limit"), F.lit("fail")).otherwise(F.lit("pass")).alias("status"))
+    out = drift
+    for r in rows:
+        out = out.unionByName(r)
+    return out

@@ -344,3 +344,29 @@ JOIN (SELECT customer_id, min(year * 12 + month - 1) AS first_m
   ON cm.customer_id = f.customer_id
 GROUP BY 1, 2""",
 }
+
+
+def _q(name: str, table: str, column: str, where: str) -> str:
+    n = f"(SELECT count(*) FROM {table} WHERE {where})"
+    return (f"SELECT '{name}' AS check_name, '{table}' AS table_name, '{column}' AS column_name, "
+            f"CAST({n} AS BIGINT) AS failures, CASE WHEN {n} = 0 THEN 'pass' ELSE 'fail' END AS status")
+
+
+_LOST = ("((SELECT count(DISTINCT order_id) FROM stg_orders) - "
+         "(SELECT count(DISTINCT order_id) FROM fact_orders))")
+
+QUALITY_SQL = "\nUNION ALL\n".join([
+    f"SELECT 'row_count_drift_fact_orders' AS check_name, 'fact_orders' AS table_name, "
+    f"'order_id' AS column_name, CAST({_LOST} AS BIGINT) AS failures, "
+    f"CASE WHEN {_LOST} / (SELECT count(DISTINCT order_id) FROM stg_orders) > 0.05 "
+    f"THEN 'fail' ELSE 'pass' END AS status",
+    _q("accepted_values_fact_orders_status", "fact_orders", "status",
+       "status IS NOT NULL AND status NOT IN ('approved', 'canceled', 'created', 'delivered', "
+       "'invoiced', 'processing', 'shipped', 'unavailable')"),
+    _q("non_negative_fact_orders_total_order_amount", "fact_orders", "total_order_amount",
+       "total_order_amount < 0"),
+    _q("non_negative_fact_order_items_total_price", "fact_order_items", "total_price", "total_price < 0"),
+    _q("non_negative_fact_order_items_total_freight", "fact_order_items", "total_freight",
+       "total_freight < 0"),
+    _q("positive_fact_order_items_quantity", "fact_order_items", "quantity", "quantity < 1"),
+])
