@@ -151,24 +151,77 @@ def _status(col: Column) -> Column:
     return F.when(col == 0, F.lit("pass")).otherwise(F.lit("fail"))
 
 
+def _unpivot(one_row: DataFrame, names: list[str]) -> DataFrame:
+    """A one-row frame with a ``failures`` count per test name -> one row per test."""
+    return one_row.unpivot([], names, "test_name", "failures")
+
+
+def _not_null_counts(table: DataFrame, tests: list[Test]) -> DataFrame:
+    """All not-NULL tests of one table in a single aggregate pass."""
+    return _unpivot(table.agg(*[
+        F.count_if(F.col(t.column).isNull()).cast("bigint").alias(t.name) for t in tests
+    ]), [t.name for t in tests])
+
+
+def _relationship_counts(tables: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
+    """All foreign keys that point at the same parent key, in one anti-join.
+
+    Child keys are tagged with their test, reduced to per-(test, key) counts
+    (partial aggregation, so a hot key costs one row per map task), joined
+    against the parent's distinct keys, and summed per test.
+    """
+    parent = tables[tests[0].parent].select(F.col(tests[0].parent_column).alias("_pk")).distinct()
+    key_type = parent.schema["_pk"].dataType
+    tagged = None
+    for t in tests:
+        part = tables[t.table].where(F.col(t.column).isNotNull()).select(
+            F.lit(t.name).alias("_test"), F.col(t.column).cast(key_type).alias("_fk"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    per_key = tagged.groupBy("_test", "_fk").agg(F.count(F.lit(1)).alias("_n"))
+    orphans = per_key.join(parent, per_key["_fk"] == parent["_pk"], "left_anti")
+    return _unpivot(orphans.agg(*[
+        F.coalesce(F.sum(F.when(F.col("_test") == t.name, F.col("_n"))), F.lit(0))
+        .cast("bigint").alias(t.name) for t in tests
+    ]), [t.name for t in tests])
+
+
 def test_report(tables: dict[str, DataFrame], kinds: tuple[str, ...] | None = None) -> DataFrame:
-    """(test_name, table_name, column_name, test_kind, failures, status), one row per test."""
-    rows = []
-    for test in SUITE:
-        if kinds is not None and test.kind not in kinds:
-            continue
-        rows.append(failures(test, tables).select(
-            F.lit(test.name).alias("test_name"),
-            F.lit(test.table).alias("table_name"),
-            F.lit(test.column).alias("column_name"),
-            F.lit(test.kind).alias("test_kind"),
-            F.col("failures"),
-            _status(F.col("failures")).alias("status"),
-        ))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    """(test_name, table_name, column_name, test_kind, failures, status), one row per test.
+
+    Tests are fused where they share input: one aggregate per table for the
+    not-NULL tests, one anti-join per parent key for the relationship tests.
+    """
+    suite = [t for t in SUITE if kinds is None or t.kind in kinds]
+    parts: list[DataFrame] = []
+    by_table: dict[str, list[Test]] = {}
+    by_parent: dict[tuple[str, str], list[Test]] = {}
+    for t in suite:
+        if t.kind == "not_null":
+            by_table.setdefault(t.table, []).append(t)
+        elif t.kind == "relationships":
+            by_parent.setdefault((t.parent, t.parent_column), []).append(t)
+        else:
+            parts.append(failures(t, tables).select(F.lit(t.name).alias("test_name"), "failures"))
+    parts += [_not_null_counts(tables[name], tests) for name, tests in by_table.items()]
+    parts += [_relationship_counts(tables, tests) for tests in by_parent.values()]
+    counts = parts[0]
+    for p in parts[1:]:
+        counts = counts.unionByName(p)
+
+    def lookup(attr: str):
+        pairs = []
+        for t in suite:
+            pairs += [F.lit(t.name), F.lit(getattr(t, attr))]
+        return F.create_map(*pairs)[F.col("test_name")]
+
+    return counts.select(
+        "test_name",
+        lookup("table").alias("table_name"),
+        lookup("column").alias("column_name"),
+        lookup("kind").alias("test_kind"),
+        F.col("failures").cast("bigint").alias("failures"),
+        _status(F.col("failures")).alias("status"),
+    )
 
 
 # -- further quality checks (accepted values, ranges, row-count drift) ---------

@@ -28,8 +28,8 @@ from martlet.sources.staging import Staging
 from martlet.sources.testdata import load_staging
 
 _LOCK = threading.Lock()
-_STORED: dict[tuple[str, str], dict[str, str]] = {}
-_STAGED: dict[tuple[str, str], dict[str, str]] = {}
+_STORED: dict[tuple[str, str], Mart] = {}
+_STAGED: dict[tuple[str, str], Staging] = {}
 
 
 def star_root(spark: SparkSession) -> str:
@@ -68,11 +68,11 @@ def stored_staging(spark: SparkSession, sf_dir: str) -> Staging:
     ensure_conf(spark)
     key, out = _folder(spark, sf_dir, "staging")
     with _LOCK:
-        paths = _STAGED.get(key)
-        if paths is None:
+        staged = _STAGED.get(key)
+        if staged is None:
             paths = write_staging(load_staging(spark, sf_dir, extras=True), out)
-            _STAGED[key] = paths
-    return read_staging(spark, paths)
+            staged = _STAGED[key] = read_staging(spark, paths)
+    return staged
 
 
 def stored_mart(spark: SparkSession, sf_dir: str) -> Mart:
@@ -80,11 +80,11 @@ def stored_mart(spark: SparkSession, sf_dir: str) -> Mart:
     staging = stored_staging(spark, sf_dir)
     key, out = _folder(spark, sf_dir, "star")
     with _LOCK:
-        paths = _STORED.get(key)
-        if paths is None:
+        star = _STORED.get(key)
+        if star is None:
             paths = write_mart(spark, Mart(staging), out, MART_TABLES, skip_empty=False)
-            _STORED[key] = paths
-    return read_mart(spark, paths)
+            star = _STORED[key] = read_mart(spark, paths)
+    return star
 
 
 def forget(spark: SparkSession | None = None) -> None:
