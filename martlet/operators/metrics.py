@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions.money import MONEY
+from martlet.operators.ordered import running_total
 
 TOP_K = 10
 
@@ -241,6 +242,23 @@ def product_contribution(fi: DataFrame) -> DataFrame:
     return _with_share(ps, fi)
 
 
+def product_pareto(fi: DataFrame) -> DataFrame:
+    """Products by revenue (descending, ties by id) with their rank, share of
+    total revenue and cumulative share -- the running total is computed in
+    parallel over range partitions (``operators.ordered``)."""
+    ps = product_sales(fi)
+    order = [F.col("revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last()]
+    ranked = running_total(ps, order, "revenue", "cum_revenue")
+    total = fi.agg(F.sum(_rev()).alias("t")).scalar()
+    return ranked.select(
+        "product_id",
+        _dbl("revenue").alias("revenue"),
+        "quantity",
+        (_dbl("revenue") / _dbl(total)).alias("revenue_share"),
+        (_dbl("cum_revenue") / _dbl(total)).alias("cumulative_share"),
+    )
+
+
 def sales_by_quantity(fi: DataFrame) -> DataFrame:
     """Distribution of item-fact lines by units per line."""
     return fi.groupBy("quantity").agg(

@@ -128,6 +128,7 @@ _METRICS: dict[str, Callable[[Mart], DataFrame]] = {
     "top_sellers_by_quantity": lambda m: metrics.top_sellers(m.fact_order_items, m.dim_sellers, "quantity"),
     "high_performers": lambda m: metrics.high_performers(m.fact_order_items),
     "product_contribution": lambda m: metrics.product_contribution(m.fact_order_items),
+    "product_pareto": lambda m: metrics.product_pareto(m.fact_order_items),
     "sales_by_quantity": lambda m: metrics.sales_by_quantity(m.fact_order_items),
     "customer_cohorts": lambda m: metrics.customer_cohorts(m.fact_orders),
 }

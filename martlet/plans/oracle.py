@@ -328,6 +328,15 @@ FROM (SELECT 'product' AS kind, product_id AS id, revenue, quantity,
 WHERE rank <= 10""",
     "product_contribution": f"""
 SELECT product_id, revenue, quantity, revenue / {_TOTAL} AS revenue_share FROM {_PRODUCT_SALES}""",
+    "product_pareto": f"""
+SELECT product_id, CAST(revenue AS DOUBLE) AS revenue, quantity,
+       CAST(revenue AS DOUBLE) / CAST(total AS DOUBLE) AS revenue_share,
+       CAST(sum(revenue) OVER (ORDER BY revenue DESC NULLS LAST, product_id ASC NULLS LAST
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)
+         / CAST(total AS DOUBLE) AS cumulative_share
+FROM (SELECT product_id, sum({_REV}) AS revenue, CAST(sum(quantity) AS BIGINT) AS quantity
+      FROM fact_order_items GROUP BY product_id),
+     (SELECT sum({_REV}) AS total FROM fact_order_items)""",
     "sales_by_quantity": f"""
 SELECT quantity, count(*) AS lines, count(DISTINCT order_id) AS orders,
        CAST(sum({_REV}) AS DOUBLE) AS revenue
