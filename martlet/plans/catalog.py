@@ -19,6 +19,8 @@ from martlet.plans.mart import Mart
 from martlet.plans.store import star_root, stored_mart, stored_staging
 from martlet.session import ensure_conf
 from martlet.sources import testdata
+from martlet.sources.ingest import FILE_PREFIX, FILE_SUFFIX, STAGING_PREFIX, ingest_csv
+from martlet.sources.staging import STAGING_SCHEMAS
 from martlet.streaming.incremental import incremental_orders_load
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -148,4 +150,34 @@ def _incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["incremental_orders_load"] = _incremental_orders
 ORACLE_SQL["incremental_orders_load"] = oracle.table_sql("stg_orders")
 
+# -- CSV ingest (S2-S4, S9-S14) over files Spark derives from the tables ------
+# The staging table is written as a fully quoted CSV file set, then ingested
+# through the CSV reader and the ingest job; the result must equal staging.
+_CSV_INGEST = {
+    "csv_ingest_geolocation": ("stg_geolocation", False),
+    "csv_ingest_order_payments": ("stg_order_payments", True),
+    "csv_ingest_sellers": ("stg_sellers", True),
+    "csv_ingest_order_reviews": ("stg_order_reviews", True),
+}
+
+
+def _csv_ingest(name: str) -> QueryFn:
+    table, declared = _CSV_INGEST[name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_conf(spark)
+        src = _staging(table)(spark, sf_dir)
+        work = f"{star_root(spark)}/martlet-csv/{uuid.uuid4().hex}"
+        file_dir = f"{work}/{FILE_PREFIX}{table[len(STAGING_PREFIX):]}{FILE_SUFFIX}.csv"
+        src.write.option("header", True).option("quoteAll", True).csv(file_dir)
+        res = ingest_csv(spark, file_dir, f"{work}/staging",
+                         schema=STAGING_SCHEMAS[table] if declared else None)
+        return spark.read.parquet(res.path)
+    return run
+
+
+for _name, (_table, _) in _CSV_INGEST.items():
+    QUERIES[_name] = _csv_ingest(_name)
+    ORACLE_SQL[_name] = oracle.table_sql(_table)
+
 FLAGSHIP = "fact_orders"
