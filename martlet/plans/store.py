@@ -82,7 +82,10 @@ def stored_mart(spark: SparkSession, sf_dir: str) -> Mart:
     with _LOCK:
         star = _STORED.get(key)
         if star is None:
-            paths = write_mart(spark, Mart(staging), out, MART_TABLES, skip_empty=False)
+            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            prefix = "martlet_" + hashlib.sha1(out.encode()).hexdigest()[:12]
+            paths = write_mart(spark, Mart(staging), out, MART_TABLES, skip_empty=False,
+                               buckets=buckets, table_prefix=prefix)
             star = _STORED[key] = read_mart(spark, paths)
     return star
 

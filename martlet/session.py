@@ -67,3 +67,34 @@ def local_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return ensure_conf(spark)
+
+
+def cluster_conf(executor_cores_total: int, input_bytes: int) -> dict[str, str]:
+    """Settings for a large cluster, sized from the core count and input size.
+
+    * The initial shuffle partition count targets ~256 MB per reduce task on
+      the largest exchange -- estimated as a quarter of the input, since scans
+      are column-pruned and the facts are pre-aggregated before they shuffle --
+      with at least 3 tasks per core and at most 50,000 (map-side shuffle
+      bookkeeping grows with map tasks x reduce partitions); AQE then
+      coalesces small partitions and splits skewed ones at run time.
+    * Scan splits of 256 MB keep file tasks long enough to amortize start-up
+      without exceeding executor memory.
+    * Broadcasts stay at Spark's checked-size mechanism (plan statistics and
+      AQE runtime sizes) with a 64 MB ceiling; explicit hints are only placed
+      behind a bounded row count (``operators.joins``).
+    """
+    target = 256 * 1024 * 1024
+    wanted = -(-(input_bytes // 4) // target)
+    partitions = min(max(executor_cores_total * 3, wanted), 50_000)
+    return {
+        **REQUIRED_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.sources.bucketing.autoBucketedScan.enabled": "true",
+    }

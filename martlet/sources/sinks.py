@@ -22,10 +22,14 @@ MART_NAMESPACE = "marts"
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", *,
-                partition_by: list[str] | None = None, skip_empty: bool = True) -> bool:
+                partition_by: list[str] | None = None, skip_empty: bool = True,
+                bucket: tuple[int, str] | None = None, table_name: str | None = None) -> bool:
     """Replace the table at ``path`` with ``df``; keep the old one if ``df`` is empty.
 
-    Returns whether a write happened.
+    With ``bucket=(n, column)`` the files are hash-bucketed (and sorted) on
+    ``column`` and registered as catalog table ``table_name`` over ``path``,
+    so later aggregations and joins on that column read co-partitioned
+    buckets instead of shuffling. Returns whether a write happened.
     """
     if skip_empty and df.isEmpty():
         log.warning("source for %s is empty; keeping the existing table", path)
@@ -33,7 +37,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", *,
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    if bucket is not None:
+        if not table_name:
+            raise ValueError("a bucketed write needs a table name")
+        n, column = bucket
+        writer.bucketBy(n, column).sortBy(column).option("path", path).saveAsTable(table_name)
+    else:
+        writer.save(path)
     return True
 
 
