@@ -25,7 +25,7 @@ import tempfile
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlet.session import ensure_checkpoint_dir
+from martlet.session import default_parallelism, ensure_checkpoint_dir
 
 _PID = "_range_part"
 
@@ -38,9 +38,8 @@ def running_total(df: DataFrame, order: list[Column], value: str, out: str,
     should be DECIMAL or integral for an exact result.
     """
     spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        ensure_checkpoint_dir(spark, os.path.join(tempfile.gettempdir(), "martlet-ckpt"))
-    n = num_partitions or max(spark.sparkContext.defaultParallelism, 1)
+    ensure_checkpoint_dir(spark, os.path.join(tempfile.gettempdir(), "martlet-ckpt"))
+    n = num_partitions or default_parallelism(spark)
     tagged = (
         df.repartitionByRange(n, *order)
         .withColumn(_PID, F.spark_partition_id())

@@ -17,9 +17,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from martlet.session import default_parallelism
+
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    target = min_partitions or default_parallelism(df.sparkSession)
+    try:
+        splits = df.rdd.getNumPartitions()  # planning only, no job
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave as is
+        return df
+    if splits >= target:
         return df
     return df.repartition(target)

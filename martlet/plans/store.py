@@ -22,7 +22,7 @@ import threading
 from pyspark.sql import SparkSession
 
 from martlet.plans.mart import MART_TABLES, Mart, read_mart, write_mart
-from martlet.session import ensure_checkpoint_dir, ensure_conf
+from martlet.session import app_id, ensure_checkpoint_dir, ensure_conf
 from martlet.sources.sinks import write_table
 from martlet.sources.staging import Staging
 from martlet.sources.testdata import load_staging
@@ -39,7 +39,7 @@ def star_root(spark: SparkSession) -> str:
 
 def _folder(spark: SparkSession, sf_dir: str, layer: str) -> tuple[tuple[str, str], str]:
     src = os.path.abspath(sf_dir)
-    key = (spark.sparkContext.applicationId, src)
+    key = (app_id(spark), src)
     tag = hashlib.sha1(src.encode()).hexdigest()[:12]
     return key, f"{star_root(spark)}/martlet-{layer}/{key[0]}/{tag}"
 
@@ -94,5 +94,5 @@ def forget(spark: SparkSession | None = None) -> None:
     """Drop the registry (files stay; a new build writes a new folder)."""
     with _LOCK:
         for reg in (_STORED, _STAGED):
-            for k in [k for k in reg if spark is None or k[0] == spark.sparkContext.applicationId]:
+            for k in [k for k in reg if spark is None or k[0] == app_id(spark)]:
                 del reg[k]

@@ -30,20 +30,47 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "app")
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return max(sc.defaultParallelism, 1)
+    return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
-    conf = spark.sparkContext.getConf()
-    return conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if not found and sc is not None:
+        found = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    return found
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Use the cluster's checkpoint folder; set ``fallback`` only where unset (tests)."""
     found = checkpoint_dir(spark)
+    sc = _context(spark)
     if found:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(found)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(found)
         return found
-    spark.sparkContext.setCheckpointDir(fallback)
+    if sc is not None:
+        sc.setCheckpointDir(fallback)
+    else:
+        spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
 
 
