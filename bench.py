@@ -24,6 +24,7 @@ import os
 import statistics
 import sys
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -49,11 +50,13 @@ def run_once(spark, name: str, sf_dir: str) -> float:
     if name == "staging_write":
         _RUNS[0] += 1
         write_staging(load_staging(spark, sf_dir, extras=True),
-                      f"{star_root(spark)}/bench-staging-{_RUNS[0]}")
+                      f"{star_root(spark)}/bench-staging-{uuid.uuid4().hex}")
     elif name == "star_write":
         _RUNS[0] += 1
-        out = f"{star_root(spark)}/bench-star-{_RUNS[0]}"
-        write_mart(spark, Mart(stored_staging(spark, sf_dir)), out, skip_empty=False)
+        out = f"{star_root(spark)}/bench-star-{uuid.uuid4().hex}"
+        write_mart(spark, Mart(stored_staging(spark, sf_dir)), out, skip_empty=False,
+                   buckets=int(spark.conf.get("spark.sql.shuffle.partitions")),
+                   table_prefix=f"bench_{uuid.uuid4().hex[:12]}")
     else:
         df = catalog.QUERIES[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
