@@ -58,10 +58,18 @@ def relationships(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Data
     return c.join(keys, c[fk] == keys["_pk"], "left_anti")
 
 
-def relationship_failures(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+def key_counts(df: DataFrame, column: str) -> DataFrame:
+    """Rows per non-NULL key: ``column``, ``_n``. One shuffle serves the unique
+    test and every relationship test that uses the key as a parent."""
+    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def relationship_failures(child: DataFrame, fk: str, parent: DataFrame, pk: str,
+                          parent_keys: DataFrame | None = None) -> DataFrame:
     """Orphan count as one row, from per-key counts (skew-safe for a hot key)."""
-    per_key = child.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("_n"))
-    keys = parent.select(F.col(pk).alias("_pk")).distinct()
+    per_key = key_counts(child, fk)
+    keys = (parent_keys if parent_keys is not None else key_counts(parent, pk)).select(
+        F.col(pk).alias("_pk"))
     orphans = per_key.join(keys, per_key[fk] == keys["_pk"], "left_anti")
     return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("failures"))
 
@@ -163,14 +171,21 @@ def _not_null_counts(table: DataFrame, tests: list[Test]) -> DataFrame:
     ]), [t.name for t in tests])
 
 
-def _relationship_counts(tables: dict[str, DataFrame], tests: list[Test]) -> DataFrame:
+def _relationship_counts(tables: dict[str, DataFrame], tests: list[Test],
+                         parent_keys: DataFrame) -> DataFrame:
     """All foreign keys that point at the same parent key, in one anti-join.
 
     Child keys are tagged with their test, reduced to per-(test, key) counts
     (partial aggregation, so a hot key costs one row per map task), joined
     against the parent's distinct keys, and summed per test.
     """
-    parent = tables[tests[0].parent].select(F.col(tests[0].parent_column).alias("_pk")).distinct()
+    if len(tests) == 1:
+        # one key: keep the child's own column (and bucketing) -- no tagging
+        t = tests[0]
+        one = relationship_failures(tables[t.table], t.column, tables[t.parent], t.parent_column,
+                                    parent_keys)
+        return one.select(F.lit(t.name).alias("test_name"), "failures")
+    parent = parent_keys.select(F.col(tests[0].parent_column).alias("_pk"))
     key_type = parent.schema["_pk"].dataType
     tagged = None
     for t in tests:
@@ -195,15 +210,28 @@ def test_report(tables: dict[str, DataFrame], kinds: tuple[str, ...] | None = No
     parts: list[DataFrame] = []
     by_table: dict[str, list[Test]] = {}
     by_parent: dict[tuple[str, str], list[Test]] = {}
+    keys: dict[tuple[str, str], DataFrame] = {}
+
+    def keys_of(table: str, column: str) -> DataFrame:
+        # the same DataFrame object for the same key, so its exchange is reused
+        if (table, column) not in keys:
+            keys[(table, column)] = key_counts(tables[table], column)
+        return keys[(table, column)]
+
     for t in suite:
         if t.kind == "not_null":
             by_table.setdefault(t.table, []).append(t)
         elif t.kind == "relationships":
             by_parent.setdefault((t.parent, t.parent_column), []).append(t)
+        elif t.kind == "unique":
+            dup = keys_of(t.table, t.column).where(F.col("_n") > 1)
+            parts.append(dup.agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
+                         .select(F.lit(t.name).alias("test_name"), "failures"))
         else:
             parts.append(failures(t, tables).select(F.lit(t.name).alias("test_name"), "failures"))
     parts += [_not_null_counts(tables[name], tests) for name, tests in by_table.items()]
-    parts += [_relationship_counts(tables, tests) for tests in by_parent.values()]
+    parts += [_relationship_counts(tables, tests, keys_of(*parent))
+              for parent, tests in by_parent.items()]
     counts = parts[0]
     for p in parts[1:]:
         counts = counts.unionByName(p)
