@@ -20,6 +20,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from martlet.operators.joins import broadcast_if_small
+
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     try:
@@ -29,13 +31,23 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def append_new_keys(batch: DataFrame, target_path: str, keys: list[str]) -> int:
-    """Append the rows of ``batch`` whose key is not yet in the target; return their count."""
+    """Append the rows of ``batch`` whose key is not yet in the target; return their count.
+
+    The target can be far larger than a batch, so its keys are first reduced
+    to those present in the batch -- a semi-join against the batch's distinct
+    keys, broadcast when they are proven small -- and only that remainder
+    meets the batch in the anti-join; the target is scanned (key columns
+    only) but never shuffled whole.
+    """
     spark = batch.sparkSession
-    new = batch.dropDuplicates()
+    new = batch.dropDuplicates().persist()
     current = _existing(spark, target_path)
     if current is not None:
-        new = new.join(current.select(*keys).distinct(), keys, "left_anti")
-    new = new.persist()
+        batch_keys = broadcast_if_small(new.select(*keys).distinct())
+        seen = current.select(*keys).join(batch_keys, keys, "left_semi").distinct()
+        new_rows = new.join(seen, keys, "left_anti").persist()
+        new.unpersist()
+        new = new_rows
     try:
         n = new.count()
         if n:
