@@ -18,6 +18,7 @@ import hashlib
 import os
 import tempfile
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -44,12 +45,22 @@ def _folder(spark: SparkSession, sf_dir: str, layer: str) -> tuple[tuple[str, st
     return key, f"{star_root(spark)}/martlet-{layer}/{key[0]}/{tag}"
 
 
-def write_staging(staging: Staging, out_dir: str) -> dict[str, str]:
-    paths = {}
-    for name, df in staging.as_tables().items():
-        path = f"{out_dir}/staging/{name}"
-        write_table(df, path, skip_empty=False)
-        paths[name] = path
+def write_staging(staging: Staging, out_dir: str, concurrent: bool = True) -> dict[str, str]:
+    """Write every staging table; the independent jobs are submitted together
+    so that one table's narrow stages do not leave the other cores idle."""
+    tables = staging.as_tables()
+    paths = {name: f"{out_dir}/staging/{name}" for name in tables}
+
+    def write(name: str) -> None:
+        write_table(tables[name], paths[name], skip_empty=False)
+
+    if concurrent:
+        with ThreadPoolExecutor(max_workers=min(len(tables), 4)) as pool:
+            for f in [pool.submit(write, n) for n in tables]:
+                f.result()
+    else:
+        for n in tables:
+            write(n)
     return paths
 
 
