@@ -28,3 +28,23 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     if bounded_rows(df, max_rows) <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def attach_to_few(few: DataFrame, large: DataFrame, key: str, max_rows: int) -> DataFrame:
+    """``few LEFT JOIN large USING (key)`` without shuffling ``large``.
+
+    ``few`` must be known to hold at most ``max_rows`` rows (e.g. a top-k
+    result). An outer join can only broadcast its non-preserved side -- here
+    the large one -- so the join is written as an inner join with ``few``
+    broadcast (bounded by ``max_rows``) plus the rows of ``few`` that found
+    no match, with NULL attributes. Same rows as the left join, duplicates
+    included.
+    """
+    if max_rows > DEFAULT_BROADCAST_ROWS:
+        return few.join(large, key, "left")
+    matched = large.join(F.broadcast(few), key)
+    missing = few.join(F.broadcast(matched.select(key).distinct()), key, "left_anti")
+    for f in large.schema.fields:
+        if f.name != key:
+            missing = missing.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return matched.unionByName(missing)

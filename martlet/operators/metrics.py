@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions.money import MONEY
+from martlet.operators.joins import attach_to_few
 from martlet.operators.ordered import running_total
 
 TOP_K = 10
@@ -200,16 +201,17 @@ def top_products(fi: DataFrame, dim_products: DataFrame, by: str = "revenue",
     so only ``k`` rows meet the dimension."""
     top = _top(product_sales(fi), "product_id", by, k)
     dims = dim_products.select("product_id", "category_name")
-    return top.join(dims, "product_id", "left").select(
+    return attach_to_few(top, dims, "product_id", k).select(
         "product_id", "category_name", "revenue", "quantity"
     )
 
 
 def top_sellers(fi: DataFrame, dim_sellers: DataFrame, by: str = "revenue",
                 k: int = TOP_K) -> DataFrame:
+    """Top ``k`` sellers by ``by`` with the seller's place attached after the cut."""
     top = _top(seller_sales(fi), "seller_id", by, k)
     dims = dim_sellers.select("seller_id", "city", "state")
-    return top.join(dims, "seller_id", "left").select(
+    return attach_to_few(top, dims, "seller_id", k).select(
         "seller_id", "city", "state", "revenue", "quantity"
     )
 
