@@ -98,12 +98,14 @@ BUCKET_COLUMNS = {"fact_orders": "order_id", "fact_order_items": "order_id"}
 
 
 def write_mart(spark: SparkSession, mart: Mart, out_dir: str,
-               tables: tuple[str, ...] = MART_TABLES, *, skip_empty: bool = True,
+               tables: tuple[str, ...] = MART_TABLES, *, skip_empty: bool = False,
                concurrent: bool = True, buckets: int | None = None,
                table_prefix: str | None = None) -> dict[str, str]:
     """Write the star as parquet under ``out_dir`` (the ``marts`` namespace).
 
-    The four dimensions and the order fact do not depend on each other, so
+    Models are full rebuilds (no empty-source guard by default: checking an
+    aggregate for emptiness would run most of its plan twice). The four
+    dimensions and the order fact do not depend on each other, so
     their jobs are submitted together from a small thread pool: the scheduler
     then fills cores that one job's narrow stages leave idle. The order fact
     is then read back from storage for the item fact, so the order plan runs
