@@ -10,8 +10,9 @@ Parsing (Spark's CSV reader, one pass):
   an extra ``_overflow`` column and dropped (and counted). Short rows are
   kept with NULLs in the missing fields;
 * UTF-8 by default. Spark does not fail on invalid UTF-8 -- it substitutes
-  U+FFFD -- so ``encoding="auto"`` checks for that character with one
-  aggregate and re-reads the file as latin-1 when it is found.
+  U+FFFD -- so ``encoding="auto"`` looks for that character in the same
+  aggregate pass that infers the column types, and re-reads the file as
+  latin-1 only when it is found.
 
 Cleaning: column names get spaces and dashes turned into ``_`` and are
 lower-cased; the null tokens below become NULL in every column.
@@ -82,20 +83,8 @@ def null_tokens_to_null(col: Column, tokens: list[str] = NULL_TOKENS) -> Column:
     return F.when(col.isin(*tokens), F.lit(None).cast("string")).otherwise(col)
 
 
-def _has_replacement_char(df: DataFrame) -> bool:
-    cond = F.lit(False)
-    for c in df.columns:
-        cond = cond | F.col(c).contains(REPLACEMENT_CHAR)
-    return bool(df.where(cond).limit(1).count())
-
-
-def read_text_table(spark: SparkSession, path: str, encoding: str = "auto") -> CsvRead:
-    """All columns as text with clean names and null tokens mapped to NULL."""
-    enc = "UTF-8" if encoding == "auto" else encoding
+def _text_table(spark: SparkSession, path: str, enc: str) -> CsvRead:
     raw, names = _raw(spark, path, enc)
-    if encoding == "auto" and _has_replacement_char(raw.drop(OVERFLOW)):
-        enc = "ISO-8859-1"
-        raw, names = _raw(spark, path, enc)
     good = raw.where(F.col(OVERFLOW).isNull())
     dropped = raw.where(F.col(OVERFLOW).isNotNull()).agg(F.count(F.lit(1)).alias("dropped_rows"))
     clean = good.select(*[
@@ -104,23 +93,53 @@ def read_text_table(spark: SparkSession, path: str, encoding: str = "auto") -> C
     return CsvRead(clean, dropped, enc)
 
 
+def read_text_table(spark: SparkSession, path: str, encoding: str = "auto") -> CsvRead:
+    """All columns as text with clean names and null tokens mapped to NULL."""
+    return _analyze(spark, path, encoding, infer=False)[0]
+
+
+def _analyze(spark: SparkSession, path: str, encoding: str, infer: bool):
+    """Read as text and, in one aggregate pass, infer types and/or detect bad
+    UTF-8 (U+FFFD); re-read as latin-1 only when bad bytes were found."""
+    enc = "UTF-8" if encoding == "auto" else encoding
+    text = _text_table(spark, path, enc)
+    check = encoding == "auto"
+    if not (infer or check):
+        return text, None
+    flags = _flags(text.df, infer=infer, check_encoding=check)
+    if check and flags["bad_utf8"]:
+        text = _text_table(spark, path, "ISO-8859-1")
+        flags = _flags(text.df, infer=infer, check_encoding=False) if infer else flags
+    return text, (_types_from(text.df, flags) if infer else None)
+
+
 _INT_RE = r"^[+-]?[0-9]+$"
 
 
-def infer_types(df: DataFrame) -> dict[str, T.DataType]:
-    """Per-column type from one aggregate over the text columns."""
+def _flags(df: DataFrame, *, infer: bool, check_encoding: bool) -> dict:
     aggs = []
-    for i, c in enumerate(df.columns):
-        v = F.col(c)
-        present = v.isNotNull()
-        aggs += [
-            F.max(present & ~v.rlike(_INT_RE)).alias(f"nonint_{i}"),
-            F.max(present & v.try_cast("double").isNull()).alias(f"nonnum_{i}"),
-            F.max(present & ~v.isin(*TRUE_TOKENS, *FALSE_TOKENS)).alias(f"nonbool_{i}"),
-            F.max(~present).alias(f"hasnull_{i}"),
-            F.max(present).alias(f"any_{i}"),
-        ]
-    row = df.agg(*aggs).first()
+    if infer:
+        for i, c in enumerate(df.columns):
+            v = F.col(c)
+            present = v.isNotNull()
+            aggs += [
+                F.max(present & ~v.rlike(_INT_RE)).alias(f"nonint_{i}"),
+                F.max(present & v.try_cast("double").isNull()).alias(f"nonnum_{i}"),
+                F.max(present & ~v.isin(*TRUE_TOKENS, *FALSE_TOKENS)).alias(f"nonbool_{i}"),
+                F.max(~present).alias(f"hasnull_{i}"),
+                F.max(present).alias(f"any_{i}"),
+            ]
+    if check_encoding:
+        bad = F.lit(False)
+        for c in df.columns:
+            bad = bad | F.coalesce(F.col(c).contains(REPLACEMENT_CHAR), F.lit(False))
+        aggs.append(F.max(bad).alias("bad_utf8"))
+    if not aggs:
+        return {}
+    return df.agg(*aggs).first().asDict()
+
+
+def _types_from(df: DataFrame, row: dict) -> dict[str, T.DataType]:
     out: dict[str, T.DataType] = {}
     for i, c in enumerate(df.columns):
         if not row[f"any_{i}"]:
@@ -136,6 +155,11 @@ def infer_types(df: DataFrame) -> dict[str, T.DataType]:
     return out
 
 
+def infer_types(df: DataFrame) -> dict[str, T.DataType]:
+    """Per-column type from one aggregate over the text columns."""
+    return _types_from(df, _flags(df, infer=True, check_encoding=False))
+
+
 def apply_types(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
     cols = []
     for c in df.columns:
@@ -154,10 +178,11 @@ def apply_types(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, *, schema: T.StructType | None = None,
              encoding: str = "auto") -> CsvRead:
-    """Read, clean and type a CSV file; ``schema`` overrides inference."""
-    text = read_text_table(spark, path, encoding)
-    if schema is not None:
-        types = {f.name: f.dataType for f in schema.fields}
-    else:
-        types = infer_types(text.df)
+    """Read, clean and type a CSV file; ``schema`` overrides inference.
+
+    At most one analysis pass (types and encoding together) precedes the
+    caller's own use of the returned DataFrame.
+    """
+    text, inferred = _analyze(spark, path, encoding, infer=schema is None)
+    types = {f.name: f.dataType for f in schema.fields} if schema is not None else inferred
     return CsvRead(apply_types(text.df, types), text.dropped_rows, text.encoding)
