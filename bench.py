@@ -30,7 +30,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from martlet.plans import catalog  # noqa: E402
 from martlet.plans.mart import Mart, write_mart  # noqa: E402
-from martlet.plans.store import star_root, stored_staging, write_staging  # noqa: E402
+from martlet.plans.store import fact_buckets, star_root, stored_staging, write_staging  # noqa: E402
 from martlet.sources.testdata import load_staging  # noqa: E402
 from martlet.session import local_session  # noqa: E402
 
@@ -55,7 +55,7 @@ def run_once(spark, name: str, sf_dir: str) -> float:
         _RUNS[0] += 1
         out = f"{star_root(spark)}/bench-star-{uuid.uuid4().hex}"
         write_mart(spark, Mart(stored_staging(spark, sf_dir)), out, skip_empty=False,
-                   buckets=int(spark.conf.get("spark.sql.shuffle.partitions")),
+                   buckets=fact_buckets(spark),
                    table_prefix=f"bench_{uuid.uuid4().hex[:12]}")
     else:
         df = catalog.QUERIES[name](spark, sf_dir)

@@ -22,6 +22,7 @@ from pyspark.sql import SparkSession
 
 from martlet.operators import checks, metrics
 from martlet.plans.mart import MART_TABLES, Mart, read_mart, write_mart
+from martlet.plans.store import fact_buckets
 from martlet.session import ensure_conf
 from martlet.sources.sinks import write_table
 from martlet.sources.staging import Staging
@@ -62,7 +63,7 @@ def build(spark: SparkSession, staging: Staging, out: str, *, buckets: int | Non
     """Write the star, the test report and the dashboard tables; return a summary."""
     ensure_conf(spark)
     out = out.rstrip("/")
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or fact_buckets(spark)
     paths = write_mart(spark, Mart(staging), out, MART_TABLES, skip_empty=False, buckets=n,
                        table_prefix=f"marts_{uuid.uuid4().hex[:8]}")
     star = read_mart(spark, paths)

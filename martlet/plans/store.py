@@ -23,7 +23,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import SparkSession
 
 from martlet.plans.mart import MART_TABLES, Mart, read_mart, write_mart
-from martlet.session import app_id, ensure_checkpoint_dir, ensure_conf
+from martlet.session import app_id, default_parallelism, ensure_checkpoint_dir, ensure_conf
 from martlet.sources.sinks import write_table
 from martlet.sources.staging import Staging
 from martlet.sources.testdata import load_staging
@@ -38,6 +38,14 @@ def star_root(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark, fallback).rstrip("/")
 
 
+def fact_buckets(spark: SparkSession) -> int:
+    """Buckets for the stored facts: the shuffle partition count, capped at
+    four per core of the cluster so that small inputs do not become
+    thousands of tiny files."""
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                      4 * default_parallelism(spark)))
+
+
 def _folder(spark: SparkSession, sf_dir: str, layer: str) -> tuple[tuple[str, str], str]:
     src = os.path.abspath(sf_dir)
     key = (app_id(spark), src)
@@ -93,7 +101,7 @@ def stored_mart(spark: SparkSession, sf_dir: str) -> Mart:
     with _LOCK:
         star = _STORED.get(key)
         if star is None:
-            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            buckets = fact_buckets(spark)
             prefix = "martlet_" + hashlib.sha1(out.encode()).hexdigest()[:12]
             paths = write_mart(spark, Mart(staging), out, MART_TABLES, skip_empty=False,
                                buckets=buckets, table_prefix=prefix)

@@ -34,13 +34,17 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", *,
     if skip_empty and df.isEmpty():
         log.warning("source for %s is empty; keeping the existing table", path)
         return False
-    writer = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     if bucket is not None:
         if not table_name:
             raise ValueError("a bucketed write needs a table name")
         n, column = bucket
+        # one task per bucket, so each bucket is one file (instead of one file
+        # per bucket per write task); free when df is already so partitioned
+        df = df.repartition(n, column)
+    writer = df.write.mode("overwrite").format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if bucket is not None:
         writer.bucketBy(n, column).sortBy(column).option("path", path).saveAsTable(table_name)
     else:
         writer.save(path)
