@@ -134,10 +134,13 @@ def dim_date(orders: DataFrame, items: DataFrame) -> DataFrame:
     8-byte time per distinct minute per map task (partial aggregation), and
     the calendar attributes are computed once per distinct minute after it.
     """
+    # Blank text is dropped on the raw column (pushed into the scans); the
+    # strict parse never yields NULL for other text, so this equals dropping
+    # NULL times after parsing, without parsing twice.
     minutes = (
         event_times(orders, items)
-        .select(minute_floor(parse_time_strict(blank_to_null("event_time"))).alias("full_datetime"))
-        .where(F.col("full_datetime").isNotNull())
+        .where(blank_to_null("event_time").isNotNull())
+        .select(minute_floor(parse_time_strict("event_time")).alias("full_datetime"))
         .distinct()
     )
     ts = F.col("full_datetime")
