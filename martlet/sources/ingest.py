@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,3 +106,58 @@ def report(results: list[IngestResult], spark: SparkSession) -> DataFrame:
     schema = ("table string, path string, written boolean, source_rows long, "
               "target_rows long, dropped_rows long, match boolean")
     return spark.createDataFrame(rows, schema).withColumn("checked_at", F.current_timestamp())
+
+
+def csv_file_name(table: str) -> str:
+    """File name of a CSV-sourced table in the source folder."""
+    if table == "product_category_name_translation":
+        return f"{table}.csv"
+    return f"{FILE_PREFIX}{table}{FILE_SUFFIX}.csv"
+
+
+def ingest_all(spark: SparkSession, out_dir: str, *, csv_dir: str | None = None,
+               jdbc_url: str | None = None, jdbc_properties: dict[str, str] | None = None,
+               max_parallel: int = 4) -> list[IngestResult]:
+    """Load every staging table: the relational tables over JDBC and the CSV
+    files, each as its own Spark job, several at a time."""
+    jobs = []
+    if csv_dir:
+        for t in CSV_TABLES:
+            path = f"{csv_dir.rstrip('/')}/{csv_file_name(t)}"
+            jobs.append(lambda p=path: ingest_csv(spark, p, out_dir))
+    if jdbc_url:
+        for t in RELATIONAL_TABLES:
+            src = JdbcSource(jdbc_url, t, dict(jdbc_properties or {}))
+            jobs.append(lambda s=src: ingest_jdbc(spark, s, out_dir))
+    with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
+        return [f.result() for f in [pool.submit(j) for j in jobs]]
+
+
+def main(argv: list[str] | None = None) -> int:
+    import argparse
+    import json
+
+    ap = argparse.ArgumentParser(description="Load the staging tables.")
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--csv-dir")
+    ap.add_argument("--jdbc-url")
+    ap.add_argument("--jdbc-user")
+    ap.add_argument("--jdbc-password-env", help="name of the environment variable holding the password")
+    args = ap.parse_args(argv)
+    props = {}
+    if args.jdbc_user:
+        props["user"] = args.jdbc_user
+    if args.jdbc_password_env:
+        props["password"] = os.environ[args.jdbc_password_env]
+    spark = SparkSession.builder.appName("martlet-ingest").getOrCreate()
+    results = ingest_all(spark, args.out, csv_dir=args.csv_dir, jdbc_url=args.jdbc_url,
+                         jdbc_properties=props)
+    print(json.dumps([{"table": r.table, "written": r.written, "source_rows": r.source_rows,
+                       "target_rows": r.target_rows, "dropped_rows": r.dropped_rows,
+                       "match": r.match} for r in results]))
+    return 0 if all(r.match or not r.written for r in results) else 1
+
+
+if __name__ == "__main__":
+    import sys
+    sys.exit(main())

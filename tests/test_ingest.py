@@ -101,3 +101,23 @@ def test_jdbc_options_and_text_staging(spark):
     assert out.columns == ["id", "price", "note"]
     assert all(isinstance(f.dataType, T.StringType) for f in out.schema.fields)
     assert tuple(out.first()) == ("1", "2.5", None)
+
+
+def test_ingest_all_csv_sources(spark, tmp_dir):
+    from martlet.plans.store import stored_staging
+    from martlet.sources.ingest import CSV_TABLES, csv_file_name, ingest_all
+    from tests.conftest import SF_SMALL
+
+    staged = stored_staging(spark, SF_SMALL).as_tables()
+    src = os.path.join(tmp_dir, "source")
+    for t in CSV_TABLES:
+        staged["stg_" + t].write.option("header", True).option("quoteAll", True).csv(
+            os.path.join(src, csv_file_name(t)))
+    results = ingest_all(spark, os.path.join(tmp_dir, "staging"), csv_dir=src)
+    assert sorted(r.table for r in results) == sorted("stg_" + t for t in CSV_TABLES)
+    for r in results:
+        assert r.match and r.dropped_rows == 0
+        assert r.target_rows == staged[r.table].count()
+    sellers = spark.read.parquet(os.path.join(tmp_dir, "staging", "stg_sellers"))
+    # inferred types: the numeric-looking ids become BIGINT, as a CSV type inference would
+    assert dict(sellers.dtypes)["seller_zip_code_prefix"] == "bigint"
