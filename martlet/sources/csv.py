@@ -53,10 +53,10 @@ def clean_column_name(name: str) -> str:
     return name.replace(" ", "_").replace("-", "_").lower()
 
 
-def _reader(spark: SparkSession, encoding: str):
+def _reader(spark: SparkSession, encoding: str, multi_line: bool = True):
     return (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("encoding", encoding)
@@ -64,18 +64,19 @@ def _reader(spark: SparkSession, encoding: str):
     )
 
 
-def header(spark: SparkSession, path: str, encoding: str = "UTF-8") -> list[str]:
+def header(spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line: bool = True) -> list[str]:
     """Column names from the header row (reads the first record only)."""
-    return _reader(spark, encoding).option("inferSchema", False).csv(path).columns
+    return _reader(spark, encoding, multi_line).option("inferSchema", False).csv(path).columns
 
 
-def _raw(spark: SparkSession, path: str, encoding: str) -> tuple[DataFrame, list[str]]:
-    names = header(spark, path, encoding)
+def _raw(spark: SparkSession, path: str, encoding: str,
+         multi_line: bool = True) -> tuple[DataFrame, list[str]]:
+    names = header(spark, path, encoding, multi_line)
     schema = T.StructType(
         [T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))]
         + [T.StructField(OVERFLOW, T.StringType())]
     )
-    df = _reader(spark, encoding).option("enforceSchema", True).schema(schema).csv(path)
+    df = _reader(spark, encoding, multi_line).option("enforceSchema", True).schema(schema).csv(path)
     return df, names
 
 
@@ -83,8 +84,8 @@ def null_tokens_to_null(col: Column, tokens: list[str] = NULL_TOKENS) -> Column:
     return F.when(col.isin(*tokens), F.lit(None).cast("string")).otherwise(col)
 
 
-def _text_table(spark: SparkSession, path: str, enc: str) -> CsvRead:
-    raw, names = _raw(spark, path, enc)
+def _text_table(spark: SparkSession, path: str, enc: str, multi_line: bool = True) -> CsvRead:
+    raw, names = _raw(spark, path, enc, multi_line)
     good = raw.where(F.col(OVERFLOW).isNull())
     dropped = raw.where(F.col(OVERFLOW).isNotNull()).agg(F.count(F.lit(1)).alias("dropped_rows"))
     clean = good.select(*[
@@ -93,22 +94,23 @@ def _text_table(spark: SparkSession, path: str, enc: str) -> CsvRead:
     return CsvRead(clean, dropped, enc)
 
 
-def read_text_table(spark: SparkSession, path: str, encoding: str = "auto") -> CsvRead:
+def read_text_table(spark: SparkSession, path: str, encoding: str = "auto",
+                    multi_line: bool = True) -> CsvRead:
     """All columns as text with clean names and null tokens mapped to NULL."""
-    return _analyze(spark, path, encoding, infer=False)[0]
+    return _analyze(spark, path, encoding, infer=False, multi_line=multi_line)[0]
 
 
-def _analyze(spark: SparkSession, path: str, encoding: str, infer: bool):
+def _analyze(spark: SparkSession, path: str, encoding: str, infer: bool, multi_line: bool = True):
     """Read as text and, in one aggregate pass, infer types and/or detect bad
     UTF-8 (U+FFFD); re-read as latin-1 only when bad bytes were found."""
     enc = "UTF-8" if encoding == "auto" else encoding
-    text = _text_table(spark, path, enc)
+    text = _text_table(spark, path, enc, multi_line)
     check = encoding == "auto"
     if not (infer or check):
         return text, None
     flags = _flags(text.df, infer=infer, check_encoding=check)
     if check and flags["bad_utf8"]:
-        text = _text_table(spark, path, "ISO-8859-1")
+        text = _text_table(spark, path, "ISO-8859-1", multi_line)
         flags = _flags(text.df, infer=infer, check_encoding=False) if infer else flags
     return text, (_types_from(text.df, flags) if infer else None)
 
@@ -177,12 +179,14 @@ def apply_types(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, *, schema: T.StructType | None = None,
-             encoding: str = "auto") -> CsvRead:
+             encoding: str = "auto", multi_line: bool = True) -> CsvRead:
     """Read, clean and type a CSV file; ``schema`` overrides inference.
 
     At most one analysis pass (types and encoding together) precedes the
-    caller's own use of the returned DataFrame.
+    caller's own use of the returned DataFrame. ``multi_line=False`` lets
+    Spark split a large file across tasks; use it only for files without
+    line breaks inside quoted fields.
     """
-    text, inferred = _analyze(spark, path, encoding, infer=schema is None)
+    text, inferred = _analyze(spark, path, encoding, infer=schema is None, multi_line=multi_line)
     types = {f.name: f.dataType for f in schema.fields} if schema is not None else inferred
     return CsvRead(apply_types(text.df, types), text.dropped_rows, text.encoding)

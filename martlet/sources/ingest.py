@@ -84,8 +84,8 @@ def _load(spark: SparkSession, df: DataFrame, name: str, out_dir: str,
 
 
 def ingest_csv(spark: SparkSession, csv_path: str, out_dir: str, *, encoding: str = "auto",
-               table: str | None = None, schema=None) -> IngestResult:
-    read = read_csv(spark, csv_path, encoding=encoding, schema=schema)
+               table: str | None = None, schema=None, multi_line: bool = True) -> IngestResult:
+    read = read_csv(spark, csv_path, encoding=encoding, schema=schema, multi_line=multi_line)
     dropped = read.dropped_rows.first()["dropped_rows"]
     if dropped:
         log.warning("%s: skipped %d rows with too many fields", csv_path, dropped)

@@ -121,3 +121,11 @@ def test_ingest_all_csv_sources(spark, tmp_dir):
     sellers = spark.read.parquet(os.path.join(tmp_dir, "staging", "stg_sellers"))
     # inferred types: the numeric-looking ids become BIGINT, as a CSV type inference would
     assert dict(sellers.dtypes)["seller_zip_code_prefix"] == "bigint"
+
+
+def test_single_line_mode_splits_and_reads_the_same(spark, tmp_dir):
+    lines = ["id,name"] + [f"{i},n{i}" for i in range(2000)]
+    path = _write(tmp_dir, "big.csv", ("\n".join(lines) + "\n").encode())
+    a = mcsv.read_csv(spark, path).df
+    b = mcsv.read_csv(spark, path, multi_line=False).df
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
