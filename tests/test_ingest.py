@@ -4,7 +4,12 @@ import pytest
 from pyspark.sql import types as T
 
 from martlet.sources import csv as mcsv
-from martlet.sources.ingest import ingest_csv, staging_name_for_file, staging_name_for_table
+from martlet.sources.ingest import (
+    csv_file_name,
+    ingest_csv,
+    staging_name_for_file,
+    staging_name_for_table,
+)
 from martlet.sources.jdbc import JdbcSource, as_text_columns
 from martlet.sources.sinks import reconcile, write_table
 
@@ -62,18 +67,18 @@ def test_declared_schema(spark, tmp_dir):
 
 def test_ingest_job_and_empty_guard(spark, tmp_dir):
     out = os.path.join(tmp_dir, "staging")
-    src = _write(tmp_dir, "olist_sellers_dataset.csv", b"seller_id,seller_city\ns1,x\ns2,y\n")
+    src = _write(tmp_dir, csv_file_name("sellers"), b"seller_id,seller_city\ns1,x\ns2,y\n")
     res = ingest_csv(spark, src, out)
     assert (res.table, res.written, res.source_rows, res.target_rows, res.match) == (
         "stg_sellers", True, 2, 2, True)
-    empty = _write(tmp_dir, "empty/olist_sellers_dataset.csv".replace("/", "_"), b"seller_id,seller_city\n")
+    empty = _write(tmp_dir, "empty_" + csv_file_name("sellers"), b"seller_id,seller_city\n")
     res2 = ingest_csv(spark, empty, out, table="stg_sellers")
     assert res2.written is False
     assert spark.read.parquet(res.path).count() == 2  # the old table survives
 
 
 def test_names():
-    assert staging_name_for_file("olist_order_items_dataset.csv") == "stg_order_items"
+    assert staging_name_for_file(csv_file_name("order_items")) == "stg_order_items"
     assert staging_name_for_file("product_category_name_translation.csv") == \
         "stg_product_category_name_translation"
     assert staging_name_for_table("orders") == "stg_orders"
