@@ -124,10 +124,7 @@ def fact_order_items(items: DataFrame, fact_orders_df: DataFrame) -> DataFrame:
     """
     valid = fact_orders_df.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
     joined = aggregated_items(items).join(valid, "order_id")
-    repeated = joined.withColumn(
-        "_copy", F.explode(F.when(F.col("_n") == 1, F.array(F.lit(1))).otherwise(
-            F.sequence(F.lit(1).cast("bigint"), F.col("_n")).cast("array<int>")))
-    )
+    repeated = joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_n").cast("int"))))
     return repeated.select(
         "order_id", "product_id", "seller_id", "quantity", "total_price",
         "total_freight", "shipping_limit_date_id",
