@@ -5,7 +5,14 @@ from martlet.functions.labels import (  # noqa: F401
     UNKNOWN_CATEGORY,
     payment_label,
 )
-from martlet.functions.money import as_double, money, money_sum  # noqa: F401
+from martlet.functions.money import (  # noqa: F401
+    as_double,
+    cents,
+    cents_sum,
+    from_cents,
+    money,
+    money_sum,
+)
 from martlet.functions.timekeys import (  # noqa: F401
     add_minutes,
     blank_to_null,

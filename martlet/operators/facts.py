@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions.labels import ALL_PAYMENT_LABELS, PAYMENT_LABEL_SEPARATOR, payment_label
-from martlet.functions.money import as_double, money_sum
+from martlet.functions.money import cents_sum, from_cents
 from martlet.functions.timekeys import blank_to_null, minute_key, try_minute_key
 from martlet.operators.lifecycle import (
     APPROVED,
@@ -57,13 +57,13 @@ def payment_summary(items: DataFrame, payments: DataFrame) -> DataFrame:
     payments, i.e. the sum of item prices counted once per payment. Instead
     of materializing that join (items x payments rows per order), each side
     is aggregated per order first and the amount is ``sum(price) * count(payments)``
-    -- the same exact DECIMAL value. The label list is the distinct labels of
+    -- the same exact value, summed in integer cents. The label list is the distinct labels of
     the order's payments in sort order, built from one boolean per possible
     label, so the whole aggregate stays a fixed-width hash aggregation.
     Both aggregates come out hash-partitioned on ``order_id`` and join
     without another exchange.
     """
-    item_totals = items.groupBy("order_id").agg(money_sum("price").alias("items_price"))
+    item_totals = items.groupBy("order_id").agg(cents_sum("price").alias("items_cents"))
     label = payment_label("payment_type")
     flags = [F.bool_or(label == name).alias(f"has_{i}") for i, name in enumerate(ALL_PAYMENT_LABELS)]
     pays = payments.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_payments"), *flags)
@@ -74,8 +74,7 @@ def payment_summary(items: DataFrame, payments: DataFrame) -> DataFrame:
     )
     return joined.select(
         F.col("order_id"),
-        as_double(F.col("items_price") * F.col("n_payments").cast("decimal(20,0)"))
-        .alias("total_order_amount"),
+        from_cents(F.col("items_cents") * F.col("n_payments")).alias("total_order_amount"),
         listed.alias("payment_type"),
     )
 
@@ -103,13 +102,13 @@ def aggregated_items(items: DataFrame) -> DataFrame:
     """
     agg = items.groupBy("order_id", "product_id", "seller_id", "shipping_limit_date").agg(
         F.count(F.lit(1)).alias("quantity"),
-        money_sum("price").alias("total_price"),
-        money_sum("freight_value").alias("total_freight"),
+        cents_sum("price").alias("price_cents"),
+        cents_sum("freight_value").alias("freight_cents"),
     )
     return agg.select(
         "order_id", "product_id", "seller_id", "quantity",
-        as_double(F.col("total_price")).alias("total_price"),
-        as_double(F.col("total_freight")).alias("total_freight"),
+        from_cents(F.col("price_cents")).alias("total_price"),
+        from_cents(F.col("freight_cents")).alias("total_freight"),
         minute_key("shipping_limit_date").alias("shipping_limit_date_id"),
     )
 
