@@ -81,16 +81,20 @@ def sales_overview(fo: DataFrame, fi: DataFrame) -> DataFrame:
     """K1-K4 as one row: each is a global aggregate; the four single-row
     results are combined through scalar subqueries."""
     per_order = revenue_per_order(fi)
-    rev = per_order.agg(F.sum("revenue").alias("r"), F.count("order_id").alias("n"))
+    # one scalar subquery (a one-row struct) carries both item-side figures
+    rev = per_order.agg(F.struct(
+        _dbl(F.sum("revenue")).alias("r"),
+        (_dbl(F.sum("revenue")) / _dbl(F.count("order_id"))).alias("aov"),
+    ).alias("s")).scalar()
     counts = fo.agg(
         F.count_distinct("customer_id").alias("total_customers"),
         F.count_distinct("order_id").alias("total_orders"),
     )
     return counts.select(
-        _dbl(rev.select(_dbl("r")).scalar()).alias("total_revenue"),
+        rev.getField("r").alias("total_revenue"),
         "total_customers",
         "total_orders",
-        (rev.select(_dbl("r") / _dbl("n")).scalar()).alias("average_order_value"),
+        rev.getField("aov").alias("average_order_value"),
     )
 
 
