@@ -1,11 +1,9 @@
 """Money arithmetic.
 
 Staged prices are text (the relational loader stages every column as a
-string). They are summed exactly -- as integer cents where the volume is
-(the item-level aggregates), as DECIMAL(18,2) elsewhere -- so the result is
-independent of the order rows arrive in and partial sums on a thousand
-executors agree with a single-node engine; only the final value is cast to
-DOUBLE.
+string). They are summed exactly, in integer cents, so the result is independent of
+the order rows arrive in and partial sums on a thousand executors agree with
+a single-node engine; only the final value is turned into a DOUBLE.
 """
 
 from __future__ import annotations

@@ -7,8 +7,9 @@ orders without payments, so it is not a revenue figure.
 Plan shape used throughout: aggregate the item fact to the grain of the
 next join first (per order, per product, per seller), then join the next
 table, so each shuffle carries pre-aggregated rows and a hot key reaches the
-join as one row per map task. Money is summed as DECIMAL(18,2) (exact and
-order-independent) and cast to DOUBLE at the end; ratios divide two DOUBLEs.
+join as one row per map task. Money is summed in exact integer cents
+(order-independent, primitive long arithmetic) and turned into the DOUBLE
+nearest to its 2-place value at the end; ratios divide two such DOUBLEs.
 Dimension joins are left to the planner: AQE switches them to broadcast from
 runtime shuffle sizes when a side is small.
 
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlet.functions.money import MONEY
+from martlet.functions.money import cents, from_cents
 from martlet.operators.joins import attach_to_few
 from martlet.operators.ordered import running_total
 
@@ -31,8 +32,14 @@ TOP_K = 10
 
 
 def _rev(col: str = "total_price") -> Column:
-    """Revenue summand: item-fact prices are DOUBLEs of exact 2-place values."""
-    return F.col(col).cast(MONEY)
+    """Revenue summand in exact integer cents (item-fact prices are DOUBLEs of
+    exact 2-place values); sums stay in primitive longs."""
+    return cents(col)
+
+
+def _money(col: Column | str) -> Column:
+    """A cents sum as the DOUBLE nearest to its exact 2-place value."""
+    return from_cents(F.col(col) if isinstance(col, str) else col)
 
 
 def _dbl(col: Column | str) -> Column:
@@ -57,7 +64,7 @@ def revenue_per_order(fact_order_items: DataFrame) -> DataFrame:
 # -- K1-K4: sales overview ---------------------------------------------------
 
 def total_revenue(fi: DataFrame) -> DataFrame:
-    return fi.agg(_dbl(F.sum(_rev())).alias("total_revenue"))
+    return fi.agg(_money(F.sum(_rev())).alias("total_revenue"))
 
 
 def total_customers(fo: DataFrame) -> DataFrame:
@@ -72,7 +79,7 @@ def average_order_value(fi: DataFrame) -> DataFrame:
     """Revenue over the number of distinct orders that have items."""
     per_order = revenue_per_order(fi)
     return per_order.agg(
-        (_dbl(F.sum("revenue")) / _dbl(F.count("order_id"))).alias("average_order_value"),
+        (_money(F.sum("revenue")) / _dbl(F.count("order_id"))).alias("average_order_value"),
         F.count("order_id").alias("orders_with_items"),
     )
 
@@ -83,8 +90,8 @@ def sales_overview(fo: DataFrame, fi: DataFrame) -> DataFrame:
     per_order = revenue_per_order(fi)
     # one scalar subquery (a one-row struct) carries both item-side figures
     rev = per_order.agg(F.struct(
-        _dbl(F.sum("revenue")).alias("r"),
-        (_dbl(F.sum("revenue")) / _dbl(F.count("order_id"))).alias("aov"),
+        _money(F.sum("revenue")).alias("r"),
+        (_money(F.sum("revenue")) / _dbl(F.count("order_id"))).alias("aov"),
     ).alias("s")).scalar()
     counts = fo.agg(
         F.count_distinct("customer_id").alias("total_customers"),
@@ -128,10 +135,10 @@ def monthly_revenue_growth(fo: DataFrame, fi: DataFrame) -> DataFrame:
     prev = F.lag("revenue").over(w)
     return m.select(
         "year", "month",
-        _dbl("revenue").alias("revenue"),
+        _money("revenue").alias("revenue"),
         "orders",
-        _dbl(prev).alias("prev_revenue"),
-        ((_dbl("revenue") - _dbl(prev)) / _dbl(prev)).alias("growth"),
+        _money(prev).alias("prev_revenue"),
+        ((_money("revenue") - _money(prev)) / _money(prev)).alias("growth"),
     )
 
 
@@ -149,7 +156,7 @@ def _place_sales(fo: DataFrame, fi: DataFrame, dim_customers: DataFrame,
     dc = dim_customers.select("customer_id", *keys)
     j = rc.join(dc, "customer_id")
     return j.groupBy(*keys).agg(
-        _dbl(F.sum("revenue")).alias("revenue"),
+        _money(F.sum("revenue")).alias("revenue"),
         F.count_distinct("order_id").alias("orders"),
         F.count_distinct("customer_id").alias("customers"),
     )
@@ -187,7 +194,7 @@ def top_categories(fi: DataFrame, dim_products: DataFrame, k: int = TOP_K) -> Da
     ps = product_sales(fi)
     j = ps.join(dim_products.select("product_id", "category_name"), "product_id")
     agg = j.groupBy("category_name").agg(
-        _dbl(F.sum("revenue")).alias("revenue"), F.sum("quantity").alias("quantity")
+        _money(F.sum("revenue")).alias("revenue"), F.sum("quantity").alias("quantity")
     )
     return agg.orderBy(F.col("revenue").desc_nulls_last(),
                        F.col("category_name").asc_nulls_last()).limit(k)
@@ -195,7 +202,7 @@ def top_categories(fi: DataFrame, dim_products: DataFrame, k: int = TOP_K) -> Da
 
 def _top(sales: DataFrame, key: str, by: str, k: int) -> DataFrame:
     return sales.orderBy(F.col(by).desc_nulls_last(), F.col(key).asc_nulls_last()).limit(k).select(
-        key, _dbl("revenue").alias("revenue"), "quantity"
+        key, _money("revenue").alias("revenue"), "quantity"
     )
 
 
@@ -221,7 +228,7 @@ def top_sellers(fi: DataFrame, dim_sellers: DataFrame, by: str = "revenue",
 
 
 def _with_share(df: DataFrame, fi: DataFrame) -> DataFrame:
-    total = fi.agg(_dbl(F.sum(_rev())).alias("t")).scalar()
+    total = fi.agg(_money(F.sum(_rev())).alias("t")).scalar()
     return df.withColumn("revenue_share", F.col("revenue") / total)
 
 
@@ -233,7 +240,7 @@ def high_performers(fi: DataFrame, k: int = TOP_K) -> DataFrame:
         top = sales.orderBy(F.col("revenue").desc_nulls_last(), F.col(key).asc_nulls_last()).limit(k)
         parts.append(top.select(
             F.lit(kind).alias("kind"), F.col(key).alias("id"),
-            _dbl("revenue").alias("revenue"), F.col("quantity"),
+            _money("revenue").alias("revenue"), F.col("quantity"),
         ))
     both = parts[0].unionByName(parts[1])
     # rank inside each kind over at most k rows per kind
@@ -244,7 +251,7 @@ def high_performers(fi: DataFrame, k: int = TOP_K) -> DataFrame:
 
 def product_contribution(fi: DataFrame) -> DataFrame:
     """Every product's revenue, quantity and share of total revenue."""
-    ps = product_sales(fi).select("product_id", _dbl("revenue").alias("revenue"), "quantity")
+    ps = product_sales(fi).select("product_id", _money("revenue").alias("revenue"), "quantity")
     return _with_share(ps, fi)
 
 
@@ -255,13 +262,13 @@ def product_pareto(fi: DataFrame) -> DataFrame:
     ps = product_sales(fi)
     order = [F.col("revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last()]
     ranked = running_total(ps, order, "revenue", "cum_revenue")
-    total = fi.agg(F.sum(_rev()).alias("t")).scalar()
+    total = _money(fi.agg(F.sum(_rev()).alias("t")).scalar())
     return ranked.select(
         "product_id",
-        _dbl("revenue").alias("revenue"),
+        _money("revenue").alias("revenue"),
         "quantity",
-        (_dbl("revenue") / _dbl(total)).alias("revenue_share"),
-        (_dbl("cum_revenue") / _dbl(total)).alias("cumulative_share"),
+        (_money("revenue") / total).alias("revenue_share"),
+        (_money("cum_revenue") / total).alias("cumulative_share"),
     )
 
 
@@ -270,7 +277,7 @@ def sales_by_quantity(fi: DataFrame) -> DataFrame:
     return fi.groupBy("quantity").agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_distinct("order_id").alias("orders"),
-        _dbl(F.sum(_rev())).alias("revenue"),
+        _money(F.sum(_rev())).alias("revenue"),
     )
 
 
