@@ -12,11 +12,13 @@ text, ``fold`` spells that once.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from martlet.session import app_id, checkpoint_dir
 
@@ -38,7 +40,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings the operators rely on: short Arrow batches."""
+    """What the operators rely on: short Arrow batches, and Python workers that
+    find this package where it lies on the driver (on a cluster that does not
+    share that folder, ship it with ``--py-files``)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in (paths := env.get("PYTHONPATH", "").split(os.pathsep)):
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark
@@ -87,3 +95,8 @@ def whole_text(col: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def extended(schema: StructType, ddl: str) -> StructType:
+    """``schema`` with the fields of a DDL text behind it."""
+    return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])

@@ -6,9 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martlet.llm import exact_dedup, url_filter
-from martlet.llm.common import prepare, table
+from martlet.llm import exact_dedup, language, packing, toxicity, url_filter
+from martlet.llm.common import fold, table
 
 # The rules the URL query judges by (fixed values of its contract).
 URL_RULES = [
@@ -20,6 +21,18 @@ URL_RULES = [
 ]
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer's file, on the driver as on the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"),
+                        tokenizer_file("word_bpe_49k.json")).drop("ids")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -37,6 +50,22 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(language.training_rows(docs))
+    found = language.predict(docs, model)
+    return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"),
+                        "lang_pred", "score", "languages", "proportions")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(toxicity.training_rows(docs),
+                           toxicity.training_rows(table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     model = url_filter.train(url_filter.labelled_from_rules(pages, URL_RULES))
@@ -44,7 +73,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_curve_packing": op1_curve_packing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_language_id": op4_language_id,
+    "op7_toxicity": op7_toxicity,
     "op8_url_filter": op8_url_filter,
 }
 
