@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm import exact_dedup, language, packing, toxicity, url_filter
+from martlet.llm import exact_dedup, jaccard_join, language, packing, pii, toxicity, url_filter
 from martlet.llm.common import fold, table
 
 # The rules the URL query judges by (fixed values of its contract).
@@ -33,6 +33,10 @@ def op1_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         tokenizer_file("word_bpe_49k.json")).drop("ids")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -72,12 +76,22 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(pages, URL_RULES, model)
 
 
+# A real run passes its own secret.
+PII_KEY = b"a key for test data only"
+
+
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(table(spark, sf_dir, "documents"), PII_KEY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_curve_packing": op1_curve_packing,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
     "op7_toxicity": op7_toxicity,
     "op8_url_filter": op8_url_filter,
+    "op10_pii_surrogates": op10_pii_surrogates,
 }
 
 QUERIES_SQL: dict[str, str] = {
