@@ -1,32 +1,575 @@
-"""Approximate nearest neighbours: NN-descent graph, greedy graph search.
-
-*Vectors.* Nearness is the inner product. Vectors that are null, zero or hold
-a null or non-finite component take no part. Equal vectors form one node, with
-their ids as members, so a vector that a third of all rows share is one node.
-For the graph, vectors are extended by one coordinate to equal length, which
-turns the largest inner product into the least angle.
-
-*Start.* ``TREES`` times all nodes are sorted along a random direction of a
-random projection tree (here: a range partition by projection, cut into blocks
-of ``BLOCK`` nodes); the nearest ``K`` of a node inside its blocks are its first
-neighbours.
-
-*Descent.* In every round the nodes' neighbour lists are joined with the
-vectors of the neighbours and with the reverse lists (of a node with very many
-reverse neighbours, the ``K`` nearest), so that one row holds a node's whole
-neighbourhood. Neighbours of one node are compared with one another, only pairs
-with a new member; what beats the partner's worst neighbour is proposed, and
-each node keeps the nearest ``K`` of old and proposed. Rounds end when few
-lists change.
-
-*Search.* Every query starts from its nearest among ``ENTRIES`` fixed entry
-nodes (and from its own node, if it is indexed) and keeps a list of the best
-``BEAM`` nodes. Each step joins the best unexpanded nodes with the graph and
-the vectors, until no list improves. Scores are then taken in double
-precision on the original vectors and nodes are unfolded to their members.
-
-Everything is a Spark join or a grouping by node; lists are bounded by K and
-BEAM, the only broadcast is the entry nodes (bounded by ENTRIES).
+"""Approximate nearest neighbours: NN-descent graph and greedy graph search.
+
+*Vectors.* Nearness is the inner product. Vectors that are null, zero, hold a
+null or non-finite component or have another length than most take no part.
+Equal vectors form one node (named by its least id) with all their ids as
+members, so a vector that a third of all rows share is one node. For the graph
+a coordinate is added that gives all vectors one length; then the largest
+inner product is the least angle.
+
+*Start.* ``TREES`` projection trees, fitted on a bounded sample (``SAMPLE``
+nodes), cut all nodes into blocks of about ``BLOCK``; a node's first neighbours
+are its nearest in its blocks.
+
+*Descent.* A node's neighbourhood is its list and the ``LIST`` nearest nodes that
+list it. Neighbourhoods are gathered by block of nodes, together with one copy
+of every vector the block needs (a Spark join), and neighbours of the same node
+are compared with one another, where at least one is new since the last round.
+Pairs that beat a node's worst neighbour are proposed to it, and each node keeps
+the nearest ``LIST`` of old and proposed ones. Rounds end when less than
+``SETTLED`` of the nearest ``TOP`` are new, or after ``ROUNDS``.
+
+*Search.* A query keeps the best ``BEAM`` nodes found, at first the nearest among
+``ENTRIES`` fixed entry nodes. In every step its ``EXPAND`` best unexpanded nodes
+are joined with the graph, and their neighbours with the vectors, cell by cell;
+it ends when all nodes kept are expanded. The best nodes are scored again in
+double precision on the original vectors and unfolded to their members.
+
+Lists are bounded by LIST and BEAM and groups by BLOCK, whatever the data; the
+driver sees the sample, the entry nodes and counts only.
+
+Defined cases: ties go to the smaller id; with fewer candidates than asked for,
+all are returned; a query without a valid vector, or without a candidate, gets
+no rows; repeated rows of one id count once; an empty table gives an empty
+result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from martlet.llm.common import Stage, prepare
+
+LIST = 48
+TREES = 6
+BLOCK = 1024
+SAMPLE = 16_384
+ROUNDS = 5
+TOP = 20
+SETTLED = 0.08
+GATHER = 4096  # nodes of a block in a descent round, of a cell in a search step
+ENTRIES = 1024
+BEAM = 112
+EXPAND = 28
+MOST_STEPS = 40
+
+_LISTS = "node long, ids array<long>, sims array<float>, fresh array<boolean>"
+
+
+@dataclass
+class Index:
+    nodes: DataFrame  # node, vec (bytes, with the added coordinate), block
+    members: DataFrame  # node, vec_id: every valid id
+    vectors: DataFrame  # node, original: the vector as given
+    graph: DataFrame  # node, ids: neighbours both ways
+    entry_ids: np.ndarray
+    entry_vectors: np.ndarray
+    length: int  # components of a vector
+    stage: Stage
+
+
+# -- array helpers ---------------------------------------------------------------
+
+def _lists(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(values, sizes) of a list column."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    offsets = column.offsets.to_numpy()
+    return column.flatten().to_numpy(zero_copy_only=False), np.diff(offsets)
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Vectors from a column of float32 bytes."""
+    values = column.to_pylist()
+    return np.frombuffer(b"".join(values), np.float32).reshape(len(values), -1)
+
+
+def _list_array(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], rows: int = 4000) -> Iterator[pa.Table]:
+    """Tables of about ``rows`` rows that never split a run of equal first columns."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size < rows:
+            continue
+        whole = pa.Table.from_batches(held)
+        keys = whole.column(0).to_numpy()
+        cut = int(np.searchsorted(keys, keys[-1], side="left"))
+        if cut:
+            yield whole.slice(0, cut)
+            held = whole.slice(cut).to_batches()
+            size = sum(b.num_rows for b in held)
+    if size:
+        yield pa.Table.from_batches(held)
+
+
+def _best(owner: np.ndarray, ids: np.ndarray, sims: np.ndarray, fresh: np.ndarray, most: int
+          ) -> tuple[np.ndarray, ...]:
+    """Each owner's ``most`` nearest, an id once (a known one before a fresh one);
+    (owners, sizes, ids, sims, fresh)."""
+    order = np.lexsort((fresh, ids, owner))
+    owner, ids, sims, fresh = owner[order], ids[order], sims[order], fresh[order]
+    once = np.concatenate(([True], (owner[1:] != owner[:-1]) | (ids[1:] != ids[:-1]))) \
+        if len(owner) else np.zeros(0, bool)
+    owner, ids, sims, fresh = owner[once], ids[once], sims[once], fresh[once]
+    order = np.lexsort((ids, -sims, owner))
+    owner, ids, sims, fresh = owner[order], ids[order], sims[order], fresh[order]
+    owners, first = np.unique(owner, return_index=True)
+    rank = np.arange(len(owner)) - np.repeat(first, np.diff(np.append(first, len(owner))))
+    keep = rank < most
+    sizes = np.add.reduceat(keep, first) if len(first) else np.zeros(0, int)
+    return owners, sizes, ids[keep], sims[keep], fresh[keep]
+
+
+def _list_batch(owners, sizes, ids, sims, fresh) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(owners, pa.int64()), _list_array(ids, sizes, pa.int64()),
+         _list_array(sims.astype(np.float32), sizes, pa.float32()),
+         _list_array(fresh, sizes, pa.bool_())], names=["node", "ids", "sims", "fresh"])
+
+
+# -- vectors ---------------------------------------------------------------------
+
+def _valid(vec: Column) -> Column:
+    finite = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return vec.isNotNull() & (F.size(vec) > 0) & finite & F.exists(vec, lambda x: x != 0)
+
+
+def valid_vectors(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(vec_id, original) of the rows that take part, their own length not yet checked."""
+    return table.select(F.col(id_col).cast("long").alias("vec_id"),
+                        F.col(vec_col).alias("original")).where(
+        F.col("vec_id").isNotNull() & F.coalesce(_valid(F.col("original")), F.lit(False)))
+
+
+def _extended(longest: float):
+    """mapInArrow: (node, original) -> (node, vec): with the length-giving coordinate."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array(batch.column(1).to_pylist(), float).reshape(batch.num_rows, -1) / longest
+            rest = np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(1, keepdims=True)))
+            both = np.hstack([x, rest]).astype(np.float32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([r.tobytes() for r in both], pa.binary())],
+                names=["node", "vec"])
+
+    return run
+
+
+# -- projection trees ---------------------------------------------------------------
+
+@dataclass
+class _Tree:
+    """Splits by a direction at its median; leaves are numbered."""
+    directions: list[np.ndarray]
+    cuts: list[float]
+    below: list[tuple[int, int]]  # child: a split (>= 0) or ~leaf
+    shares: list[float]  # of the sample, by leaf
+
+    def leaf(self, x: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(x), np.int64)
+        todo = [(0, np.arange(len(x)))] if self.directions else []
+        while todo:
+            split, rows = todo.pop()
+            high = x[rows] @ self.directions[split] > self.cuts[split]
+            for side, part in ((0, rows[~high]), (1, rows[high])):
+                child = self.below[split][side]
+                if child < 0:
+                    out[part] = ~child
+                elif len(part):
+                    todo.append((child, part))
+        return out
+
+
+def _grow(sample: np.ndarray, leaf_share: float, rng: np.random.Generator) -> _Tree:
+    tree = _Tree([], [], [], [])
+    least = max(8, int(leaf_share * len(sample)))
+
+    def add(rows: np.ndarray) -> int:
+        if len(rows) <= least:
+            tree.shares.append(len(rows) / max(1, len(sample)))
+            return ~(len(tree.shares) - 1)
+        a, b = rng.choice(len(rows), 2, replace=False)
+        direction = sample[rows[a]] - sample[rows[b]]
+        at = sample[rows] @ direction
+        cut = float(np.median(at))
+        low, high = rows[at <= cut], rows[at > cut]
+        if not len(low) or not len(high):  # equal along this line: nothing to cut
+            tree.shares.append(len(rows) / len(sample))
+            return ~(len(tree.shares) - 1)
+        me = len(tree.directions)
+        tree.directions.append(direction)
+        tree.cuts.append(cut)
+        tree.below.append((0, 0))
+        tree.below[me] = (add(low), add(high))
+        return me
+
+    if len(sample) > least:
+        add(np.arange(len(sample)))
+    if not tree.directions:
+        return _Tree([], [], [], [1.0])
+    return tree
+
+
+def _blocks(trees: list[_Tree], count: int, block: int):
+    """mapInArrow: (node, vec) -> (block, node, vec) of every tree. A leaf that must
+    hold more than a block is dealt out by a hash of the node."""
+    deals = [np.maximum(1, np.ceil(np.array(t.shares) * count / block / 1.5)).astype(np.int64)
+             for t in trees]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = batch.column(0).to_numpy()
+            x = _matrix(batch.column(1))
+            mixed = (nodes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+            for t, (tree, deal) in enumerate(zip(trees, deals)):
+                leaf = tree.leaf(x)
+                key = ((np.int64(t) << 58) | (leaf << 34)) + (mixed.astype(np.int64) % deal[leaf])
+                yield pa.RecordBatch.from_arrays([pa.array(key), batch.column(0), batch.column(1)],
+                                                 names=["block", "node", "vec"])
+
+    return run
+
+
+def _nearest_in_block(table: pa.Table) -> pa.Table:
+    """The nearest of each node among the nodes of its block."""
+    nodes = table.column("node").to_numpy()
+    x = _matrix(table.column("vec"))
+    n, k = len(nodes), min(LIST, len(nodes) - 1)
+    out = []
+    for lo in range(0, n, 1024):
+        sims = x[lo:lo + 1024] @ x.T
+        rows = np.arange(len(sims))
+        sims[rows, rows + lo] = -np.inf
+        near = np.argpartition(-sims, max(k - 1, 0), axis=1)[:, :k]
+        out.append(_list_batch(nodes[lo:lo + 1024], np.full(len(sims), k), nodes[near].ravel(),
+                               np.take_along_axis(sims, near, 1).ravel(),
+                               np.ones(len(sims) * k, bool)))
+    return pa.Table.from_batches(out)
+
+
+# -- descent -------------------------------------------------------------------------
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow over lists sorted by node: one list a node, the nearest."""
+    for table in _whole_groups(batches):
+        ids, sizes = _lists(table.column("ids"))
+        owner = np.repeat(table.column("node").to_numpy(), sizes)
+        yield _list_batch(*_best(owner, ids, _lists(table.column("sims"))[0],
+                                 _lists(table.column("fresh"))[0].astype(bool), LIST))
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow: lists -> (node, other, sim, fresh), one row an entry."""
+    for batch in batches:
+        ids, sizes = _lists(batch.column(1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(batch.column(0).to_numpy(), sizes)), pa.array(ids),
+             pa.array(_lists(batch.column(2))[0]), pa.array(_lists(batch.column(3))[0].astype(bool))],
+            names=["node", "other", "sim", "fresh"])
+
+
+def _compare(hoods: pa.Table, vectors: pa.Table) -> pa.Table:
+    """One block: (block, node, other, fresh) and (block, other, vec, worst) -> proposals."""
+    empty = _list_batch(*[np.zeros(0, np.int64)] * 3, np.zeros(0, np.float32), np.zeros(0, bool))
+    if not hoods.num_rows or not vectors.num_rows:
+        return pa.Table.from_batches([empty])
+    vectors = vectors.sort_by("other")
+    ids = vectors.column("other").to_numpy()
+    x, worst = _matrix(vectors.column("vec")), vectors.column("worst").to_numpy()
+    node, other = hoods.column("node").to_numpy(), hoods.column("other").to_numpy()
+    fresh = hoods.column("fresh").to_numpy(zero_copy_only=False).astype(bool)
+    order = np.lexsort((~fresh, other, node))  # both ways: the fresh entry counts
+    node, other, fresh = node[order], other[order], fresh[order]
+    once = np.concatenate(([True], (node[1:] != node[:-1]) | (other[1:] != other[:-1])))
+    node, fresh = node[once], fresh[once]
+    at = np.searchsorted(ids, other[once])
+    _, first, sizes = np.unique(node, return_index=True, return_counts=True)
+    found: list[tuple[np.ndarray, ...]] = []
+    for lo in range(0, len(first), 128):
+        f, s = first[lo:lo + 128], sizes[lo:lo + 128]
+        width = int(s.max())
+        place = np.arange(width)
+        there = place < s[:, None]
+        spot = np.where(there, f[:, None] + place, 0)
+        hood = at[spot]
+        new = fresh[spot] & there
+        v = x[hood]
+        sims = v @ v.transpose(0, 2, 1)
+        pairs = there[:, :, None] & there[:, None, :] & (new[:, :, None] | new[:, None, :])
+        pairs &= sims > worst[hood][:, :, None]
+        pairs[:, place, place] = False
+        g, i, j = np.nonzero(pairs)
+        a, b = hood[g, i], hood[g, j]
+        key, where = np.unique(a * len(ids) + b, return_index=True)
+        found.append((key, sims[g, i, j][where]))
+    key = np.concatenate([k for k, _ in found])
+    sims = np.concatenate([s for _, s in found])
+    owners, count, got, sims, _ = _best(key // len(ids), key % len(ids), sims,
+                                        np.zeros(len(key), bool), LIST)
+    return pa.Table.from_batches([_list_batch(ids[owners], count, ids[got], sims,
+                                              np.ones(len(got), bool))])
+
+
+def _merged(lists: DataFrame) -> DataFrame:
+    return lists.repartition("node").sortWithinPartitions("node").mapInArrow(_merge, _LISTS)
+
+
+def _reverse(graph: DataFrame) -> DataFrame:
+    """(node, other, fresh): the LIST nearest nodes that list a node."""
+    entries = graph.mapInArrow(_listed, "node long, other long, sim float, fresh boolean")
+    order = Window.partitionBy("other").orderBy(F.desc("sim"), "node")
+    return entries.withColumn("rank", F.row_number().over(order)).where(
+        F.col("rank") <= LIST).select(F.col("other").alias("node"), F.col("node").alias("other"),
+                                      "fresh")
+
+
+def _descend(graph: DataFrame, nodes: DataFrame, stage: Stage) -> DataFrame:
+    """The lists after one round of comparing neighbours of neighbours."""
+    forward = graph.mapInArrow(_listed, "node long, other long, sim float, fresh boolean").drop("sim")
+    hoods = stage.write(forward.unionByName(_reverse(graph)).join(
+        nodes.select("node", "block"), "node").select("block", "node", "other", "fresh"), "hoods")
+    worst = graph.select(F.col("node").alias("other"), F.when(
+        F.size("sims") >= LIST, F.array_min("sims")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
+    needed = hoods.select("block", "other").distinct().join(
+        nodes.select(F.col("node").alias("other"), "vec").join(worst, "other"), "other").select(
+        F.col("block").alias("block"), F.col("other").alias("other"), "vec", "worst")
+    proposals = hoods.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(
+        _compare, _LISTS)
+    known = graph.withColumn("fresh", F.transform("fresh", lambda x: F.lit(False)))
+    new = stage.write(_merged(known.unionByName(proposals)), "lists")
+    stage.release(hoods, graph)
+    return new
+
+
+def build(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> Index:
+    """Index every valid vector of ``table``."""
+    spark = prepare(table.sparkSession)
+    stage = Stage(spark, "nn-descent")
+    given = valid_vectors(table, id_col, vec_col)
+    common = given.groupBy(F.size("original").alias("length")).agg(F.count("*").alias("n")).orderBy(
+        F.desc("n"), "length").first()
+    length = common["length"] if common else 0
+    rows = stage.write(given.where(F.size("original") == length).distinct(), "rows")
+    vectors = stage.write(rows.groupBy("original").agg(F.min("vec_id").alias("node")), "vectors")
+    members = stage.write(rows.join(vectors, "original").select("node", "vec_id"), "members")
+    norm = F.sqrt(F.aggregate("original", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
+    count, longest = vectors.agg(F.count("*"), F.max(norm)).first()
+    wide = stage.write(vectors.select("node", "original").mapInArrow(
+        _extended((longest or 1.0) * (1 + 1e-9)), "node long, vec binary"), "wide")
+    # at most SAMPLE and ENTRIES nodes, in the order of a hash
+    drawn = wide.orderBy(F.xxhash64("node"), "node").limit(max(SAMPLE, ENTRIES)).toArrow()
+    sample = _matrix(drawn.column("vec")) if drawn.num_rows else np.zeros((0, 1), np.float32)
+    rng = np.random.default_rng(5)
+    trees = [_grow(sample[:SAMPLE], BLOCK / max(1, count), rng) for _ in range(TREES)]
+    coarse = _grow(sample[:SAMPLE], GATHER / max(1, count), rng)
+    nodes = stage.write(wide.mapInArrow(_blocks([coarse], count, GATHER),
+                                        "block long, node long, vec binary"), "nodes")
+    first = wide.mapInArrow(_blocks(trees, count, BLOCK), "block long, node long, vec binary")
+    graph = stage.write(_merged(first.groupBy("block").applyInArrow(_nearest_in_block, _LISTS)),
+                        "lists")
+    for _ in range(ROUNDS if count > 1 else 0):
+        graph = _descend(graph, nodes, stage)
+        changed = graph.agg(F.avg(F.aggregate(F.slice("fresh", 1, TOP), F.lit(0), lambda a, x: a
+                                            + x.cast("int")) / F.lit(TOP))).first()[0]
+        if (changed or 0.0) < SETTLED:
+            break
+    both = graph.mapInArrow(_listed, "node long, other long, sim float, fresh boolean").select(
+        "node", "other").unionByName(_reverse(graph).select("node", "other"))
+    adjacency = stage.write(both.groupBy("node").agg(F.collect_set("other").alias("ids")), "graph")
+    stage.release(graph, wide, rows)
+    return Index(nodes, members, vectors, adjacency,
+                 drawn.column("node").to_numpy()[:ENTRIES], sample[:ENTRIES], length, stage)
+
+
+# -- search ---------------------------------------------------------------------------
+
+_BEAM = "q long, qvec binary, ids array<long>, sims array<float>, done array<boolean>"
+
+
+def _enter(ids: np.ndarray, vectors: np.ndarray):
+    """mapInArrow: (q, original) -> beams over the entry nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array(batch.column(1).to_pylist(), float).reshape(batch.num_rows, -1)
+            x = np.hstack([x, np.zeros((len(x), 1))]).astype(np.float32)
+            sims = x @ vectors.T
+            top = np.argsort(-sims, axis=1, kind="stable")[:, :BEAM]
+            sizes = np.full(len(x), top.shape[1])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([r.tobytes() for r in x], pa.binary()),
+                 _list_array(ids[top].ravel(), sizes, pa.int64()),
+                 _list_array(np.take_along_axis(sims, top, 1).ravel(), sizes, pa.float32()),
+                 _list_array(np.zeros(top.size, bool), sizes, pa.bool_())],
+                names=["q", "qvec", "ids", "sims", "done"])
+
+    return run
+
+
+def _frontier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow: beams -> (node, q): the best nodes not expanded yet."""
+    for batch in batches:
+        q, out = batch.column(0).to_numpy(), []
+        for row, (ids, done) in enumerate(zip(batch.column(2).to_pylist(),
+                                              batch.column(4).to_pylist())):
+            out += [(i, q[row]) for i, d in zip(ids, done) if not d][:EXPAND]
+        columns = list(zip(*out)) or [(), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
+                                         names=["node", "q"])
+
+
+def _ask(cells: int):
+    """mapInArrow over (q, qvec, beam, adjacency) sorted by q -> (cell, q, qvec, ids): the
+    neighbours not kept already, once each, by the cell that holds their vectors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, 2000):
+            q = table.column("q").to_numpy()
+            rows = []
+            starts = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1])))
+            for lo, hi in zip(starts, np.append(starts[1:], len(q))):
+                kept = table.column("beam")[int(lo)].values.to_numpy()
+                found = np.unique(_lists(table.column("ids").slice(int(lo), int(hi - lo)))[0])
+                found = found[~np.isin(found, kept)]
+                cell = _cell_of(found, cells)
+                order = np.argsort(cell, kind="stable")
+                found, cell = found[order], cell[order]
+                cuts = np.flatnonzero(np.diff(cell)) + 1
+                for part in np.split(np.arange(len(found)), cuts) if len(found) else []:
+                    rows.append((int(cell[part[0]]), int(q[lo]), table.column("qvec")[int(lo)].as_py(),
+                                 found[part]))
+            columns = list(zip(*rows)) or [(), (), (), ()]
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                             names=["cell", "q", "qvec", "ids"])
+
+    return run
+
+
+def _cell_of(nodes: np.ndarray, cells: int) -> np.ndarray:
+    mixed = nodes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(40)) % np.uint64(cells)).astype(np.int64)
+
+
+def _celled(cells: int):
+    """mapInArrow: (node, vec) -> (cell, node, vec)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_cell_of(batch.column(0).to_numpy(), cells)), *batch.columns],
+                names=["cell", "node", "vec"])
+
+    return run
+
+
+def _answer(asked: pa.Table, held: pa.Table) -> pa.Table:
+    """One cell: similarities of the nodes asked for; (q, ids, sims), the best BEAM."""
+    rows = []
+    if asked.num_rows and held.num_rows:
+        held = held.sort_by("node")
+        nodes, x = held.column("node").to_numpy(), _matrix(held.column("vec"))
+        for q, vec, ids in zip(asked.column("q").to_pylist(), asked.column("qvec").to_pylist(),
+                               asked.column("ids")):
+            ids = ids.values.to_numpy()
+            sims = x[np.searchsorted(nodes, ids)] @ np.frombuffer(vec, np.float32)
+            top = np.argsort(-sims, kind="stable")[:BEAM]
+            rows.append((q, ids[top], sims[top]))
+    columns = list(zip(*rows)) or [(), (), ()]
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float32())]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["q", "ids", "sims"])
+
+
+def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow over (q, qvec, ids, sims, done) sorted by q, the beam (with its
+    vector) and the answers: the new beam. What was on the frontier is done."""
+    for table in _whole_groups(batches):
+        q = table.column("q").to_numpy()
+        vecs = {k: v for k, v in zip(q, table.column("qvec").to_pylist()) if v is not None}
+        ids, sizes = _lists(table.column("ids"))
+        new = ~_lists(table.column("done"))[0].astype(bool)
+        owners, sizes, ids, sims, new = _best(np.repeat(q, sizes), ids,
+                                              _lists(table.column("sims"))[0], new, BEAM)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(owners), pa.array([vecs[k] for k in owners], pa.binary()),
+             _list_array(ids, sizes, pa.int64()), _list_array(sims, sizes, pa.float32()),
+             _list_array(~new, sizes, pa.bool_())], names=["q", "qvec", "ids", "sims", "done"])
+
+
+def _mark(beam: DataFrame) -> DataFrame:
+    """The beam with the frontier marked as done."""
+    opened = F.transform("done", lambda d, i: F.size(F.filter(
+        F.slice(F.col("done"), 1, i + 1), lambda x: ~x)))
+    return beam.withColumn("done", F.zip_with("done", opened, lambda d, n: d | (n <= EXPAND)))
+
+
+def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow: (q, node, left, right) -> (q, node, score) in double precision."""
+    for batch in batches:
+        left = np.array(batch.column(2).to_pylist(), np.float64).reshape(batch.num_rows, -1)
+        right = np.array(batch.column(3).to_pylist(), np.float64).reshape(batch.num_rows, -1)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array((left * right).sum(1))],
+            names=["q", "node", "score"])
+
+
+def search(index: Index, queries: DataFrame, k: int = TOP, id_col: str = "vec_id",
+           vec_col: str = "embedding", exclude_self: bool = True) -> DataFrame:
+    """query_id, rank, vec_id, score: the ``k`` nearest found for every valid query.
+
+    ``exclude_self``: a query is no candidate of its own (queries come from the
+    indexed table). ``k`` is at most BEAM / 2.
+    """
+    stage = index.stage
+    asked = valid_vectors(queries, id_col, vec_col).where(
+        F.size("original") == index.length).dropDuplicates(["vec_id"])
+    asked = stage.write(asked.select(F.col("vec_id").alias("q"), "original"), "queries")
+    beam = stage.write(asked.mapInArrow(_enter(index.entry_ids, index.entry_vectors), _BEAM), "beam")
+    count = index.nodes.count()
+    cells = max(1, -(-count // GATHER))
+    held = stage.write(index.nodes.select("node", "vec").mapInArrow(
+        _celled(cells), "cell long, node long, vec binary"), "cells")
+    for _ in range(MOST_STEPS):
+        frontier = beam.mapInArrow(_frontier, "node long, q long")
+        reached = frontier.join(index.graph, "node").join(
+            beam.select("q", "qvec", F.col("ids").alias("beam")), "q")
+        wanted = reached.select("q", "qvec", "beam", "ids").repartition("q").sortWithinPartitions(
+            "q").mapInArrow(_ask(cells), "cell long, q long, qvec binary, ids array<long>")
+        answers = wanted.groupBy("cell").cogroup(held.groupBy("cell")).applyInArrow(
+            _answer, "q long, ids array<long>, sims array<float>").select(
+            "q", F.lit(None).cast("binary").alias("qvec"), "ids", "sims",
+            F.transform("ids", lambda x: F.lit(False)).alias("done"))
+        new = stage.write(_mark(beam).unionByName(answers).repartition("q").sortWithinPartitions(
+            "q").mapInArrow(_keep, _BEAM), "beam")
+        stage.release(beam)
+        beam = new
+        if beam.where(F.exists("done", lambda d: ~d)).isEmpty():
+            break
+    near = beam.select("q", F.explode(F.slice("ids", 1, 2 * k + 1)).alias("node"))
+    original = index.vectors.select("node", F.col("original").alias("right"))
+    scored = near.join(original, "node").join(
+        asked.select("q", F.col("original").alias("left")), "q").select(
+        "q", "node", "left", "right").mapInArrow(_exact, "q long, node long, score double")
+    # of a node's members at most the k + 1 least can be among the k nearest
+    few = index.members.withColumn("place", F.row_number().over(
+        Window.partitionBy("node").orderBy("vec_id"))).where(F.col("place") <= k + 1)
+    hits = scored.join(few, "node").where(
+        F.col("q") != F.col("vec_id") if exclude_self else F.lit(True))
+    ranked = hits.withColumn("rank", F.row_number().over(
+        Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")))
+    return ranked.where(F.col("rank") <= k).select(
+        F.col("q").alias("query_id"), F.col("rank").cast("int").alias("rank"), "vec_id", "score")

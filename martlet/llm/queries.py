@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm import exact_dedup, jaccard_join, language, packing, pii, toxicity, url_filter
+from martlet.llm import exact_dedup, jaccard_join, language, nn_descent, packing, pii, toxicity, url_filter
 from martlet.llm.common import fold, table
 
 # The rules the URL query judges by (fixed values of its contract).
@@ -62,6 +62,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "lang_pred", "score", "languages", "proportions")
 
 
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    index = nn_descent.build(vectors)
+    return nn_descent.search(index, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(toxicity.training_rows(docs),
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
+    "op5_nn_descent": op5_nn_descent,
     "op7_toxicity": op7_toxicity,
     "op8_url_filter": op8_url_filter,
     "op10_pii_surrogates": op10_pii_surrogates,
