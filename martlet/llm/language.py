@@ -143,38 +143,38 @@ def mixtures(texts: list[str], log_prob: np.ndarray) -> np.ndarray:
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
             keep: list[str] | None = None) -> DataFrame:
-    """doc_id, lang_pred, score, languages, proportions (set by falling proportion).
-
-    ``keep``: input columns to return unchanged in front of these.
-    """
+    """doc_id (or a struct ``row`` of the input columns named in ``keep``), lang_pred,
+    score, languages, proportions (the set by falling proportion)."""
     prepare(docs.sparkSession)
-    kept = docs.select(*[F.col(c) for c in keep]).schema if keep else None
-    inner = docs.select(*([F.struct(*[F.col(c) for c in keep]).alias("__row")] if keep else []),
-                        F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string").alias("__text")
+    if keep:  # the row travels along; its text is not sent twice
+        inner = docs.select(F.struct(*[F.col(c) for c in keep]).alias("__row"),
+                            *([] if text_col in keep else [text]))
+    else:
+        inner = docs.select(F.col(id_col).alias("doc_id"), text)
+    inside = bool(keep) and text_col in keep
     names, log_prob = model.languages, model.log_prob
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            share = mixtures([t or "" for t in table.column("text").to_pylist()], log_prob)
+            column = batch.column(0).field(text_col) if inside else batch.column(1)
+            share = mixtures([t or "" for t in column.to_pylist()], log_prob)
             order = np.argsort(-share, axis=1, kind="stable") if len(names) else share.astype(int)
             langs = [[names[j] for j in o if s[j] > 0] for o, s in zip(order, share)]
             parts = [[float(s[j]) for j in o if s[j] > 0] for o, s in zip(order, share)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(batch.num_columns - 1)] + [
-                    pa.array([x[0] if x else UNKNOWN for x in langs], pa.string()),
-                    pa.array([min(1.0, x[0]) if x else 0.0 for x in parts], pa.float64()),
-                    pa.array(langs, pa.list_(pa.string())),
-                    pa.array(parts, pa.list_(pa.float64()))],
-                names=[*batch.schema.names[:-1], "lang_pred", "score", "languages", "proportions"])
-
-    schema = extended(inner.drop("text").schema, "lang_pred string, score double, "
+                [batch.column(0), pa.array([x[0] if x else UNKNOWN for x in langs], pa.string()),
+                 pa.array([min(1.0, x[0]) if x else 0.0 for x in parts], pa.float64()),
+                 pa.array(langs, pa.list_(pa.string())),
+                 pa.array(parts, pa.list_(pa.float64()))],
+                names=[batch.schema.names[0], "lang_pred", "score", "languages", "proportions"])
+
+    schema = extended(inner.drop("__text").schema, "lang_pred string, score double, "
                       "languages array<string>, proportions array<double>")
     out = inner.mapInArrow(run, schema)
-    if kept is None:
+    if not keep:
         return out
-    return out.select(*[F.col("__row").getField(c).alias(c) for c in keep],
-                      "lang_pred", "score", "languages", "proportions")
+    return out.withColumnRenamed("__row", "row")
 
 
 def training_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -100,8 +100,9 @@ def assign(entities: DataFrame, key: bytes, stage: Stage) -> DataFrame:
 
 
 def replace_pii(docs: DataFrame, key: bytes, keep: list[str] | None = None,
-                text_col: str = "text") -> DataFrame:
-    """The ``keep`` columns, text (with surrogates) and n_entities of every row."""
+                text_col: str = "text", count_col: str = "n_entities") -> DataFrame:
+    """The ``keep`` columns, the text with surrogates and its number of entities of
+    every row."""
     spark = prepare(docs.sparkSession)
     stage = Stage(spark, "pii")
     keep = ["doc_id"] if keep is None else keep
@@ -119,4 +120,4 @@ def replace_pii(docs: DataFrame, key: bytes, keep: list[str] | None = None,
         _written, extended(rows.schema, "n_entities long"))
     whole = rows.where(~maybe).withColumn("n_entities", F.lit(0).cast("long"))
     return whole.unionByName(written).select(
-        *[F.col("row").getField(c).alias(c) for c in keep], "text", "n_entities")
+        "row.*", F.col("text").alias(text_col), F.col("n_entities").alias(count_col))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm import exact_dedup, jaccard_join, language, nn_descent, packing, pii, toxicity, url_filter
+from martlet.llm import exact_dedup, jaccard_join, language, nn_descent, packing, pieces, pii, quality, toxicity, url_filter
 from martlet.llm.common import fold, table
 
 # The rules the URL query judges by (fixed values of its contract).
@@ -68,6 +68,11 @@ def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.search(index, vectors.where(F.col("vec_id") % 20 == 0))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"),
+                         with_ids=False)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(toxicity.training_rows(docs),
@@ -82,6 +87,14 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(pages, URL_RULES, model)
 
 
+def op9_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(quality.training_rows(docs),
+                          quality.training_rows(table(spark, sf_dir, "labels")))
+    return quality.score(docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 # A real run passes its own secret.
 PII_KEY = b"a key for test data only"
 
@@ -96,8 +109,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
     "op5_nn_descent": op5_nn_descent,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_toxicity": op7_toxicity,
     "op8_url_filter": op8_url_filter,
+    "op9_quality_cotraining": op9_quality_cotraining,
     "op10_pii_surrogates": op10_pii_surrogates,
 }
 
