@@ -21,15 +21,16 @@ so a pivot p bounds every other distance: ``|d(x,p) - d(y,p)| <= d(x,y)``.
 4. *Recursion.* Pairs linked to one pivot are in one component already. For
    any other pair of a cell at least one lies outside the pivot's ball, and
    their differences to the pivot, a = x ^ p and b = y ^ p, must overlap:
-   ``|a & b| = (|a| + |b| - |a ^ b|) / 2``. The rarest elements of the
+   ``|a & b| = (|a| + |b| - |a ^ b|) / 2``. The likely rarest elements of the
    difference, as many as that bound demands, name the regions of the next
-   round (two members of a region share one). Regions only ever lose members,
-   the pivots, so the recursion ends; regions that pivots settle entirely are
-   not carried on.
+   round (two members of a region share one). What is rare in a cell is told by
+   its centre, the majority of a small sample; the order has no bearing on the
+   result. Regions only ever lose members, the pivots, so the recursion ends;
+   regions that pivots settle entirely are not carried on.
 5. *Components* of the links (``components``), joined back to all documents.
 
-No step emits all pairs of a group: a region of g members costs g * PIVOTS
-distances. Sets are fetched only for members of regions, keyed by document.
+No step emits all pairs of a group: a region of g members costs g distances
+a pivot. Sets are fetched only for members of regions, keyed by document.
 
 Defined cases: null texts and texts without words have an empty set and link
 with nothing; fewer words than a shingle form one shingle; rows that share a
@@ -53,7 +54,8 @@ from martlet.llm.common import Stage, prepare
 from martlet.llm.components import components
 
 WORDS = 3
-PIVOTS = 4
+PIVOTS = (4, 16)  # of a first region, and of the small ones after it
+SAMPLED = 15  # members whose majority is the centre of a cell
 # Link when 100 * intersection >= 90 * union: |x ^ y| <= (|x| + |y|) / SPREAD,
 # hence also |x ^ y| <= |x| / LONGEST.
 SPREAD, LONGEST = 19, 9
@@ -182,24 +184,52 @@ def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["x", "p", "nx", "np", "diff"])
 
 
+def _centre(table: pa.Table) -> pa.Table:
+    """The elements that most of a cell's sampled members have."""
+    own = [np.frombuffer(x, np.uint64) for x in table.column("own").to_pylist()]
+    elements, times = np.unique(np.concatenate(own), return_counts=True)
+    return pa.table({"cell": table.column("cell").slice(0, 1).combine_chunks(),
+                     "centre": pa.array([elements[2 * times > len(own)].tobytes()], pa.binary())})
+
+
 def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """mapInArrow: (cell, x, outer, own, other) -> (cell, x, outer, take, elements): the
-    difference to the pivot, and how many of its rarest elements name regions."""
+    """mapInArrow: (cell, x, outer, own, other, centre) -> (cell, x, outer, e, mixed): the
+    rarest elements of the difference to the pivot, as many as a link demands.
+
+    The overlap with a linked partner is at least ``size - n / LONGEST``, and about half
+    the size if the partner lies outside the pivot's ball. Regions of two outer members
+    and *mixed* ones, of an inner and an outer member, are kept apart: either needs
+    fewer elements than one for both. The order of the elements only has to be the same
+    for all members of a cell: first what pivot and centre lack, then what both have,
+    last what one of them has and the other lacks, which most differences hold.
+    """
     for batch in batches:
-        outer, take, elements = batch.column(2).to_pylist(), [], []
-        for out, a, b in zip(outer, batch.column(3).to_pylist(), batch.column(4).to_pylist()):
-            delta = _difference(a, b)
-            size, n, n_pivot = len(delta), len(a) // 8, len(b) // 8
-            # overlap with any linked partner outside the pivot's ball ...
-            need = -(-(SPREAD * size + n_pivot + 1 - n) // (2 * SPREAD))
-            if out:  # ... and, if this one is outside, with one inside it
-                need = min(need, size - n // LONGEST)
-            take.append(size - max(1, need) + 1)
-            elements.append(_signed(delta))
+        cells, xs, outs, mixed, elements = [], [], [], [], []
+        for cell, x, outer, a, b, c in zip(*(col.to_pylist() for col in batch.columns)):
+            delta, n, n_pivot = _difference(a, b), len(a) // 8, len(b) // 8
+            size = len(delta)
+            in_pivot = np.isin(delta, np.frombuffer(b, np.uint64), assume_unique=True)
+            in_centre = np.isin(delta, np.frombuffer(c, np.uint64), assume_unique=True)
+            rank = np.where(in_pivot != in_centre, 2, in_pivot)
+            delta = _signed(delta[np.lexsort((delta, rank))])
+            any_need = max(1, size - n // LONGEST)
+            outer_need = max(any_need, -(-(SPREAD * size + n_pivot + 1 - n) // (2 * SPREAD)))
+            for is_mixed, need in ((True, any_need if outer else outer_need),
+                                   *([(False, outer_need)] if outer else [])):
+                take = max(0, size - need + 1)
+                elements.append(delta[:take])
+                cells.append(cell)
+                xs.append(x)
+                outs.append(outer)
+                mixed.append(is_mixed)
+        sizes = [len(e) for e in elements]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), batch.column(2), pa.array(take, pa.int64()),
-             pa.array(elements, pa.list_(pa.int64()))],
-            names=["cell", "x", "outer", "take", "elements"])
+            [pa.array(np.repeat(np.array(cells, np.int64), sizes)),
+             pa.array(np.repeat(np.array(xs, np.int64), sizes)),
+             pa.array(np.repeat(np.array(outs, bool), sizes)),
+             pa.array(np.concatenate([np.zeros(0, np.int64), *elements])),
+             pa.array(np.repeat(np.array(mixed, bool), sizes))],
+            names=["cell", "x", "outer", "e", "mixed"])
 
 
 def _first_regions(sketch: DataFrame, classes: DataFrame, stage: Stage) -> DataFrame:
@@ -213,20 +243,21 @@ def _first_regions(sketch: DataFrame, classes: DataFrame, stage: Stage) -> DataF
         "region", "x").distinct(), "regions")
 
 
-def _pivots(members: DataFrame) -> DataFrame:
+def _pivots(members: DataFrame, most: int) -> DataFrame:
     """(region, p, g): each region's pivots and its size. Every member of a region of
-    at most PIVOTS + 1 is settled by them."""
+    at most ``most`` + 1 is settled by them."""
     central = members.groupBy("x").agg(F.count("*").alias("shares"))
     order = Window.partitionBy("region").orderBy(F.desc("shares"), "x")
     sizes = members.groupBy("region").agg(F.count("*").alias("g"))
     return members.join(central, "x").withColumn("rank", F.row_number().over(order)).where(
-        F.col("rank") <= PIVOTS).select("region", F.col("x").alias("p")).join(sizes, "region")
+        F.col("rank") <= most).select("region", F.col("x").alias("p")).join(sizes, "region")
 
 
 def _round(members: DataFrame, known: DataFrame | None, sets: DataFrame, stage: Stage,
-           shared_cells: bool) -> tuple[DataFrame, DataFrame]:
+           first: bool) -> tuple[DataFrame, DataFrame]:
     """One level of the recursion: (distances found, members of the next regions)."""
-    pivots = stage.write(_pivots(members), "pivots")
+    most = PIVOTS[0] if first else PIVOTS[1]
+    pivots = stage.write(_pivots(members, most), "pivots")
     near = members.join(pivots, "region").where("x != p")
     # a pair of pivots is measured once
     pairs = near.select(F.greatest("x", "p").alias("x"), F.least("x", "p").alias("p")).distinct()
@@ -244,35 +275,35 @@ def _round(members: DataFrame, known: DataFrame | None, sets: DataFrame, stage:
                                           F.col("np").alias("nx"), F.col("nx").alias("np"), "diff"))
     distance = 2 * F.col("diff") / (F.col("nx") + F.col("np") + F.col("diff"))
     chosen = pivots.select("region", F.col("p").alias("x"))
-    unsettled = near.where(F.col("g") > PIVOTS + 1).join(chosen, ["region", "x"], "left_anti")
+    unsettled = near.where(F.col("g") > most + 1).join(chosen, ["region", "x"], "left_anti")
     placed = unsettled.join(both, ["x", "p"]).select(
         "region", "x", "p", distance.alias("d"),
         (F.col("diff") * SPREAD > F.col("nx") + F.col("np")).alias("outer"))
     home = F.min("d").over(Window.partitionBy("region", "x"))
-    cell = F.col("p") if shared_cells else F.xxhash64("region", "p")
+    cell = F.col("p") if first else F.xxhash64("region", "p")
     cells = placed.withColumn("home", home).where(
         F.col("d") <= F.col("home") + 2 * RADIUS + 1e-9).select(
         cell.alias("cell"), "x", "p", "outer").distinct()
     cells = stage.write(cells, "cells")
     open_cells = cells.groupBy("cell").agg(F.count("*").alias("g"), F.max("outer").alias("outer")
                                            ).where("g > 1 AND outer").select("cell")
-    deltas = cells.join(open_cells, "cell", "left_semi").join(own, "x").join(other, "p").select(
-        "cell", "x", "outer", "own", "other").mapInArrow(
-            _differences, "cell long, x long, outer boolean, take long, elements array<long>")
-    deltas = stage.write(deltas, "differences")
-    elements = deltas.select("cell", "x", "outer", "take", F.explode("elements").alias("e"))
-    often = elements.groupBy("cell", "e").agg(F.count("*").alias("times")).where("times > 1")
-    # an element that one member alone has can name no region, but it uses up a place
-    ranked = elements.join(often, ["cell", "e"], "left").withColumn("rank", F.row_number().over(
-        Window.partitionBy("cell", "x").orderBy(F.coalesce("times", F.lit(1)), "e")))
-    regions = ranked.where("rank <= take AND times IS NOT NULL").select(
-        F.xxhash64("cell", "e").alias("region"), "x", "outer")
+    cells = stage.write(cells.join(open_cells, "cell", "left_semi"), "open")
+    sampled = cells.withColumn("rank", F.row_number().over(
+        Window.partitionBy("cell").orderBy(F.xxhash64("x"), "x"))).where(F.col("rank") <= SAMPLED)
+    centres = stage.write(sampled.select("cell", "x").join(own, "x").select("cell", "own").groupBy(
+        "cell").applyInArrow(_centre, "cell long, centre binary"), "centres")
+    named = cells.join(own, "x").join(other, "p").join(centres, "cell").select(
+        "cell", "x", "outer", "own", "other", "centre").mapInArrow(
+            _differences, "cell long, x long, outer boolean, e long, mixed boolean")
+    regions = stage.write(named.select(F.xxhash64("cell", "e", "mixed").alias("region"), "x",
+                                       "outer", "mixed"), "named")
     open_regions = regions.groupBy("region").agg(
-        F.min("x").alias("lo"), F.max("x").alias("hi"), F.max("outer").alias("outer")
-    ).where("lo < hi AND outer").select("region")
+        F.min("x").alias("lo"), F.max("x").alias("hi"), F.min("outer").alias("all_outer"),
+        F.max("outer").alias("outer"), F.max("mixed").alias("mixed")
+    ).where("lo < hi AND outer AND (NOT mixed OR NOT all_outer)").select("region")
     after = stage.write(regions.join(open_regions, "region", "left_semi").select(
         "region", "x").distinct(), "regions")
-    stage.release(pivots, cells, deltas)
+    stage.release(pivots, cells, centres, regions)
     return found, after
 
 
@@ -291,12 +322,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = members.select(F.col("x").alias("doc_id")).distinct()
     sets = stage.write(rows.join(wanted, "doc_id", "left_semi").mapInArrow(
         _sets(words), "x long, own binary").distinct(), "sets")
-    known, shared_cells = None, True
+    known, first = None, True
     while not members.isEmpty():
-        found, after = _round(members, known, sets, stage, shared_cells)
+        found, after = _round(members, known, sets, stage, first)
         known = found if known is None else known.unionByName(found)
         stage.release(members)
-        members, shared_cells = after, False
+        members, first = after, False
     links = sketch.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).limit(0)
     if known is not None:
         links = known.where(F.col("diff") * SPREAD <= F.col("nx") + F.col("np")).select(
