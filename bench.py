@@ -30,9 +30,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from martlet.plans import catalog  # noqa: E402
 from martlet.plans.mart import Mart, write_mart  # noqa: E402
-from martlet.plans.store import fact_buckets, star_root, stored_staging, write_staging  # noqa: E402
+from martlet.plans.store import stored_staging, write_staging  # noqa: E402
 from martlet.sources.testdata import load_staging  # noqa: E402
-from martlet.session import local_session  # noqa: E402
+from martlet.session import local_session, shared_dir  # noqa: E402
 
 HEADLINE = (
     "staging_write", "dim_customers", "dim_date", "dim_products", "dim_sellers",
@@ -42,21 +42,14 @@ HEADLINE = (
 )
 
 
-_RUNS = [0]
-
-
 def run_once(spark, name: str, sf_dir: str) -> float:
     t0 = time.perf_counter()
     if name == "staging_write":
-        _RUNS[0] += 1
         write_staging(load_staging(spark, sf_dir, extras=True),
-                      f"{star_root(spark)}/bench-staging-{uuid.uuid4().hex}")
+                      f"{shared_dir(spark)}/bench-staging-{uuid.uuid4().hex}")
     elif name == "star_write":
-        _RUNS[0] += 1
-        out = f"{star_root(spark)}/bench-star-{uuid.uuid4().hex}"
-        write_mart(spark, Mart(stored_staging(spark, sf_dir)), out, skip_empty=False,
-                   buckets=fact_buckets(spark),
-                   table_prefix=f"bench_{uuid.uuid4().hex[:12]}")
+        out = f"{shared_dir(spark)}/bench-star-{uuid.uuid4().hex}"
+        write_mart(spark, Mart(stored_staging(spark, sf_dir)), out)
     else:
         df = catalog.QUERIES[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()

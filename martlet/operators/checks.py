@@ -1,9 +1,8 @@
 """Data tests as DataFrames whose rows are the violations.
 
 A test passes when its violation DataFrame is empty. ``test_report`` runs the
-whole suite and returns one row per test with its failure count; each count
-is one aggregate, so the report is a single Spark job over the star with one
-small row per test reaching the driver.
+whole suite and returns one row per test with its failure count; it is one
+Spark job that scans each table of the star once.
 
 Semantics follow the usual column-test conventions: ``unique`` ignores NULLs
 and reports one row per duplicated value; ``relationships`` ignores NULL
@@ -164,94 +163,87 @@ def _unpivot(one_row: DataFrame, names: list[str]) -> DataFrame:
     return one_row.unpivot([], names, "test_name", "failures")
 
 
-def _not_null_counts(table: DataFrame, tests: list[Test]) -> DataFrame:
-    """All not-NULL tests of one table in a single aggregate pass."""
-    return _unpivot(table.agg(*[
-        F.count_if(F.col(t.column).isNull()).cast("bigint").alias(t.name) for t in tests
-    ]), [t.name for t in tests])
-
-
-def _relationship_counts(tables: dict[str, DataFrame], tests: list[Test],
-                         parent_keys: DataFrame) -> DataFrame:
-    """All foreign keys that point at the same parent key, in one anti-join.
-
-    Child keys are tagged with their test, reduced to per-(test, key) counts
-    (partial aggregation, so a hot key costs one row per map task), joined
-    against the parent's distinct keys, and summed per test.
-    """
-    if len(tests) == 1:
-        # one key: keep the child's own column (and bucketing) -- no tagging
-        t = tests[0]
-        one = relationship_failures(tables[t.table], t.column, tables[t.parent], t.parent_column,
-                                    parent_keys)
-        return one.select(F.lit(t.name).alias("test_name"), "failures")
-    parent = parent_keys.select(F.col(tests[0].parent_column).alias("_pk"))
-    key_type = parent.schema["_pk"].dataType
-    tagged = None
-    for t in tests:
-        part = tables[t.table].where(F.col(t.column).isNotNull()).select(
-            F.lit(t.name).alias("_test"), F.col(t.column).cast(key_type).alias("_fk"))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    per_key = tagged.groupBy("_test", "_fk").agg(F.count(F.lit(1)).alias("_n"))
-    orphans = per_key.join(parent, per_key["_fk"] == parent["_pk"], "left_anti")
-    return _unpivot(orphans.agg(*[
-        F.coalesce(F.sum(F.when(F.col("_test") == t.name, F.col("_n"))), F.lit(0))
-        .cast("bigint").alias(t.name) for t in tests
-    ]), [t.name for t in tests])
+def _key_of(test: Test) -> tuple[str, str]:
+    return test.table, test.column
 
 
 def test_report(tables: dict[str, DataFrame], kinds: tuple[str, ...] | None = None) -> DataFrame:
     """(test_name, table_name, column_name, test_kind, failures, status), one row per test.
 
-    Tests are fused where they share input: one aggregate per table for the
-    not-NULL tests, one anti-join per parent key for the relationship tests.
+    The whole suite is one job with one scan per table. A row of a table becomes
+    one (domain, column, key) entry per tested column; a domain is a key and all
+    columns that refer to it. One aggregate per (domain, key) counts the entries
+    of each column -- combined map-side, so a hot key costs a row per map task --
+    and shows all three kinds of failure: a NULL key, a key counted twice, a
+    counted key that its parent column does not have.
     """
     suite = [t for t in SUITE if kinds is None or t.kind in kinds]
-    parts: list[DataFrame] = []
-    by_table: dict[str, list[Test]] = {}
-    by_parent: dict[tuple[str, str], list[Test]] = {}
-    keys: dict[tuple[str, str], DataFrame] = {}
-
-    def keys_of(table: str, column: str) -> DataFrame:
-        # the same DataFrame object for the same key, so its exchange is reused
-        if (table, column) not in keys:
-            keys[(table, column)] = key_counts(tables[table], column)
-        return keys[(table, column)]
-
+    # column -> the domain its keys belong to
+    domain: dict[tuple[str, str], tuple[str, str]] = {}
     for t in suite:
+        domain[_key_of(t)] = (t.parent, t.parent_column) if t.kind == "relationships" \
+            else domain.get(_key_of(t), _key_of(t))
+        if t.kind == "relationships":
+            domain[t.parent, t.parent_column] = (t.parent, t.parent_column)
+    columns = list(domain)
+    # a column can be a child in one domain and the key of its own: one entry each
+    owned = {_key_of(t) for t in suite if t.kind == "unique"} | {
+        (t.parent, t.parent_column) for t in suite if t.kind == "relationships"}
+    places = sorted({(domain[c], c) for c in columns} | {(c, c) for c in owned})
+    entries = None
+    for table in sorted({c[0] for _, c in places}):
+        own = [(i, d, c) for i, (d, c) in enumerate(places) if c[0] == table]
+        part = tables[table].select(F.explode(F.array(*[
+            F.struct(F.lit(".".join(d)).alias("domain"), F.lit(i).alias("place"),
+                     _key_text(c).alias("key")) for i, d, c in own])).alias("e")).select("e.*")
+        if ("fact_orders", "") in domain and table == "fact_orders":
+            part = part.where(F.col("key").isNotNull() | (F.col("domain") != "fact_orders."))
+        entries = part if entries is None else entries.unionByName(part)
+    counted = entries.groupBy("domain", "key").agg(*[
+        F.count_if(F.col("place") == i).alias(f"n{i}") for i in range(len(places))])
+
+    def n(column: tuple[str, str], of: tuple[str, str] | None = None) -> Column:
+        return F.col(f"n{places.index((of or domain[column], column))}")
+
+    def failed(t: Test) -> Column:
+        own = _key_of(t)
         if t.kind == "not_null":
-            by_table.setdefault(t.table, []).append(t)
-        elif t.kind == "relationships":
-            by_parent.setdefault((t.parent, t.parent_column), []).append(t)
-        elif t.kind == "unique":
-            dup = keys_of(t.table, t.column).where(F.col("_n") > 1)
-            parts.append(dup.agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
-                         .select(F.lit(t.name).alias("test_name"), "failures"))
-        else:
-            parts.append(failures(t, tables).select(F.lit(t.name).alias("test_name"), "failures"))
-    parts += [_not_null_counts(tables[name], tests) for name, tests in by_table.items()]
-    parts += [_relationship_counts(tables, tests, keys_of(*parent))
-              for parent, tests in by_parent.items()]
-    counts = parts[0]
-    for p in parts[1:]:
-        counts = counts.unionByName(p)
-
-    def lookup(attr: str):
-        pairs = []
-        for t in suite:
-            pairs += [F.lit(t.name), F.lit(getattr(t, attr))]
-        return F.create_map(*pairs)[F.col("test_name")]
+            return F.sum(F.when(F.col("key").isNull(), n(own)))
+        if t.kind == "unique":
+            return F.count_if(F.col("key").isNotNull() & (n(own, own) > 1))
+        if t.kind == "relationships":
+            parent = (t.parent, t.parent_column)
+            return F.sum(F.when(F.col("key").isNotNull() & (n(parent, parent) == 0), n(own, parent)))
+        return F.count_if(n(own) > 1) if t.column else F.sum(n(own))
+
+    row = counted.agg(*[F.coalesce(failed(t), F.lit(0)).cast("bigint").alias(t.name) for t in suite])
+    counts = _unpivot(row, [t.name for t in suite])
+
+    def lookup(attr: str) -> Column:
+        return F.create_map(*[F.lit(x) for t in suite for x in (t.name, getattr(t, attr))])[
+            F.col("test_name")]
 
     return counts.select(
         "test_name",
         lookup("table").alias("table_name"),
         lookup("column").alias("column_name"),
         lookup("kind").alias("test_kind"),
-        F.col("failures").cast("bigint").alias("failures"),
+        "failures",
         _status(F.col("failures")).alias("status"),
     )
 
 
+def _key_text(column: tuple[str, str]) -> Column:
+    """The tested key as text: a column, several as one, or (for the lifecycle
+    test, which has none) a mark on rows out of order."""
+    names = [c.strip() for c in column[1].split(",")]
+    if names == [""]:
+        return F.when(lifecycle_violation(), F.lit("out of order"))
+    if len(names) == 1:
+        return F.col(names[0]).cast("string")
+    return F.to_json(F.struct(*names))  # a NULL part is left out, like no other value
+
+
 # -- further quality checks (accepted values, ranges, row-count drift) ---------
 
 # Order statuses a marketplace order can have.
@@ -269,49 +261,48 @@ def below(df: DataFrame, column: str, minimum: float) -> DataFrame:
     return df.where(F.col(column) < F.lit(minimum))
 
 
-def row_count_drift(source: DataFrame, source_key: str, target: DataFrame, target_key: str,
-                    max_loss: float) -> DataFrame:
-    """One row: distinct keys lost between ``source`` and ``target`` and whether
-    the loss ratio exceeds ``max_loss`` (each count is a distributed aggregate)."""
-    s = source.agg(F.count_distinct(source_key).alias("source_keys"))
-    t = target.agg(F.count_distinct(target_key).alias("target_keys"))
-    lost = F.col("source_keys") - t.select("target_keys").scalar()
-    return s.select(
-        lost.cast("bigint").alias("failures"),
-        (lost / F.col("source_keys") > F.lit(max_loss)).alias("over_limit"),
-    )
-
-
 # Fixed value: largest share of staged orders the lifecycle filter may drop.
 MAX_ORDER_LOSS = 0.05
 
 
 def quality_report(tables: dict[str, DataFrame], staged_orders: DataFrame) -> DataFrame:
-    """(check_name, table_name, column_name, failures, status) for the extra checks."""
-    def count_row(name, table, column, violations):
-        return violations.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(
-            F.lit(name).alias("check_name"), F.lit(table).alias("table_name"),
-            F.lit(column).alias("column_name"), "failures",
-            _status(F.col("failures")).alias("status"))
-
-    fo, fi = tables["fact_orders"], tables["fact_order_items"]
-    rows = [
-        count_row("accepted_values_fact_orders_status", "fact_orders", "status",
-                  accepted_values(fo, "status", ORDER_STATUSES)),
-        count_row("non_negative_fact_orders_total_order_amount", "fact_orders", "total_order_amount",
-                  below(fo, "total_order_amount", 0)),
-        count_row("non_negative_fact_order_items_total_price", "fact_order_items", "total_price",
-                  below(fi, "total_price", 0)),
-        count_row("non_negative_fact_order_items_total_freight", "fact_order_items", "total_freight",
-                  below(fi, "total_freight", 0)),
-        count_row("positive_fact_order_items_quantity", "fact_order_items", "quantity",
-                  below(fi, "quantity", 1)),
-    ]
-    drift = row_count_drift(staged_orders, "order_id", fo, "order_id", MAX_ORDER_LOSS).select(
-        F.lit("row_count_drift_fact_orders").alias("check_name"), F.lit("fact_orders").alias("table_name"),
-        F.lit("order_id").alias("column_name"), "failures",
-        F.when(F.col("over_limit"), F.lit("fail")).otherwise(F.lit("pass")).alias("status"))
-    out = drift
-    for r in rows:
-        out = out.unionByName(r)
-    return out
+    """(check_name, table_name, column_name, failures, status) for the extra checks:
+    one aggregate per table, whatever the number of checks."""
+    price = "total_price"
+    plain = {
+        "fact_orders": {
+            ("accepted_values", "status"): F.col("status").isNotNull()
+            & ~F.col("status").isin(*ORDER_STATUSES),
+            ("non_negative", "total_order_amount"): F.col("total_order_amount") < 0,
+        },
+        "fact_order_items": {
+            ("non_negative", price): F.col(price) < 0,
+            ("non_negative", "total_freight"): F.col("total_freight") < 0,
+            ("positive", "quantity"): F.col("quantity") < 1,
+        },
+    }
+    drift = "row_count_drift_fact_orders"
+    staged = staged_orders.agg(F.count_distinct("order_id").alias("n")).scalar()
+    where, out = {drift: ("fact_orders", "order_id")}, None
+    for table, rules in plain.items():
+        names = {f"{kind}_{table}_{column}": rule for (kind, column), rule in rules.items()}
+        where |= {f"{kind}_{table}_{column}": (table, column) for kind, column in rules}
+        counts = [F.count_if(rule).cast("bigint").alias(name) for name, rule in names.items()]
+        if table == "fact_orders":
+            counts.append(F.count_distinct("order_id").alias("kept"))
+            row = tables[table].agg(*counts)
+            row = row.select(*names, (staged - F.col("kept")).cast("bigint").alias(drift))
+            names = {**names, drift: None}
+        else:
+            row = tables[table].agg(*counts)
+        part = row.unpivot([], list(names), "check_name", "failures")
+        out = part if out is None else out.unionByName(part)
+    lost = F.col("failures") / staged > F.lit(MAX_ORDER_LOSS)
+    failed = F.when(F.col("check_name") == drift, lost).otherwise(F.col("failures") > 0)
+
+    def lookup(i: int) -> Column:
+        return F.create_map(*[F.lit(x) for k, v in where.items() for x in (k, v[i])])[
+            F.col("check_name")]
+
+    return out.select("check_name", lookup(0).alias("table_name"), lookup(1).alias("column_name"),
+                      "failures", F.when(failed, F.lit("fail")).otherwise(F.lit("pass")).alias("status"))

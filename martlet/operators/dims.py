@@ -18,7 +18,6 @@ from martlet.functions.timekeys import (
     weekday_name,
     year_quarter,
 )
-from martlet.operators.joins import broadcast_if_small
 
 ORDER_TIME_COLUMNS = (
     "order_purchase_timestamp",
@@ -91,14 +90,11 @@ def dim_sellers(sellers: DataFrame) -> DataFrame:
 def dim_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     """Products with the English category name; blank or missing -> ``Unknown``.
 
-    The translation list is broadcast only behind a bounded row count. One
-    DISTINCT after the clean-up equals a DISTINCT before and after it.
+    One DISTINCT after the clean-up equals a DISTINCT before and after it.
     """
-    tr = broadcast_if_small(
-        translation.select(
-            F.col("product_category_name").alias("tr_category"),
-            F.col("product_category_name_english").alias("tr_english"),
-        )
+    tr = translation.select(
+        F.col("product_category_name").alias("tr_category"),
+        F.col("product_category_name_english").alias("tr_english"),
     )
     base = products.where(F.col("product_id").isNotNull())
     joined = base.join(tr, base.product_category_name == tr.tr_category, "left")

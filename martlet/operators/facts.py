@@ -114,17 +114,9 @@ def aggregated_items(items: DataFrame) -> DataFrame:
 
 
 def fact_order_items(items: DataFrame, fact_orders_df: DataFrame) -> DataFrame:
-    """Aggregated items of orders present in the order fact (inner join).
-
-    The order side is reduced to one row per order id with its multiplicity,
-    so the join is many-to-one (and broadcastable by AQE when small); rows
-    are repeated only if an order id occurs more than once in the order
-    fact, exactly as an inner join would.
-    """
-    valid = fact_orders_df.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
-    joined = aggregated_items(items).join(valid, "order_id")
-    repeated = joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_n").cast("int"))))
-    return repeated.select(
+    """Aggregated items of orders present in the order fact (inner join): a row is
+    repeated for every row its order id has there."""
+    return aggregated_items(items).join(fact_orders_df.select("order_id"), "order_id").select(
         "order_id", "product_id", "seller_id", "quantity", "total_price",
         "total_freight", "shipping_limit_date_id",
     )

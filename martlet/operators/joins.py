@@ -1,10 +1,8 @@
 """Join helpers.
 
-Broadcasting is only done behind a bounded row count: ``limit(n + 1).count()``
-reads at most ``n + 1`` rows, so the check itself is cheap even when the
-table turns out to be large. Past the bound the side is left to the planner
-(sort-merge join, or a runtime switch to broadcast by AQE from real shuffle
-statistics).
+Which side is broadcast is left to the planner's statistics and to AQE's
+runtime sizes. The one exception is a result bounded by its definition, such
+as a top-k list: it may be broadcast whatever the size of the data.
 """
 
 from __future__ import annotations
@@ -12,36 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a lookup side may have and still be broadcast. Lookup tables here are
-# narrow (a key and a few short strings), so 200k rows stay well under the
-# default 8 GB broadcast limit and small next to executor memory.
-DEFAULT_BROADCAST_ROWS = 200_000
 
-
-def bounded_rows(df: DataFrame, bound: int) -> int:
-    """Row count of ``df``, or ``bound + 1`` if it has more than ``bound`` rows."""
-    return df.limit(bound + 1).count()
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when ``df`` is proven to hold at most ``max_rows`` rows."""
-    if bounded_rows(df, max_rows) <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def attach_to_few(few: DataFrame, large: DataFrame, key: str, max_rows: int) -> DataFrame:
+def attach_to_few(few: DataFrame, large: DataFrame, key: str) -> DataFrame:
     """``few LEFT JOIN large USING (key)`` without shuffling ``large``.
 
-    ``few`` must be known to hold at most ``max_rows`` rows (e.g. a top-k
-    result). An outer join can only broadcast its non-preserved side -- here
-    the large one -- so the join is written as an inner join with ``few``
-    broadcast (bounded by ``max_rows``) plus the rows of ``few`` that found
-    no match, with NULL attributes. Same rows as the left join, duplicates
-    included.
+    ``few`` must be bounded by its definition (a top-k result). An outer join
+    can only broadcast its non-preserved side -- here the large one -- so the
+    join is an inner join with ``few`` broadcast, plus the rows of ``few``
+    without a match, with NULL attributes. Same rows as the left join,
+    duplicates included.
     """
-    if max_rows > DEFAULT_BROADCAST_ROWS:
-        return few.join(large, key, "left")
     matched = large.join(F.broadcast(few), key)
     missing = few.join(F.broadcast(matched.select(key).distinct()), key, "left_anti")
     for f in large.schema.fields:

@@ -15,6 +15,9 @@ complement of the filter when the purchase time is NULL.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,36 +29,30 @@ DELIVERED = "delivered_customer_timestamp_id"
 ESTIMATED = "estimated_delivery_timestamp_id"
 
 
-def lifecycle_rules(purchase: str = PURCHASE, approved: str = APPROVED,
-                    carrier: str = CARRIER, delivered: str = DELIVERED,
-                    estimated: str = ESTIMATED) -> list[Column]:
-    """The four rules; each may evaluate to NULL."""
-    p, a, c, d, e = (F.col(x) for x in (purchase, approved, carrier, delivered, estimated))
-    return [
-        a.isNull() | (p <= a),
-        c.isNull() | a.isNull() | (a <= c),
-        d.isNull() | c.isNull() | (c <= d),
-        e.isNull() | (p <= e),
-    ]
-
-
-def lifecycle_ok(**names: str) -> Column:
-    """Filter predicate: TRUE only when all four rules are TRUE."""
-    rules = lifecycle_rules(**names)
-    out = rules[0]
-    for r in rules[1:]:
-        out = out & r
+# (earlier, later, whether a missing earlier time is accepted): the order of an
+# order's life. A missing later time is always accepted.
+PAIRS = (
+    (PURCHASE, APPROVED, False),
+    (APPROVED, CARRIER, True),
+    (CARRIER, DELIVERED, True),
+    (PURCHASE, ESTIMATED, False),
+)
+
+
+def lifecycle_rules() -> list[Column]:
+    """One rule per pair; each may evaluate to NULL."""
+    out = []
+    for earlier, later, may_miss in PAIRS:
+        rule = F.col(later).isNull() | (F.col(earlier) <= F.col(later))
+        out.append(rule | F.col(earlier).isNull() if may_miss else rule)
     return out
 
 
-def lifecycle_violation(purchase: str = PURCHASE, approved: str = APPROVED,
-                        carrier: str = CARRIER, delivered: str = DELIVERED,
-                        estimated: str = ESTIMATED) -> Column:
+def lifecycle_ok() -> Column:
+    """Filter predicate: TRUE only when all rules are TRUE."""
+    return reduce(and_, lifecycle_rules())
+
+
+def lifecycle_violation() -> Column:
     """Data-test predicate: TRUE when a non-NULL pair is out of order."""
-    p, a, c, d, e = (F.col(x) for x in (purchase, approved, carrier, delivered, estimated))
-    return (
-        (a.isNotNull() & (p > a))
-        | (c.isNotNull() & a.isNotNull() & (a > c))
-        | (d.isNotNull() & c.isNotNull() & (c > d))
-        | (e.isNotNull() & p.isNotNull() & (p > e))
-    )
+    return reduce(or_, [F.col(earlier) > F.col(later) for earlier, later, _ in PAIRS])

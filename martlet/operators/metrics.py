@@ -212,7 +212,7 @@ def top_products(fi: DataFrame, dim_products: DataFrame, by: str = "revenue",
     so only ``k`` rows meet the dimension."""
     top = _top(product_sales(fi), "product_id", by, k)
     dims = dim_products.select("product_id", "category_name")
-    return attach_to_few(top, dims, "product_id", k).select(
+    return attach_to_few(top, dims, "product_id").select(
         "product_id", "category_name", "revenue", "quantity"
     )
 
@@ -222,7 +222,7 @@ def top_sellers(fi: DataFrame, dim_sellers: DataFrame, by: str = "revenue",
     """Top ``k`` sellers by ``by`` with the seller's place attached after the cut."""
     top = _top(seller_sales(fi), "seller_id", by, k)
     dims = dim_sellers.select("seller_id", "city", "state")
-    return attach_to_few(top, dims, "seller_id", k).select(
+    return attach_to_few(top, dims, "seller_id").select(
         "seller_id", "city", "state", "revenue", "quantity"
     )
 

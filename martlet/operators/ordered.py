@@ -7,25 +7,26 @@ same exact result in parallel:
 1. range-partition the rows on the full, tie-free order key (a hot value of
    the leading key is split across partitions by the later keys) and tag each
    row with its partition;
-2. checkpoint (reliable, to the shared checkpoint folder) so the partition
-   each row landed in is fixed even if an executor is lost and work is redone;
+2. write the rows to the shared folder, so that the partition each row landed
+   in is fixed even if an executor is lost and work is redone;
 3. total ``x`` per partition -- one small row per partition -- and turn those
    into exclusive offsets with a window over the partition totals, whose size
    is the partition count, not the data;
 4. add each partition's offset to a running sum computed inside the partition.
 
-Sums are DECIMAL, so the result does not depend on how rows are split.
+Sums are DECIMAL or integral, so the result does not depend on how rows are
+split. NULL values add nothing; the total is NULL only where no value up to
+that row is present, as in SQL.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlet.session import default_parallelism, ensure_checkpoint_dir
+from martlet.session import app_id, shared_dir
 
 _PID = "_range_part"
 
@@ -35,28 +36,25 @@ def running_total(df: DataFrame, order: list[Column], value: str, out: str,
     """``df`` with ``out`` = sum of ``value`` over all rows up to this one in ``order``.
 
     ``order`` must be a total order (end it with a unique key); ``value``
-    should be DECIMAL or integral for an exact result.
+    should be DECIMAL or integral for an exact result. The range partitions are
+    the session's shuffle partitions unless ``num_partitions`` says otherwise.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark, os.path.join(tempfile.gettempdir(), "martlet-ckpt"))
-    n = num_partitions or default_parallelism(spark)
-    tagged = (
-        df.repartitionByRange(n, *order)
-        .withColumn(_PID, F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{shared_dir(spark)}/martlet-ordered/{app_id(spark)}/{uuid.uuid4().hex}"
+    ranged = df.repartitionByRange(n, *order).withColumn(_PID, F.spark_partition_id())
+    ranged.write.parquet(path)
+    tagged = spark.read.schema(ranged.schema).parquet(path)
     totals = tagged.groupBy(_PID).agg(F.sum(value).alias("_part_total"))
     offsets = totals.select(
         _PID,
-        F.coalesce(
-            F.sum("_part_total").over(
-                Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_offset"),
+        F.sum("_part_total").over(
+            Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)).alias("_offset"),
     )
     w = Window.partitionBy(_PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = tagged.withColumn("_local", F.sum(value).over(w))
     # offsets has one row per range partition (bounded by n): broadcast it
     joined = local.join(F.broadcast(offsets), _PID)
-    return joined.withColumn(out, F.col("_offset") + F.col("_local")).drop(
+    both = F.coalesce(F.col("_offset") + F.col("_local"), "_offset", "_local")
+    return joined.withColumn(out, both).drop(
         _PID, "_local", "_offset")

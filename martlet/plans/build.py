@@ -6,8 +6,8 @@
 Input is either a folder of staging tables (parquet, one sub-folder per
 ``stg_*`` table, as the ingest jobs write them) or, for the shared test
 tables, ``--sf-dir`` (the staging adapter). Output under ``--out``:
-``marts/<table>`` (the star; facts bucketed on ``order_id``), ``tests/report``
-and ``metrics/<name>``. The exit status is non-zero when a data test fails
+``marts/<table>/<version>`` (the star, registered as ``marts.<table>``),
+``tests/report`` and ``metrics/<name>``. The exit status is non-zero when a data test fails
 and ``--fail-on-test-error`` is given.
 """
 
@@ -16,37 +16,23 @@ from __future__ import annotations
 import argparse
 import json
 import sys
-import uuid
 
 from pyspark.sql import SparkSession
 
-from martlet.operators import checks, metrics
-from martlet.plans.mart import MART_TABLES, Mart, read_mart, write_mart
-from martlet.plans.store import fact_buckets
-from martlet.session import ensure_conf
-from martlet.sources.sinks import write_table
+from martlet.operators import checks
+from martlet.plans.mart import MART_TABLES, METRICS, Mart, publish_mart, read_mart, write_mart
+from martlet.session import ensure_conf, input_bytes, size_session
+from martlet.sources.sinks import MART_NAMESPACE, write_table
 from martlet.sources.staging import Staging
 from martlet.sources.testdata import load_staging
 
 # The dashboard tables written by a build.
-DASHBOARD = {
-    "sales_overview": lambda m: metrics.sales_overview(m.fact_orders, m.fact_order_items),
-    "monthly_revenue_growth": lambda m: metrics.monthly_revenue_growth(m.fact_orders, m.fact_order_items),
-    "top_cities": lambda m: metrics.top_cities(m.fact_orders, m.fact_order_items, m.dim_customers),
-    "top_categories": lambda m: metrics.top_categories(m.fact_order_items, m.dim_products),
-    "segments_by_state": lambda m: metrics.segments_by_state(m.fact_orders, m.fact_order_items,
-                                                             m.dim_customers),
-    "segments_by_city": lambda m: metrics.segments_by_city(m.fact_orders, m.fact_order_items,
-                                                           m.dim_customers),
-    "top_products_by_revenue": lambda m: metrics.top_products(m.fact_order_items, m.dim_products, "revenue"),
-    "top_products_by_quantity": lambda m: metrics.top_products(m.fact_order_items, m.dim_products, "quantity"),
-    "top_sellers_by_revenue": lambda m: metrics.top_sellers(m.fact_order_items, m.dim_sellers, "revenue"),
-    "top_sellers_by_quantity": lambda m: metrics.top_sellers(m.fact_order_items, m.dim_sellers, "quantity"),
-    "high_performers": lambda m: metrics.high_performers(m.fact_order_items),
-    "product_pareto": lambda m: metrics.product_pareto(m.fact_order_items),
-    "sales_by_quantity": lambda m: metrics.sales_by_quantity(m.fact_order_items),
-    "customer_cohorts": lambda m: metrics.customer_cohorts(m.fact_orders),
-}
+DASHBOARD = (
+    "sales_overview", "monthly_revenue_growth", "top_cities", "top_categories",
+    "segments_by_state", "segments_by_city", "top_products_by_revenue",
+    "top_products_by_quantity", "top_sellers_by_revenue", "top_sellers_by_quantity",
+    "high_performers", "product_pareto", "sales_by_quantity", "customer_cohorts",
+)
 
 
 def staging_from_dir(spark: SparkSession, staging_dir: str) -> Staging:
@@ -59,23 +45,27 @@ def staging_from_dir(spark: SparkSession, staging_dir: str) -> Staging:
     )
 
 
-def build(spark: SparkSession, staging: Staging, out: str, *, buckets: int | None = None) -> dict:
-    """Write the star, the test report and the dashboard tables; return a summary."""
+def build(spark: SparkSession, staging: Staging, out: str, *,
+          namespace: str = MART_NAMESPACE) -> dict:
+    """Write the star, the test report and the dashboard tables; return a summary.
+
+    The star is written as a new version and only then published under the
+    stable names ``namespace.<table>``.
+    """
     ensure_conf(spark)
     out = out.rstrip("/")
-    n = buckets or fact_buckets(spark)
-    paths = write_mart(spark, Mart(staging), out, MART_TABLES, skip_empty=False, buckets=n,
-                       table_prefix=f"marts_{uuid.uuid4().hex[:8]}")
+    paths = write_mart(spark, Mart(staging), out)
+    names = publish_mart(spark, paths, namespace)
     star = read_mart(spark, paths)
     tables = {name: star.table(name) for name in MART_TABLES}
     report_path = f"{out}/tests/report"
     write_table(checks.test_report(tables), report_path, skip_empty=False)
     report = spark.read.parquet(report_path)
     failed = [r.test_name for r in report.where("status = 'fail'").select("test_name").collect()]
-    for name, fn in DASHBOARD.items():
-        write_table(fn(star), f"{out}/metrics/{name}", skip_empty=False)
-    return {"marts": paths, "tests": report_path, "failed_tests": sorted(failed),
-            "metrics": sorted(DASHBOARD)}
+    for name in DASHBOARD:
+        write_table(METRICS[name](star), f"{out}/metrics/{name}", skip_empty=False)
+    return {"marts": paths, "tables": names, "tests": report_path,
+            "failed_tests": sorted(failed), "metrics": sorted(DASHBOARD)}
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -84,14 +74,15 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--staging-dir")
     src.add_argument("--sf-dir")
     ap.add_argument("--out", required=True)
-    ap.add_argument("--buckets", type=int)
+    ap.add_argument("--namespace", default=MART_NAMESPACE)
     ap.add_argument("--fail-on-test-error", action="store_true")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("martlet-build").getOrCreate()
     ensure_conf(spark)
+    size_session(spark, input_bytes(spark, args.staging_dir or args.sf_dir))
     staging = (staging_from_dir(spark, args.staging_dir) if args.staging_dir
                else load_staging(spark, args.sf_dir))
-    summary = build(spark, staging, args.out, buckets=args.buckets)
+    summary = build(spark, staging, args.out, namespace=args.namespace)
     print(json.dumps(summary))
     return 1 if (args.fail_on_test_error and summary["failed_tests"]) else 0
 

@@ -8,15 +8,17 @@ the stored order fact back for the item fact so the order plan runs once.
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.operators import dims, facts
-from martlet.session import ensure_conf
+from martlet.operators import dims, facts, metrics
+from martlet.sources.sinks import MART_NAMESPACE, drop_files, publish, subfolders, write_table
 from martlet.sources.staging import Staging
-from martlet.sources.testdata import load_staging
 
 MART_TABLES = (
     "dim_customers", "dim_date", "dim_products", "dim_sellers",
@@ -76,32 +78,18 @@ class Mart:
         return getattr(self, name)
 
 
-def read_table(spark: SparkSession, where: str) -> DataFrame:
-    """A stored table: ``table:<name>`` (catalog, keeps buckets) or a parquet path."""
-    if where.startswith("table:"):
-        return spark.table(where[len("table:"):])
-    return spark.read.parquet(where)
-
-
 def read_mart(spark: SparkSession, paths: dict[str, str]) -> Mart:
-    return Mart.from_tables({name: read_table(spark, p) for name, p in paths.items()})
-
-
-def mart_from_testdata(spark: SparkSession, sf_dir: str) -> Mart:
-    ensure_conf(spark)
-    return Mart(load_staging(spark, sf_dir))
-
-
-# Facts are bucketed on the order key: per-order aggregates and fact-to-fact
-# joins then read co-partitioned buckets.
-BUCKET_COLUMNS = {"fact_orders": "order_id", "fact_order_items": "order_id"}
+    return Mart.from_tables({name: spark.read.parquet(p) for name, p in paths.items()})
 
 
 def write_mart(spark: SparkSession, mart: Mart, out_dir: str,
                tables: tuple[str, ...] = MART_TABLES, *, skip_empty: bool = False,
-               concurrent: bool = True, buckets: int | None = None,
-               table_prefix: str | None = None) -> dict[str, str]:
-    """Write the star as parquet under ``out_dir`` (the ``marts`` namespace).
+               concurrent: bool = True) -> dict[str, str]:
+    """Write a new version of the star as parquet; the folder of each table.
+
+    Every call writes to folders of its own, ``out_dir/marts/<table>/<version>``,
+    and touches no earlier version, so a failed build or an open reader is never
+    left with half a table; ``publish_mart`` then switches the table names.
 
     Models are full rebuilds (no empty-source guard by default: checking an
     aggregate for emptiness would run most of its plan twice). The four
@@ -111,21 +99,19 @@ def write_mart(spark: SparkSession, mart: Mart, out_dir: str,
     is then read back from storage for the item fact, so the order plan runs
     once and its lineage is cut at a durable path.
     """
-    from martlet.sources.sinks import write_table
-
     wanted = [t for t in MART_TABLES if t in tables]
     if "fact_order_items" in wanted and "fact_orders" not in wanted:
         wanted.insert(wanted.index("fact_order_items"), "fact_orders")
     first = [t for t in wanted if t != "fact_order_items"]
     base = out_dir.rstrip("/") + "/marts"
+    # sorts by time; the tail keeps two builds of one moment apart
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     paths: dict[str, str] = {}
 
     def write(name: str, m: Mart) -> None:
-        path = f"{base}/{name}"
-        bucket = (buckets, BUCKET_COLUMNS[name]) if buckets and name in BUCKET_COLUMNS else None
-        table = f"{table_prefix}_{name}" if bucket else None
-        if write_table(m.table(name), path, skip_empty=skip_empty, bucket=bucket, table_name=table):
-            paths[name] = f"table:{table}" if bucket else path
+        path = f"{base}/{name}/{version}"
+        if write_table(m.table(name), path, skip_empty=skip_empty):
+            paths[name] = path
 
     if concurrent and len(first) > 1:
         with ThreadPoolExecutor(max_workers=len(first)) as pool:
@@ -135,6 +121,48 @@ def write_mart(spark: SparkSession, mart: Mart, out_dir: str,
         for t in first:
             write(t, mart)
     if "fact_order_items" in wanted:
-        stored = read_table(spark, paths["fact_orders"]) if "fact_orders" in paths else None
+        stored = spark.read.parquet(paths["fact_orders"]) if "fact_orders" in paths else None
         write("fact_order_items", Mart(mart.staging, fact_orders=stored) if stored is not None else mart)
     return {t: paths[t] for t in wanted if t in paths}
+
+
+def publish_mart(spark: SparkSession, paths: dict[str, str],
+                 namespace: str = MART_NAMESPACE, keep: int = 2) -> dict[str, str]:
+    """Switch ``namespace.<table>`` to the versions in ``paths``; the table names.
+
+    The ``keep`` newest versions of each table stay on disk (the one before lets
+    open readers finish); older ones are removed.
+    """
+    names = {t: publish(spark, t, path, namespace) for t, path in paths.items()}
+    for path in paths.values():
+        folder, current = path.rsplit("/", 1)
+        older = [v for v in subfolders(spark, folder) if v < current]
+        for version in older[:max(0, len(older) - keep + 1)]:
+            drop_files(spark, f"{folder}/{version}")
+    return names
+
+
+# The dashboard metrics over a star.
+METRICS: dict[str, Callable[[Mart], DataFrame]] = {
+    "total_revenue": lambda m: metrics.total_revenue(m.fact_order_items),
+    "total_customers": lambda m: metrics.total_customers(m.fact_orders),
+    "total_orders": lambda m: metrics.total_orders(m.fact_orders),
+    "average_order_value": lambda m: metrics.average_order_value(m.fact_order_items),
+    "sales_overview": lambda m: metrics.sales_overview(m.fact_orders, m.fact_order_items),
+    "monthly_revenue_growth": lambda m: metrics.monthly_revenue_growth(m.fact_orders, m.fact_order_items),
+    "top_cities": lambda m: metrics.top_cities(m.fact_orders, m.fact_order_items, m.dim_customers),
+    "top_categories": lambda m: metrics.top_categories(m.fact_order_items, m.dim_products),
+    "segments_by_state": lambda m: metrics.segments_by_state(
+        m.fact_orders, m.fact_order_items, m.dim_customers),
+    "segments_by_city": lambda m: metrics.segments_by_city(
+        m.fact_orders, m.fact_order_items, m.dim_customers),
+    "top_products_by_revenue": lambda m: metrics.top_products(m.fact_order_items, m.dim_products, "revenue"),
+    "top_products_by_quantity": lambda m: metrics.top_products(m.fact_order_items, m.dim_products, "quantity"),
+    "top_sellers_by_revenue": lambda m: metrics.top_sellers(m.fact_order_items, m.dim_sellers, "revenue"),
+    "top_sellers_by_quantity": lambda m: metrics.top_sellers(m.fact_order_items, m.dim_sellers, "quantity"),
+    "high_performers": lambda m: metrics.high_performers(m.fact_order_items),
+    "product_contribution": lambda m: metrics.product_contribution(m.fact_order_items),
+    "product_pareto": lambda m: metrics.product_pareto(m.fact_order_items),
+    "sales_by_quantity": lambda m: metrics.sales_by_quantity(m.fact_order_items),
+    "customer_cohorts": lambda m: metrics.customer_cohorts(m.fact_orders),
+}

@@ -2,16 +2,16 @@
 
 Each statement reads only the shared test tables (``orders``, ``lineitem``,
 ``customer``, ``part``, ``supplier``, ``nation``, ``region``) and restates the
-staging adapter, the star and the query in plain SQL, written the direct way
-(five-way UNION for the calendar, the items x payments fan-out join for the
-order amount, ROW_NUMBER for the latest address) so that it checks the Spark
-plans' rewrites rather than repeating them.
+staging adapter, the star and the query in plain SQL from their definitions in
+the survey. The order of an order's life comes from the one table of pairs in
+``operators.lifecycle``, which the Spark side reads, too.
 """
 
 from __future__ import annotations
 
+from martlet.operators import lifecycle
+
 _TS = "'%Y-%m-%d %H:%M:%S'"
-_KEY = "'%Y%m%d%H%M'"
 
 
 def _fmt(expr: str) -> str:
@@ -64,8 +64,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
        CAST(1 + o_orderkey % 10 AS BIGINT) AS payment_installments,
        CAST((2 * CAST(round(o_totalprice * 100) AS BIGINT) + (1 + o_orderkey % 3))
             // (2 * (1 + o_orderkey % 3)) AS DOUBLE) / 100.0 AS payment_value
-FROM (SELECT *, unnest(generate_series(1, 1 + o_orderkey % 3)) AS seq FROM orders
-      WHERE o_orderkey % 97 <> 0)""",
+FROM (SELECT *, unnest(generate_series(1, 1 + o_orderkey % 3)) AS seq FROM orders)""",
     "stg_products": """
 SELECT CAST(p_partkey AS VARCHAR) AS product_id,
        CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE lower(p_type) END AS product_category_name,
@@ -97,97 +96,118 @@ SELECT 'r' || CAST(o_orderkey AS VARCHAR) AS review_id,
        CAST(o_orderkey AS VARCHAR) AS order_id,
        CAST(1 + o_orderkey % 5 AS BIGINT) AS review_score,
        CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE o_orderpriority END AS review_comment_title,
-       CASE WHEN o_orderkey % 12 = 0 THEN NULL ELSE 'note ' || o_orderpriority END AS review_comment_message,
+       CASE WHEN o_orderkey % 12 = 0 THEN NULL
+            ELSE 'note "' || o_orderpriority || '", a\\b' || chr(10) || 'end' END AS review_comment_message,
        {_fmt(_plus('o_orderdate', '43200'))} AS review_creation_date,
        {_fmt(_plus('o_orderdate', '44640 + o_orderkey % 1440'))} AS review_answer_timestamp
-FROM orders WHERE o_orderkey % 4 = 0""",
+FROM orders""",
+}
+
+# Times of an order in the order fact, by staged column.
+_TIMES = {
+    "order_purchase_timestamp": "purchase",
+    "order_approved_at": "approved",
+    "order_delivered_carrier_date": "delivered_carrier",
+    "order_delivered_customer_date": "delivered_customer",
+    "order_estimated_delivery_date": "estimated_delivery",
 }
 
-_LABEL = ("CASE WHEN p.payment_type = 'boleto' THEN 'Bank Transfer' "
-          "WHEN p.payment_type = 'credit_card' THEN 'Credit Card' "
-          "WHEN p.payment_type = 'debit_card' THEN 'Debit Card' ELSE 'Other' END")
+
+def _minute_id(ts: str) -> str:
+    """yyyyMMddHHmm of a TIMESTAMP as a BIGINT."""
+    parts = (("year", 10**8), ("month", 10**6), ("day", 10**4), ("hour", 100), ("minute", 1))
+    return "CAST(" + " + ".join(f"date_part('{p}', {ts}) * {n}" for p, n in parts) + " AS BIGINT)"
+
+
+def _in_order(columns: str) -> str:
+    """TRUE where no pair of lifecycle times breaks its rule (``columns``: a name
+    pattern with {} for the lifecycle column)."""
+    tests = []
+    for earlier, later, may_miss in lifecycle.PAIRS:
+        e, t = columns.format(earlier), columns.format(later)
+        missing = f"{t} IS NULL" + (f" OR {e} IS NULL" if may_miss else "")
+        tests.append(f"coalesce({missing} OR {e} <= {t}, FALSE)")
+    return f"list_bool_and([{', '.join(tests)}])"
+
+
+def _out_of_order(columns: str) -> str:
+    tests = [f"coalesce({columns.format(e)} > {columns.format(t)}, FALSE)"
+             for e, t, _ in lifecycle.PAIRS]
+    return f"list_bool_or([{', '.join(tests)}])"
+
+
+_CENTS = "CAST(round(CAST({} AS DECIMAL(18,2)) * 100) AS HUGEINT)"
+
+
+def _euros(cents: str) -> str:
+    return f"CAST(CAST({cents} AS DECIMAL(38,0)) / 100 AS DOUBLE)"
+
 
 MARTS = {
-    "customer_addresses": """
-SELECT c.customer_unique_id, c.customer_zip_code_prefix AS zip, c.customer_city AS city,
-       c.customer_state AS state, max(o.order_purchase_timestamp) AS last_ts
-FROM stg_customers c JOIN stg_orders o ON c.customer_id = o.customer_id
-GROUP BY c.customer_unique_id, c.customer_zip_code_prefix, c.customer_city, c.customer_state""",
+    # an address counts from its last order; one without any time comes first
     "dim_customers": """
-SELECT customer_unique_id AS customer_id, city, state, zip AS zip_code
-FROM (SELECT *, row_number() OVER (PARTITION BY customer_unique_id
-                                   ORDER BY last_ts DESC NULLS FIRST, zip ASC NULLS LAST,
-                                            city ASC NULLS LAST, state ASC NULLS LAST) AS rn
-      FROM customer_addresses)
-WHERE rn = 1""",
-    "event_times": """
-SELECT nullif(order_purchase_timestamp, '') AS t FROM stg_orders WHERE order_purchase_timestamp IS NOT NULL
-UNION SELECT nullif(order_approved_at, '') FROM stg_orders WHERE order_approved_at IS NOT NULL
-UNION SELECT nullif(order_delivered_carrier_date, '') FROM stg_orders WHERE order_delivered_carrier_date IS NOT NULL
-UNION SELECT nullif(order_delivered_customer_date, '') FROM stg_orders WHERE order_delivered_customer_date IS NOT NULL
-UNION SELECT nullif(order_estimated_delivery_date, '') FROM stg_orders WHERE order_estimated_delivery_date IS NOT NULL
-UNION SELECT nullif(shipping_limit_date, '') FROM stg_order_items WHERE shipping_limit_date IS NOT NULL""",
-    "calendar_minutes": f"""
-SELECT DISTINCT CAST(strftime(CAST(t AS TIMESTAMP), {_KEY}) AS BIGINT) AS date_id,
-       date_trunc('minute', CAST(t AS TIMESTAMP)) AS full_datetime
-FROM event_times""",
-    "dim_date": """
-SELECT date_id, full_datetime,
-       CAST(year(full_datetime) AS INTEGER) AS year,
-       CAST(month(full_datetime) AS INTEGER) AS month,
-       CAST(day(full_datetime) AS INTEGER) AS day,
-       strftime(full_datetime, '%A') AS day_of_week,
-       CAST(hour(full_datetime) AS INTEGER) AS hour,
-       CAST(year(full_datetime) AS VARCHAR) || 'Q' || CAST(quarter(full_datetime) AS VARCHAR) AS year_quarter
-FROM calendar_minutes WHERE date_id IS NOT NULL""",
+SELECT customer_unique_id AS customer_id, best.city, best.state, best.zip_code
+FROM (SELECT customer_unique_id,
+             first(place ORDER BY latest DESC NULLS FIRST, place.zip_code NULLS LAST,
+                   place.city NULLS LAST, place.state NULLS LAST) AS best
+      FROM (SELECT customer_unique_id, max(order_purchase_timestamp) AS latest,
+                   {'city': customer_city, 'state': customer_state,
+                    'zip_code': customer_zip_code_prefix} AS place
+            FROM stg_orders JOIN stg_customers USING (customer_id)
+            GROUP BY customer_unique_id, customer_city, customer_state, customer_zip_code_prefix)
+      GROUP BY customer_unique_id)""",
+    "dim_date": f"""
+SELECT {_minute_id('full_datetime')} AS date_id, full_datetime,
+       CAST(date_part('year', full_datetime) AS INTEGER) AS year,
+       CAST(date_part('month', full_datetime) AS INTEGER) AS month,
+       CAST(date_part('day', full_datetime) AS INTEGER) AS day,
+       dayname(full_datetime) AS day_of_week,
+       CAST(date_part('hour', full_datetime) AS INTEGER) AS hour,
+       format('{{}}Q{{}}', date_part('year', full_datetime), date_part('quarter', full_datetime)) AS year_quarter
+FROM (SELECT date_trunc('minute', CAST(moment AS TIMESTAMP)) AS full_datetime
+      FROM (SELECT unnest([{', '.join(_TIMES)}]) AS moment FROM stg_orders
+            UNION ALL SELECT shipping_limit_date FROM stg_order_items)
+      WHERE length(moment) > 0
+      GROUP BY 1)""",
     "dim_products": """
-SELECT DISTINCT p.product_id,
-       coalesce(nullif(trim(t.product_category_name_english), ''), 'Unknown') AS category_name,
+SELECT p.product_id,
+       CASE WHEN length(trim(t.product_category_name_english)) > 0
+            THEN trim(t.product_category_name_english) ELSE 'Unknown' END AS category_name,
        p.product_weight_g AS weight_g, p.product_length_cm AS length_cm,
        p.product_height_cm AS height_cm, p.product_width_cm AS width_cm
-FROM stg_products p LEFT JOIN stg_translation t ON p.product_category_name = t.product_category_name
-WHERE p.product_id IS NOT NULL""",
+FROM stg_products p LEFT JOIN stg_translation t USING (product_category_name)
+WHERE p.product_id IS NOT NULL
+GROUP BY ALL""",
     "dim_sellers": """
-SELECT DISTINCT seller_id, seller_city AS city, seller_state AS state, seller_zip_code_prefix AS zip_code
-FROM stg_sellers""",
-    "base_orders": """
-SELECT DISTINCT o.order_id, c.customer_unique_id AS customer_id, o.order_status AS status,
-       nullif(o.order_purchase_timestamp, '') AS purchase_timestamp_id,
-       nullif(o.order_approved_at, '') AS approved_timestamp_id,
-       nullif(o.order_delivered_carrier_date, '') AS delivered_carrier_timestamp_id,
-       nullif(o.order_delivered_customer_date, '') AS delivered_customer_timestamp_id,
-       nullif(o.order_estimated_delivery_date, '') AS estimated_delivery_timestamp_id
-FROM stg_orders o LEFT JOIN stg_customers c ON o.customer_id = c.customer_id
-WHERE o.order_id IS NOT NULL""",
+SELECT seller_id, seller_city AS city, seller_state AS state, seller_zip_code_prefix AS zip_code
+FROM stg_sellers GROUP BY ALL""",
+    # every item meets every payment of its order: both sides may be summed apart
     "payment_summary": f"""
-SELECT order_id,
-       CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_order_amount,
-       string_agg(DISTINCT label, ', ' ORDER BY label) AS payment_type
-FROM (SELECT i.order_id, i.price, {_LABEL} AS label
-      FROM stg_order_items i JOIN stg_order_payments p ON i.order_id = p.order_id)
-GROUP BY order_id""",
+SELECT order_id, {_euros('cents * payments')} AS total_order_amount, payment_type
+FROM (SELECT order_id, sum({_CENTS.format('price')}) AS cents FROM stg_order_items GROUP BY order_id)
+JOIN (SELECT order_id, count(*) AS payments,
+             array_to_string(list_sort(list_distinct(list(
+                 coalesce(map {{'boleto': 'Bank Transfer', 'credit_card': 'Credit Card',
+                               'debit_card': 'Debit Card'}}[payment_type], 'Other')))), ', ') AS payment_type
+      FROM stg_order_payments GROUP BY order_id) USING (order_id)""",
     "fact_orders": f"""
-SELECT b.*, s.total_order_amount, s.payment_type,
-       CAST(strftime(TRY_CAST(b.purchase_timestamp_id AS TIMESTAMP), {_KEY}) AS BIGINT) AS purchase_date_id,
-       CAST(strftime(TRY_CAST(b.approved_timestamp_id AS TIMESTAMP), {_KEY}) AS BIGINT) AS approved_date_id,
-       CAST(strftime(TRY_CAST(b.delivered_carrier_timestamp_id AS TIMESTAMP), {_KEY}) AS BIGINT) AS delivered_carrier_date_id,
-       CAST(strftime(TRY_CAST(b.delivered_customer_timestamp_id AS TIMESTAMP), {_KEY}) AS BIGINT) AS delivered_customer_date_id,
-       CAST(strftime(TRY_CAST(b.estimated_delivery_timestamp_id AS TIMESTAMP), {_KEY}) AS BIGINT) AS estimated_delivery_date_id
-FROM base_orders b LEFT JOIN payment_summary s ON b.order_id = s.order_id
-WHERE (b.approved_timestamp_id IS NULL OR b.purchase_timestamp_id <= b.approved_timestamp_id)
-  AND (b.delivered_carrier_timestamp_id IS NULL OR b.approved_timestamp_id IS NULL
-       OR b.approved_timestamp_id <= b.delivered_carrier_timestamp_id)
-  AND (b.delivered_customer_timestamp_id IS NULL OR b.delivered_carrier_timestamp_id IS NULL
-       OR b.delivered_carrier_timestamp_id <= b.delivered_customer_timestamp_id)
-  AND (b.estimated_delivery_timestamp_id IS NULL OR b.purchase_timestamp_id <= b.estimated_delivery_timestamp_id)""",
+SELECT lived.*, total_order_amount, payment_type,
+       {', '.join(f"{_minute_id(f'TRY_CAST({n}_timestamp_id AS TIMESTAMP)')} AS {n}_date_id" for n in _TIMES.values())}
+FROM (SELECT o.order_id, c.customer_unique_id AS customer_id, o.order_status AS status,
+             {', '.join(f"CASE WHEN o.{c} <> '' THEN o.{c} END AS {n}_timestamp_id" for c, n in _TIMES.items())}
+      FROM stg_orders o LEFT JOIN stg_customers c USING (customer_id)
+      WHERE o.order_id IS NOT NULL
+      GROUP BY ALL) lived
+LEFT JOIN payment_summary USING (order_id)
+WHERE {_in_order('lived.{}')}""",
     "fact_order_items": f"""
-SELECT a.* FROM (
+SELECT order_id, product_id, seller_id, quantity, total_price, total_freight, shipping_limit_date_id
+FROM fact_orders JOIN (
   SELECT order_id, product_id, seller_id, count(*) AS quantity,
-         CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_price,
-         CAST(sum(CAST(freight_value AS DECIMAL(18,2))) AS DOUBLE) AS total_freight,
-         CAST(strftime(CAST(shipping_limit_date AS TIMESTAMP), {_KEY}) AS BIGINT) AS shipping_limit_date_id
-  FROM stg_order_items GROUP BY order_id, product_id, seller_id, shipping_limit_date) a
-JOIN (SELECT order_id FROM fact_orders) v ON a.order_id = v.order_id""",
+         {_euros(f"sum({_CENTS.format('price')})")} AS total_price,
+         {_euros(f"sum({_CENTS.format('freight_value')})")} AS total_freight,
+         {_minute_id('CAST(shipping_limit_date AS TIMESTAMP)')} AS shipping_limit_date_id
+  FROM stg_order_items GROUP BY order_id, product_id, seller_id, shipping_limit_date) USING (order_id)""",
 }
 
 
@@ -201,52 +221,58 @@ def table_sql(name: str) -> str:
     return with_star(f"SELECT * FROM {name}")
 
 
-def with_star_ctes(select_sql: str, extra: dict[str, str]) -> str:
-    parts = [f"{name} AS ({body}\n)" for name, body in {**STAGING, **MARTS, **extra}.items()]
-    return "WITH " + ",\n".join(parts) + "\n" + select_sql
-
-
-_SEQUENCE_VIOLATION = """
-   (approved_timestamp_id IS NOT NULL AND purchase_timestamp_id > approved_timestamp_id)
-OR (delivered_carrier_timestamp_id IS NOT NULL AND approved_timestamp_id IS NOT NULL
-    AND approved_timestamp_id > delivered_carrier_timestamp_id)
-OR (delivered_customer_timestamp_id IS NOT NULL AND delivered_carrier_timestamp_id IS NOT NULL
-    AND delivered_carrier_timestamp_id > delivered_customer_timestamp_id)
-OR (estimated_delivery_timestamp_id IS NOT NULL AND purchase_timestamp_id IS NOT NULL
-    AND purchase_timestamp_id > estimated_delivery_timestamp_id)"""
-
-
-def _failures_sql(test) -> str:
-    t, c = test.table, test.column
-    if test.kind == "not_null":
-        return f"SELECT count(*) FROM {t} WHERE {c} IS NULL"
-    if test.kind == "unique":
-        return (f"SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL "
-                f"GROUP BY {c} HAVING count(*) > 1)")
-    if test.kind == "relationships":
-        return (f"SELECT count(*) FROM {t} ch LEFT JOIN {test.parent} pa "
-                f"ON ch.{c} = pa.{test.parent_column} "
-                f"WHERE ch.{c} IS NOT NULL AND pa.{test.parent_column} IS NULL")
-    if test.name == "assert_unique_fact_order_items":
-        return ("SELECT count(*) FROM (SELECT order_id, product_id FROM fact_order_items "
-                "GROUP BY order_id, product_id HAVING count(*) > 1)")
-    if test.name == "assert_order_process_sequence":
-        return f"SELECT count(*) FROM fact_orders WHERE {_SEQUENCE_VIOLATION}"
-    raise ValueError(test.name)
-
-
-def report_sql(suite, kinds) -> str:
-    selects = []
-    for test in suite:
-        if kinds is not None and test.kind not in kinds:
-            continue
-        n = f"CAST(({_failures_sql(test)}) AS BIGINT)"
-        selects.append(
-            f"SELECT '{test.name}' AS test_name, '{test.table}' AS table_name, "
-            f"'{test.column}' AS column_name, '{test.kind}' AS test_kind, {n} AS failures, "
-            f"CASE WHEN {n} = 0 THEN 'pass' ELSE 'fail' END AS status"
-        )
-    return "\nUNION ALL\n".join(selects)
+# The data tests, written down apart from the Spark suite: the key of each
+# table, its other required columns, and (table, column, parent) references.
+_KEYS = {"dim_customers": "customer_id", "dim_sellers": "seller_id", "dim_products": "product_id",
+         "dim_date": "date_id", "fact_orders": "order_id"}
+_REQUIRED = {"fact_orders": ("customer_id", "purchase_date_id"),
+             "fact_order_items": ("order_id", "product_id", "seller_id")}
+_REFERENCES = (
+    ("fact_orders", "customer_id", "dim_customers"),
+    *((("fact_orders", f"{n}_date_id", "dim_date")) for n in _TIMES.values()),
+    ("fact_order_items", "order_id", "fact_orders"),
+    ("fact_order_items", "product_id", "dim_products"),
+    ("fact_order_items", "seller_id", "dim_sellers"),
+    ("fact_order_items", "shipping_limit_date_id", "dim_date"),
+)
+
+DUPLICATE_ITEMS_SQL = """
+SELECT DISTINCT order_id, product_id, copies AS duplicate_count
+FROM (SELECT order_id, product_id, count(*) OVER (PARTITION BY order_id, product_id) AS copies
+      FROM fact_order_items)
+WHERE copies > 1"""
+SEQUENCE_SQL = f"SELECT * FROM fact_orders WHERE {_out_of_order('{}')}"
+# The same test over orders that the lifecycle filter has not seen.
+RAW_SEQUENCE_SQL = f"""
+SELECT order_id, {', '.join(f"{n}_timestamp_id" for n in _TIMES.values())}
+FROM (SELECT order_id, {', '.join(f"CASE WHEN {c} <> '' THEN {c} END AS {n}_timestamp_id" for c, n in _TIMES.items())}
+      FROM stg_orders)
+WHERE {_out_of_order('{}')}"""
+
+
+def report_sql(kinds: tuple[str, ...] | None) -> str:
+    tests = []  # name, table, column, kind, failures
+    for t, k in _KEYS.items():
+        tests.append((f"unique_{t}_{k}", t, k, "unique",
+                      f"SELECT count(*) FROM (SELECT {k}, count(*) AS n FROM {t} GROUP BY {k}) "
+                      f"WHERE n > 1 AND {k} IS NOT NULL"))
+    for t in dict.fromkeys([*_KEYS, *_REQUIRED]):
+        for c in ([_KEYS[t]] if t in _KEYS else []) + list(_REQUIRED.get(t, ())):
+            tests.append((f"not_null_{t}_{c}", t, c, "not_null",
+                          f"SELECT count(*) - count({c}) FROM {t}"))
+    for t, c, parent in _REFERENCES:
+        tests.append((f"relationships_{t}_{c}", t, c, "relationships",
+                      f"SELECT count(*) FROM {t} x WHERE x.{c} IS NOT NULL AND NOT EXISTS "
+                      f"(SELECT 1 FROM {parent} y WHERE y.{_KEYS[parent]} = x.{c})"))
+    tests.append(("assert_unique_fact_order_items", "fact_order_items", "order_id, product_id", "custom",
+                  f"SELECT count(*) FROM ({DUPLICATE_ITEMS_SQL})"))
+    tests.append(("assert_order_process_sequence", "fact_orders", "", "custom",
+                  f"SELECT count(*) FROM ({SEQUENCE_SQL})"))
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS test_name, '{t}' AS table_name, '{c}' AS column_name, "
+        f"'{kind}' AS test_kind, n AS failures, CASE WHEN n > 0 THEN 'fail' ELSE 'pass' END AS status "
+        f"FROM (SELECT CAST(({count}) AS BIGINT) AS n)"
+        for name, t, c, kind, count in tests if kinds is None or kind in kinds)
 
 
 _REV = "CAST(total_price AS DECIMAL(18,2))"

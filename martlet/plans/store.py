@@ -4,8 +4,7 @@ The layers are tables, as in a warehouse: loaders write the staging tables,
 the models read staging and write the star, and data tests and metrics read
 the star. Here the first request for a layer writes it as parquet under the
 session's checkpoint folder (the shared folder the cluster names in
-``spark.checkpoint.dir``; a private folder is set only where none is
-configured, as in local tests); later requests in the same application read
+``spark.checkpoint.dir``; see ``session.shared_dir``); later requests in the same application read
 the stored files, with column pruning and filter pushdown, instead of
 re-planning everything from the raw tables. Writing to durable shared
 storage also cuts lineage: a lost executor recomputes a task from the stored
@@ -16,14 +15,13 @@ from __future__ import annotations
 
 import hashlib
 import os
-import tempfile
 import threading
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
-from martlet.plans.mart import MART_TABLES, Mart, read_mart, write_mart
-from martlet.session import app_id, default_parallelism, ensure_checkpoint_dir, ensure_conf
+from martlet.plans.mart import Mart, read_mart, write_mart
+from martlet.session import app_id, ensure_conf, shared_dir
 from martlet.sources.sinks import write_table
 from martlet.sources.staging import Staging
 from martlet.sources.testdata import load_staging
@@ -33,24 +31,11 @@ _STORED: dict[tuple[str, str], Mart] = {}
 _STAGED: dict[tuple[str, str], Staging] = {}
 
 
-def star_root(spark: SparkSession) -> str:
-    fallback = os.path.join(tempfile.gettempdir(), f"martlet-ckpt-{os.getpid()}")
-    return ensure_checkpoint_dir(spark, fallback).rstrip("/")
-
-
-def fact_buckets(spark: SparkSession) -> int:
-    """Buckets for the stored facts: the shuffle partition count, capped at
-    four per core of the cluster so that small inputs do not become
-    thousands of tiny files."""
-    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                      4 * default_parallelism(spark)))
-
-
 def _folder(spark: SparkSession, sf_dir: str, layer: str) -> tuple[tuple[str, str], str]:
     src = os.path.abspath(sf_dir)
     key = (app_id(spark), src)
     tag = hashlib.sha1(src.encode()).hexdigest()[:12]
-    return key, f"{star_root(spark)}/martlet-{layer}/{key[0]}/{tag}"
+    return key, f"{shared_dir(spark)}/martlet-{layer}/{key[0]}/{tag}"
 
 
 def write_staging(staging: Staging, out_dir: str, concurrent: bool = True) -> dict[str, str]:
@@ -101,11 +86,7 @@ def stored_mart(spark: SparkSession, sf_dir: str) -> Mart:
     with _LOCK:
         star = _STORED.get(key)
         if star is None:
-            buckets = fact_buckets(spark)
-            prefix = "martlet_" + hashlib.sha1(out.encode()).hexdigest()[:12]
-            paths = write_mart(spark, Mart(staging), out, MART_TABLES, skip_empty=False,
-                               buckets=buckets, table_prefix=prefix)
-            star = _STORED[key] = read_mart(spark, paths)
+            star = _STORED[key] = read_mart(spark, write_mart(spark, Mart(staging), out))
     return star
 
 

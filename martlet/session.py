@@ -10,6 +10,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -43,13 +44,6 @@ def app_id(spark: SparkSession) -> str:
     return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "app")
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    sc = _context(spark)
-    if sc is not None:
-        return max(sc.defaultParallelism, 1)
-    return int(spark.conf.get("spark.default.parallelism", "8"))
-
-
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -59,19 +53,39 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return found
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the cluster's checkpoint folder; set ``fallback`` only where unset (tests)."""
-    found = checkpoint_dir(spark)
+def is_local(spark: SparkSession) -> bool:
+    """Driver and executor are one process, so a private folder is a shared one."""
     sc = _context(spark)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder every executor can reach, for tables written between jobs.
+
+    It is the one the session names in ``spark.checkpoint.dir``. Where none is
+    named, a plain local master gets a private temporary folder; any other
+    master raises, since each executor would write to a disk of its own.
+    """
+    found = checkpoint_dir(spark)
+    if found:
+        return found.rstrip("/")
+    if not is_local(spark):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on this master")
+    return use_checkpoint_dir(spark, tempfile.mkdtemp(prefix="martlet-"))
+
+
+def use_checkpoint_dir(spark: SparkSession, path: str) -> str:
+    """Name ``path`` as the session's shared folder unless it has one."""
+    found = checkpoint_dir(spark)
     if found:
-        if sc is not None and not sc.getCheckpointDir():
-            sc.setCheckpointDir(found)
         return found
+    sc = _context(spark)
     if sc is not None:
-        sc.setCheckpointDir(fallback)
+        sc.setCheckpointDir(path)
     else:
-        spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+        spark.conf.set("spark.checkpoint.dir", path)
+    return path
 
 
 def local_session(
@@ -102,18 +116,16 @@ def cluster_conf(executor_cores_total: int, input_bytes: int) -> dict[str, str]:
     * The initial shuffle partition count targets ~256 MB per reduce task on
       the largest exchange -- estimated as a quarter of the input, since scans
       are column-pruned and the facts are pre-aggregated before they shuffle --
-      with at least 3 tasks per core and at most 50,000 (map-side shuffle
-      bookkeeping grows with map tasks x reduce partitions); AQE then
-      coalesces small partitions and splits skewed ones at run time.
+      with at least 3 tasks per core; AQE then coalesces small partitions and
+      splits skewed ones at run time.
     * Scan splits of 256 MB keep file tasks long enough to amortize start-up
       without exceeding executor memory.
-    * Broadcasts stay at Spark's checked-size mechanism (plan statistics and
-      AQE runtime sizes) with a 64 MB ceiling; explicit hints are only placed
-      behind a bounded row count (``operators.joins``).
+    * Broadcasts are Spark's own decision, from plan statistics and AQE's
+      runtime sizes, with a 64 MB ceiling.
     """
     target = 256 * 1024 * 1024
     wanted = -(-(input_bytes // 4) // target)
-    partitions = min(max(executor_cores_total * 3, wanted), 50_000)
+    partitions = max(executor_cores_total * 3, wanted)
     return {
         **REQUIRED_CONF,
         "spark.sql.shuffle.partitions": str(partitions),
@@ -123,5 +135,32 @@ def cluster_conf(executor_cores_total: int, input_bytes: int) -> dict[str, str]:
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.autoBroadcastJoinThreshold": "64m",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-        "spark.sql.sources.bucketing.autoBucketedScan.enabled": "true",
     }
+
+
+def size_session(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Apply ``cluster_conf`` for an input of ``input_bytes`` to a live session.
+
+    Cores come from the configured executors (their number under dynamic
+    allocation is its maximum, not what happens to be registered by now).
+    Settings the user gave are left alone.
+    """
+    sc = _context(spark)
+    given = dict(sc.getConf().getAll()) if sc is not None else {}
+    executors = int(given.get("spark.dynamicAllocation.maxExecutors",
+                              given.get("spark.executor.instances", "1")))
+    cores = executors * int(given.get("spark.executor.cores", "4"))
+    wanted = {k: v for k, v in cluster_conf(cores, input_bytes).items() if k not in given}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    return wanted
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes under ``paths`` (folders or files that Hadoop's file systems can list)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        total += p.getFileSystem(conf).getContentSummary(p).getLength()
+    return total

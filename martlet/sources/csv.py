@@ -9,10 +9,10 @@ Parsing (Spark's CSV reader, one pass):
 * rows with more fields than the header are malformed: they are read into
   an extra ``_overflow`` column and dropped (and counted). Short rows are
   kept with NULLs in the missing fields;
-* UTF-8 by default. Spark does not fail on invalid UTF-8 -- it substitutes
-  U+FFFD -- so ``encoding="auto"`` looks for that character in the same
-  aggregate pass that infers the column types, and re-reads the file as
-  latin-1 only when it is found.
+* UTF-8 by default. Spark does not fail on invalid UTF-8 but substitutes
+  U+FFFD, a character a valid file may hold, too. So ``encoding="auto"`` looks
+  at the bytes: the lines are read as raw text and tested with
+  ``is_valid_utf8``; a file with a line that is not valid is read as latin-1.
 
 Cleaning: column names get spaces and dashes turned into ``_`` and are
 lower-cased; the null tokens below become NULL in every column.
@@ -20,15 +20,17 @@ lower-cased; the null tokens below become NULL in every column.
 Typing: every column is read as text, then one aggregate pass decides, per
 column, whether all values are integers (BIGINT), numbers (DOUBLE) or
 booleans, the way a dataframe library would infer them; an integer column
-with missing values becomes DOUBLE, and a boolean column with missing values
-stays text. Only one row of flags per file reaches the driver.
+with missing values becomes DOUBLE, one with a value beyond 64 bits stays text
+(no digit is lost), and a boolean column with missing values stays text. Only
+plain decimal notation is a number (``12F`` and ``7D`` are text). Only one row of flags per file reaches the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,15 +41,32 @@ TRUE_TOKENS = ["True", "TRUE", "true"]
 FALSE_TOKENS = ["False", "FALSE", "false"]
 
 OVERFLOW = "_overflow"
-REPLACEMENT_CHAR = "�"
 
 
 @dataclass
 class CsvRead:
-    df: DataFrame
-    dropped_rows: DataFrame  # one row: the count of rows with too many fields
+    """A parsed file: ``raw`` as text with the overflow column, and ``shape``, which
+    turns ``raw`` into the clean, typed table."""
+    raw: DataFrame
+    shape: Callable[[DataFrame], DataFrame]
     encoding: str
 
+    @property
+    def df(self) -> DataFrame:
+        return self.shape(self.raw)
+
+    @property
+    def dropped_rows(self) -> DataFrame:
+        """One row: the count of rows with too many fields."""
+        return self.raw.agg(F.count_if(F.col(OVERFLOW).isNotNull()).alias("dropped_rows"))
+
+    def observed(self, counts: Observation) -> DataFrame:
+        """``df`` that, when written, also counts the rows read into ``counts``:
+        ``source_rows`` (kept) and ``dropped_rows``."""
+        over = F.col(OVERFLOW).isNotNull()
+        return self.shape(self.raw.observe(counts, F.count_if(~over).alias("source_rows"),
+                                           F.count_if(over).alias("dropped_rows")))
+
 
 def clean_column_name(name: str) -> str:
     return name.replace(" ", "_").replace("-", "_").lower()
@@ -84,61 +103,38 @@ def null_tokens_to_null(col: Column, tokens: list[str] = NULL_TOKENS) -> Column:
     return F.when(col.isin(*tokens), F.lit(None).cast("string")).otherwise(col)
 
 
-def _text_table(spark: SparkSession, path: str, enc: str, multi_line: bool = True) -> CsvRead:
-    raw, names = _raw(spark, path, enc, multi_line)
-    good = raw.where(F.col(OVERFLOW).isNull())
-    dropped = raw.where(F.col(OVERFLOW).isNotNull()).agg(F.count(F.lit(1)).alias("dropped_rows"))
-    clean = good.select(*[
-        null_tokens_to_null(F.col(f"_c{i}")).alias(clean_column_name(n)) for i, n in enumerate(names)
-    ])
-    return CsvRead(clean, dropped, enc)
-
+def _clean(names: list[str]) -> Callable[[DataFrame], DataFrame]:
+    def shape(raw: DataFrame) -> DataFrame:
+        return raw.where(F.col(OVERFLOW).isNull()).select(*[
+            null_tokens_to_null(F.col(f"_c{i}")).alias(clean_column_name(n))
+            for i, n in enumerate(names)])
+    return shape
 
-def read_text_table(spark: SparkSession, path: str, encoding: str = "auto",
-                    multi_line: bool = True) -> CsvRead:
-    """All columns as text with clean names and null tokens mapped to NULL."""
-    return _analyze(spark, path, encoding, infer=False, multi_line=multi_line)[0]
 
-
-def _analyze(spark: SparkSession, path: str, encoding: str, infer: bool, multi_line: bool = True):
-    """Read as text and, in one aggregate pass, infer types and/or detect bad
-    UTF-8 (U+FFFD); re-read as latin-1 only when bad bytes were found."""
-    enc = "UTF-8" if encoding == "auto" else encoding
-    text = _text_table(spark, path, enc, multi_line)
-    check = encoding == "auto"
-    if not (infer or check):
-        return text, None
-    flags = _flags(text.df, infer=infer, check_encoding=check)
-    if check and flags["bad_utf8"]:
-        text = _text_table(spark, path, "ISO-8859-1", multi_line)
-        flags = _flags(text.df, infer=infer, check_encoding=False) if infer else flags
-    return text, (_types_from(text.df, flags) if infer else None)
+def is_utf8(spark: SparkSession, path: str) -> bool:
+    """Whether all bytes of the file(s) are valid UTF-8 (lines are tested in parallel)."""
+    return spark.read.text(path).where(~F.is_valid_utf8("value")).isEmpty()
 
 
 _INT_RE = r"^[+-]?[0-9]+$"
+_NUMBER_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
-def _flags(df: DataFrame, *, infer: bool, check_encoding: bool) -> dict:
+def infer_types(df: DataFrame) -> dict[str, T.DataType]:
+    """Per-column type from one aggregate over the text columns."""
     aggs = []
-    if infer:
-        for i, c in enumerate(df.columns):
-            v = F.col(c)
-            present = v.isNotNull()
-            aggs += [
-                F.max(present & ~v.rlike(_INT_RE)).alias(f"nonint_{i}"),
-                F.max(present & v.try_cast("double").isNull()).alias(f"nonnum_{i}"),
-                F.max(present & ~v.isin(*TRUE_TOKENS, *FALSE_TOKENS)).alias(f"nonbool_{i}"),
-                F.max(~present).alias(f"hasnull_{i}"),
-                F.max(present).alias(f"any_{i}"),
-            ]
-    if check_encoding:
-        bad = F.lit(False)
-        for c in df.columns:
-            bad = bad | F.coalesce(F.col(c).contains(REPLACEMENT_CHAR), F.lit(False))
-        aggs.append(F.max(bad).alias("bad_utf8"))
-    if not aggs:
-        return {}
-    return df.agg(*aggs).first().asDict()
+    for i, c in enumerate(df.columns):
+        v = F.col(c)
+        present = v.isNotNull()
+        aggs += [
+            F.max(present & ~v.rlike(_INT_RE)).alias(f"nonint_{i}"),
+            F.max(present & v.rlike(_INT_RE) & v.try_cast("bigint").isNull()).alias(f"long_{i}"),
+            F.max(present & ~v.rlike(_NUMBER_RE)).alias(f"nonnum_{i}"),
+            F.max(present & ~v.isin(*TRUE_TOKENS, *FALSE_TOKENS)).alias(f"nonbool_{i}"),
+            F.max(~present).alias(f"hasnull_{i}"),
+            F.max(present).alias(f"any_{i}"),
+        ]
+    return _types_from(df, df.agg(*aggs).first().asDict())
 
 
 def _types_from(df: DataFrame, row: dict) -> dict[str, T.DataType]:
@@ -146,10 +142,12 @@ def _types_from(df: DataFrame, row: dict) -> dict[str, T.DataType]:
     for i, c in enumerate(df.columns):
         if not row[f"any_{i}"]:
             out[c] = T.StringType()  # all missing: text
+        elif not row[f"nonint_{i}"] and row[f"long_{i}"]:
+            out[c] = T.StringType()  # an integer beyond 64 bits
         elif not row[f"nonint_{i}"]:
             out[c] = T.DoubleType() if row[f"hasnull_{i}"] else T.LongType()
         elif not row[f"nonnum_{i}"]:
-            out[c] = T.DoubleType()
+            out[c] = T.StringType() if row[f"long_{i}"] else T.DoubleType()
         elif not row[f"nonbool_{i}"] and not row[f"hasnull_{i}"]:
             out[c] = T.BooleanType()
         else:
@@ -157,11 +155,6 @@ def _types_from(df: DataFrame, row: dict) -> dict[str, T.DataType]:
     return out
 
 
-def infer_types(df: DataFrame) -> dict[str, T.DataType]:
-    """Per-column type from one aggregate over the text columns."""
-    return _types_from(df, _flags(df, infer=True, check_encoding=False))
-
-
 def apply_types(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
     cols = []
     for c in df.columns:
@@ -182,11 +175,13 @@ def read_csv(spark: SparkSession, path: str, *, schema: T.StructType | None = No
              encoding: str = "auto", multi_line: bool = True) -> CsvRead:
     """Read, clean and type a CSV file; ``schema`` overrides inference.
 
-    At most one analysis pass (types and encoding together) precedes the
-    caller's own use of the returned DataFrame. ``multi_line=False`` lets
-    Spark split a large file across tasks; use it only for files without
-    line breaks inside quoted fields.
+    ``encoding="auto"`` reads the lines once to test them, and inference takes
+    one aggregate pass. ``multi_line=False`` lets Spark split a large file across
+    tasks; use it only for files without line breaks inside quoted fields.
     """
-    text, inferred = _analyze(spark, path, encoding, infer=schema is None, multi_line=multi_line)
-    types = {f.name: f.dataType for f in schema.fields} if schema is not None else inferred
-    return CsvRead(apply_types(text.df, types), text.dropped_rows, text.encoding)
+    if encoding == "auto":
+        encoding = "UTF-8" if is_utf8(spark, path) else "ISO-8859-1"
+    raw, names = _raw(spark, path, encoding, multi_line)
+    clean = _clean(names)
+    types = infer_types(clean(raw)) if schema is None else {f.name: f.dataType for f in schema.fields}
+    return CsvRead(raw, lambda df: apply_types(clean(df), types), encoding)

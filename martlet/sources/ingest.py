@@ -12,9 +12,10 @@ import os
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from martlet.session import ensure_conf, input_bytes, size_session
 from martlet.sources.csv import read_csv
 from martlet.sources.jdbc import JdbcSource, read_jdbc
 from martlet.sources.sinks import row_count, write_table
@@ -36,6 +37,10 @@ CSV_TABLES = (
 )
 
 
+# Column, lower and upper bound, and number of connections of a parallel read.
+JdbcPartitions = tuple[str, int, int, int]
+
+
 def staging_name_for_file(file_name: str) -> str:
     base = os.path.basename(file_name)
     if base.endswith(".csv"):
@@ -63,22 +68,24 @@ class IngestResult:
         return self.written and self.source_rows == self.target_rows
 
 
-def _load(spark: SparkSession, df: DataFrame, name: str, out_dir: str,
-          dropped: int = 0, encoding: str | None = None, verify: bool = True) -> IngestResult:
+def _load(spark: SparkSession, df: DataFrame, counts: Observation, name: str, out_dir: str,
+          probe: DataFrame, encoding: str | None = None) -> IngestResult:
     """Empty guard, full-refresh write, then row counts of source and target.
 
-    The guard reads one row (the source plan has no aggregate, so the scan
-    stops early); the target count reads parquet footers. The source count
-    is an independent full pass, kept as the load's verification
-    (``verify=False`` skips it).
+    The guard reads one row of ``probe``. The source is read once more, by the
+    write, which counts its rows into ``counts`` on the way, so both figures
+    belong to one snapshot of it; the target's count reads Parquet footers.
     """
     path = f"{out_dir.rstrip('/')}/{name}"
-    if df.isEmpty():
+    if probe.isEmpty():
         log.warning("%s: source is empty; keeping the existing table", name)
-        return IngestResult(name, path, False, 0, None, dropped, encoding)
+        return IngestResult(name, path, False, 0, None, 0, encoding)
     write_table(df, path, skip_empty=False)
+    source_rows = counts.get["source_rows"]
+    dropped = counts.get.get("dropped_rows", 0)
+    if dropped:
+        log.warning("%s: skipped %d rows with too many fields", name, dropped)
     target_rows = row_count(spark.read.parquet(path)).first()["rows"]
-    source_rows = row_count(df).first()["rows"] if verify else target_rows
     log.info("%s: %d source rows, %d staged rows", name, source_rows, target_rows)
     return IngestResult(name, path, True, source_rows, target_rows, dropped, encoding)
 
@@ -86,17 +93,17 @@ def _load(spark: SparkSession, df: DataFrame, name: str, out_dir: str,
 def ingest_csv(spark: SparkSession, csv_path: str, out_dir: str, *, encoding: str = "auto",
                table: str | None = None, schema=None, multi_line: bool = True) -> IngestResult:
     read = read_csv(spark, csv_path, encoding=encoding, schema=schema, multi_line=multi_line)
-    dropped = read.dropped_rows.first()["dropped_rows"]
-    if dropped:
-        log.warning("%s: skipped %d rows with too many fields", csv_path, dropped)
-    name = table or staging_name_for_file(csv_path)
-    return _load(spark, read.df, name, out_dir, dropped, read.encoding)
+    counts = Observation()
+    return _load(spark, read.observed(counts), counts, table or staging_name_for_file(csv_path),
+                 out_dir, read.df, read.encoding)
 
 
 def ingest_jdbc(spark: SparkSession, source: JdbcSource, out_dir: str,
                 table: str | None = None) -> IngestResult:
-    name = table or staging_name_for_table(source.table)
-    return _load(spark, read_jdbc(spark, source), name, out_dir)
+    df = read_jdbc(spark, source)
+    counts = Observation()
+    return _load(spark, df.observe(counts, F.count(F.lit(1)).alias("source_rows")), counts,
+                 table or staging_name_for_table(source.table), out_dir, df)
 
 
 def report(results: list[IngestResult], spark: SparkSession) -> DataFrame:
@@ -117,22 +124,38 @@ def csv_file_name(table: str) -> str:
 
 def ingest_all(spark: SparkSession, out_dir: str, *, csv_dir: str | None = None,
                jdbc_url: str | None = None, jdbc_properties: dict[str, str] | None = None,
-               max_parallel: int = 4) -> list[IngestResult]:
+               jdbc_partitions: dict[str, JdbcPartitions] | None = None,
+               single_line: tuple[str, ...] = (), max_parallel: int = 4) -> list[IngestResult]:
     """Load every staging table: the relational tables over JDBC and the CSV
-    files, each as its own Spark job, several at a time."""
+    files, each as its own Spark job, several at a time.
+
+    ``jdbc_partitions``: how a relational table is split over connections.
+    ``single_line``: CSV tables without line breaks in fields, whose files Spark
+    may split over tasks.
+    """
     jobs = []
     if csv_dir:
         for t in CSV_TABLES:
             path = f"{csv_dir.rstrip('/')}/{csv_file_name(t)}"
-            jobs.append(lambda p=path: ingest_csv(spark, p, out_dir))
+            jobs.append(lambda p=path, m=t not in single_line: ingest_csv(
+                spark, p, out_dir, multi_line=m))
     if jdbc_url:
         for t in RELATIONAL_TABLES:
-            src = JdbcSource(jdbc_url, t, dict(jdbc_properties or {}))
+            src = JdbcSource(jdbc_url, t, dict(jdbc_properties or {}),
+                             *(jdbc_partitions or {}).get(t, ()))
             jobs.append(lambda s=src: ingest_jdbc(spark, s, out_dir))
     with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
         return [f.result() for f in [pool.submit(j) for j in jobs]]
 
 
+def parse_partitions(text: str) -> tuple[str, JdbcPartitions]:
+    """``table:column:lower:upper:count`` of the command line."""
+    table, column, lower, upper, count = text.split(":")
+    if table not in RELATIONAL_TABLES:
+        raise ValueError(f"unknown relational table {table}")
+    return table, (column, int(lower), int(upper), int(count))
+
+
 def main(argv: list[str] | None = None) -> int:
     import argparse
     import json
@@ -143,15 +166,22 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--jdbc-url")
     ap.add_argument("--jdbc-user")
     ap.add_argument("--jdbc-password-env", help="name of the environment variable holding the password")
+    ap.add_argument("--jdbc-partitions", action="append", default=[], type=parse_partitions,
+                    metavar="TABLE:COLUMN:LOWER:UPPER:COUNT", help="read a table over COUNT connections")
+    ap.add_argument("--single-line", nargs="*", default=(), choices=CSV_TABLES, metavar="TABLE",
+                    help="CSV tables whose fields hold no line breaks (their files are split)")
     args = ap.parse_args(argv)
     props = {}
     if args.jdbc_user:
         props["user"] = args.jdbc_user
     if args.jdbc_password_env:
         props["password"] = os.environ[args.jdbc_password_env]
-    spark = SparkSession.builder.appName("martlet-ingest").getOrCreate()
+    spark = ensure_conf(SparkSession.builder.appName("martlet-ingest").getOrCreate())
+    if args.csv_dir:
+        size_session(spark, input_bytes(spark, args.csv_dir))
     results = ingest_all(spark, args.out, csv_dir=args.csv_dir, jdbc_url=args.jdbc_url,
-                         jdbc_properties=props)
+                         jdbc_properties=props, jdbc_partitions=dict(args.jdbc_partitions),
+                         single_line=tuple(args.single_line))
     print(json.dumps([{"table": r.table, "written": r.written, "source_rows": r.source_rows,
                        "target_rows": r.target_rows, "dropped_rows": r.dropped_rows,
                        "match": r.match} for r in results]))

@@ -22,45 +22,53 @@ MART_NAMESPACE = "marts"
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", *,
-                partition_by: list[str] | None = None, skip_empty: bool = True,
-                bucket: tuple[int, str] | None = None, table_name: str | None = None) -> bool:
+                partition_by: list[str] | None = None, skip_empty: bool = True) -> bool:
     """Replace the table at ``path`` with ``df``; keep the old one if ``df`` is empty.
 
-    With ``bucket=(n, column)`` the files are hash-bucketed (and sorted) on
-    ``column`` and registered as catalog table ``table_name`` over ``path``,
-    so later aggregations and joins on that column read co-partitioned
-    buckets instead of shuffling. Returns whether a write happened.
+    Returns whether a write happened.
     """
     if skip_empty and df.isEmpty():
         log.warning("source for %s is empty; keeping the existing table", path)
         return False
-    if bucket is not None:
-        if not table_name:
-            raise ValueError("a bucketed write needs a table name")
-        n, column = bucket
-        # one task per bucket, so each bucket is one file (instead of one file
-        # per bucket per write task); free when df is already so partitioned
-        df = df.repartition(n, column)
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if bucket is not None:
-        writer.bucketBy(n, column).sortBy(column).option("path", path).saveAsTable(table_name)
-    else:
-        writer.save(path)
+    writer.save(path)
     return True
 
 
-def save_as_table(df: DataFrame, name: str, namespace: str = MART_NAMESPACE, *,
-                  skip_empty: bool = True) -> bool:
-    """Catalog variant: ``namespace.name`` via ``saveAsTable`` (overwrite)."""
-    if skip_empty and df.isEmpty():
-        log.warning("source for %s.%s is empty; keeping the existing table", namespace, name)
-        return False
-    spark = df.sparkSession
+def publish(spark: SparkSession, name: str, path: str, namespace: str = MART_NAMESPACE) -> str:
+    """Let the catalog table ``namespace.name`` stand for the finished files at ``path``.
+
+    The table keeps its name over rebuilds: its location is switched once the
+    new version is complete, so a failed build leaves the old version in place
+    and a reader sees one version or the other. Returns the qualified name.
+    """
+    table = f"{namespace}.{name}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
-    df.write.mode("overwrite").saveAsTable(f"{namespace}.{name}")
-    return True
+    schema = spark.read.parquet(path).schema
+    if spark.catalog.tableExists(table) and spark.table(table).schema != schema:
+        spark.sql(f"DROP TABLE {table}")  # external: its files stay
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
+    return table
+
+
+def drop_files(spark: SparkSession, path: str) -> None:
+    """Remove a folder through Hadoop's file systems (wherever it is stored)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``, in order; none if it does not exist."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()) \
+        if fs.exists(p) else []
 
 
 def row_count(df: DataFrame) -> DataFrame:

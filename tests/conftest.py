@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from martlet.session import ensure_checkpoint_dir, local_session  # noqa: E402
+from martlet.session import use_checkpoint_dir, local_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
@@ -15,7 +15,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(4, shuffle_partitions=4, app="martlet-tests")
-    ensure_checkpoint_dir(s, tempfile.mkdtemp(prefix="martlet-test-ckpt-"))
+    use_checkpoint_dir(s, tempfile.mkdtemp(prefix="martlet-test-ckpt-"))
     yield s
     s.stop()
 

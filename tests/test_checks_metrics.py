@@ -81,6 +81,6 @@ def test_attach_to_few_equals_left_join(spark):
     from martlet.operators.joins import attach_to_few
     few = spark.createDataFrame([("a", 1), ("b", 2), ("z", 3)], "k string, v int")
     large = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "w"), ("c", "u")], "k string, attr string")
-    got = sorted(tuple(r) for r in attach_to_few(few, large, "k", 3).select("k", "v", "attr").collect())
+    got = sorted(tuple(r) for r in attach_to_few(few, large, "k").select("k", "v", "attr").collect())
     want = sorted(tuple(r) for r in few.join(large, "k", "left").select("k", "v", "attr").collect())
     assert got == want

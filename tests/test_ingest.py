@@ -116,7 +116,7 @@ def test_ingest_all_csv_sources(spark, tmp_dir):
     staged = stored_staging(spark, SF_SMALL).as_tables()
     src = os.path.join(tmp_dir, "source")
     for t in CSV_TABLES:
-        staged["stg_" + t].write.option("header", True).option("quoteAll", True).csv(
+        staged["stg_" + t].write.option("header", True).option("quoteAll", True).option("escape", '"').csv(
             os.path.join(src, csv_file_name(t)))
     results = ingest_all(spark, os.path.join(tmp_dir, "staging"), csv_dir=src)
     assert sorted(r.table for r in results) == sorted("stg_" + t for t in CSV_TABLES)
@@ -134,3 +134,42 @@ def test_single_line_mode_splits_and_reads_the_same(spark, tmp_dir):
     a = mcsv.read_csv(spark, path).df
     b = mcsv.read_csv(spark, path, multi_line=False).df
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_odd_numbers_stay_text(spark, tmp_dir):
+    data = b"gate,big,huge,sci,seat\n12F,12345678901234567890,1,1e3,1.\n7D,2,99999999999999999999.5,.5,-2\n"
+    r = mcsv.read_csv(spark, _write(tmp_dir, "n.csv", data))
+    types = {f.name: f.dataType for f in r.df.schema.fields}
+    assert types["gate"] == T.StringType() and types["big"] == T.StringType()
+    assert types["huge"] == types["sci"] == types["seat"] == T.DoubleType()
+    assert [tuple(x)[:2] for x in r.df.orderBy("gate").collect()] == [
+        ("12F", "12345678901234567890"), ("7D", "2")]
+
+
+def test_a_legal_replacement_character_is_no_bad_byte(spark, tmp_dir):
+    r = mcsv.read_csv(spark, _write(tmp_dir, "r.csv", "city,n\n\u00e9t\u00e9 \ufffd,1\n".encode()))
+    assert r.encoding == "UTF-8" and r.df.first().city == "\u00e9t\u00e9 \ufffd"
+
+
+def test_backslashes_and_quotes_survive(spark, tmp_dir):
+    df = spark.createDataFrame([(1, 'a "b" \\c'), (2, "x\\"), (3, "two\nlines, \\n")], "id long, t string")
+    path = os.path.join(tmp_dir, "q.csv")
+    df.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    assert {tuple(x) for x in mcsv.read_csv(spark, path).df.collect()} == {tuple(x) for x in df.collect()}
+
+
+def test_counts_come_from_the_write(spark, tmp_dir):
+    src = _write(tmp_dir, "c.csv", b"a,b\n1,2\n3,4,5\n6,7\n")
+    res = ingest_csv(spark, src, os.path.join(tmp_dir, "st"), table="stg_c")
+    assert (res.source_rows, res.dropped_rows, res.target_rows, res.match) == (2, 1, 2, True)
+
+
+def test_parallel_relational_load_reaches_the_source(monkeypatch, spark, tmp_dir):
+    from martlet.sources import ingest
+    seen = {}
+    monkeypatch.setattr(ingest, "ingest_jdbc", lambda s, src, out: seen.setdefault(src.table, src.options()))
+    part = dict([ingest.parse_partitions("orders:order_id:0:1000:8")])
+    ingest.ingest_all(spark, tmp_dir, jdbc_url="jdbc:x", jdbc_partitions=part)
+    assert seen["orders"]["numPartitions"] == "8" and "numPartitions" not in seen["customers"]
+    with pytest.raises(ValueError):
+        ingest.parse_partitions("nothing:a:0:1:2")

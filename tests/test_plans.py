@@ -5,9 +5,9 @@ import sys
 
 import pytest
 
-import __spark_entry__ as E
-from martlet.operators import metrics
-from martlet.plans.store import stored_mart
+from martlet.plans import catalog
+from martlet.plans.mart import Mart
+from martlet.plans.store import stored_staging
 from tests.conftest import SF_SMALL
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
@@ -20,32 +20,43 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_pair_joins_or_python_rows(spark, name):
-    c = summarize(_plan(E.queries()[name](spark, SF_SMALL)))
+    c = summarize(_plan(catalog.QUERIES[name](spark, SF_SMALL)))
     assert not any(c.get(f) for f in FORBIDDEN), c
 
 
-def test_per_order_aggregate_reads_buckets(spark):
-    star = stored_mart(spark, SF_SMALL)
-    plan = _plan(metrics.revenue_per_order(star.fact_order_items))
-    assert "Bucketed: true" in plan
-    assert "Exchange" not in plan  # co-partitioned by the bucketing, no shuffle
+@pytest.mark.parametrize("name", ["check_relationships", "test_report", "quality_report"])
+def test_reports_scan_each_fact_once(spark, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        plan = _plan(catalog.QUERIES[name](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    for table in ("fact_orders", "fact_order_items"):
+        assert sum(f"marts/{table}/" in line for line in scans) == 1, table
+
+
+def test_item_fact_is_a_plain_join_without_expansion(spark):
+    plan = _plan(catalog.QUERIES["fact_order_items"](spark, SF_SMALL))
+    assert "Generate" not in plan
 
 
-def test_item_fact_and_order_fact_join_without_shuffle(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_planning_starts_no_job(spark):
+    """No row is read to decide on a plan."""
+    staged = stored_staging(spark, SF_SMALL)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning-only", "planning")
     try:
-        star = stored_mart(spark, SF_SMALL)
-        rc = metrics.revenue_by_customer(star.fact_orders, star.fact_order_items)
-        plan = _plan(rc)
-        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        Mart(staged).dim_products, Mart(staged).fact_order_items  # noqa: B018
+        assert not tracker.getJobIdsForGroup("planning-only")
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_calendar_distinct_is_partial_before_exchange(spark):
-    plan = _plan(E.queries()["dim_date"](spark, SF_SMALL))
+    plan = _plan(catalog.QUERIES["dim_date"](spark, SF_SMALL))
     assert plan.count("Exchange hashpartitioning") == 1  # one shuffle for the whole calendar
     below = plan[plan.index("Exchange hashpartitioning"):]
     assert "HashAggregate(keys=[full_datetime" in below  # map-side DISTINCT before the shuffle

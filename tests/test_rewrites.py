@@ -26,5 +26,5 @@ def test_cluster_conf_sizing():
     small = cluster_conf(64, 10 * 2**30)
     assert int(small["spark.sql.shuffle.partitions"]) == 192  # 3 per core wins
     big = cluster_conf(8000, 100 * 2**40)
-    assert int(big["spark.sql.shuffle.partitions"]) == 50_000  # capped
+    assert int(big["spark.sql.shuffle.partitions"]) == 102_400  # 256 MB of a quarter of the input
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -3,6 +3,7 @@
 import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from martlet.operators import dims, facts
@@ -24,6 +25,19 @@ def test_running_total_with_a_hot_tie(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("parts", [1, 2, 4, 8])
+def test_running_total_over_nulls(spark, parts):
+    """NULLs add nothing, wherever the range partitions fall."""
+    rows = [("a", Decimal(10)), ("b", Decimal(5))] + [(f"n{i}", None) for i in range(9)]
+    df = spark.createDataFrame(rows, "id string, v decimal(18,2)")
+    down = [F.col("v").desc_nulls_last(), F.col("id").asc()]
+    got = {r.id: r.cum for r in running_total(df, down, "v", "cum", num_partitions=parts).collect()}
+    assert got["a"] == 10 and {got[i] for i in got if i != "a"} == {15}
+    up = [F.col("v").asc_nulls_first(), F.col("id").asc()]
+    got = {r.id: r.cum for r in running_total(df, up, "v", "cum", num_partitions=parts).collect()}
+    assert got["b"] == 5 and got["a"] == 15 and {got[f"n{i}"] for i in range(9)} == {None}
+
+
 def test_hot_customer_and_hot_order(spark):
     n = 600
     orders, customers, items, pays = [], [], [], []
