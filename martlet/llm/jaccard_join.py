@@ -12,8 +12,8 @@ so a pivot p bounds every other distance: ``|d(x,p) - d(y,p)| <= d(x,y)``.
    that, one projection of both is equal (distance 0). Equal projections form
    a region; m follows from geometric size classes, and a set near the upper
    end of its class also enters the next one's regions.
-2. *Pivots.* Each region takes up to ``PIVOTS`` of its members, those that
-   share most regions, as pivots; the distance of every member to them is
+2. *Pivots.* Each region takes up to ``PIVOTS`` of its leading members (at first
+   all lead), those that share most regions, as pivots; the distance of every member to them is
    computed exactly from the shingle sets. Pairs with a pivot are settled.
 3. *Voronoi cells.* A member's home is its nearest pivot; it is replicated to
    every pivot with ``d(x,p) <= d(x,home) + 2r``. By the triangle inequality a
@@ -23,7 +23,8 @@ so a pivot p bounds every other distance: ``|d(x,p) - d(y,p)| <= d(x,y)``.
    their differences to the pivot, a = x ^ p and b = y ^ p, must overlap:
    ``|a & b| = (|a| + |b| - |a ^ b|) / 2``. The likely rarest elements of the
    difference, as many as that bound demands, name the regions of the next
-   round (two members of a region share one). What is rare in a cell is told by
+   round; the smaller difference of a pair needs few, in which it leads, and only
+   pairs with a leading member are sought. What is rare in a cell is told by
    its centre, the majority of a small sample; the order has no bearing on the
    result. Regions only ever lose members, the pivots, so the recursion ends;
    regions that pivots settle entirely are not carried on.
@@ -54,7 +55,7 @@ from martlet.llm.common import Stage, prepare
 from martlet.llm.components import components
 
 WORDS = 3
-PIVOTS = (4, 16)  # of a first region, and of the small ones after it
+PIVOTS = (2, 16)  # of a first region, and of the small ones after it
 SAMPLED = 15  # members whose majority is the centre of a cell
 # Link when 100 * intersection >= 90 * union: |x ^ y| <= (|x| + |y|) / SPREAD,
 # hence also |x ^ y| <= |x| / LONGEST.
@@ -193,64 +194,69 @@ def _centre(table: pa.Table) -> pa.Table:
 
 
 def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """mapInArrow: (cell, x, outer, own, other, centre) -> (cell, x, outer, e, mixed): the
+    """mapInArrow: (cell, x, outer, own, other, centre) -> (cell, x, outer, e, leads): the
     rarest elements of the difference to the pivot, as many as a link demands.
 
-    The overlap with a linked partner is at least ``size - n / LONGEST``, and about half
-    the size if the partner lies outside the pivot's ball. Regions of two outer members
-    and *mixed* ones, of an inner and an outer member, are kept apart: either needs
-    fewer elements than one for both. The order of the elements only has to be the same
-    for all members of a cell: first what pivot and centre lack, then what both have,
-    last what one of them has and the other lacks, which most differences hold.
+    Let a be the smaller difference of a linked pair and b the larger, t the most by
+    which the two sets may differ. Their overlap is at least ``|a| - t/2`` and at least
+    ``|b| - t``; and about half of ``|a|`` where b lies outside the pivot's ball, as it
+    must if a lies inside. So the pair shares one of the first elements of a, few enough
+    to be rare ones, in which a *leads* the region, with one of the first of b. The order
+    of the elements only has to be the same for all members of a cell: first what pivot
+    and centre lack, then what both have, last what one of them has and the other lacks,
+    which most differences hold.
     """
     for batch in batches:
-        cells, xs, outs, mixed, elements = [], [], [], [], []
+        cells, xs, outs, leads, elements = [], [], [], [], []
         for cell, x, outer, a, b, c in zip(*(col.to_pylist() for col in batch.columns)):
             delta, n, n_pivot = _difference(a, b), len(a) // 8, len(b) // 8
-            size = len(delta)
+            size, most = len(delta), n // LONGEST
             in_pivot = np.isin(delta, np.frombuffer(b, np.uint64), assume_unique=True)
             in_centre = np.isin(delta, np.frombuffer(c, np.uint64), assume_unique=True)
             rank = np.where(in_pivot != in_centre, 2, in_pivot)
             delta = _signed(delta[np.lexsort((delta, rank))])
-            any_need = max(1, size - n // LONGEST)
-            outer_need = max(any_need, -(-(SPREAD * size + n_pivot + 1 - n) // (2 * SPREAD)))
-            for is_mixed, need in ((True, any_need if outer else outer_need),
-                                   *([(False, outer_need)] if outer else [])):
-                take = max(0, size - need + 1)
-                elements.append(delta[:take])
-                cells.append(cell)
-                xs.append(x)
-                outs.append(outer)
-                mixed.append(is_mixed)
+            half = 1 if outer else -(-(SPREAD * size + n_pivot + 1 - n) // (2 * SPREAD))
+            smaller = max(0, size - max(1, half, size - most // 2) + 1)
+            larger = max(0, size - max(1, half, size - most) + 1)
+            elements.append(delta[:larger])
+            leads.append(np.arange(len(elements[-1])) < smaller)
+            cells.append(cell)
+            xs.append(x)
+            outs.append(outer)
         sizes = [len(e) for e in elements]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.repeat(np.array(cells, np.int64), sizes)),
              pa.array(np.repeat(np.array(xs, np.int64), sizes)),
              pa.array(np.repeat(np.array(outs, bool), sizes)),
              pa.array(np.concatenate([np.zeros(0, np.int64), *elements])),
-             pa.array(np.repeat(np.array(mixed, bool), sizes))],
-            names=["cell", "x", "outer", "e", "mixed"])
+             pa.array(np.concatenate([np.zeros(0, bool), *leads]))],
+            names=["cell", "x", "outer", "e", "leads"])
 
 
 def _first_regions(sketch: DataFrame, classes: DataFrame, stage: Stage) -> DataFrame:
-    """(region, x): representatives of the sets that share a projection."""
+    """(region, x, leads): representatives of the sets that share a projection; all of
+    them lead."""
     members = sketch.where("doc_id IS NOT NULL").select(
         F.explode("regions").alias("region"), "h1")
     shared = members.groupBy("region").agg(
         F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo < hi").select("region")
     kept = members.join(shared, "region", "left_semi").distinct()
     return stage.write(kept.join(classes.select("h1", F.col("rep").alias("x")), "h1").select(
-        "region", "x").distinct(), "regions")
+        "region", "x", F.lit(True).alias("leads")).distinct(), "regions")
 
 
 def _pivots(members: DataFrame, most: int) -> DataFrame:
-    """(region, p, g): each region's pivots and its size. Every member of a region of
-    at most ``most`` + 1 is settled by them."""
+    """(region, p, settled): each region's pivots, of its leading members those that
+    share most regions. A region is settled if no other member leads, or none is left
+    for the one that does."""
     central = members.groupBy("x").agg(F.count("*").alias("shares"))
     order = Window.partitionBy("region").orderBy(F.desc("shares"), "x")
-    sizes = members.groupBy("region").agg(F.count("*").alias("g"))
-    return members.join(central, "x").withColumn("rank", F.row_number().over(order)).where(
-        F.col("rank") <= most).select("region", F.col("x").alias("p")).join(sizes, "region")
+    sizes = members.groupBy("region").agg(
+        F.count("*").alias("g"), F.count_if("leads").alias("leading")).select(
+        "region", ((F.col("leading") <= most) | (F.col("g") <= most + 1)).alias("settled"))
+    return members.where("leads").join(central, "x").withColumn(
+        "rank", F.row_number().over(order)).where(F.col("rank") <= most).select(
+        "region", F.col("x").alias("p")).join(sizes, "region")
 
 
 def _round(members: DataFrame, known: DataFrame | None, sets: DataFrame, stage: Stage,
@@ -275,7 +281,7 @@ def _round(members: DataFrame, known: DataFrame | None, sets: DataFrame, stage:
                                           F.col("np").alias("nx"), F.col("nx").alias("np"), "diff"))
     distance = 2 * F.col("diff") / (F.col("nx") + F.col("np") + F.col("diff"))
     chosen = pivots.select("region", F.col("p").alias("x"))
-    unsettled = near.where(F.col("g") > most + 1).join(chosen, ["region", "x"], "left_anti")
+    unsettled = near.where("NOT settled").join(chosen, ["region", "x"], "left_anti")
     placed = unsettled.join(both, ["x", "p"]).select(
         "region", "x", "p", distance.alias("d"),
         (F.col("diff") * SPREAD > F.col("nx") + F.col("np")).alias("outer"))
@@ -294,15 +300,14 @@ def _round(members: DataFrame, known: DataFrame | None, sets: DataFrame, stage:
         "cell").applyInArrow(_centre, "cell long, centre binary"), "centres")
     named = cells.join(own, "x").join(other, "p").join(centres, "cell").select(
         "cell", "x", "outer", "own", "other", "centre").mapInArrow(
-            _differences, "cell long, x long, outer boolean, e long, mixed boolean")
-    regions = stage.write(named.select(F.xxhash64("cell", "e", "mixed").alias("region"), "x",
-                                       "outer", "mixed"), "named")
+            _differences, "cell long, x long, outer boolean, e long, leads boolean")
+    regions = stage.write(named.select(F.xxhash64("cell", "e").alias("region"), "x",
+                                       "outer", "leads"), "named")
     open_regions = regions.groupBy("region").agg(
-        F.min("x").alias("lo"), F.max("x").alias("hi"), F.min("outer").alias("all_outer"),
-        F.max("outer").alias("outer"), F.max("mixed").alias("mixed")
-    ).where("lo < hi AND outer AND (NOT mixed OR NOT all_outer)").select("region")
-    after = stage.write(regions.join(open_regions, "region", "left_semi").select(
-        "region", "x").distinct(), "regions")
+        F.min("x").alias("lo"), F.max("x").alias("hi"), F.max("outer").alias("outer"),
+        F.max("leads").alias("leads")).where("lo < hi AND outer AND leads").select("region")
+    after = stage.write(regions.join(open_regions, "region", "left_semi").groupBy(
+        "region", "x").agg(F.max("leads").alias("leads")), "regions")
     stage.release(pivots, cells, centres, regions)
     return found, after
 

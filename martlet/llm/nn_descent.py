@@ -41,6 +41,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,13 +54,18 @@ SAMPLE = 16_384
 ROUNDS = 5
 TOP = 20
 SETTLED = 0.08
-GATHER = 4096  # nodes of a block in a descent round, of a cell in a search step
+GATHER = 4096  # nodes of a block in a descent round
 ENTRIES = 1024
 BEAM = 112
-EXPAND = 28
+EXPAND = 40
 MOST_STEPS = 40
 
+TASK = 2048  # nodes or queries that one task works on, about
+
 _LISTS = "node long, ids array<long>, sims array<float>, fresh array<boolean>"
+# many entries in one row: bucket of the owners, owner and neighbour of each entry
+_PACKED = ("bucket long, owners array<long>, ids array<long>, sims array<float>, "
+           "fresh array<boolean>")
 
 
 @dataclass
@@ -140,6 +146,33 @@ def _list_batch(owners, sizes, ids, sims, fresh) -> pa.RecordBatch:
          _list_array(fresh, sizes, pa.bool_())], names=["node", "ids", "sims", "fresh"])
 
 
+def _bucket(nodes: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = nodes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _pack(owners, ids, sims, fresh, buckets: int) -> pa.RecordBatch:
+    """One row for every bucket of the owners."""
+    at = _bucket(owners, buckets)
+    order = np.argsort(at, kind="stable")
+    own, sizes = np.unique(at, return_counts=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(own, pa.int64()), _list_array(owners[order], sizes, pa.int64()),
+         _list_array(ids[order], sizes, pa.int64()),
+         _list_array(sims[order].astype(np.float32), sizes, pa.float32()),
+         _list_array(fresh[order], sizes, pa.bool_())],
+        names=["bucket", "owners", "ids", "sims", "fresh"])
+
+
+def _tasks(count: int) -> int:
+    return max(16, -(-count // TASK))
+
+
+def _gathered(rows: DataFrame, key: str, tasks: int, *order: str) -> DataFrame:
+    """Rows of one key together and in order, in at most ``tasks`` tasks."""
+    return rows.repartition(key).coalesce(tasks).sortWithinPartitions(key, *order)
+
+
 # -- vectors ---------------------------------------------------------------------
 
 def _valid(vec: Column) -> Column:
@@ -244,32 +277,51 @@ def _blocks(trees: list[_Tree], count: int, block: int):
     return run
 
 
-def _nearest_in_block(table: pa.Table) -> pa.Table:
-    """The nearest of each node among the nodes of its block."""
+def _near(buckets: int):
+    """mapInArrow over (block, node, vec) by block: the nearest of each node in its block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches):
+            blocks = table.column("block").to_numpy()
+            starts = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1])))
+            for lo, hi in zip(starts, np.append(starts[1:], len(blocks))):
+                yield from _nearest_in_block(table.slice(int(lo), int(hi - lo)), buckets)
+
+    return run
+
+
+def _nearest_in_block(table: pa.Table, buckets: int) -> Iterator[pa.RecordBatch]:
     nodes = table.column("node").to_numpy()
     x = _matrix(table.column("vec"))
     n, k = len(nodes), min(LIST, len(nodes) - 1)
-    out = []
     for lo in range(0, n, 1024):
         sims = x[lo:lo + 1024] @ x.T
         rows = np.arange(len(sims))
         sims[rows, rows + lo] = -np.inf
         near = np.argpartition(-sims, max(k - 1, 0), axis=1)[:, :k]
-        out.append(_list_batch(nodes[lo:lo + 1024], np.full(len(sims), k), nodes[near].ravel(),
-                               np.take_along_axis(sims, near, 1).ravel(),
-                               np.ones(len(sims) * k, bool)))
-    return pa.Table.from_batches(out)
+        yield _pack(np.repeat(nodes[lo:lo + 1024], k), nodes[near].ravel(),
+                    np.take_along_axis(sims, near, 1).ravel(), np.ones(len(sims) * k, bool), buckets)
 
 
 # -- descent -------------------------------------------------------------------------
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """mapInArrow over lists sorted by node: one list a node, the nearest."""
-    for table in _whole_groups(batches):
-        ids, sizes = _lists(table.column("ids"))
-        owner = np.repeat(table.column("node").to_numpy(), sizes)
-        yield _list_batch(*_best(owner, ids, _lists(table.column("sims"))[0],
-                                 _lists(table.column("fresh"))[0].astype(bool), LIST))
+    """mapInArrow over packed entries by bucket: one list a node, the nearest."""
+    for table in _whole_groups(batches, 200):
+        owners, sims, ids, fresh = (_lists(table.column(c))[0] for c in ("owners", "sims", "ids", "fresh"))
+        yield _list_batch(*_best(owners, ids, sims, fresh.astype(bool), LIST))
+
+
+def _known(buckets: int):
+    """mapInArrow: lists -> packed entries, none of them fresh."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, sizes = _lists(batch.column(1))
+            yield _pack(np.repeat(batch.column(0).to_numpy(), sizes), ids, _lists(batch.column(2))[0],
+                        np.zeros(len(ids), bool), buckets)
+
+    return run
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,12 +334,24 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["node", "other", "sim", "fresh"])
 
 
-def _compare(hoods: pa.Table, vectors: pa.Table) -> pa.Table:
-    """One block: (block, node, other, fresh) and (block, other, vec, worst) -> proposals."""
-    empty = _list_batch(*[np.zeros(0, np.int64)] * 3, np.zeros(0, np.float32), np.zeros(0, bool))
-    if not hoods.num_rows or not vectors.num_rows:
-        return pa.Table.from_batches([empty])
-    vectors = vectors.sort_by("other")
+def _compared(buckets: int):
+    """mapInArrow by block over (block, node, other, fresh) and, with a null node, the
+    vectors (block, other, vec, worst) -> packed proposals."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, 1):
+            blocks = table.column("block").to_numpy()
+            starts = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1])))
+            for lo, hi in zip(starts, np.append(starts[1:], len(blocks))):
+                yield _compare(table.slice(int(lo), int(hi - lo)), buckets)
+
+    return run
+
+
+def _compare(table: pa.Table, buckets: int) -> pa.RecordBatch:
+    """One block: its neighbourhoods' members compared with one another."""
+    is_vector = pc.is_null(table.column("node"))
+    vectors, hoods = table.filter(is_vector).sort_by("other"), table.filter(pc.invert(is_vector))
     ids = vectors.column("other").to_numpy()
     x, worst = _matrix(vectors.column("vec")), vectors.column("worst").to_numpy()
     node, other = hoods.column("node").to_numpy(), hoods.column("other").to_numpy()
@@ -320,12 +384,11 @@ def _compare(hoods: pa.Table, vectors: pa.Table) -> pa.Table:
     sims = np.concatenate([s for _, s in found])
     owners, count, got, sims, _ = _best(key // len(ids), key % len(ids), sims,
                                         np.zeros(len(key), bool), LIST)
-    return pa.Table.from_batches([_list_batch(ids[owners], count, ids[got], sims,
-                                              np.ones(len(got), bool))])
+    return _pack(np.repeat(ids[owners], count), ids[got], sims, np.ones(len(got), bool), buckets)
 
 
-def _merged(lists: DataFrame) -> DataFrame:
-    return lists.repartition("node").sortWithinPartitions("node").mapInArrow(_merge, _LISTS)
+def _merged(packed: DataFrame, count: int) -> DataFrame:
+    return _gathered(packed, "bucket", _tasks(count)).mapInArrow(_merge, _LISTS)
 
 
 def _reverse(graph: DataFrame) -> DataFrame:
@@ -337,20 +400,23 @@ def _reverse(graph: DataFrame) -> DataFrame:
                                       "fresh")
 
 
-def _descend(graph: DataFrame, nodes: DataFrame, stage: Stage) -> DataFrame:
+def _descend(graph: DataFrame, nodes: DataFrame, count: int, stage: Stage) -> DataFrame:
     """The lists after one round of comparing neighbours of neighbours."""
+    buckets = _tasks(count)
     forward = graph.mapInArrow(_listed, "node long, other long, sim float, fresh boolean").drop("sim")
     hoods = stage.write(forward.unionByName(_reverse(graph)).join(
         nodes.select("node", "block"), "node").select("block", "node", "other", "fresh"), "hoods")
     worst = graph.select(F.col("node").alias("other"), F.when(
         F.size("sims") >= LIST, F.array_min("sims")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
     needed = hoods.select("block", "other").distinct().join(
-        nodes.select(F.col("node").alias("other"), "vec").join(worst, "other"), "other").select(
-        F.col("block").alias("block"), F.col("other").alias("other"), "vec", "worst")
-    proposals = hoods.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(
-        _compare, _LISTS)
-    known = graph.withColumn("fresh", F.transform("fresh", lambda x: F.lit(False)))
-    new = stage.write(_merged(known.unionByName(proposals)), "lists")
+        nodes.select(F.col("node").alias("other"), "vec").join(worst, "other"), "other")
+    both = hoods.select("block", "node", "other", "fresh", F.lit(None).cast("binary").alias("vec"),
+                        F.lit(None).cast("float").alias("worst")).unionByName(
+        needed.select("block", F.lit(None).cast("long").alias("node"), "other",
+                      F.lit(None).cast("boolean").alias("fresh"), "vec", "worst"))
+    proposals = _gathered(both, "block", buckets).mapInArrow(_compared(buckets), _PACKED)
+    known = graph.mapInArrow(_known(buckets), _PACKED)
+    new = stage.write(_merged(known.unionByName(proposals), count), "lists")
     stage.release(hoods, graph)
     return new
 
@@ -379,10 +445,10 @@ def build(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding")
     nodes = stage.write(wide.mapInArrow(_blocks([coarse], count, GATHER),
                                         "block long, node long, vec binary"), "nodes")
     first = wide.mapInArrow(_blocks(trees, count, BLOCK), "block long, node long, vec binary")
-    graph = stage.write(_merged(first.groupBy("block").applyInArrow(_nearest_in_block, _LISTS)),
-                        "lists")
+    graph = stage.write(_merged(_gathered(first, "block", _tasks(count) * TREES).mapInArrow(
+        _near(_tasks(count)), _PACKED), count), "lists")
     for _ in range(ROUNDS if count > 1 else 0):
-        graph = _descend(graph, nodes, stage)
+        graph = _descend(graph, nodes, count, stage)
         changed = graph.agg(F.avg(F.aggregate(F.slice("fresh", 1, TOP), F.lit(0), lambda a, x: a
                                             + x.cast("int")) / F.lit(TOP))).first()[0]
         if (changed or 0.0) < SETTLED:
@@ -432,26 +498,31 @@ def _frontier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["node", "q"])
 
 
+_ASKED = "cell long, q long, qvec binary, ids array<long>"
+
+
 def _ask(cells: int):
-    """mapInArrow over (q, qvec, beam, adjacency) sorted by q -> (cell, q, qvec, ids): the
-    neighbours not kept already, once each, by the cell that holds their vectors."""
+    """mapInArrow over (q, qvec, ids) by q, its beam (with the vector) and the lists of
+    its frontier -> (cell, q, qvec, ids): the neighbours not kept already, once each, by
+    the cell that holds their vectors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_groups(batches, 2000):
             q = table.column("q").to_numpy()
-            rows = []
+            vecs = table.column("qvec").to_pylist()
+            ids, sizes = _lists(table.column("ids"))
+            ends = np.cumsum(sizes)
             starts = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1])))
+            rows = []
             for lo, hi in zip(starts, np.append(starts[1:], len(q))):
-                kept = table.column("beam")[int(lo)].values.to_numpy()
-                found = np.unique(_lists(table.column("ids").slice(int(lo), int(hi - lo)))[0])
-                found = found[~np.isin(found, kept)]
-                cell = _cell_of(found, cells)
+                beam = next(i for i in range(lo, hi) if vecs[i] is not None)
+                kept = ids[ends[beam] - sizes[beam]:ends[beam]]
+                found = np.setdiff1d(ids[ends[lo] - sizes[lo]:ends[hi - 1]], kept)
+                cell = _bucket(found, cells)
                 order = np.argsort(cell, kind="stable")
-                found, cell = found[order], cell[order]
-                cuts = np.flatnonzero(np.diff(cell)) + 1
-                for part in np.split(np.arange(len(found)), cuts) if len(found) else []:
-                    rows.append((int(cell[part[0]]), int(q[lo]), table.column("qvec")[int(lo)].as_py(),
-                                 found[part]))
+                own, first = np.unique(cell[order], return_index=True)
+                rows += [(int(c), int(q[lo]), vecs[beam], part) for c, part in
+                         zip(own, np.split(found[order], first[1:]))]
             columns = list(zip(*rows)) or [(), (), (), ()]
             kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
@@ -460,38 +531,47 @@ def _ask(cells: int):
     return run
 
 
-def _cell_of(nodes: np.ndarray, cells: int) -> np.ndarray:
-    mixed = nodes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(40)) % np.uint64(cells)).astype(np.int64)
-
-
 def _celled(cells: int):
-    """mapInArrow: (node, vec) -> (cell, node, vec)."""
+    """mapInArrow: (node, vec) -> (cell, q, qvec, ids): all vectors of a batch by cell, with
+    a null q."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_cell_of(batch.column(0).to_numpy(), cells)), *batch.columns],
-                names=["cell", "node", "vec"])
+            nodes, x = batch.column(0).to_numpy(), _matrix(batch.column(1))
+            cell = _bucket(nodes, cells)
+            rows = [(int(c), None, x[cell == c].tobytes(), nodes[cell == c]) for c in np.unique(cell)]
+            columns = list(zip(*rows)) or [(), (), (), ()]
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                             names=["cell", "q", "qvec", "ids"])
 
     return run
 
 
-def _answer(asked: pa.Table, held: pa.Table) -> pa.Table:
-    """One cell: similarities of the nodes asked for; (q, ids, sims), the best BEAM."""
-    rows = []
-    if asked.num_rows and held.num_rows:
-        held = held.sort_by("node")
-        nodes, x = held.column("node").to_numpy(), _matrix(held.column("vec"))
-        for q, vec, ids in zip(asked.column("q").to_pylist(), asked.column("qvec").to_pylist(),
-                               asked.column("ids")):
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow by cell, vectors first: the nodes asked for, scored; (q, ids, sims)."""
+    cell, nodes, x, waiting = None, None, None, []
+    for batch in batches:
+        rows = []
+        for own, q, vec, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                    batch.column(2).to_pylist(), batch.column(3)):
             ids = ids.values.to_numpy()
+            if own != cell:
+                cell, nodes, waiting = own, None, []
+            if q is None:  # the vectors of a cell come before the questions
+                waiting.append((ids, np.frombuffer(vec, np.float32).reshape(len(ids), -1)))
+                continue
+            if nodes is None:
+                nodes = np.concatenate([i for i, _ in waiting])
+                order = np.argsort(nodes)
+                nodes, x = nodes[order], np.concatenate([v for _, v in waiting])[order]
             sims = x[np.searchsorted(nodes, ids)] @ np.frombuffer(vec, np.float32)
             top = np.argsort(-sims, kind="stable")[:BEAM]
             rows.append((q, ids[top], sims[top]))
-    columns = list(zip(*rows)) or [(), (), ()]
-    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float32())]
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["q", "ids", "sims"])
+        columns = list(zip(*rows)) or [(), (), ()]
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float32())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                         names=["q", "ids", "sims"])
 
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -540,21 +620,20 @@ def search(index: Index, queries: DataFrame, k: int = TOP, id_col: str = "vec_id
     asked = stage.write(asked.select(F.col("vec_id").alias("q"), "original"), "queries")
     beam = stage.write(asked.mapInArrow(_enter(index.entry_ids, index.entry_vectors), _BEAM), "beam")
     count = index.nodes.count()
-    cells = max(1, -(-count // GATHER))
-    held = stage.write(index.nodes.select("node", "vec").mapInArrow(
-        _celled(cells), "cell long, node long, vec binary"), "cells")
+    cells = _tasks(count)
+    tasks = _tasks(asked.count())
+    held = stage.write(index.nodes.select("node", "vec").mapInArrow(_celled(cells), _ASKED), "cells")
     for _ in range(MOST_STEPS):
-        frontier = beam.mapInArrow(_frontier, "node long, q long")
-        reached = frontier.join(index.graph, "node").join(
-            beam.select("q", "qvec", F.col("ids").alias("beam")), "q")
-        wanted = reached.select("q", "qvec", "beam", "ids").repartition("q").sortWithinPartitions(
-            "q").mapInArrow(_ask(cells), "cell long, q long, qvec binary, ids array<long>")
-        answers = wanted.groupBy("cell").cogroup(held.groupBy("cell")).applyInArrow(
+        frontier = beam.mapInArrow(_frontier, "node long, q long").join(index.graph, "node").select(
+            "q", F.lit(None).cast("binary").alias("qvec"), "ids")
+        wanted = _gathered(frontier.unionByName(beam.select("q", "qvec", "ids")), "q", tasks
+                           ).mapInArrow(_ask(cells), _ASKED)
+        answers = _gathered(held.unionByName(wanted), "cell", cells, "q").mapInArrow(
             _answer, "q long, ids array<long>, sims array<float>").select(
             "q", F.lit(None).cast("binary").alias("qvec"), "ids", "sims",
             F.transform("ids", lambda x: F.lit(False)).alias("done"))
-        new = stage.write(_mark(beam).unionByName(answers).repartition("q").sortWithinPartitions(
-            "q").mapInArrow(_keep, _BEAM), "beam")
+        new = stage.write(_gathered(_mark(beam).unionByName(answers), "q", tasks).mapInArrow(
+            _keep, _BEAM), "beam")
         stage.release(beam)
         beam = new
         if beam.where(F.exists("done", lambda d: ~d)).isEmpty():

@@ -57,7 +57,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
             texts = [t or "" for t in batch.column(1).to_pylist()]
             ids = backend.encode(texts)
             same = [a.tolist() == b for a, b in zip(ids, library.encode(texts, num_threads=1))]
-            back = [backend.normalise(t) == backend.normalise(x)
+            back = [t == x or backend.normalise(t) == backend.normalise(x)
                     for t, x in zip(texts, backend.decode(ids))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(map(len, ids), pa.int64()),

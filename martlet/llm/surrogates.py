@@ -171,7 +171,7 @@ _HEX = "0123456789abcdef"
 
 
 def _alphabet(c: str, whole: str) -> str | None:
-    if c in _HEX and all(x in _HEX for x in whole) and len(whole) >= 16:
+    if c in _HEX and len(whole) >= 16 and not whole.isdigit() and all(x in _HEX for x in whole):
         return _HEX
     return next((a for a in (_LOWER, _UPPER, _NUM) if c in a), None)
 
