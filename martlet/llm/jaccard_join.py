@@ -12,8 +12,8 @@ so a pivot p bounds every other distance: ``|d(x,p) - d(y,p)| <= d(x,y)``.
    that, one projection of both is equal (distance 0). Equal projections form
    a region; m follows from geometric size classes, and a set near the upper
    end of its class also enters the next one's regions.
-2. *Pivots.* Each region takes up to ``PIVOTS`` of its leading members (at first
-   all lead), those that share most regions, as pivots; the distance of every member to them is
+2. *Pivots.* Each region takes as pivots those of its leading members (at first
+   all lead) that share most regions: ``PIVOTS``, or all of few enough (``SETTLE``); the distance of every member to them is
    computed exactly from the shingle sets. Pairs with a pivot are settled.
 3. *Voronoi cells.* A member's home is its nearest pivot; it is replicated to
    every pivot with ``d(x,p) <= d(x,home) + 2r``. By the triangle inequality a
@@ -55,7 +55,8 @@ from martlet.llm.common import Stage, prepare
 from martlet.llm.components import components
 
 WORDS = 3
-PIVOTS = (2, 16)  # of a first region, and of the small ones after it
+PIVOTS = 2
+SETTLE = (6, 16)  # pivots that settle a small region, at first and later
 SAMPLED = 15  # members whose majority is the centre of a cell
 # Link when 100 * intersection >= 90 * union: |x ^ y| <= (|x| + |y|) / SPREAD,
 # hence also |x ^ y| <= |x| / LONGEST.
@@ -245,25 +246,25 @@ def _first_regions(sketch: DataFrame, classes: DataFrame, stage: Stage) -> DataF
         "region", "x", F.lit(True).alias("leads")).distinct(), "regions")
 
 
-def _pivots(members: DataFrame, most: int) -> DataFrame:
+def _pivots(members: DataFrame, settle: int) -> DataFrame:
     """(region, p, settled): each region's pivots, of its leading members those that
-    share most regions. A region is settled if no other member leads, or none is left
-    for the one that does."""
+    share most regions. ``settle`` of them settle a region with no more leading members
+    (or one more member) at once; a larger one gets ``PIVOTS`` and is divided."""
     central = members.groupBy("x").agg(F.count("*").alias("shares"))
     order = Window.partitionBy("region").orderBy(F.desc("shares"), "x")
     sizes = members.groupBy("region").agg(
         F.count("*").alias("g"), F.count_if("leads").alias("leading")).select(
-        "region", ((F.col("leading") <= most) | (F.col("g") <= most + 1)).alias("settled"))
-    return members.where("leads").join(central, "x").withColumn(
-        "rank", F.row_number().over(order)).where(F.col("rank") <= most).select(
-        "region", F.col("x").alias("p")).join(sizes, "region")
+        "region", ((F.col("leading") <= settle) | (F.col("g") <= settle + 1)).alias("settled"))
+    ranked = members.where("leads").join(central, "x").withColumn(
+        "rank", F.row_number().over(order)).where(F.col("rank") <= settle)
+    return ranked.join(sizes, "region").where(
+        F.col("settled") | (F.col("rank") <= PIVOTS)).select("region", F.col("x").alias("p"), "settled")
 
 
 def _round(members: DataFrame, known: DataFrame | None, sets: DataFrame, stage: Stage,
            first: bool) -> tuple[DataFrame, DataFrame]:
     """One level of the recursion: (distances found, members of the next regions)."""
-    most = PIVOTS[0] if first else PIVOTS[1]
-    pivots = stage.write(_pivots(members, most), "pivots")
+    pivots = stage.write(_pivots(members, SETTLE[0] if first else SETTLE[1]), "pivots")
     near = members.join(pivots, "region").where("x != p")
     # a pair of pivots is measured once
     pairs = near.select(F.greatest("x", "p").alias("x"), F.least("x", "p").alias("p")).distinct()

@@ -10,7 +10,7 @@ lengths, repeated and blank lines, bytes a character).
 trains a logistic classifier (numpy). Over ``ROUNDS`` rounds both score a
 bounded pool of unlabelled rows (``POOL``); each hands the rows it is surest of
 (``HANDED`` of the pool at either end, if at least ``SURE``) with its label to
-the *other* view, which trains again.
+the *other* view, which trains again, unless that view is sure of the opposite.
 
 *Combination.* On labelled rows that neither view trained on, each view's score
 is calibrated and the two calibrated views are weighed by one more logistic
@@ -41,7 +41,7 @@ from martlet.llm.textvec import chunks
 
 LABELLED = 6_000
 POOL = 6_000
-ROUNDS = 4
+ROUNDS = 3
 HANDED = 0.05
 SURE = 0.9
 HELD_BACK = 0.3  # of the labelled rows, for calibration
@@ -51,7 +51,7 @@ TRIPLES = 1024
 TEXT_DIM = CLASSES * CLASSES + TRIPLES
 SOURCES, LANGS = 64, 16
 PAGE_DIM = 10 + SOURCES + LANGS
-STEPS = 250
+STEPS = (200, 60)  # of a first fit, and of one that goes on from the last
 RATE = 0.05
 L2 = 1e-4
 _DRAWS = 1_000_000
@@ -142,14 +142,16 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, l2: float = L2) -> Linear:
+def fit(x: np.ndarray, y: np.ndarray, start: Linear | None = None, l2: float = L2) -> Linear:
     """Logistic regression by full-batch Adam on standardised columns."""
-    mean, scale = x.mean(0), x.std(0) + 0.02
-    z = (x - mean) / scale
-    w, b = np.zeros(x.shape[1]), 0.0
-    m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
-    for step in range(1, STEPS + 1):
-        error = (_sigmoid(z @ w + b) - y) / len(y)
+    mean, scale = (x.mean(0), x.std(0) + 0.02) if start is None else (start.mean, start.scale)
+    z = ((x - mean) / scale).astype(np.float32)
+    y = y.astype(np.float32)
+    w, b = (np.zeros(x.shape[1], np.float32), 0.0) if start is None else (
+        start.weights, start.intercept)
+    m, v = np.zeros(len(w) + 1, np.float32), np.zeros(len(w) + 1, np.float32)
+    for step in range(1, STEPS[start is not None] + 1):
+        error = (_sigmoid(z @ w + np.float32(b)) - y) / np.float32(len(y))
         grad = np.append(error @ z + l2 * w, error.sum())
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
@@ -193,18 +195,21 @@ def co_train(labelled: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray])
         if not free.any():
             break
         handed = []
-        for view, x in zip(views, pool):
-            p = np.where(free, _sigmoid(view.logit(x)), 0.5)
+        seen = [_sigmoid(view.logit(x)) for view, x in zip(views, pool)]
+        for mine, other in (seen, seen[::-1]):
+            p = np.where(free, mine, 0.5)
             good = np.argsort(-p, kind="stable")[:most]
             bad = np.argsort(p, kind="stable")[:most]
-            handed.append((good[p[good] >= SURE], bad[p[bad] <= 1 - SURE]))
+            # a label the receiver is sure to contradict would only mislead it
+            handed.append((good[(p[good] >= SURE) & (other[good] >= 0.5)],
+                           bad[(p[bad] <= 1 - SURE) & (other[bad] <= SURE)]))
         for me, (good, bad) in ((1, handed[0]), (0, handed[1])):
             x, labels = own[me]
             own[me] = (np.vstack([x, pool[me][good], pool[me][bad]]),
                        np.concatenate([labels, np.ones(len(good)), np.zeros(len(bad))]))
         for good, bad in handed:
             free[good] = free[bad] = False
-        views = [fit(*o) for o in own]
+        views = [fit(*o, start=v) for o, v in zip(own, views)]
     calibration = [fit(v.logit(x[held])[:, None], y[held]) for v, x in zip(views, labelled)]
     model = Model(views, calibration, None, share)
     model.combined = fit(model._calibrated([x[held] for x in labelled]), y[held])
