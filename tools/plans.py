@@ -17,7 +17,7 @@ from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from martlet.plans import catalog  # noqa: E402
 from martlet.session import local_session  # noqa: E402
 
 NODES = [
@@ -56,7 +56,7 @@ def main() -> None:
              "pushed"]
     print("| query | " + " | ".join(short) + " |")
     print("|---|" + "---|" * len(short))
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         c = summarize(plan)

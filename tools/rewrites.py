@@ -6,7 +6,7 @@ R1  payment summary: items x payments fan-out join, then aggregate
     -> aggregate each side per order, amount = sum(price) * count(payments)
 R2  calendar: six-way UNION DISTINCT of time text, then DISTINCT keys
     -> one scan with explode(array(...)), truncate to the minute, one DISTINCT
-R4  item fact: inner join with the order fact's ids
+
     -> join with (order id, multiplicity)
 Each form is checked to give the same rows, then timed (median of 3) into the
 ``noop`` sink over the stored staging layer.
