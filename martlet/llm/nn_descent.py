@@ -45,7 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlet.llm.common import Stage, prepare
+from martlet.llm.common import Stage, first_by_hash, prepare
 
 LIST = 48
 TREES = 6
@@ -54,7 +54,7 @@ SAMPLE = 16_384
 ROUNDS = 5
 TOP = 20
 SETTLED = 0.08
-GATHER = 4096  # nodes of a block in a descent round
+GATHER = 16_384  # nodes of a block in a descent round
 ENTRIES = 1024
 BEAM = 112
 EXPAND = 40
@@ -437,7 +437,7 @@ def build(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding")
     wide = stage.write(vectors.select("node", "original").mapInArrow(
         _extended((longest or 1.0) * (1 + 1e-9)), "node long, vec binary"), "wide")
     # at most SAMPLE and ENTRIES nodes, in the order of a hash
-    drawn = wide.orderBy(F.xxhash64("node"), "node").limit(max(SAMPLE, ENTRIES)).toArrow()
+    drawn = first_by_hash(wide, "node", max(SAMPLE, ENTRIES), count).toArrow()
     sample = _matrix(drawn.column("vec")) if drawn.num_rows else np.zeros((0, 1), np.float32)
     rng = np.random.default_rng(5)
     trees = [_grow(sample[:SAMPLE], BLOCK / max(1, count), rng) for _ in range(TREES)]

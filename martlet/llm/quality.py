@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.common import Stage, extended, fold, prepare
+from martlet.llm.common import Stage, extended, first_by_hash, fold, prepare
 from martlet.llm.textvec import chunks
 
 LABELLED = 6_000
@@ -251,7 +251,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     marks = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")
                           ).where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(
         F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").select(
-        "doc_id", "label").orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
+        "doc_id", "label")
+    marks = first_by_hash(marks, "doc_id", LABELLED, labels.count())
     share = int(min(1.0, POOL / max(1, docs.count())) * _DRAWS)
     rows = _rows(docs, id_col, text_col, meta, [])
     tail = ["text", "source", "lang", "chars"]

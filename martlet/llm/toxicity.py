@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.common import Stage, extended, fold, prepare
+from martlet.llm.common import Stage, extended, first_by_hash, fold, prepare
 from martlet.llm.textvec import Words, chunks
 
 BITS = 20
@@ -167,8 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                              ).first()
     prior = min(0.5, max(0.001, toxic / known)) if 0 < toxic < known else PRIOR
     # at most POSITIVES ids: bounded, so it may be broadcast
-    positives = marks.where("toxic = 1").select("doc_id").orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(POSITIVES)
+    positives = first_by_hash(marks.where("toxic = 1").select("doc_id"), "doc_id", POSITIVES, toxic)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     share = int(min(1.0, UNLABELLED / max(1, docs.count())) * _STEPS)
     sample = stage.write(
