@@ -46,6 +46,7 @@ class Stage:
         self.root = f"{shared_dir(spark)}/martlet-llm/{app_id(spark)}/{name}-{uuid.uuid4().hex}"
         self._count = 0
         self._paths: dict[int, str] = {}
+        self._keep: list[DataFrame] = []
 
     def write(self, df: DataFrame, what: str) -> DataFrame:
         """``df`` written as Parquet and read back."""
@@ -54,10 +55,14 @@ class Stage:
         df.write.parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(back)] = path
-        self._keep = getattr(self, "_keep", [])
         self._keep.append(back)
         return back
 
+    def release_all_but(self, *tables: DataFrame) -> None:
+        """Delete every staged table but these."""
+        kept = {id(t) for t in tables}
+        self.release(*[t for t in self._keep if id(t) not in kept])
+
     def release(self, *tables: DataFrame) -> None:
         """Delete staged tables that no plan reads any more."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()

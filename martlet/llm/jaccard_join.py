@@ -341,6 +341,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined = components(links, stage)
     named = stage.write(classes.join(joined, classes["rep"] == joined["vertex"], "left").select(
         "h1", "h2", "n", F.coalesce("component", "rep").alias("component_id")), "named")
+    stage.release_all_but(sketch, named)  # the result reads these two
     return sketch.select("doc_id", "n", "h1", "h2").join(named, ["h1", "h2", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
