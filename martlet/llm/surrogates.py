@@ -28,7 +28,8 @@ MAYBE = (r"[0-9@]|AKIA|(?i:password|passwd|token|secret|api.?key)|"
 
 _PART = r"[^\W\d_a-z][^\W\d_]*(?:[-'’][^\W\d_]+)*"
 _FIND = re.compile("|".join((
-    r"(?P<email>[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@"
+    # from the start of a run only: a match from inside would also match from there
+    r"(?P<email>(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@"
     r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+)",
     r"(?P<secret>(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9]))",
     r"(?P<assigned>(?i:password|passwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?)"
