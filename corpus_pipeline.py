@@ -7,7 +7,8 @@ return the columns of ``documents``:
    or no letter);
 2. ``exact_dedup`` keeps the row with the smallest id of every group of equal
    texts, and of a repeated row one;
-3. ``jaccard_join`` keeps the smallest id of every component of near duplicates;
+3. ``jaccard_join`` keeps the smallest id of every component of near duplicates:
+   shingles of ``NEAR_WORDS`` words, Jaccard similarity ``NEAR_SIMILARITY`` or more;
 4. ``pii_surrogates`` replaces personal data, in place;
 5. ``curve_packing`` returns the pieces of packed sequences with their ids.
 
@@ -25,6 +26,9 @@ from martlet.llm import exact_dedup, jaccard_join, language, packing, pii
 from martlet.llm.common import Stage, table
 from martlet.llm.queries import PII_KEY, tokenizer_file
 
+# The near-duplicate stage's own rule; op2's query has another contract.
+NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.train(language.training_rows(docs))
@@ -45,7 +49,8 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    dropped = jaccard_join.near_duplicates(docs).where("doc_id != component_id").select(
+    found = jaccard_join.near_duplicates(docs, words=NEAR_WORDS, similarity=NEAR_SIMILARITY)
+    dropped = found.where("doc_id != component_id").select(
         F.col("doc_id").alias("__dropped")).distinct()
     return docs.join(dropped, F.col("doc_id") == F.col("__dropped"), "left_anti")
 

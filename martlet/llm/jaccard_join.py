@@ -1,15 +1,15 @@
 """Near duplicates by an exact metric-space join on Jaccard distance.
 
-A document is the set of its distinct ``WORDS``-word shingles; two link when
-their Jaccard distance is at most r = 1 - 0.9. Jaccard distance is a metric,
-so a pivot p bounds every other distance: ``|d(x,p) - d(y,p)| <= d(x,y)``.
+A document is the set of its distinct shingles of ``words`` words; two link when
+their Jaccard distance is at most r = 1 - ``similarity``. Jaccard distance is a
+metric, so a pivot p bounds every other distance: ``|d(x,p) - d(y,p)| <= d(x,y)``.
 
 0. *Classes.* Equal sets are one class, represented by its least doc_id.
 1. *First regions.* Between documents without common wording all distances
    are 1 and no triangle inequality tells them apart, so regions are first
    drawn in projections: the shingle universe is cut into m parts by hash. A
-   linked pair differs in at most ``(|x| + |y|) / 19`` shingles; with m above
-   that, one projection of both is equal (distance 0). Equal projections form
+   linked pair differs in at most ``(|x| + |y|) * r / (2 - r)`` shingles; with m
+   above that, one projection of both is equal (distance 0). Equal projections form
    a region; m follows from geometric size classes, and a set near the upper
    end of its class also enters the next one's regions.
 2. *Pivots.* Each region takes as pivots those of its leading members (at first
@@ -44,6 +44,8 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass, field
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -54,14 +56,10 @@ from pyspark.sql import functions as F
 from martlet.llm.common import Stage, prepare
 from martlet.llm.components import components
 
-WORDS = 3
+WORDS, SIMILARITY = 3, 0.9
 PIVOTS = 2
 SETTLE = (6, 16)  # pivots that settle a small region, at first and later
 SAMPLED = 15  # members whose majority is the centre of a cell
-# Link when 100 * intersection >= 90 * union: |x ^ y| <= (|x| + |y|) / SPREAD,
-# hence also |x ^ y| <= |x| / LONGEST.
-SPREAD, LONGEST = 19, 9
-RADIUS = 0.1
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -91,32 +89,65 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(mixed)
 
 
-def _size_classes() -> list[int]:
-    bounds = [LONGEST]  # smaller sets link with equal sets only
-    while bounds[-1] < 1 << 40:
-        bounds.append(max(bounds[-1] + 1, bounds[-1] * 14 // 10))
-    return bounds
+@dataclass(frozen=True)
+class Link:
+    """What a least similarity p / q says of a linked pair, in whole numbers:
+    ``|x & y| * q >= |x | y| * p`` is ``|x ^ y| * far <= (|x| + |y|) * near``, and
+    neither set is larger than q / p times the other."""
 
+    p: int
+    q: int
+    bounds: tuple[int, ...] = field(init=False, repr=False)  # of the size classes
 
-_BOUNDS = _size_classes()
+    def __post_init__(self):
+        # smaller sets link with equal sets only; a partner lies in the next class at most
+        bounds = [-(-self.p // self.near)]
+        while bounds[-1] < 1 << 40:
+            bounds.append(max(bounds[-1] + 1, bounds[-1] * 14 // 10,
+                              (bounds[-1] - 1) * self.q // self.p + 1))
+        object.__setattr__(self, "bounds", tuple(bounds))
 
+    @classmethod
+    def at(cls, similarity: float) -> Link:
+        if not 0 < similarity < 1:
+            raise ValueError(f"a similarity between 0 and 1 is needed, not {similarity}")
+        return cls(*Fraction(str(similarity)).as_integer_ratio())
 
-def _scheme(k: int) -> tuple[int, int]:
-    """(most differences of a pair, parts) of size class k."""
-    most = 2 * (_BOUNDS[k + 1] - 1) // SPREAD
-    return most, (most + 1) * 115 // 100 + 2
+    @property
+    def far(self) -> int:
+        return self.q + self.p
 
+    @property
+    def near(self) -> int:
+        return self.q - self.p
 
-def projections(own: np.ndarray) -> np.ndarray:
+    @property
+    def radius(self) -> float:
+        return self.near / self.q
+
+    def most(self, n: int) -> int:
+        """Differences that a set of n shingles has at most to one linked with it."""
+        return n * self.near // self.p
+
+    def scheme(self, k: int) -> tuple[int, int]:
+        """(most differences of a pair, parts) of size class k."""
+        most = 2 * (self.bounds[k + 1] - 1) * self.near // self.far
+        return most, (most + 1) * 115 // 100 + 2
+
+
+_DEFAULT = Link.at(SIMILARITY)
+
+
+def projections(own: np.ndarray, link: Link = _DEFAULT) -> np.ndarray:
     """Region keys of a set: one for every non-empty part of its class's scheme, and
     of the next class's if a partner may lie there."""
     n = len(own)
-    if n < LONGEST:
+    if n < link.bounds[0]:
         return np.zeros(0, np.uint64)
-    k = bisect_right(_BOUNDS, n) - 1
+    k = bisect_right(link.bounds, n) - 1
     out = []
-    for scheme in (k, k + 1) if 10 * n >= 9 * _BOUNDS[k + 1] else (k,):
-        most, parts = _scheme(scheme)
+    for scheme in (k, k + 1) if link.q * n >= link.p * link.bounds[k + 1] else (k,):
+        most, parts = link.scheme(scheme)
         part = ((_mix(own + np.uint64(scheme)) >> np.uint64(32)) * np.uint64(parts)
                 >> np.uint64(32)).astype(np.int64)
         sums = np.zeros(parts, np.uint64)
@@ -124,7 +155,7 @@ def projections(own: np.ndarray) -> np.ndarray:
         keys = _mix(sums + _mix(np.arange(parts, dtype=np.uint64) + np.uint64(scheme << 32)))
         filled = np.bincount(part, minlength=parts) > 0
         # with enough non-empty parts one of them is equal in both of a pair
-        out.append(keys[filled] if filled.sum() > min(most, n // LONGEST) else keys)
+        out.append(keys[filled] if filled.sum() > min(most, link.most(n)) else keys)
     return np.concatenate(out)
 
 
@@ -132,7 +163,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _sketch(words: int):
+def _sketch(words: int, link: Link):
     """mapInArrow: (doc_id, text) -> (doc_id, n, h1, h2, regions)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +177,7 @@ def _sketch(words: int):
                 first.append(h1 := (digest >> 64) - (1 << 63))
                 second.append((digest & ((1 << 64) - 1)) - (1 << 63))
                 # copies of a set met before in this task add nothing to its regions
-                regions.append(None if h1 in seen else _signed(projections(own)))
+                regions.append(None if h1 in seen else _signed(projections(own, link)))
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(h1)
@@ -194,7 +225,7 @@ def _centre(table: pa.Table) -> pa.Table:
                      "centre": pa.array([elements[2 * times > len(own)].tobytes()], pa.binary())})
 
 
-def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _differences(link: Link):
     """mapInArrow: (cell, x, outer, own, other, centre) -> (cell, x, outer, e, leads): the
     rarest elements of the difference to the pivot, as many as a link demands.
 
@@ -207,31 +238,36 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     and centre lack, then what both have, last what one of them has and the other lacks,
     which most differences hold.
     """
-    for batch in batches:
-        cells, xs, outs, leads, elements = [], [], [], [], []
-        for cell, x, outer, a, b, c in zip(*(col.to_pylist() for col in batch.columns)):
-            delta, n, n_pivot = _difference(a, b), len(a) // 8, len(b) // 8
-            size, most = len(delta), n // LONGEST
-            in_pivot = np.isin(delta, np.frombuffer(b, np.uint64), assume_unique=True)
-            in_centre = np.isin(delta, np.frombuffer(c, np.uint64), assume_unique=True)
-            rank = np.where(in_pivot != in_centre, 2, in_pivot)
-            delta = _signed(delta[np.lexsort((delta, rank))])
-            half = 1 if outer else -(-(SPREAD * size + n_pivot + 1 - n) // (2 * SPREAD))
-            smaller = max(0, size - max(1, half, size - most // 2) + 1)
-            larger = max(0, size - max(1, half, size - most) + 1)
-            elements.append(delta[:larger])
-            leads.append(np.arange(len(elements[-1])) < smaller)
-            cells.append(cell)
-            xs.append(x)
-            outs.append(outer)
-        sizes = [len(e) for e in elements]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(np.array(cells, np.int64), sizes)),
-             pa.array(np.repeat(np.array(xs, np.int64), sizes)),
-             pa.array(np.repeat(np.array(outs, bool), sizes)),
-             pa.array(np.concatenate([np.zeros(0, np.int64), *elements])),
-             pa.array(np.concatenate([np.zeros(0, bool), *leads]))],
-            names=["cell", "x", "outer", "e", "leads"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells, xs, outs, leads, elements = [], [], [], [], []
+            for cell, x, outer, a, b, c in zip(*(col.to_pylist() for col in batch.columns)):
+                delta, n, n_pivot = _difference(a, b), len(a) // 8, len(b) // 8
+                size, most = len(delta), link.most(n)
+                in_pivot = np.isin(delta, np.frombuffer(b, np.uint64), assume_unique=True)
+                in_centre = np.isin(delta, np.frombuffer(c, np.uint64), assume_unique=True)
+                rank = np.where(in_pivot != in_centre, 2, in_pivot)
+                delta = _signed(delta[np.lexsort((delta, rank))])
+                half = 1 if outer else -(-(link.far * size + link.near * (n_pivot - n) + 1)
+                                         // (2 * link.far))
+                smaller = max(0, size - max(1, half, size - most // 2) + 1)
+                larger = max(0, size - max(1, half, size - most) + 1)
+                elements.append(delta[:larger])
+                leads.append(np.arange(len(elements[-1])) < smaller)
+                cells.append(cell)
+                xs.append(x)
+                outs.append(outer)
+            sizes = [len(e) for e in elements]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.array(cells, np.int64), sizes)),
+                 pa.array(np.repeat(np.array(xs, np.int64), sizes)),
+                 pa.array(np.repeat(np.array(outs, bool), sizes)),
+                 pa.array(np.concatenate([np.zeros(0, np.int64), *elements])),
+                 pa.array(np.concatenate([np.zeros(0, bool), *leads]))],
+                names=["cell", "x", "outer", "e", "leads"])
+
+    return run
 
 
 def _first_regions(sketch: DataFrame, classes: DataFrame, stage: Stage) -> DataFrame:
@@ -262,7 +298,7 @@ def _pivots(members: DataFrame, settle: int) -> DataFrame:
 
 
 def _round(members: DataFrame, known: DataFrame | None, sets: DataFrame, stage: Stage,
-           first: bool) -> tuple[DataFrame, DataFrame]:
+           first: bool, link: Link) -> tuple[DataFrame, DataFrame]:
     """One level of the recursion: (distances found, members of the next regions)."""
     pivots = stage.write(_pivots(members, SETTLE[0] if first else SETTLE[1]), "pivots")
     near = members.join(pivots, "region").where("x != p")
@@ -285,11 +321,11 @@ def _round(members: DataFrame, known: DataFrame | None, sets: DataFrame, stage:
     unsettled = near.where("NOT settled").join(chosen, ["region", "x"], "left_anti")
     placed = unsettled.join(both, ["x", "p"]).select(
         "region", "x", "p", distance.alias("d"),
-        (F.col("diff") * SPREAD > F.col("nx") + F.col("np")).alias("outer"))
+        (F.col("diff") * link.far > (F.col("nx") + F.col("np")) * link.near).alias("outer"))
     home = F.min("d").over(Window.partitionBy("region", "x"))
     cell = F.col("p") if first else F.xxhash64("region", "p")
     cells = placed.withColumn("home", home).where(
-        F.col("d") <= F.col("home") + 2 * RADIUS + 1e-9).select(
+        F.col("d") <= F.col("home") + 2 * link.radius + 1e-9).select(
         cell.alias("cell"), "x", "p", "outer").distinct()
     cells = stage.write(cells, "cells")
     open_cells = cells.groupBy("cell").agg(F.count("*").alias("g"), F.max("outer").alias("outer")
@@ -301,7 +337,7 @@ def _round(members: DataFrame, known: DataFrame | None, sets: DataFrame, stage:
         "cell").applyInArrow(_centre, "cell long, centre binary"), "centres")
     named = cells.join(own, "x").join(other, "p").join(centres, "cell").select(
         "cell", "x", "outer", "own", "other", "centre").mapInArrow(
-            _differences, "cell long, x long, outer boolean, e long, leads boolean")
+            _differences(link), "cell long, x long, outer boolean, e long, leads boolean")
     regions = stage.write(named.select(F.xxhash64("cell", "e").alias("region"), "x",
                                        "outer", "leads"), "named")
     open_regions = regions.groupBy("region").agg(
@@ -314,14 +350,16 @@ def _round(members: DataFrame, known: DataFrame | None, sets: DataFrame, stage:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs``."""
+                    words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs``: components of links
+    of that Jaccard similarity or more, over shingles of so many words."""
+    link = Link.at(similarity)
     spark = prepare(docs.sparkSession)
     stage = Stage(spark, "jaccard-join")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
     sketch = stage.write(rows.mapInArrow(
-        _sketch(words), "doc_id long, n long, h1 long, h2 long, regions array<long>"), "sketch")
+        _sketch(words, link), "doc_id long, n long, h1 long, h2 long, regions array<long>"), "sketch")
     classes = stage.write(sketch.where("doc_id IS NOT NULL AND n > 0").groupBy("h1", "h2", "n").agg(
         F.min("doc_id").alias("rep")), "classes")
     members = _first_regions(sketch, classes, stage)
@@ -330,13 +368,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _sets(words), "x long, own binary").distinct(), "sets")
     known, first = None, True
     while not members.isEmpty():
-        found, after = _round(members, known, sets, stage, first)
+        found, after = _round(members, known, sets, stage, first, link)
         known = found if known is None else known.unionByName(found)
         stage.release(members)
         members, first = after, False
     links = sketch.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).limit(0)
     if known is not None:
-        links = known.where(F.col("diff") * SPREAD <= F.col("nx") + F.col("np")).select(
+        links = known.where(
+            F.col("diff") * link.far <= (F.col("nx") + F.col("np")) * link.near).select(
             F.col("x").alias("a"), F.col("p").alias("b"))
     joined = components(links, stage)
     named = stage.write(classes.join(joined, classes["rep"] == joined["vertex"], "left").select(

@@ -2,11 +2,12 @@ import random
 import re
 
 import cases
+import numpy as np
 import pytest
 
 from martlet.llm.common import Stage
 from martlet.llm.components import components
-from martlet.llm.jaccard_join import near_duplicates, projections, shingles
+from martlet.llm.jaccard_join import Link, near_duplicates, projections, shingles
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -106,3 +107,25 @@ def test_components_of_paths_and_stars(spark):
     got = dict(components(df, Stage(spark, "t")).collect())
     assert {got[n] for n in names} == {1000} and got[5] == got[39] == 5 and len(got) == 95
     assert components(df.limit(0), Stage(spark, "t")).collect() == []
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.7, 0.8, 0.85, 0.95])
+def test_linked_sets_share_a_projection_at_any_similarity(similarity):
+    rng = random.Random(5)
+    link, percent = Link.at(similarity), round(100 * similarity)
+    for n in (1, 2, 3, 4, 5, 6, 7, 9, 17, 40, 300):
+        for _ in range(60):
+            a = {rng.getrandbits(64) for _ in range(n)}
+            b = set(list(a)[rng.randrange(1 + n * (100 - percent) // 100):])
+            for _ in range(rng.randrange(1 + n * (100 - percent) // percent)):
+                b.add(rng.getrandbits(64))
+            if 100 * len(a & b) < percent * len(a | b) or a == b:
+                continue
+            x, y = (projections(np.array(sorted(s), np.uint64), link) for s in (a, b))
+            assert set(x.tolist()) & set(y.tolist())
+
+
+def test_similarity_outside_its_range_is_an_error():
+    for similarity in (0, 1, 1.5):
+        with pytest.raises(ValueError):
+            Link.at(similarity)

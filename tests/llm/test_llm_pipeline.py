@@ -1,5 +1,7 @@
 """The corpus pipeline against a version in plain Python, on awkward rows."""
 
+import random
+import re
 import tempfile
 
 import cases
@@ -82,3 +84,43 @@ def test_empty_table(spark):
     spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0).write.parquet(
         f"{folder}/documents.parquet")
     assert corpus_pipeline.run(spark, folder).collect() == []
+
+
+def brute_stage(rows):
+    """Ids that stay: shingles of five words, similarity 0.8 or more."""
+    sets = {}
+    for r in rows:
+        found = re.findall(r"[^\x20\x09-\x0D]+", r[1].lower())
+        sets[r[0]] = {tuple(found[i:i + 5]) for i in range(max(1, len(found) - 4))}
+    least = {i: i for i in sets}
+    for _ in sets:  # until nothing moves
+        before = dict(least)
+        for a in sets:
+            for b in sets:
+                if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+                    least[a] = least[b] = min(least[a], least[b])
+        if least == before:
+            break
+    return {i for i in sets if least[i] == i}
+
+
+def test_near_duplicates_of_five_words_and_eight_tenths(spark):
+    rng = random.Random(11)
+    base = [f"v{i}" for i in range(100)]
+    edited = base[:]
+    edited[30], edited[70] = "changed", "edited"  # 86 of 106 shingles of five words
+    texts = [" ".join(base), " ".join(edited), "a b c d", "a b c e", "a b c d e f g h", "a b c d e f g x"]
+    for group, size in enumerate((8, 12, 16, 30, 60, 150, 300)):
+        words = [f"w{group}x{rng.randrange(400)}" for _ in range(size)]
+        for _ in range(14):
+            copy = words[:]
+            for _ in range(rng.randrange(1 + max(1, size // 25))):
+                copy[rng.randrange(size)] = f"e{rng.randrange(10**6) if rng.random() < .7 else 7}"
+            texts.append(" ".join(copy[:size - rng.choice((0, 0, 1, size // 12))]))
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    rows = [(i, texts[k], "en", "s", 1, "", 0, "") for i, k in enumerate(order)]
+    got = corpus_pipeline.near_duplicates(spark, cases.frame(spark, rows), "")
+    want = brute_stage(rows)
+    assert {r["doc_id"] for r in got.collect()} == want
+    assert not {order.index(0), order.index(1)} <= want and len(want) < len(rows)
