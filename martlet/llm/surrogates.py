@@ -27,7 +27,7 @@ MAYBE = (r"[0-9@]|AKIA|(?i:password|passwd|token|secret|api.?key)|"
          + "|".join(rf"\b{t}\b" for t in (*_TITLES_M, *_TITLES_F)))
 
 _PART = r"[^\W\d_a-z][^\W\d_]*(?:[-'’][^\W\d_]+)*"
-_FIND = re.compile("|".join((
+_PATTERNS = (
     # from the start of a run only: a match from inside would also match from there
     r"(?P<email>(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@"
     r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+)",
@@ -41,7 +41,18 @@ _FIND = re.compile("|".join((
     r"(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])"
     r"|(?<![\w.])\+\d{1,3}(?:[ .-]?\d){7,12}(?!\w))",
     rf"(?P<title>\b(?:{'|'.join((*_TITLES_M, *_TITLES_F))})\b\.?[ ])(?P<person>{_PART}(?:[ ]{_PART}){{0,2}})",
-)))
+)
+_FIND = re.compile("|".join(_PATTERNS))
+_EACH = [re.compile(p) for p in _PATTERNS]  # in the order in which they are tried
+_AT = {k: i for i, p in enumerate(_EACH) for k in p.groupindex}
+
+# Lengths of IBANs by country.
+_IBAN_LENGTH = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 "
+    "EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 "
+    "KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 "
+    "PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 "
+    "VG24 XK20").split()}
 
 # Given names by script and gender, and family-name endings (fixed values).
 _GIVEN = {
@@ -101,37 +112,78 @@ def script(word: str) -> str:
     return unicodedata.name(word[0], "LATIN").split(" ")[0]
 
 
+def _iban_end(run: str) -> int:
+    """Length of the valid IBAN that a run of groups starts with, or 0."""
+    ends = [i for i in range(len(run), 0, -1) if i == len(run) or run[i] == " "]
+    size = {i: len(run[:i].replace(" ", "")) for i in ends}
+    known = _IBAN_LENGTH.get(run[:2])
+    ends = [*(i for i in ends if size[i] == known), *(i for i in ends if not known or i == len(run))]
+    return next((i for i in ends if size[i] >= 15 and _iban_rest(run[:i].replace(" ", "")) == 1), 0)
+
+
+def _card_end(run: str, inside: bool) -> int:
+    """Length of the valid card that a run of digit groups starts with, or 0. A part of
+    a run (``inside``: it starts in one) must be grouped as cards are."""
+    if run[0] not in "3456" or _EACH[_AT["phone"]].match(run) or _EACH[_AT["ssn"]].match(run):
+        return 0  # the latter start with groups that no card has
+    for i in range(len(run), 12, -1):
+        if i == len(run) or run[i] in " -":
+            part = inside or i < len(run)
+            groups = re.split("[ -]", run[:i])
+            if len(digits := "".join(groups)) >= 13 and _luhn(digits) == 0 and not (
+                    part and any(len(g) < 4 for g in groups[:-1])):
+                return i
+    return 0
+
+
+def _mention(m: re.Match, inside: bool) -> Mention | None:
+    """What a match stands for, if it passes the checks of its kind."""
+    kind, (start, end) = m.lastgroup, m.span()
+    if kind == "value":
+        return Mention(*m.span("value"), "secret", m["value"])
+    if kind == "person":
+        gender = "m" if m["title"].rstrip(". ") in _TITLES_M else "f"
+        return Mention(*m.span("person"), "name", gender + ":" + m["person"].lower())
+    if kind == "email":
+        return Mention(start, end, kind, m[0].lower())
+    if kind == "ip":
+        parts = [int(x) for x in m[0].split(".")]
+        return Mention(start, end, kind, ".".join(map(str, parts))) if max(parts) < 256 else None
+    if kind == "iban":
+        n = _iban_end(m[0])
+        return Mention(start, start + n, kind, m[0][:n].replace(" ", "")) if n else None
+    if kind == "card":
+        n = _card_end(m[0], inside)
+        return Mention(start, start + n, kind, _digits(m[0][:n])) if n else None
+    if kind == "phone":
+        return Mention(start, end, kind, _phone(m[0])) if _is_phone(m[0]) else None
+    return Mention(start, end, kind, _digits(m[0]) if kind == "ssn" else m[0])
+
+
 def find(text: str) -> list[Mention]:
     """All mentions of a text, in order and apart from one another."""
     out, people = [], {}
-    for m in _FIND.finditer(text):
-        kind = m.lastgroup
-        if kind == "value":
-            out.append(Mention(*m.span("value"), "secret", m["value"]))
-        elif kind == "person":
-            title = m["title"].rstrip(". ")
-            gender = "m" if title in _TITLES_M else "f"
-            canon = gender + ":" + m["person"].lower()
-            out.append(Mention(*m.span("person"), "name", canon))
-            people.setdefault(m["person"].split(" ")[-1], (canon, len(m["person"].split(" ")) - 1))
-        elif kind == "email":
-            out.append(Mention(*m.span(), kind, m[0].lower()))
-        elif kind == "secret":
-            out.append(Mention(*m.span(), kind, m[0]))
-        elif kind == "ip":
-            if all(int(x) < 256 for x in m[0].split(".")):
-                out.append(Mention(*m.span(), kind, ".".join(str(int(x)) for x in m[0].split("."))))
-        elif kind == "iban":
-            value = m[0].replace(" ", "")
-            if _iban_rest(value) == 1:
-                out.append(Mention(*m.span(), kind, value))
-        elif kind == "card":
-            if _luhn(_digits(m[0])) == 0 and m[0][0] in "3456":
-                out.append(Mention(*m.span(), kind, _digits(m[0])))
-        elif kind == "ssn":
-            out.append(Mention(*m.span(), kind, _digits(m[0])))
-        elif kind == "phone" and _is_phone(m[0]):
-            out.append(Mention(*m.span(), kind, _phone(m[0])))
+    at = run = 0  # run: end of the last digits that are no card as a whole
+    while m := _FIND.search(text, at):
+        start = m.start()
+        found = _mention(m, start < run)
+        if found is None:  # the other kinds get their turn, here and further on
+            if m.lastgroup == "card":
+                run = max(run, m.end())
+            for each in _EACH[_AT[m.lastgroup] + 1:]:
+                if (other := each.match(text, start)) and (found := _mention(other, start < run)):
+                    m = other
+                    break
+        if found is None:
+            at = start + 1
+            continue
+        out.append(found)
+        at = found.end
+        if m.lastgroup == "card" and found.end < m.end():
+            run = max(run, m.end())
+        elif m.lastgroup == "person":
+            words = m["person"].split(" ")
+            people.setdefault(words[-1], (found.canon, len(words) - 1))
     if people:  # later mentions by the last part of the name alone
         taken = [(x.start, x.end) for x in out]
         again = re.compile(r"\b(?:" + "|".join(map(re.escape, people)) + r")\b")

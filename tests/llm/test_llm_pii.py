@@ -29,6 +29,28 @@ def test_every_kind_is_found_and_decoys_are_not():
     assert s.find("Licensed under CC BY-NC 4.0. 5374040645122205 of 1234567 and 12.05.2020") == []
 
 
+def found(text):
+    return [(m.kind, text[m.start:m.end]) for m in s.find(text)]
+
+
+def test_a_failed_check_leaves_the_text_to_shorter_runs_and_other_kinds():
+    card, iban = ("card", "4111 1111 1111 1111"), ("iban", "GB82 WEST 1234 5698 7654 32")
+    phones = [("phone", "555 123 4567"), ("phone", "555 987 6543")]
+    for text, want in (
+            ("4111 1111 1111 1111 123", [card]), ("4111 1111 1111 1111 12/27", [card]),
+            ("4111-1111-1111-1111-123", [("card", "4111-1111-1111-1111")]),
+            ("no 12 4111 1111 1111 1111", [card]), ("AB12 4111 1111 1111 1111", [card]),
+            ("GB82 WEST 1234 5698 7654 32 BIC ABCDEF", [iban]), ("GB82 WEST 1234 5698 7654 32 OK", [iban]),
+            ("GB82WEST12345698765432 OK", [("iban", "GB82WEST12345698765432")]),
+            ("555 123 4567 555 987 6543", phones), ("555 123 4567 123-45-6789", [phones[0], ("ssn", "123-45-6789")]),
+            ("3953 4047 0717 3035 and 12 14 16 30 41 22 17 19 55 60", [])):
+        assert found(text) == want, text
+        assert s.replace(text, given_for(text))[1] == len(want)
+    for n in range(1000):  # whatever the second number is, no checksum joins it to the first
+        text = f"555 123 4567 555 {n:03d} 6543"
+        assert [k for k, _ in found(text)] == ["phone", "phone"], text
+
+
 def test_surrogates_keep_type_format_and_coreference():
     new, n = s.replace(TEXT, given_for(TEXT))
     assert n == 16 and kinds(new) == kinds(TEXT)
