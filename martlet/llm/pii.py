@@ -39,7 +39,7 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for digest, text in zip(*(c.to_pylist() for c in batch.columns)):
             rows += [(digest, kind, canon) for kind, canon in sorted(
-                {(m.kind, s.base(m.canon)) for m in s.find(text or "")})]
+                {(m.kind, m.entity) for m in s.find(text or "")})]
         columns = list(zip(*rows)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns],
                                          names=["digest", "kind", "canon"])

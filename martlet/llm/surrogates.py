@@ -27,13 +27,17 @@ MAYBE = (r"[0-9@]|AKIA|(?i:password|passwd|token|secret|api.?key)|"
          + "|".join(rf"\b{t}\b" for t in (*_TITLES_M, *_TITLES_F)))
 
 _PART = r"[^\W\d_a-z][^\W\d_]*(?:[-'’][^\W\d_]+)*"
+# What is assigned without quotes runs to white space, a quote or a delimiter ("&" only before
+# another assignment); marks that may close a sentence or bracket do not end it.
+_RUN = r"(?:[!#$%()*+\-./0-9:=?@A-Z\[\\\]^_a-z{}~\u00C0-\u058F]|&(?![\w.-]{1,40}=))"
 _PATTERNS = (
     # from the start of a run only: a match from inside would also match from there
     r"(?P<email>(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@"
     r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+)",
     r"(?P<secret>(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9]))",
-    r"(?P<assigned>(?i:password|passwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?)"
-    r"(?P<value>[A-Za-z0-9+/_-]{8,128})",
+    r"(?P<assigned>(?i:password|passwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3})"
+    r"(?:(?P<quote>[\"'])(?P<quoted>(?:\\.|(?!(?P=quote))[^\\\n]){8,}+)(?P=quote)(?!\w)"
+    rf"|[\"']?(?P<value>{_RUN}{{8,}}(?<![.:?)\]}}])))",
     r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]){11,30}(?![A-Za-z0-9]))",
     r"(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d))",
     r"(?P<card>(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]))",
@@ -43,6 +47,7 @@ _PATTERNS = (
     rf"(?P<title>\b(?:{'|'.join((*_TITLES_M, *_TITLES_F))})\b\.?[ ])(?P<person>{_PART}(?:[ ]{_PART}){{0,2}})",
 )
 _FIND = re.compile("|".join(_PATTERNS))
+_BARE = re.compile(rf"([mf]:(?:[^\W\d_]|[-'’ ])+)#\d+")
 _EACH = [re.compile(p) for p in _PATTERNS]  # in the order in which they are tried
 _AT = {k: i for i, p in enumerate(_EACH) for k in p.groupindex}
 
@@ -70,6 +75,7 @@ _SYLLABLES = {
                  "фу", "че", "ша"],
 }
 _LEAST_DOMAIN = 10**7
+_BLOCK = 128  # letters of a long secret that are permuted at once
 
 
 @dataclass(frozen=True)
@@ -79,6 +85,10 @@ class Mention:
     kind: str
     canon: str
 
+    @property
+    def entity(self) -> str:
+        return base(self.canon) if self.kind == "name" else self.canon
+
 
 def _luhn(digits: str) -> int:
     total = 0
@@ -139,8 +149,11 @@ def _card_end(run: str, inside: bool) -> int:
 def _mention(m: re.Match, inside: bool) -> Mention | None:
     """What a match stands for, if it passes the checks of its kind."""
     kind, (start, end) = m.lastgroup, m.span()
-    if kind == "value":
-        return Mention(*m.span("value"), "secret", m["value"])
+    if kind in ("value", "quoted"):
+        for other in (_EACH[_AT["email"]], _EACH[_AT["ip"]]):  # these keep their kind
+            if whole := other.fullmatch(m.string, *m.span(kind)):
+                return _mention(whole, inside) or Mention(*m.span(kind), "secret", m[kind])
+        return Mention(*m.span(kind), "secret", m[kind]) if any(map(str.isalnum, m[kind])) else None
     if kind == "person":
         gender = "m" if m["title"].rstrip(". ") in _TITLES_M else "f"
         return Mention(*m.span("person"), "name", gender + ":" + m["person"].lower())
@@ -197,7 +210,8 @@ def find(text: str) -> list[Mention]:
 
 def base(canon: str) -> str:
     """The entity a mention stands for (a bare family name: its person)."""
-    return canon.rpartition("#")[0] or canon
+    bare = _BARE.fullmatch(canon)
+    return bare[1] if bare else canon
 
 
 # -- keyed permutations ------------------------------------------------------
@@ -312,8 +326,10 @@ def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
     if kind == "phone":
         plus, digits = canon[:-10] if len(canon) > 10 else "", canon[-10:]
         return plus + _permute_text(digits, key, tweak + "|" + plus)
-    if kind == "secret" and canon.startswith("AKIA"):
-        return "AKIA" + _permute_mixed(canon[4:], key, tweak)
+    if kind == "secret":
+        if re.fullmatch("AKIA[A-Z0-9]{16}", canon):
+            return "AKIA" + _permute_mixed(canon[4:], key, tweak)
+        return _secret(canon, key, tweak)
     if kind == "name":
         gender, _, person = canon.partition(":")
         *given, last = person.split(" ")
@@ -327,6 +343,23 @@ def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
     return _permute_text(canon, key, tweak)
 
 
+def _secret(canon: str, key: bytes, tweak: str) -> str:
+    """Any length: a long text goes by equal blocks, each drawn by the whole text. Letters
+    beyond ASCII become ASCII letters."""
+    blocks = -(-len(canon) // _BLOCK)
+    if blocks == 1 and canon.isascii():
+        return _permute_text(canon, key, tweak, grow=True)
+    size = -(-len(canon) // blocks)
+    tweak += "|" + hashlib.blake2b(canon.encode(), key=key, digest_size=32).hexdigest()
+    out = [_permute_text(canon[i:i + size], key, f"{tweak}|{i}", grow=blocks == 1)
+           for i in range(0, len(canon), size)]
+    if canon.isascii():
+        return "".join(out)
+    stream = hashlib.shake_256(key + tweak.encode()).digest(len(canon) + 8)
+    return "".join((_UPPER if c.isupper() else _LOWER)[stream[i] % 26] if c.isalnum() and not c.isascii()
+                   else c for i, c in enumerate("".join(out)))
+
+
 def _permute_mixed(text: str, key: bytes, tweak: str) -> str:
     """Upper-case letters and digits as one alphabet."""
     alphabet = _UPPER + _NUM
@@ -370,7 +403,7 @@ def replace(text: str, given: dict[tuple[str, str], str]) -> tuple[str, int]:
     """(text with the surrogates of ``given`` for its entities, mentions replaced)."""
     out, at, n = [], 0, 0
     for m in find(text):
-        new = given.get((m.kind, base(m.canon)))
+        new = given.get((m.kind, m.entity))
         if new is None:
             continue
         out += [text[at:m.start], render(m, text[m.start:m.end], new)]

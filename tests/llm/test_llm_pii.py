@@ -51,6 +51,35 @@ def test_a_failed_check_leaves_the_text_to_shorter_runs_and_other_kinds():
         assert [k for k, _ in found(text)] == ["phone", "phone"], text
 
 
+def test_assigned_secrets_run_to_their_end():
+    long = "aB3" * 400
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dBjftJeZ4CVPmB92K27uhbUJU1p1r_wW1gFWFOEjXk"
+    mail = ("email", "jo.12@mail.example.com")
+    for text, want in (
+            (f"token={long} next", long), (f"token: {jwt}, then", jwt), (f"x?token={jwt}&user=jane", jwt),
+            ("password=correct1!horse", "correct1!horse"), ("(password=p@ss#w0rd&9)", "p@ss#w0rd&9"),
+            ('password="correct horse\\" battery" ok', 'correct horse\\" battery'),
+            ("secret = 'a1b2c3d4e5==' and", "a1b2c3d4e5=="), ("It is password=abcdefgh1. Then", "abcdefgh1"),
+            ("<p>api_key=abcdef12345</p>", "abcdef12345"), ("password=pässwörd12", "pässwörd12"),
+            ("token=AKIAabcd.12345", "AKIAabcd.12345"), ("password=a:bcdefgh#12", "a:bcdefgh#12")):
+        assert found(text) == [("secret", want)], text
+        new, n = s.replace(text, given_for(text))
+        at = text.index(want)
+        assert n == 1 and new[:at] == text[:at] and new.endswith(text[at + len(want):])
+        made = new[at:len(new) - len(text) + at + len(want)]
+        assert len(made) == len(want) and made != want
+        for i in range(0, len(want) - 7, 7):  # nothing of the value stays
+            assert made[i:i + 8] != want[i:i + 8] or not want[i:i + 8].isalnum()
+    assert found(f"password: {mail[1]}") == [mail] and found("token: 10.1.2.3") == [("ip", "10.1.2.3")]
+    assert found("password: ******** or token: abc") == []
+    few = "password=*******7"
+    assert len({s.surrogate("secret", f"*******{i}", KEY) for i in range(10)}) == 10
+    assert s.replace(few, given_for(few))[0] != few
+    assert s.find("password=m:abcdefgh#12")[0].entity == "m:abcdefgh#12"  # no part of a name
+    huge = "x" * 300_000
+    assert len(s.surrogate("secret", huge, KEY)) == len(huge)
+
+
 def test_surrogates_keep_type_format_and_coreference():
     new, n = s.replace(TEXT, given_for(TEXT))
     assert n == 16 and kinds(new) == kinds(TEXT)
