@@ -170,14 +170,18 @@ def _sketch(words: int, link: Link):
         seen: set[int] = set()
         for batch in batches:
             sizes, first, second, regions = [], [], [], []
-            for text in batch.column(1).to_pylist():
+            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 own = shingles(text, words)
                 digest = xxhash.xxh3_128_intdigest(own.tobytes())
                 sizes.append(len(own))
                 first.append(h1 := (digest >> 64) - (1 << 63))
                 second.append((digest & ((1 << 64) - 1)) - (1 << 63))
-                # copies of a set met before in this task add nothing to its regions
-                regions.append(None if h1 in seen else _signed(projections(own, link)))
+                # copies of a set met before in this task add nothing to its regions, nor do
+                # rows without an id, which take no part
+                if doc_id is None or h1 in seen:
+                    regions.append(None)
+                    continue
+                regions.append(_signed(projections(own, link)))
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(h1)

@@ -53,6 +53,14 @@ def test_awkward_rows(spark):
     check(spark, cases.rows())
 
 
+def test_a_copy_without_id_ahead_of_a_linked_pair(spark):
+    base = [f"word{i}" for i in range(80)]
+    near = " ".join([*base[:40], "other", *base[41:]])
+    rows = [(i, t, "en", "s", 1, "", 0, "") for i, t in ((None, " ".join(base)), (7, " ".join(base)), (3, near))]
+    got = near_duplicates(cases.frame(spark, rows).coalesce(1)).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got if r["doc_id"]) == [(3, 3), (7, 3)]
+
+
 def test_empty(spark):
     assert near_duplicates(cases.frame(spark, [])).collect() == []
 
