@@ -4,7 +4,7 @@ Every stage takes what the one before kept, as Parquet, and all but the last
 return the columns of ``documents``:
 
 1. ``language_id`` drops documents in which no language can be told (no text
-   or no letter);
+   or no letter; only these where no row has a language to learn);
 2. ``exact_dedup`` keeps the row with the smallest id of every group of equal
    texts, and of a repeated row one;
 3. ``jaccard_join`` keeps the smallest id of every component of near duplicates:
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.train(language.training_rows(docs))
+    if not model.languages:  # nothing to learn from: one language, that of any letter
+        model = language.Model(["any"], np.zeros((1, language.BUCKETS), np.float32))
     found = language.predict(docs, model, keep=docs.columns)
     return found.where(F.col("lang_pred") != language.UNKNOWN).select("row.*")
 

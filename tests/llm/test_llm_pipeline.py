@@ -3,6 +3,7 @@
 import random
 import re
 import tempfile
+import zlib
 
 import cases
 import corpus_pipeline
@@ -124,3 +125,13 @@ def test_near_duplicates_of_five_words_and_eight_tenths(spark):
     want = brute_stage(rows)
     assert {r["doc_id"] for r in got.collect()} == want
     assert not {order.index(0), order.index(1)} <= want and len(want) < len(rows)
+
+
+def test_documents_stay_where_no_language_can_be_learned(spark):
+    texts = ["some words", "日本語", None, "", "12 !", "more of them"]
+    held_out = next(i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 4 == 2)
+    for last in ((50, None), (held_out, "en")):
+        rows = [(i, t, None, "s", 1, "", 0, "") for i, t in enumerate(texts)] + [
+            (last[0], "the last", last[1], "s", 1, "", 0, "")]
+        got = corpus_pipeline.language_id(spark, cases.frame(spark, rows), "").collect()
+        assert sorted(r["doc_id"] for r in got) == [0, 1, 5, last[0]]
