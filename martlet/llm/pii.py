@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 from martlet.llm import surrogates as s
 from martlet.llm.common import Stage, extended, prepare
 
-MOST_ATTEMPTS = 100  # draws before a kind is declared too crowded (an error)
+# Draws before a kind is declared too crowded (an error). From ``surrogates.WIDEN`` draws on,
+# private addresses, names, emails and secrets have wider targets; the fixed formats do not.
+MOST_ATTEMPTS = 100
 
 
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -75,6 +75,7 @@ _SYLLABLES = {
                  "фу", "че", "ша"],
 }
 _LEAST_DOMAIN = 10**7
+WIDEN = 8  # draws after which a crowded shape gets a wider target, and again after as many
 _BLOCK = 128  # letters of a long secret that are permuted at once
 
 
@@ -243,7 +244,7 @@ def _alphabet(c: str, whole: str) -> str | None:
     return next((a for a in (_LOWER, _UPPER, _NUM) if c in a), None)
 
 
-def _permute_text(text: str, key: bytes, tweak: str, grow: bool = False) -> str:
+def _permute_text(text: str, key: bytes, tweak: str, grow: int = 0) -> str:
     """Letters to letters of their case, digits to digits, the rest kept."""
     sets = [_alphabet(c, text) for c in text]
     extra = []
@@ -251,7 +252,7 @@ def _permute_text(text: str, key: bytes, tweak: str, grow: bool = False) -> str:
     for a in sets:
         size *= len(a) if a else 1
     if grow:  # too few texts of this shape: lead with letters
-        while size < _LEAST_DOMAIN:
+        while size < grow:
             extra.append(_LOWER)
             size *= len(_LOWER)
     value = 0
@@ -270,9 +271,10 @@ def _permute_text(text: str, key: bytes, tweak: str, grow: bool = False) -> str:
     return "".join(reversed(out))
 
 
-def _family(word: str, key: bytes, tweak: str) -> str:
+def _family(word: str, key: bytes, tweak: str, wide: int = 0) -> str:
     name = script(word)
     if name not in _SYLLABLES:  # another script: letters of the word's own block
+        word += word[-1] * wide
         value = 0
         for c in word:
             value = value * 16 + ord(c) % 16
@@ -286,15 +288,30 @@ def _family(word: str, key: bytes, tweak: str) -> str:
     h = int.from_bytes(hashlib.blake2b((tweak + "|" + word).encode(), key=key, digest_size=8
                                        ).digest(), "big")
     syllables = _SYLLABLES[name]
-    return "".join(syllables[(h >> (4 * i)) % 16] for i in range(5))
+    return "".join(syllables[(h >> (4 * i)) % 16] for i in range(min(16, 5 + wide)))
 
 
-def _ip(canon: str, key: bytes, tweak: str) -> str:
+_PRIVATE = ((0x0A000000, 24), (0xAC100000, 20), (0xC0A80000, 16))
+
+
+def _private(value: int, key: bytes, tweak: str) -> int:
+    """A private address moved within all private blocks, as one range."""
+    firsts = [sum(1 << bits for _, bits in _PRIVATE[:i]) for i in range(4)]
+    at = next(i for i, (low, bits) in enumerate(_PRIVATE) if value >> bits == low >> bits)
+    value = permute(value - _PRIVATE[at][0] + firsts[at], firsts[3], key, tweak + "|private")
+    at = next(i for i in range(3) if value < firsts[i + 1])
+    return _PRIVATE[at][0] + value - firsts[at]
+
+
+def _ip(canon: str, key: bytes, tweak: str, wide: int = 0) -> str:
     a, b, c, d = map(int, canon.split("."))
     value = (a << 24) | (b << 16) | (c << 8) | d
-    for low, bits in ((0x0A000000, 24), (0xAC100000, 20), (0xC0A80000, 16), (0x7F000000, 24)):
-        if value >> bits == low >> bits:  # stays in its private block
-            value = low + permute(value - low, 1 << bits, key, f"{tweak}|{bits}|{low}")
+    for low, bits in (*_PRIVATE, (0x7F000000, 24)):
+        if value >> bits == low >> bits:  # stays in its private block, or private in a crowded one
+            if wide and (low, bits) in _PRIVATE:
+                value = _private(value, key, tweak)
+            else:
+                value = low + permute(value - low, 1 << bits, key, f"{tweak}|{bits}|{low}")
             break
     else:
         while True:  # walk past private and special blocks
@@ -308,15 +325,16 @@ def _ip(canon: str, key: bytes, tweak: str) -> str:
 
 def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
     """The canonical surrogate of an entity; another one for every ``attempt``."""
-    tweak = f"{kind}|{attempt}"
+    tweak, wide = f"{kind}|{attempt}", attempt // WIDEN
+    least = _LEAST_DOMAIN << (8 * wide)
     if kind == "email":
         local, _, domain = canon.partition("@")
         host, _, top = domain.rpartition(".")
         if not re.fullmatch(r"(.*\.)?example", host):  # reserved names stay
             host = ".".join(_permute_text(x, key, "host") for x in host.split("."))
-        return f"{_permute_text(local, key, tweak + '|' + domain, grow=True)}@{host}.{top}"
+        return f"{_permute_text(local, key, tweak + '|' + domain, grow=least)}@{host}.{top}"
     if kind == "ip":
-        return _ip(canon, key, tweak)
+        return _ip(canon, key, tweak, wide)
     if kind == "card":  # issuer digit and validity stay
         inner = _permute_text(canon[1:-1], key, tweak + canon[0])
         return next(x for x in (canon[0] + inner + c for c in _NUM) if _luhn(x) == 0)
@@ -329,7 +347,7 @@ def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
     if kind == "secret":
         if re.fullmatch("AKIA[A-Z0-9]{16}", canon):
             return "AKIA" + _permute_mixed(canon[4:], key, tweak)
-        return _secret(canon, key, tweak)
+        return _secret(canon, key, tweak, least)
     if kind == "name":
         gender, _, person = canon.partition(":")
         *given, last = person.split(" ")
@@ -338,20 +356,20 @@ def surrogate(kind: str, canon: str, key: bytes, attempt: int = 0) -> str:
             names = _GIVEN.get((script(word), gender))
             h = hashlib.blake2b(f"{tweak}|{gender}|{i}|{word}".encode(), key=key, digest_size=8)
             out.append(names[int(h.hexdigest(), 16) % len(names)] if names
-                       else _family(word, key, tweak))
-        return f"{gender}:" + " ".join([*out, _family(last, key, tweak + "|" + person)])
+                       else _family(word, key, tweak, wide))
+        return f"{gender}:" + " ".join([*out, _family(last, key, tweak + "|" + person, wide)])
     return _permute_text(canon, key, tweak)
 
 
-def _secret(canon: str, key: bytes, tweak: str) -> str:
+def _secret(canon: str, key: bytes, tweak: str, least: int) -> str:
     """Any length: a long text goes by equal blocks, each drawn by the whole text. Letters
     beyond ASCII become ASCII letters."""
     blocks = -(-len(canon) // _BLOCK)
     if blocks == 1 and canon.isascii():
-        return _permute_text(canon, key, tweak, grow=True)
+        return _permute_text(canon, key, tweak, grow=least)
     size = -(-len(canon) // blocks)
     tweak += "|" + hashlib.blake2b(canon.encode(), key=key, digest_size=32).hexdigest()
-    out = [_permute_text(canon[i:i + size], key, f"{tweak}|{i}", grow=blocks == 1)
+    out = [_permute_text(canon[i:i + size], key, f"{tweak}|{i}", grow=least if blocks == 1 else 0)
            for i in range(0, len(canon), size)]
     if canon.isascii():
         return "".join(out)

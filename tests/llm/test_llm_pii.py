@@ -1,3 +1,4 @@
+import ipaddress
 import re
 
 import cases
@@ -135,6 +136,19 @@ def test_collisions_are_drawn_again(spark, monkeypatch):
     assert len(set(made)) == 40 and not set(made) & {c for _, c in rows}
 
 
+def test_crowded_shapes_get_wider_targets(spark):
+    names = [f"m:{chr(0x4E00 + i)}{chr(0x4E10 + j)}" for i in range(16) for j in range(16)]
+    got = assign(spark.createDataFrame([("name", n) for n in names], "kind string, canon string"), KEY,
+                 Stage(spark, "t")).collect()
+    made = {r["surrogate"] for r in got}
+    assert len(made) == len(names) and not made & set(names)
+    every = [s.surrogate("ip", f"192.168.{i >> 8}.{i & 255}", KEY, s.WIDEN) for i in range(0, 65536, 16)]
+    assert len(set(every)) == 4096 and sum(x.startswith("10.") for x in every) > 3000
+    assert all(ipaddress.ip_address(x).is_private for x in every)
+    for kind, canon in (("name", "f:anna li"), ("secret", "*******7"), ("email", "12345678@a.example")):
+        assert len(s.surrogate(kind, canon, KEY, s.WIDEN)) > len(s.surrogate(kind, canon, KEY, 0))
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.from_regex(r"[3-6][0-9]{11,17}", fullmatch=True))
 def test_card_surrogates_are_valid_cards(body):
