@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm import exact_dedup, jaccard_join, language, nn_descent, packing, pieces, pii, quality, toxicity, url_filter
+from martlet.llm import (
+    centroids, exact_dedup, jaccard_join, language, lexical, nn_descent, packing, pieces, pii, quality, simhash, toxicity,
+    url_filter)
 from martlet.llm.common import fold, table
 
 # The rules the URL query judges by (fixed values of its contract).
@@ -103,6 +105,92 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_pii(table(spark, sf_dir, "documents"), PII_KEY)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+), q AS (
+  SELECT item_id, term, count(*) AS qtf FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item_id, term
+), c AS (
+  SELECT count(*)::BIGINT AS docs, sum(len(t))::BIGINT AS total FROM d WHERE len(t) > 0
+), f AS (
+  SELECT doc_id, term, count(*)::BIGINT AS tf FROM (
+    SELECT doc_id, unnest(t) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term
+), w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+  FROM (SELECT term, count(*)::BIGINT AS df FROM f GROUP BY term), c
+), m AS (
+  SELECT doc_id, 75 + (25 * len(t)::BIGINT * docs) // total AS m FROM d, c WHERE len(t) > 0
+), s AS (
+  SELECT item_id, doc_id,
+         sum(qtf * weight * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM q JOIN f USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id
+), r AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank,
+         doc_id, score FROM s WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
+def op12_laesa_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def _op12_sql() -> str:
+    """The rounds written out, over one row a vector and component."""
+    steps = ["""
+v AS MATERIALIZED (
+  SELECT vec_id, unnest(generate_series(1, 64)) AS pos,
+         unnest(list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+)""", """
+c0 AS MATERIALIZED (
+  SELECT cluster, pos, x FROM v JOIN (
+    SELECT vec_id, (row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1)::INTEGER AS cluster
+    FROM (SELECT DISTINCT vec_id FROM v)) USING (vec_id) WHERE cluster < 40
+)"""]
+    for i in range(6):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT vec_id, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance FROM (
+    SELECT vec_id, cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance
+    FROM v JOIN c{i} c USING (pos) GROUP BY vec_id, cluster)
+  GROUP BY vec_id
+)""")
+        if i < 5:
+            steps.append(f"""
+c{i + 1} AS MATERIALIZED (
+  SELECT cluster, pos, coalesce(n.x, c.x) AS x FROM c{i} c LEFT JOIN (
+    SELECT cluster, pos, floor(sum(x)::DOUBLE / count(*))::BIGINT AS x
+    FROM v JOIN a{i} USING (vec_id) GROUP BY cluster, pos) n USING (cluster, pos)
+)""")
+    return "WITH " + ",".join(steps) + """
+SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia, centroid_sha256
+FROM a5 JOIN (SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY pos)) AS centroid_sha256
+              FROM c5 GROUP BY cluster) USING (cluster)
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_curve_packing": op1_curve_packing,
     "op2_jaccard_join": op2_jaccard_join,
@@ -114,8 +202,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_quality_cotraining": op9_quality_cotraining,
     "op10_pii_surrogates": op10_pii_surrogates,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_laesa_clusters": op12_laesa_clusters,
+    "op13_simhash_pigeonhole": op13_simhash_pigeonhole,
 }
 
 QUERIES_SQL: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
+    "op11_lexical_search": OP11_SQL,
+    "op12_laesa_clusters": OP12_SQL,
 }

@@ -69,12 +69,14 @@ def matched_rule(rules: list[Rule], host: Column, path: Column) -> tuple[Column,
 
 
 def _hashed_grams(part: Column, mark: str, n: int) -> Column:
-    chars = F.split(part, "")
     starts = F.when(F.length(part) >= n, F.sequence(F.lit(0), F.length(part) - F.lit(n))).otherwise(
         F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.pmod(
-        F.xxhash64(F.lit(mark), *[F.get(chars, i + F.lit(k)) for k in range(n)]),
-        F.lit(BUCKETS)).cast("int"))
+    # the characters are bound to a variable of their own: inside the inner lambda an
+    # expression would be evaluated again for every n-gram
+    return F.flatten(F.transform(F.array(F.split(part, "")), lambda chars: F.transform(
+        starts, lambda i: F.pmod(
+            F.xxhash64(F.lit(mark), *[F.get(chars, i + F.lit(k)) for k in range(n)]),
+            F.lit(BUCKETS)).cast("int"))))
 
 
 def features(host: Column, path: Column) -> Column:
