@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from martlet.functions.timekeys import blank_to_null
 from martlet.operators import checks, facts
-from martlet.plans import oracle
+from martlet.plans import oracle, warehouse
 from martlet.plans.mart import METRICS, Mart, publish_mart, write_mart
 from martlet.plans.store import stored_mart, stored_staging
 from martlet.session import ensure_conf, shared_dir
@@ -241,4 +241,8 @@ QUERIES["mart_rebuild"] = _mart_rebuild
 ORACLE_SQL["mart_rebuild"] = oracle.with_star(
     "SELECT order_id, count(*) AS lines FROM fact_order_items GROUP BY order_id")
 
+# -- versions, upserts, maintenance, reconciliation, rejects, drift --------------
+QUERIES |= warehouse.QUERIES
+ORACLE_SQL |= warehouse.ORACLE_SQL
+
 FLAGSHIP = "fact_orders"
