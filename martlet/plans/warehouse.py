@@ -19,6 +19,9 @@ from martlet.plans import oracle
 from martlet.plans.star_versions import StarVersions, staging_changes
 from martlet.plans.store import stored_staging
 from martlet.session import shared_dir
+from martlet.sources.ingest import FILE_PREFIX, FILE_SUFFIX, ingest_csv, read_rejects
+from martlet.sources.reconcile import content_report, digest
+from martlet.sources.staging import STAGING_SCHEMAS
 from martlet.streaming.upsert import UpsertTable, incremental_upsert
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +158,88 @@ FROM fact_orders o LEFT JOIN (
   SELECT order_id, count(*) AS lines, sum(CAST(total_price AS DECIMAL(18,2))) AS revenue
   FROM fact_order_items GROUP BY order_id) USING (order_id)
 GROUP BY 1""")
+
+
+# -- reconciliation by content (S8) --------------------------------------------------
+
+
+def ingest_content_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payments as a CSV file, loaded and reconciled by content; then against the stored
+    table with one value altered, and with the types of two payments swapped."""
+    folder = work_folder(spark, "csv")
+    file = f"{folder}/{FILE_PREFIX}order_payments{FILE_SUFFIX}.csv"
+    stored_staging(spark, sf_dir).order_payments.write.option("header", True).option(
+        "quoteAll", True).option("escape", '"').csv(file)
+    loaded = ingest_csv(spark, file, f"{folder}/staging", content=True,
+                        schema=STAGING_SCHEMAS["stg_order_payments"])
+    rows = spark.read.parquet(loaded.path)
+    first = F.col("payment_sequential") == 1
+    one, other = (rows.where(first & (F.col("payment_type") == kind)).agg(
+        F.min(F.col("order_id").cast("bigint")).cast("string")).first()[0] for kind in ("boleto", "voucher"))
+    altered = rows.withColumn("payment_value", F.when(
+        first & (F.col("order_id") == one), F.col("payment_value") + 0.01).otherwise(F.col("payment_value")))
+    swapped = rows.withColumn("payment_type", F.when(first & (F.col("order_id") == one), "voucher").when(
+        first & (F.col("order_id") == other), "boleto").otherwise(F.col("payment_type")))
+    source = loaded.source_content
+    return content_report(spark, {
+        "loaded": (source, loaded.target_content), "altered": (source, digest(altered)),
+        "swapped": (source, digest(swapped.repartition(3)))})
+
+
+QUERIES["ingest_content_reconciliation"] = ingest_content_reconciliation
+ORACLE_SQL["ingest_content_reconciliation"] = oracle.with_star("""
+SELECT t AS "table", c AS "column", n AS source_rows, n AS target_rows,
+       NOT ((t = 'altered' AND c IN ('*', 'payment_value')) OR (t = 'swapped' AND c = '*')) AS match
+FROM (VALUES ('loaded'), ('altered'), ('swapped')) AS tables(t),
+     (VALUES ('*'), ('order_id'), ('payment_sequential'), ('payment_type'), ('payment_installments'),
+             ('payment_value')) AS columns(c),
+     (SELECT count(*) AS n FROM stg_order_payments)""")
+
+
+# -- rejected records (S3) -------------------------------------------------------------
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments from a file in which some records have a field too many, some a word for a
+    number and some lack their last field: the rejected records, and the rows staged per reason
+    they could have been lost for."""
+    folder = work_folder(spark, "csv")
+    file = f"{folder}/{FILE_PREFIX}order_payments{FILE_SUFFIX}.csv"
+    names = STAGING_SCHEMAS["stg_order_payments"].names
+    pay = stored_staging(spark, sf_dir).order_payments
+    k, seq = F.col("order_id").cast("bigint"), F.col("payment_sequential")
+    value = F.when((k % 7 == 2) & (seq == 1), F.lit("much")).otherwise(
+        F.format_string("%.2f", "payment_value"))
+    fields = F.concat_ws(",", "order_id", "payment_sequential", F.concat(
+        F.lit('"'), "payment_type", F.lit('"')), "payment_installments")
+    line = F.when((k % 13 == 5) & (seq == 1), fields).when(
+        (k % 11 == 3) & (seq == 1), F.concat_ws(",", fields, value, F.lit('"one, more"'))).otherwise(
+            F.concat_ws(",", fields, value))
+    # every part file begins with the header: the first row of each task carries it
+    begins = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    pay.select(F.when(begins, F.concat(F.lit(",".join(names) + "\n"), line)).otherwise(line)).write.text(file)
+    loaded = ingest_csv(spark, file, f"{folder}/staging", schema=STAGING_SCHEMAS["stg_order_payments"],
+                        rejects_dir=f"{folder}/rejects")
+    staged = spark.read.parquet(loaded.path)
+    return read_rejects(spark, loaded.rejects).select(
+        "reason", "record", (F.col("file").contains(FILE_SUFFIX) & (F.col("split_length") > 0)).alias("placed"),
+        staged.agg(F.count("*")).scalar().alias("staged_rows"),
+        staged.agg(F.count_if(F.col("payment_value").isNull())).scalar().alias("short_rows"))
+
+
+QUERIES["csv_rejects"] = csv_rejects
+ORACLE_SQL["csv_rejects"] = oracle.with_star("""
+, p AS (
+  SELECT *, seq = 1 AND k % 13 = 5 AS short, seq = 1 AND k % 11 = 3 AS long, seq = 1 AND k % 7 = 2 AS word
+  FROM (SELECT *, CAST(order_id AS BIGINT) AS k, payment_sequential AS seq FROM stg_order_payments)
+)
+SELECT CASE WHEN long THEN 'too many fields'
+            ELSE 'not a value of the column''s type: payment_value' END AS reason,
+       concat_ws(',', order_id, seq, CASE WHEN long THEN '"' || payment_type || '"' ELSE payment_type END,
+                 payment_installments,
+                 CASE WHEN word THEN 'much' ELSE printf('%.2f', payment_value) END,
+                 CASE WHEN long THEN '"one, more"' END) AS record,
+       TRUE AS placed,
+       (SELECT count(*) FROM p WHERE short OR NOT (long OR word)) AS staged_rows,
+       (SELECT count(*) FROM p WHERE short) AS short_rows
+FROM p WHERE NOT short AND (long OR word)""".strip())

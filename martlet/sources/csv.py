@@ -8,7 +8,8 @@ Parsing (Spark's CSV reader, one pass):
   file, as they cannot be split);
 * rows with more fields than the header are malformed: they are read into
   an extra ``_overflow`` column and dropped (and counted). Short rows are
-  kept with NULLs in the missing fields;
+  kept with NULLs in the missing fields. ``land`` keeps what is dropped: the raw
+  record, its file and place, and the reason;
 * UTF-8 by default. Spark does not fail on invalid UTF-8 but substitutes
   U+FFFD, a character a valid file may hold, too. So ``encoding="auto"`` looks
   at the bytes: the lines are read as raw text and tested with
@@ -41,6 +42,11 @@ TRUE_TOKENS = ["True", "TRUE", "true"]
 FALSE_TOKENS = ["False", "FALSE", "false"]
 
 OVERFLOW = "_overflow"
+RECORD = "_record"  # the raw text of a record, where asked for
+
+# Reasons for which a record is rejected.
+TOO_MANY_FIELDS = "too many fields"
+BAD_VALUE = "not a value of the column's type"
 
 
 @dataclass
@@ -88,17 +94,31 @@ def header(spark: SparkSession, path: str, encoding: str = "UTF-8", multi_line:
     return _reader(spark, encoding, multi_line).option("inferSchema", False).csv(path).columns
 
 
+def _texts(names: list[str], extra: str) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in (
+        *(f"_c{i}" for i in range(len(names))), extra)])
+
+
 def _raw(spark: SparkSession, path: str, encoding: str,
          multi_line: bool = True) -> tuple[DataFrame, list[str]]:
     names = header(spark, path, encoding, multi_line)
-    schema = T.StructType(
-        [T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))]
-        + [T.StructField(OVERFLOW, T.StringType())]
-    )
-    df = _reader(spark, encoding, multi_line).option("enforceSchema", True).schema(schema).csv(path)
+    df = _reader(spark, encoding, multi_line).option("enforceSchema", True).schema(
+        _texts(names, OVERFLOW)).csv(path)
     return df, names
 
 
+def _recorded(spark: SparkSession, path: str, encoding: str,
+              multi_line: bool = True) -> tuple[DataFrame, list[str]]:
+    """Like ``_raw``, with the raw text of every record that has another number of fields
+    than the header; the text of those few is cut again to find a field too many."""
+    names = header(spark, path, encoding, multi_line)
+    df = _reader(spark, encoding, multi_line).option("enforceSchema", True).option(
+        "columnNameOfCorruptRecord", RECORD).schema(_texts(names, RECORD)).csv(path)
+    again = F.from_csv(RECORD, _texts(names, OVERFLOW).simpleString()[len("struct<"):-1].replace(":", " "),
+                       {"quote": '"', "escape": '"'})
+    return df.select("*", F.when(F.col(RECORD).isNotNull(), again[OVERFLOW]).alias(OVERFLOW)), names
+
+
 def null_tokens_to_null(col: Column, tokens: list[str] = NULL_TOKENS) -> Column:
     return F.when(col.isin(*tokens), F.lit(None).cast("string")).otherwise(col)
 
@@ -171,6 +191,64 @@ def apply_types(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
     return df.select(*cols)
 
 
+def _unreadable(names: list[str], types: dict[str, T.DataType]) -> Column:
+    """The columns (named in a list) whose text is not a value of their declared type."""
+    bad = []
+    for i, n in enumerate(names):
+        t = types.get(clean_column_name(n), T.StringType())
+        v = null_tokens_to_null(F.col(f"_c{i}"))
+        if isinstance(t, T.BooleanType):
+            wrong = ~v.isin(*TRUE_TOKENS, *FALSE_TOKENS)
+        elif isinstance(t, T.StringType):
+            continue
+        else:
+            wrong = v.try_cast(t).isNull()
+        bad.append(F.when(v.isNotNull() & wrong, F.lit(clean_column_name(n))))
+    return F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
+
+
+def land(spark: SparkSession, path: str, *, schema: T.StructType | None = None,
+         encoding: str = "auto", multi_line: bool = True) -> tuple[DataFrame, list[str], str]:
+    """The records of a CSV file as text with ``_kept`` and ``_reject``; the header; the encoding.
+
+    One pass decides on every record: ``_reject`` is NULL for those kept, else the raw
+    record (where it has as many fields as the header, those written as CSV), its file, the byte range of the file split that held it, its running number in
+    the scan (it orders the rejects of a file) and the reason: too many fields, or, with a
+    declared ``schema``, the columns whose text is not a value of their type.
+    """
+    if encoding == "auto":
+        encoding = "UTF-8" if is_utf8(spark, path) else "ISO-8859-1"
+    raw, names = _recorded(spark, path, encoding, multi_line)
+    types = {f.name: f.dataType for f in schema.fields} if schema else {}
+    wrong = _unreadable(names, types)
+    reason = F.when(F.col(OVERFLOW).isNotNull(), F.lit(TOO_MANY_FIELDS)).when(
+        F.size(wrong) > 0, F.concat(F.lit(BAD_VALUE + ": "), F.array_join(wrong, ", ")))
+    whole = F.coalesce(RECORD, F.array_join(F.array(*[  # of as many fields as the header
+        F.when(F.col(f"_c{i}").rlike('[",\\r\\n]'), F.concat(F.lit('"'), F.replace(
+            F.col(f"_c{i}"), F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(
+                F.coalesce(f"_c{i}", F.lit(""))) for i in range(len(names))]), ","))
+    placed = raw.select(
+        "*", reason.alias("_reason"), whole.alias("_whole"), F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.col("_metadata.file_block_length").alias("_length"),
+        F.monotonically_increasing_id().alias("_number"))
+    reject = F.when(F.col("_reason").isNotNull(), F.struct(
+        F.col("_reason").alias("reason"), F.col("_whole").alias("record"), F.col("_file").alias("file"),
+        F.col("_start").alias("split_start"), F.col("_length").alias("split_length"),
+        F.col("_number").alias("number")))
+    kept = F.col("_reason").isNull()
+    return placed.select(*[F.when(kept, F.col(f"_c{i}")).alias(f"_c{i}") for i in range(len(names))],
+                         reject.alias("_reject"), kept.alias("_kept")), names, encoding
+
+
+def shaped(landed: DataFrame, names: list[str], schema: T.StructType | None = None) -> DataFrame:
+    """Kept landed records as the clean, typed table (types inferred without a schema)."""
+    clean = landed.select(*[null_tokens_to_null(F.col(f"_c{i}")).alias(clean_column_name(n))
+                            for i, n in enumerate(names)])
+    types = infer_types(clean) if schema is None else {f.name: f.dataType for f in schema.fields}
+    return apply_types(clean, types)
+
+
 def read_csv(spark: SparkSession, path: str, *, schema: T.StructType | None = None,
              encoding: str = "auto", multi_line: bool = True) -> CsvRead:
     """Read, clean and type a CSV file; ``schema`` overrides inference.

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import logging
 import os
+import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -16,9 +18,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.session import ensure_conf, input_bytes, size_session
-from martlet.sources.csv import read_csv
+from martlet.sources.csv import land, read_csv, shaped
 from martlet.sources.jdbc import JdbcSource, read_jdbc
-from martlet.sources.sinks import row_count, write_table
+from martlet.sources.reconcile import ROWS, digest, digest_columns, digest_of
+from martlet.sources.sinks import drop_files, row_count, subfolders, write_table
 
 log = logging.getLogger(__name__)
 
@@ -62,48 +65,105 @@ class IngestResult:
     target_rows: int | None
     dropped_rows: int = 0
     encoding: str | None = None
+    source_content: dict[str, tuple] | None = None  # digests, where asked for
+    target_content: dict[str, tuple] | None = None
+    rejects: str | None = None  # folder of the rejected records, where kept
 
     @property
     def match(self) -> bool:
-        return self.written and self.source_rows == self.target_rows
+        """Row counts agree and, where content was digested, so does every column and row."""
+        return (self.written and self.source_rows == self.target_rows
+                and self.source_content == self.target_content)
 
 
 def _load(spark: SparkSession, df: DataFrame, counts: Observation, name: str, out_dir: str,
-          probe: DataFrame, encoding: str | None = None) -> IngestResult:
+          probe: DataFrame, encoding: str | None = None, content: bool = False) -> IngestResult:
     """Empty guard, full-refresh write, then row counts of source and target.
 
     The guard reads one row of ``probe``. The source is read once more, by the
     write, which counts its rows into ``counts`` on the way, so both figures
-    belong to one snapshot of it; the target's count reads Parquet footers.
+    belong to one snapshot of it; the target's count reads Parquet footers. With
+    ``content`` the same write also digests what it writes, and the target is read
+    back once and digested, too.
     """
     path = f"{out_dir.rstrip('/')}/{name}"
     if probe.isEmpty():
         log.warning("%s: source is empty; keeping the existing table", name)
         return IngestResult(name, path, False, 0, None, 0, encoding)
-    write_table(df, path, skip_empty=False)
+    digested = Observation()
+    write_table(df.observe(digested, *digest_columns(df.columns)) if content else df, path,
+                skip_empty=False)
     source_rows = counts.get["source_rows"]
     dropped = counts.get.get("dropped_rows", 0)
     if dropped:
         log.warning("%s: skipped %d rows with too many fields", name, dropped)
-    target_rows = row_count(spark.read.parquet(path)).first()["rows"]
+    source = target = None
+    if content:
+        source, target = digest_of(digested.get, df.columns), digest(spark.read.parquet(path))
+        target_rows = target[ROWS][0]
+    else:
+        target_rows = row_count(spark.read.parquet(path)).first()["rows"]
     log.info("%s: %d source rows, %d staged rows", name, source_rows, target_rows)
-    return IngestResult(name, path, True, source_rows, target_rows, dropped, encoding)
+    return IngestResult(name, path, True, source_rows, target_rows, dropped, encoding, source, target)
 
 
 def ingest_csv(spark: SparkSession, csv_path: str, out_dir: str, *, encoding: str = "auto",
-               table: str | None = None, schema=None, multi_line: bool = True) -> IngestResult:
+               table: str | None = None, schema=None, multi_line: bool = True,
+               content: bool = False, rejects_dir: str | None = None) -> IngestResult:
+    """Load a CSV file into staging.
+
+    ``content``: reconcile by content, too. ``rejects_dir``: keep rejected records there
+    (``read_rejects``); with a declared schema, records with a value that is not of its
+    column's type are then rejected, where otherwise the load fails.
+    """
+    name = table or staging_name_for_file(csv_path)
+    if rejects_dir:
+        return _ingest_with_rejects(spark, csv_path, out_dir, name, rejects_dir, content=content,
+                                    schema=schema, encoding=encoding, multi_line=multi_line)
     read = read_csv(spark, csv_path, encoding=encoding, schema=schema, multi_line=multi_line)
     counts = Observation()
-    return _load(spark, read.observed(counts), counts, table or staging_name_for_file(csv_path),
-                 out_dir, read.df, read.encoding)
+    return _load(spark, read.observed(counts), counts, name, out_dir, read.df, read.encoding, content)
+
+
+def _ingest_with_rejects(spark: SparkSession, csv_path: str, out_dir: str, name: str, rejects_dir: str,
+                         *, content: bool, schema, encoding: str, multi_line: bool) -> IngestResult:
+    """The file is parsed once, into a landing folder that holds kept and rejected records
+    apart; types are inferred and staging is written from the kept ones there. The kept
+    half is removed after the load, the rejected half is the reject store."""
+    landed, names, encoding = land(spark, csv_path, schema=schema, encoding=encoding,
+                                   multi_line=multi_line)
+    folder = f"{rejects_dir.rstrip('/')}/{name}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    counts = Observation()
+    landed.observe(counts, F.count_if("_kept").alias("source_rows"),
+                   F.count_if(~F.col("_kept")).alias("dropped_rows")).write.partitionBy("_kept").parquet(folder)
+    text = landed.drop("_kept", "_reject").schema
+    kept = spark.read.schema(text).parquet(f"{folder}/_kept=true") \
+        if "_kept=true" in subfolders(spark, folder) else spark.createDataFrame([], text)
+    df = shaped(kept, names, schema)
+    result = _load(spark, df, counts, name, out_dir, kept, encoding, content)
+    result.dropped_rows, result.rejects = counts.get["dropped_rows"], folder
+    drop_files(spark, f"{folder}/_kept=true")
+    return result
+
+
+_REJECT = ("struct<reason: string, record: string, file: string, split_start: long, "
+           "split_length: long, number: long>")
+
+
+def read_rejects(spark: SparkSession, *folders: str) -> DataFrame:
+    """The rejected records of loads (``IngestResult.rejects``), in the order of their place."""
+    halves = [f"{f}/_kept=false" for f in folders if "_kept=false" in subfolders(spark, f)]
+    schema = f"_reject {_REJECT}"
+    rows = spark.read.schema(schema).parquet(*halves) if halves else spark.createDataFrame([], schema)
+    return rows.select("_reject.*").orderBy("file", "split_start", "number")
 
 
 def ingest_jdbc(spark: SparkSession, source: JdbcSource, out_dir: str,
-                table: str | None = None) -> IngestResult:
+                table: str | None = None, content: bool = False) -> IngestResult:
     df = read_jdbc(spark, source)
     counts = Observation()
     return _load(spark, df.observe(counts, F.count(F.lit(1)).alias("source_rows")), counts,
-                 table or staging_name_for_table(source.table), out_dir, df)
+                 table or staging_name_for_table(source.table), out_dir, df, content=content)
 
 
 def report(results: list[IngestResult], spark: SparkSession) -> DataFrame:
