@@ -1,5 +1,5 @@
 """Registered queries on the life of the loaded tables: versions, upserts, maintenance,
-reconciliation by content, rejected rows, schema drift.
+reconciliation by content, rejected rows, sketches, retention, drift.
 
 Each derives its arrivals from the whole shared tables, works in a folder of its own below
 the shared folder, and returns what a reader sees afterwards.
@@ -15,13 +15,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.functions.money import cents, from_cents
+from martlet.operators import retention, sketches
 from martlet.plans import oracle
 from martlet.plans.star_versions import StarVersions, staging_changes
-from martlet.plans.store import stored_staging
+from martlet.plans.store import stored_mart, stored_staging
 from martlet.session import shared_dir
 from martlet.sources.ingest import FILE_PREFIX, FILE_SUFFIX, ingest_csv, read_rejects
 from martlet.sources.reconcile import content_report, digest
 from martlet.sources.staging import STAGING_SCHEMAS
+from martlet.sources.versioned import VersionedTables
 from martlet.streaming.upsert import UpsertTable, incremental_upsert
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -243,3 +245,115 @@ SELECT CASE WHEN long THEN 'too many fields'
        (SELECT count(*) FROM p WHERE short OR NOT (long OR word)) AS staged_rows,
        (SELECT count(*) FROM p WHERE short) AS short_rows
 FROM p WHERE NOT short AND (long OR word)""".strip())
+
+
+# -- mergeable distinct counts (A9, K2, K3) ----------------------------------------------
+
+_ERROR = 0.02
+
+
+def distinct_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and orders of every month, quarter and year: exact, and whether the estimates
+    from the months' stored sketches, which no fact is read for, are within 2 % of that."""
+    orders = stored_mart(spark, sf_dir).fact_orders
+    tables = VersionedTables(spark, work_folder(spark, "sketches"))
+    kept = tables.commit(tables.manifest(), {
+        "month_sketches": tables.write("month_sketches", sketches.month_sketches(orders))})
+    estimated = sketches.distinct_estimates(tables.read(kept, "month_sketches")).select(
+        "window", *[F.col(c).alias(f"estimated_{c}") for c in ("rows", "customers", "orders")])
+    near = [(F.abs(F.col(f"estimated_{c}") - F.col(c)) <= _ERROR * F.col(c)).alias(f"{c}_within")
+            for c in ("customers", "orders")]
+    return sketches.distinct_exact(orders).join(estimated, "window", "left").select(
+        "window", "rows", "customers", "orders", *near,
+        (F.col("estimated_rows") == F.col("rows")).alias("rows_equal"))
+
+
+QUERIES["distinct_estimates"] = distinct_estimates
+ORACLE_SQL["distinct_estimates"] = oracle.with_star("""
+SELECT "window", count(*) AS rows, count(DISTINCT customer_id) AS customers, count(DISTINCT order_id) AS orders,
+       TRUE AS customers_within, TRUE AS orders_within, TRUE AS rows_equal
+FROM (SELECT customer_id, order_id, unnest([
+        'month ' || (y * 100 + m), 'quarter ' || y || 'Q' || ((m + 2) // 3), 'year ' || y, 'all']) AS "window"
+      FROM (SELECT *, purchase_date_id // 100000000 AS y, purchase_date_id // 1000000 % 100 AS m FROM fact_orders
+            WHERE purchase_date_id IS NOT NULL))
+GROUP BY 1""")
+
+
+# -- drift between builds (E3) ------------------------------------------------------------
+
+
+def distribution_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The item fact's profile of a build against three later ones: the same rows in another
+    order, prices a third higher, and half of the freight unknown."""
+    items = stored_mart(spark, sf_dir).fact_order_items
+    columns = ["quantity", "total_price", "total_freight"]
+    odd = F.pmod(F.xxhash64("order_id", "product_id"), F.lit(2)) == 1
+    builds = {
+        "first": items, "same": items.repartition(5, "seller_id"),
+        "dearer": items.withColumn("total_price", F.col("total_price") * 4 / 3 + 20000),
+        "unknown": items.withColumn("total_freight", F.when(odd, F.col("total_freight")))}
+    tables = VersionedTables(spark, work_folder(spark, "profiles"))
+    kept = {name: tables.commit(tables.manifest(), {"profile": tables.write(
+        "profile", sketches.profile(rows, columns))}) for name, rows in builds.items()}
+    out = None
+    for name in list(builds)[1:]:
+        found = sketches.drift(*(tables.read(kept[n], "profile") for n in ("first", name))).select(
+            F.lit(name).alias("build"), "column", "rows", "status")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+QUERIES["distribution_drift"] = distribution_drift
+ORACLE_SQL["distribution_drift"] = oracle.with_star("""
+SELECT b AS build, c AS "column", n AS rows,
+       CASE WHEN (b = 'dearer' AND c = 'total_price') OR (b = 'unknown' AND c = 'total_freight')
+            THEN 'fail' ELSE 'pass' END AS status
+FROM (VALUES ('same'), ('dearer'), ('unknown')) AS builds(b),
+     (VALUES ('quantity'), ('total_price'), ('total_freight')) AS columns(c),
+     (SELECT count(*) AS n FROM fact_order_items)""")
+
+
+# -- retention (E1) -------------------------------------------------------------------------
+
+QUERIES["retention_grid"] = lambda spark, sf_dir: retention.retention_grid(
+    stored_mart(spark, sf_dir).fact_orders)
+QUERIES["retention_survival"] = lambda spark, sf_dir: retention.retention_survival(
+    stored_mart(spark, sf_dir).fact_orders)
+
+_CUSTOMER_MONTHS = """
+, cm AS (
+  SELECT DISTINCT customer_id, purchase_date_id // 100000000 * 12 + purchase_date_id // 1000000 % 100 - 1 AS m
+  FROM fact_orders WHERE purchase_date_id IS NOT NULL AND customer_id IS NOT NULL
+), lives AS (SELECT customer_id, min(m) AS low, max(m) AS high FROM cm GROUP BY customer_id)"""
+
+ORACLE_SQL["retention_grid"] = oracle.with_star(_CUSTOMER_MONTHS.strip() + """
+, cells AS (
+  SELECT low AS first, m - low AS since, count(*) AS n FROM cm JOIN lives USING (customer_id) GROUP BY ALL
+), grid AS (
+  SELECT first, unnest(generate_series(0, high - first)) AS since
+  FROM (SELECT unnest(generate_series(min(m), max(m))) AS first, max(m) AS high FROM cm)
+)
+SELECT CAST(first // 12 * 100 + first % 12 + 1 AS INTEGER) AS cohort_month, CAST(since AS INTEGER) AS months_since,
+       size, customers, CASE WHEN size > 0 THEN customers / size END AS rate
+FROM (SELECT g.first, g.since, coalesce(c.n, 0) AS customers,
+             coalesce((SELECT n FROM cells s WHERE s.first = g.first AND s.since = 0), 0) AS size
+      FROM grid g LEFT JOIN cells c ON c.first = g.first AND c.since = g.since)""")
+
+_SURVIVAL = _CUSTOMER_MONTHS.strip() + f"""
+, ended AS (
+  SELECT high - low AS t, count(*) FILTER ((SELECT max(m) FROM cm) - high >= {retention.INACTIVE}) AS d,
+         count(*) FILTER ((SELECT max(m) FROM cm) - high < {retention.INACTIVE}) AS c
+  FROM lives GROUP BY 1
+), steps AS (
+  SELECT t, coalesce(d, 0) AS d, coalesce(c, 0) AS c,
+         (SELECT count(*) FROM lives WHERE high - low >= t) AS risk
+  FROM (SELECT unnest(generate_series(0, max(t))) AS t FROM ended) LEFT JOIN ended USING (t)
+), curve AS (
+  SELECT t, d, c, risk, CAST({retention.PARTS} AS HUGEINT) * (risk - d) // greatest(risk, 1) AS s FROM steps WHERE t = 0
+  UNION ALL
+  SELECT x.t, x.d, x.c, x.risk, s * (x.risk - x.d) // greatest(x.risk, 1) FROM curve JOIN steps x ON x.t = curve.t + 1
+)
+SELECT CAST(t AS INTEGER) AS months_since, risk AS at_risk, d AS left_after, c AS censored,
+       CAST(s AS BIGINT) AS survival_parts
+FROM curve"""
+ORACLE_SQL["retention_survival"] = oracle.with_star(_SURVIVAL).replace("WITH ", "WITH RECURSIVE ", 1)
