@@ -11,15 +11,21 @@ metric, so a pivot p bounds every other distance: ``|d(x,p) - d(y,p)| <= d(x,y)`
    linked pair differs in at most ``(|x| + |y|) * r / (2 - r)`` shingles; with m
    above that, one projection of both is equal (distance 0). Equal projections form
    a region; m follows from geometric size classes, and a set near the upper
-   end of its class also enters the next one's regions.
+   end of its class also enters the next one's regions. Of a set's m projections all
+   but t are equal to a partner's, t bounded by its own size, so the t + 1 first ones
+   in a common order share one with the partner's and are enough. Regions of a single
+   set fall away in one sorted exchange; those that a sample shows to be shared by
+   many sets need none.
 2. *Pivots.* Each region takes as pivots those of its leading members (at first
    all lead) that share most regions: ``PIVOTS``, or all of few enough (``SETTLE``); the distance of every member to them is
    computed exactly from the shingle sets. Pairs with a pivot are settled.
 3. *Voronoi cells.* A member's home is its nearest pivot; it is replicated to
    every pivot with ``d(x,p) <= d(x,home) + 2r``. By the triangle inequality a
    linked pair meets in the home of either.
-4. *Recursion.* Pairs linked to one pivot are in one component already. For
-   any other pair of a cell at least one lies outside the pivot's ball, and
+4. *Recursion.* Components are wanted, so only pairs of different components (of the
+   links found so far) are sought; cells and regions whose members are of one component
+   are closed before their elements are named, so a group of near copies costs its size.
+   Of such a pair at least one is not of the pivot's component, so outside its ball, and
    their differences to the pivot, a = x ^ p and b = y ^ p, must overlap:
    ``|a & b| = (|a| + |b| - |a ^ b|) / 2``. The likely rarest elements of the
    difference, as many as that bound demands, name the regions of the next
@@ -60,6 +66,8 @@ WORDS, SIMILARITY = 3, 0.9
 PIVOTS = 2
 SETTLE = (6, 16)  # pivots that settle a small region, at first and later
 SAMPLED = 15  # members whose majority is the centre of a cell
+# A region with HOT sets among one in HOT_EVERY is shared for certain, and by many.
+HOT, HOT_EVERY = 32, 256
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -139,8 +147,8 @@ _DEFAULT = Link.at(SIMILARITY)
 
 
 def projections(own: np.ndarray, link: Link = _DEFAULT) -> np.ndarray:
-    """Region keys of a set: one for every non-empty part of its class's scheme, and
-    of the next class's if a partner may lie there."""
+    """Region keys of a set: the first of its parts by its class's scheme, and by the next
+    class's if a partner may lie there. Empty parts, which many sets share, come last."""
     n = len(own)
     if n < link.bounds[0]:
         return np.zeros(0, np.uint64)
@@ -153,9 +161,10 @@ def projections(own: np.ndarray, link: Link = _DEFAULT) -> np.ndarray:
         sums = np.zeros(parts, np.uint64)
         np.add.at(sums, part, _mix(own ^ _C))
         keys = _mix(sums + _mix(np.arange(parts, dtype=np.uint64) + np.uint64(scheme << 32)))
-        filled = np.bincount(part, minlength=parts) > 0
-        # with enough non-empty parts one of them is equal in both of a pair
-        out.append(keys[filled] if filled.sum() > min(most, link.most(n)) else keys)
+        empty = np.bincount(part, minlength=parts) == 0
+        # all but so many parts are equal in a partner, so one of the first is in both
+        differ = min(most, link.most(n), (n + link.bounds[scheme + 1] - 1) * link.near // link.far)
+        out.append(keys[np.lexsort((keys, empty))[:differ + 1]])
     return np.concatenate(out)
 
 
@@ -230,7 +239,7 @@ def _centre(table: pa.Table) -> pa.Table:
 
 
 def _differences(link: Link):
-    """mapInArrow: (cell, x, outer, own, other, centre) -> (cell, x, outer, e, leads): the
+    """mapInArrow: (cell, x, c, outer, own, other, centre) -> (cell, x, c, e, leads): the
     rarest elements of the difference to the pivot, as many as a link demands.
 
     Let a be the smaller difference of a linked pair and b the larger, t the most by
@@ -245,8 +254,8 @@ def _differences(link: Link):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells, xs, outs, leads, elements = [], [], [], [], []
-            for cell, x, outer, a, b, c in zip(*(col.to_pylist() for col in batch.columns)):
+            cells, xs, labels, leads, elements = [], [], [], [], []
+            for cell, x, label, outer, a, b, c in zip(*(col.to_pylist() for col in batch.columns)):
                 delta, n, n_pivot = _difference(a, b), len(a) // 8, len(b) // 8
                 size, most = len(delta), link.most(n)
                 in_pivot = np.isin(delta, np.frombuffer(b, np.uint64), assume_unique=True)
@@ -261,33 +270,68 @@ def _differences(link: Link):
                 leads.append(np.arange(len(elements[-1])) < smaller)
                 cells.append(cell)
                 xs.append(x)
-                outs.append(outer)
+                labels.append(label)
             sizes = [len(e) for e in elements]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(np.array(cells, np.int64), sizes)),
                  pa.array(np.repeat(np.array(xs, np.int64), sizes)),
-                 pa.array(np.repeat(np.array(outs, bool), sizes)),
+                 pa.array(np.repeat(np.array(labels, np.int64), sizes)),
                  pa.array(np.concatenate([np.zeros(0, np.int64), *elements])),
                  pa.array(np.concatenate([np.zeros(0, bool), *leads]))],
-                names=["cell", "x", "outer", "e", "leads"])
+                names=["cell", "x", "c", "e", "leads"])
 
     return run
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow over rows sorted by (region, h1): the distinct rows of regions with two
+    or more different h1. Only the last row is held from batch to batch."""
+    last, given = None, False  # the row before, and whether it was handed on
+    for batch in batches:
+        region, h1 = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        if last is not None:
+            region, h1 = np.append(last[0], region), np.append(last[1], h1)
+        if not len(region):
+            continue
+        fresh = np.append(True, (region[1:] != region[:-1]) | (h1[1:] != h1[:-1]))
+        region, h1 = region[fresh], h1[fresh]
+        same = region[1:] == region[:-1]
+        paired = np.append(False, same) | np.append(same, False)
+        handed = paired.copy()
+        if last is not None:
+            handed[0] &= not given
+            paired[0] |= given
+        last, given = (region[-1:], h1[-1:]), bool(paired[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(region[handed]), pa.array(h1[handed])],
+                                         names=["region", "h1"])
+
+
 def _first_regions(sketch: DataFrame, classes: DataFrame, stage: Stage) -> DataFrame:
-    """(region, x, leads): representatives of the sets that share a projection; all of
-    them lead."""
-    members = sketch.where("doc_id IS NOT NULL").select(
-        F.explode("regions").alias("region"), "h1")
-    shared = members.groupBy("region").agg(
-        F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo < hi").select("region")
-    kept = members.join(shared, "region", "left_semi").distinct()
-    return stage.write(kept.join(classes.select("h1", F.col("rep").alias("x")), "h1").select(
-        "region", "x", F.lit(True).alias("leads")).distinct(), "regions")
+    """(region, x, leads, c): representatives of the sets that share a projection; all of
+    them lead, and each is a component of its own."""
+
+    def members(rows: DataFrame) -> DataFrame:
+        return rows.where("doc_id IS NOT NULL").select(F.explode("regions").alias("region"), "h1")
+
+    # h1 is a hash of the set, so its remainder draws distinct sets
+    drawn = sketch.where(F.pmod("h1", F.lit(HOT_EVERY)) == 0)
+    hot = stage.write(members(drawn).distinct().groupBy("region").agg(
+        F.count("*").alias("n")).where(F.col("n") >= HOT).select("region"), "hot")
+    every, kept = members(sketch), None
+    if not hot.isEmpty():
+        kept = every.join(hot, "region", "left_semi").distinct()
+        every = every.join(hot, "region", "left_anti")
+    cold = every.repartition("region").sortWithinPartitions("region", "h1").mapInArrow(
+        _shared, "region long, h1 long")
+    kept = cold if kept is None else cold.unionByName(kept)
+    first = stage.write(kept.join(classes.select("h1", F.col("rep").alias("x")), "h1").select(
+        "region", "x", F.lit(True).alias("leads"), F.col("x").alias("c")).distinct(), "regions")
+    stage.release(hot)
+    return first
 
 
 def _pivots(members: DataFrame, settle: int) -> DataFrame:
-    """(region, p, settled): each region's pivots, of its leading members those that
+    """(region, p, cp, settled): each region's pivots, of its leading members those that
     share most regions. ``settle`` of them settle a region with no more leading members
     (or one more member) at once; a larger one gets ``PIVOTS`` and is divided."""
     central = members.groupBy("x").agg(F.count("*").alias("shares"))
@@ -297,60 +341,74 @@ def _pivots(members: DataFrame, settle: int) -> DataFrame:
         "region", ((F.col("leading") <= settle) | (F.col("g") <= settle + 1)).alias("settled"))
     ranked = members.where("leads").join(central, "x").withColumn(
         "rank", F.row_number().over(order)).where(F.col("rank") <= settle)
-    return ranked.join(sizes, "region").where(
-        F.col("settled") | (F.col("rank") <= PIVOTS)).select("region", F.col("x").alias("p"), "settled")
+    return ranked.join(sizes, "region").where(F.col("settled") | (F.col("rank") <= PIVOTS)).select(
+        "region", F.col("x").alias("p"), F.col("c").alias("cp"), "settled")
+
+
+def _linked(found: DataFrame, link: Link) -> DataFrame:
+    return found.where(F.col("diff") * link.far <= (F.col("nx") + F.col("np")) * link.near).select(
+        F.col("x").alias("a"), F.col("p").alias("b"))
 
 
-def _round(members: DataFrame, known: DataFrame | None, sets: DataFrame, stage: Stage,
-           first: bool, link: Link) -> tuple[DataFrame, DataFrame]:
-    """One level of the recursion: (distances found, members of the next regions)."""
+def _round(members: DataFrame, known: DataFrame | None, labels: DataFrame | None, sets: DataFrame,
+           stage: Stage, link: Link) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One level of the recursion: (distances found, components of the links so far as
+    (vertex, component), members of the next regions)."""
+    first = known is None
     pivots = stage.write(_pivots(members, SETTLE[0] if first else SETTLE[1]), "pivots")
     near = members.join(pivots, "region").where("x != p")
-    # a pair of pivots is measured once
-    pairs = near.select(F.greatest("x", "p").alias("x"), F.least("x", "p").alias("p")).distinct()
-    if known is not None:
+    # a pair of pivots is measured once; one of a settled region only if it may join components
+    pairs = near.where("NOT settled OR c != cp").select(
+        F.greatest("x", "p").alias("x"), F.least("x", "p").alias("p")).distinct()
+    if not first:
         pairs = pairs.join(known, ["x", "p"], "left_anti")
     own = sets.select("x", "own")
     other = sets.select(F.col("x").alias("p"), F.col("own").alias("other"))
     found = stage.write(pairs.join(own, "x").join(other, "p").select(
         "x", "p", "own", "other").mapInArrow(
             _distances, "x long, p long, nx long, np long, diff long"), "distances")
-    every = found if known is None else known.unionByName(found)
+    every = found if first else known.unionByName(found)
+    edges = _linked(found, link)
+    if labels is not None:  # what was joined before, as a star
+        edges = edges.unionByName(labels.select(F.col("vertex").alias("a"), F.col("component").alias("b")))
+    labels = components(edges, stage)
 
     # Voronoi cells of the regions that their pivots do not settle
     both = every.unionByName(every.select(F.col("p").alias("x"), F.col("x").alias("p"),
                                           F.col("np").alias("nx"), F.col("nx").alias("np"), "diff"))
     distance = 2 * F.col("diff") / (F.col("nx") + F.col("np") + F.col("diff"))
     chosen = pivots.select("region", F.col("p").alias("x"))
-    unsettled = near.where("NOT settled").join(chosen, ["region", "x"], "left_anti")
-    placed = unsettled.join(both, ["x", "p"]).select(
-        "region", "x", "p", distance.alias("d"),
-        (F.col("diff") * link.far > (F.col("nx") + F.col("np")) * link.near).alias("outer"))
+    unsettled = near.where("NOT settled").select("region", "x", "p").join(
+        chosen, ["region", "x"], "left_anti")
+    placed = unsettled.join(both, ["x", "p"]).select("region", "x", "p", distance.alias("d"))
     home = F.min("d").over(Window.partitionBy("region", "x"))
     cell = F.col("p") if first else F.xxhash64("region", "p")
-    cells = placed.withColumn("home", home).where(
+    cells = stage.write(placed.withColumn("home", home).where(
         F.col("d") <= F.col("home") + 2 * link.radius + 1e-9).select(
-        cell.alias("cell"), "x", "p", "outer").distinct()
-    cells = stage.write(cells, "cells")
-    open_cells = cells.groupBy("cell").agg(F.count("*").alias("g"), F.max("outer").alias("outer")
-                                           ).where("g > 1 AND outer").select("cell")
-    cells = stage.write(cells.join(open_cells, "cell", "left_semi"), "open")
-    sampled = cells.withColumn("rank", F.row_number().over(
+        cell.alias("cell"), "x", "p").distinct(), "cells")
+    of_x = labels.select(F.col("vertex").alias("x"), F.col("component").alias("c"))
+    of_p = labels.select(F.col("vertex").alias("p"), F.col("component").alias("cp"))
+    labelled = cells.join(of_x, "x", "left").join(of_p, "p", "left").select(
+        "cell", "x", "p", F.coalesce("c", "x").alias("c"),
+        (F.coalesce("c", "x") != F.coalesce("cp", "p")).alias("outer"))
+    open_cells = labelled.groupBy("cell").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where(
+        "lo < hi").select("cell")
+    opened = stage.write(labelled.join(open_cells, "cell", "left_semi"), "open")
+    sampled = opened.withColumn("rank", F.row_number().over(
         Window.partitionBy("cell").orderBy(F.xxhash64("x"), "x"))).where(F.col("rank") <= SAMPLED)
     centres = stage.write(sampled.select("cell", "x").join(own, "x").select("cell", "own").groupBy(
         "cell").applyInArrow(_centre, "cell long, centre binary"), "centres")
-    named = cells.join(own, "x").join(other, "p").join(centres, "cell").select(
-        "cell", "x", "outer", "own", "other", "centre").mapInArrow(
-            _differences(link), "cell long, x long, outer boolean, e long, leads boolean")
-    regions = stage.write(named.select(F.xxhash64("cell", "e").alias("region"), "x",
-                                       "outer", "leads"), "named")
+    named = opened.join(own, "x").join(other, "p").join(centres, "cell").select(
+        "cell", "x", "c", "outer", "own", "other", "centre").mapInArrow(
+            _differences(link), "cell long, x long, c long, e long, leads boolean")
+    regions = stage.write(named.select(F.xxhash64("cell", "e").alias("region"), "x", "c", "leads"), "named")
     open_regions = regions.groupBy("region").agg(
-        F.min("x").alias("lo"), F.max("x").alias("hi"), F.max("outer").alias("outer"),
-        F.max("leads").alias("leads")).where("lo < hi AND outer AND leads").select("region")
+        F.min("c").alias("lo"), F.max("c").alias("hi"), F.max("leads").alias("leads")).where(
+        "lo < hi AND leads").select("region")
     after = stage.write(regions.join(open_regions, "region", "left_semi").groupBy(
-        "region", "x").agg(F.max("leads").alias("leads")), "regions")
-    stage.release(pivots, cells, centres, regions)
-    return found, after
+        "region", "x", "c").agg(F.max("leads").alias("leads")), "regions")
+    stage.release(pivots, cells, opened, centres, regions)
+    return found, labels, after
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -370,19 +428,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = members.select(F.col("x").alias("doc_id")).distinct()
     sets = stage.write(rows.join(wanted, "doc_id", "left_semi").mapInArrow(
         _sets(words), "x long, own binary").distinct(), "sets")
-    known, first = None, True
+    known = labels = None
     while not members.isEmpty():
-        found, after = _round(members, known, sets, stage, first, link)
+        found, labels, after = _round(members, known, labels, sets, stage, link)
         known = found if known is None else known.unionByName(found)
         stage.release(members)
-        members, first = after, False
-    links = sketch.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).limit(0)
-    if known is not None:
-        links = known.where(
-            F.col("diff") * link.far <= (F.col("nx") + F.col("np")) * link.near).select(
-            F.col("x").alias("a"), F.col("p").alias("b"))
-    joined = components(links, stage)
-    named = stage.write(classes.join(joined, classes["rep"] == joined["vertex"], "left").select(
+        members = after
+    if labels is None:
+        labels = classes.select(F.col("rep").alias("vertex"), F.col("rep").alias("component")).limit(0)
+    named = stage.write(classes.join(labels, classes["rep"] == labels["vertex"], "left").select(
         "h1", "h2", "n", F.coalesce("component", "rep").alias("component_id")), "named")
     stage.release_all_but(sketch, named)  # the result reads these two
     return sketch.select("doc_id", "n", "h1", "h2").join(named, ["h1", "h2", "n"], "left").select(
