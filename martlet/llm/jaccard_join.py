@@ -20,8 +20,10 @@ metric, so a pivot p bounds every other distance: ``|d(x,p) - d(y,p)| <= d(x,y)`
    all lead) that share most regions: ``PIVOTS``, or all of few enough (``SETTLE``); the distance of every member to them is
    computed exactly from the shingle sets. Pairs with a pivot are settled.
 3. *Voronoi cells.* A member's home is its nearest pivot; it is replicated to
-   every pivot with ``d(x,p) <= d(x,home) + 2r``. By the triangle inequality a
-   linked pair meets in the home of either.
+   every smaller pivot with ``d(x,p) <= d(x,home) + 2r``. By the triangle inequality a
+   linked pair meets in the smaller home of the two. In a cell of at most ``SMALL``
+   members the pairs within each other's window, ``|d(x,p) - d(y,p)| <= r``, are
+   compared at once; larger ones are divided further.
 4. *Recursion.* Components are wanted, so only pairs of different components (of the
    links found so far) are sought; cells and regions whose members are of one component
    are closed before their elements are named, so a group of near copies costs its size.
@@ -65,6 +67,7 @@ from martlet.llm.components import components
 WORDS, SIMILARITY = 3, 0.9
 PIVOTS = 2
 SETTLE = (6, 16)  # pivots that settle a small region, at first and later
+SMALL = 64  # members of a cell that one task compares
 SAMPLED = 15  # members whose majority is the centre of a cell
 # A region with HOT sets among one in HOT_EVERY is shared for certain, and by many.
 HOT, HOT_EVERY = 32, 256
@@ -238,6 +241,30 @@ def _centre(table: pa.Table) -> pa.Table:
                      "centre": pa.array([elements[2 * times > len(own)].tobytes()], pa.binary())})
 
 
+def _small_cells(link: Link):
+    """applyInArrow: one cell (cell, x, c, d, own) -> its links (x, p, nx, np, diff)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("d")
+        x, c, d = (table.column(k).to_numpy() for k in ("x", "c", "d"))
+        own = [np.frombuffer(o, np.uint64) for o in table.column("own").to_pylist()]
+        n = np.array([len(o) for o in own])
+        rows = []
+        for i in range(len(x)):
+            end = np.searchsorted(d, d[i] + link.radius + 1e-9, "right")
+            seek = np.arange(i + 1, end)
+            seek = seek[(c[seek] != c[i]) & (np.minimum(n[seek], n[i]) * link.q >= np.maximum(n[seek], n[i]) * link.p)]
+            for j in seek.tolist():
+                diff = len(np.setxor1d(own[i], own[j], assume_unique=True))
+                if diff * link.far <= (n[i] + n[j]) * link.near:
+                    a, b = (i, j) if x[i] > x[j] else (j, i)
+                    rows.append((x[a], x[b], n[a], n[b], diff))
+        columns = list(zip(*rows)) or [()] * 5
+        return pa.table({k: pa.array(v, pa.int64()) for k, v in zip(("x", "p", "nx", "np", "diff"), columns)})
+
+    return run
+
+
 def _differences(link: Link):
     """mapInArrow: (cell, x, c, outer, own, other, centre) -> (cell, x, c, e, leads): the
     rarest elements of the difference to the pivot, as many as a link demands.
@@ -350,10 +377,17 @@ def _linked(found: DataFrame, link: Link) -> DataFrame:
         F.col("x").alias("a"), F.col("p").alias("b"))
 
 
-def _round(members: DataFrame, known: DataFrame | None, labels: DataFrame | None, sets: DataFrame,
-           stage: Stage, link: Link) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _joined(edges: DataFrame, labels: DataFrame | None, stage: Stage) -> DataFrame:
+    """Components of the edges and of what was joined before, a star a component."""
+    if labels is not None:
+        edges = edges.unionByName(labels.select(F.col("vertex").alias("a"), F.col("component").alias("b")))
+    return components(edges, stage)
+
+
+def _round(members: DataFrame, known: DataFrame | None, labels: DataFrame | None,
+           pending: DataFrame | None, sets: DataFrame, stage: Stage, link: Link) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """One level of the recursion: (distances found, components of the links so far as
-    (vertex, component), members of the next regions)."""
+    (vertex, component), links of small cells, not yet among these, members of the next regions)."""
     first = known is None
     pivots = stage.write(_pivots(members, SETTLE[0] if first else SETTLE[1]), "pivots")
     near = members.join(pivots, "region").where("x != p")
@@ -368,10 +402,8 @@ def _round(members: DataFrame, known: DataFrame | None, labels: DataFrame | None
         "x", "p", "own", "other").mapInArrow(
             _distances, "x long, p long, nx long, np long, diff long"), "distances")
     every = found if first else known.unionByName(found)
-    edges = _linked(found, link)
-    if labels is not None:  # what was joined before, as a star
-        edges = edges.unionByName(labels.select(F.col("vertex").alias("a"), F.col("component").alias("b")))
-    labels = components(edges, stage)
+    new = found if pending is None else found.unionByName(pending)
+    labels = _joined(_linked(new, link), labels, stage)
 
     # Voronoi cells of the regions that their pivots do not settle
     both = every.unionByName(every.select(F.col("p").alias("x"), F.col("x").alias("p"),
@@ -381,24 +413,28 @@ def _round(members: DataFrame, known: DataFrame | None, labels: DataFrame | None
     unsettled = near.where("NOT settled").select("region", "x", "p").join(
         chosen, ["region", "x"], "left_anti")
     placed = unsettled.join(both, ["x", "p"]).select("region", "x", "p", distance.alias("d"))
-    home = F.min("d").over(Window.partitionBy("region", "x"))
+    home = F.min(F.struct("d", "p")).over(Window.partitionBy("region", "x"))
     cell = F.col("p") if first else F.xxhash64("region", "p")
     cells = stage.write(placed.withColumn("home", home).where(
-        F.col("d") <= F.col("home") + 2 * link.radius + 1e-9).select(
-        cell.alias("cell"), "x", "p").distinct(), "cells")
+        (F.col("p") <= F.col("home.p")) & (F.col("d") <= F.col("home.d") + 2 * link.radius + 1e-9)).select(
+        cell.alias("cell"), "x", "p", "d").distinct(), "cells")
     of_x = labels.select(F.col("vertex").alias("x"), F.col("component").alias("c"))
     of_p = labels.select(F.col("vertex").alias("p"), F.col("component").alias("cp"))
     labelled = cells.join(of_x, "x", "left").join(of_p, "p", "left").select(
-        "cell", "x", "p", F.coalesce("c", "x").alias("c"),
+        "cell", "x", "p", "d", F.coalesce("c", "x").alias("c"),
         (F.coalesce("c", "x") != F.coalesce("cp", "p")).alias("outer"))
-    open_cells = labelled.groupBy("cell").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where(
-        "lo < hi").select("cell")
-    opened = stage.write(labelled.join(open_cells, "cell", "left_semi"), "open")
-    sampled = opened.withColumn("rank", F.row_number().over(
+    open_cells = labelled.groupBy("cell").agg(
+        F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("g")).where("lo < hi").select("cell", "g")
+    opened = stage.write(labelled.join(open_cells, "cell"), "open")
+    settled = stage.write(opened.where(F.col("g") <= SMALL).join(own, "x").select(
+        "cell", "x", "c", "d", "own").groupBy("cell").applyInArrow(
+            _small_cells(link), "x long, p long, nx long, np long, diff long"), "settled")
+    large = opened.where(F.col("g") > SMALL)
+    sampled = large.withColumn("rank", F.row_number().over(
         Window.partitionBy("cell").orderBy(F.xxhash64("x"), "x"))).where(F.col("rank") <= SAMPLED)
     centres = stage.write(sampled.select("cell", "x").join(own, "x").select("cell", "own").groupBy(
         "cell").applyInArrow(_centre, "cell long, centre binary"), "centres")
-    named = opened.join(own, "x").join(other, "p").join(centres, "cell").select(
+    named = large.join(own, "x").join(other, "p").join(centres, "cell").select(
         "cell", "x", "c", "outer", "own", "other", "centre").mapInArrow(
             _differences(link), "cell long, x long, c long, e long, leads boolean")
     regions = stage.write(named.select(F.xxhash64("cell", "e").alias("region"), "x", "c", "leads"), "named")
@@ -408,7 +444,7 @@ def _round(members: DataFrame, known: DataFrame | None, labels: DataFrame | None
     after = stage.write(regions.join(open_regions, "region", "left_semi").groupBy(
         "region", "x", "c").agg(F.max("leads").alias("leads")), "regions")
     stage.release(pivots, cells, opened, centres, regions)
-    return found, labels, after
+    return found, labels, settled, after
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -428,12 +464,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = members.select(F.col("x").alias("doc_id")).distinct()
     sets = stage.write(rows.join(wanted, "doc_id", "left_semi").mapInArrow(
         _sets(words), "x long, own binary").distinct(), "sets")
-    known = labels = None
+    known = labels = pending = None
     while not members.isEmpty():
-        found, labels, after = _round(members, known, labels, sets, stage, link)
-        known = found if known is None else known.unionByName(found)
+        found, labels, pending, after = _round(members, known, labels, pending, sets, stage, link)
+        known = (found if known is None else known.unionByName(found)).unionByName(pending)
         stage.release(members)
         members = after
+    if pending is not None and not pending.isEmpty():
+        labels = _joined(_linked(pending, link), labels, stage)
     if labels is None:
         labels = classes.select(F.col("rep").alias("vertex"), F.col("rep").alias("component")).limit(0)
     named = stage.write(classes.join(labels, classes["rep"] == labels["vertex"], "left").select(
