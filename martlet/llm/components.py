@@ -51,3 +51,11 @@ def components(edges: DataFrame, stage: Stage) -> DataFrame:
     # now every edge leads from a vertex to the least of its component
     return now.select(F.col("a").alias("vertex"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("vertex"), F.col("b").alias("component"))).distinct()
+
+
+def contracted(edges: DataFrame, stage: Stage) -> DataFrame:
+    """(vertex, component) after one step: vertices of one component may still have different
+    names, those with one name (a vertex not returned has its own) are of one component. Stars,
+    the usual shape of links to pivots, are done after it."""
+    step = _small_star(_large_star(edges.select("a", "b").where("a != b").distinct()))
+    return stage.write(step.groupBy(F.col("a").alias("vertex")).agg(F.min("b").alias("component")), "contracted")

@@ -24,8 +24,8 @@ metric, so a pivot p bounds every other distance: ``|d(x,p) - d(y,p)| <= d(x,y)`
    linked pair meets in the smaller home of the two. In a cell of at most ``SMALL``
    members the pairs within each other's window, ``|d(x,p) - d(y,p)| <= r``, are
    compared at once; larger ones are divided further.
-4. *Recursion.* Components are wanted, so only pairs of different components (of the
-   links found so far) are sought; cells and regions whose members are of one component
+4. *Recursion.* Components are wanted, so only pairs that the links found so far do not
+   show to be of one component are sought; cells and regions whose members are of one component
    are closed before their elements are named, so a group of near copies costs its size.
    Of such a pair at least one is not of the pivot's component, so outside its ball, and
    their differences to the pivot, a = x ^ p and b = y ^ p, must overlap:
@@ -62,7 +62,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.llm.common import Stage, prepare
-from martlet.llm.components import components
+from martlet.llm.components import components, contracted
 
 WORDS, SIMILARITY = 3, 0.9
 PIVOTS = 2
@@ -378,15 +378,16 @@ def _linked(found: DataFrame, link: Link) -> DataFrame:
 
 
 def _joined(edges: DataFrame, labels: DataFrame | None, stage: Stage) -> DataFrame:
-    """Components of the edges and of what was joined before, a star a component."""
+    """Names that the edges, and what was joined before, give their vertices: equal ones
+    within one component only, which is all that the search asks of them."""
     if labels is not None:
         edges = edges.unionByName(labels.select(F.col("vertex").alias("a"), F.col("component").alias("b")))
-    return components(edges, stage)
+    return contracted(edges, stage)
 
 
 def _round(members: DataFrame, known: DataFrame | None, labels: DataFrame | None,
            pending: DataFrame | None, sets: DataFrame, stage: Stage, link: Link) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """One level of the recursion: (distances found, components of the links so far as
+    """One level of the recursion: (distances found, names by the links so far as
     (vertex, component), links of small cells, not yet among these, members of the next regions)."""
     first = known is None
     pivots = stage.write(_pivots(members, SETTLE[0] if first else SETTLE[1]), "pivots")
@@ -470,10 +471,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         known = (found if known is None else known.unionByName(found)).unionByName(pending)
         stage.release(members)
         members = after
-    if pending is not None and not pending.isEmpty():
-        labels = _joined(_linked(pending, link), labels, stage)
-    if labels is None:
-        labels = classes.select(F.col("rep").alias("vertex"), F.col("rep").alias("component")).limit(0)
+    links = classes.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)
+    labels = components(links if known is None else _linked(known, link), stage)
     named = stage.write(classes.join(labels, classes["rep"] == labels["vertex"], "left").select(
         "h1", "h2", "n", F.coalesce("component", "rep").alias("component_id")), "named")
     stage.release_all_but(sketch, named)  # the result reads these two
