@@ -111,7 +111,8 @@ def replace_pii(docs: DataFrame, key: bytes, keep: list[str] | None = None,
     rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"),
                        F.col(text_col).cast("string").alias("text"))
     maybe = F.coalesce(F.col("text").rlike(s.MAYBE), F.lit(False))
-    dirty = rows.where(maybe).withColumn("digest", F.sha2("text", 256))
+    # staged: three plans read these rows, and the pattern costs more than all else
+    dirty = stage.write(rows.where(maybe).withColumn("digest", F.sha2("text", 256)), "dirty")
     found = stage.write(dirty.select("digest", "text").mapInArrow(
         _found, "digest string, kind string, canon string").distinct(), "found")
     given = assign(found.select("kind", "canon").distinct(), key, stage)

@@ -31,8 +31,9 @@ _PART = r"[^\W\d_a-z][^\W\d_]*(?:[-'’][^\W\d_]+)*"
 # another assignment); marks that may close a sentence or bracket do not end it.
 _RUN = r"(?:[!#$%()*+\-./0-9:=?@A-Z\[\\\]^_a-z{}~\u00C0-\u058F]|&(?![\w.-]{1,40}=))"
 _PATTERNS = (
-    # from the start of a run only: a match from inside would also match from there
-    r"(?P<email>(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@"
+    # from the start of a run only: a match from inside would also match from there. A local
+    # part has at most 64 characters, which bounds the search in long dotted runs
+    r"(?P<email>(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@"
     r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+)",
     r"(?P<secret>(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9]))",
     r"(?P<assigned>(?i:password|passwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3})"
@@ -46,6 +47,7 @@ _PATTERNS = (
     r"|(?<![\w.])\+\d{1,3}(?:[ .-]?\d){7,12}(?!\w))",
     rf"(?P<title>\b(?:{'|'.join((*_TITLES_M, *_TITLES_F))})\b\.?[ ])(?P<person>{_PART}(?:[ ]{_PART}){{0,2}})",
 )
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _FIND = re.compile("|".join(_PATTERNS))
 _BARE = re.compile(rf"([mf]:(?:[^\W\d_]|[-'’ ])+)#\d+")
 _EACH = [re.compile(p) for p in _PATTERNS]  # in the order in which they are tried
@@ -158,8 +160,12 @@ def _mention(m: re.Match, inside: bool) -> Mention | None:
     if kind == "person":
         gender = "m" if m["title"].rstrip(". ") in _TITLES_M else "f"
         return Mention(*m.span("person"), "name", gender + ":" + m["person"].lower())
-    if kind == "email":
-        return Mention(start, end, kind, m[0].lower())
+    if kind == "email":  # a longer local part is taken whole, too
+        while start > m.pos and m.string[start - 1] in _LOCAL:
+            start -= 1
+        while m.string[start] in "._%+-":
+            start += 1
+        return Mention(start, end, kind, m.string[start:end].lower())
     if kind == "ip":
         parts = [int(x) for x in m[0].split(".")]
         return Mention(start, end, kind, ".".join(map(str, parts))) if max(parts) < 256 else None

@@ -1,5 +1,6 @@
 import ipaddress
 import re
+import time
 
 import cases
 from hypothesis import given, settings
@@ -171,3 +172,12 @@ def test_corpus(spark):
     assert s.find(by_id[600]["text"])[0].canon == mails[1].canon != s.find(by_id[601]["text"])[0].canon
     assert by_id[500]["kept"] == "" and by_id[21]["kept"] == "k"
     assert replace_pii(docs.limit(0), KEY).collect() == []
+
+
+def test_long_dotted_runs_take_linear_time():
+    for run in ("a." * 500_000, "1.2." * 250_000, "a-b_" * 250_000):
+        began = time.perf_counter()
+        assert [m.entity for m in s.find(run + " mail x@y.com now")] == ["x@y.com"]
+        assert time.perf_counter() - began < 30
+    long = "-" + "ab." * 40 + "cd@ex-ample.org"
+    assert [(m.start, m.entity) for m in s.find("to " + long)] == [(4, long[1:])]
