@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.llm import surrogates as s
@@ -101,6 +101,18 @@ def assign(entities: DataFrame, key: bytes, stage: Stage) -> DataFrame:
     raise RuntimeError(f"surrogates still collide after {MOST_ATTEMPTS} draws")
 
 
+def _maybe(text: Column) -> Column:
+    """Whether a text may hold an entity. The pattern is slow; it only sees texts that pass
+    a test it implies."""
+    lowered = F.lower(text)
+    likely = text.rlike("[0-9@]")
+    for part in s.MAYBE_PARTS:
+        likely = likely | text.contains(part)
+    for part in s.MAYBE_LOWER:
+        likely = likely | lowered.contains(part)
+    return likely & text.rlike(s.MAYBE)
+
+
 def replace_pii(docs: DataFrame, key: bytes, keep: list[str] | None = None,
                 text_col: str = "text", count_col: str = "n_entities") -> DataFrame:
     """The ``keep`` columns, the text with surrogates and its number of entities of
@@ -110,7 +122,7 @@ def replace_pii(docs: DataFrame, key: bytes, keep: list[str] | None = None,
     keep = ["doc_id"] if keep is None else keep
     rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"),
                        F.col(text_col).cast("string").alias("text"))
-    maybe = F.coalesce(F.col("text").rlike(s.MAYBE), F.lit(False))
+    maybe = F.coalesce(_maybe(F.col("text")), F.lit(False))
     # staged: three plans read these rows, and the pattern costs more than all else
     dirty = stage.write(rows.where(maybe).withColumn("digest", F.sha2("text", 256)), "dirty")
     found = stage.write(dirty.select("digest", "text").mapInArrow(

@@ -26,6 +26,10 @@ _TITLES_F = ("Mrs", "Ms", "Frau", "Mme", "Madame", "Sra", "Señora", "Госпо
 MAYBE = (r"[0-9@]|AKIA|(?i:password|passwd|token|secret|api.?key)|"
          + "|".join(rf"\b{t}\b" for t in (*_TITLES_M, *_TITLES_F)))
 
+# Every text that MAYBE matches has a digit, an @ or one of these (the last: in lower case).
+MAYBE_PARTS = ("AKIA", *_TITLES_M, *_TITLES_F)
+MAYBE_LOWER = ("password", "passwd", "token", "secret", "api")
+
 _PART = r"[^\W\d_a-z][^\W\d_]*(?:[-'’][^\W\d_]+)*"
 # What is assigned without quotes runs to white space, a quote or a delimiter ("&" only before
 # another assignment); marks that may close a sentence or bracket do not end it.
