@@ -14,15 +14,13 @@ from pyspark.sql import functions as F
 def attach_to_few(few: DataFrame, large: DataFrame, key: str) -> DataFrame:
     """``few LEFT JOIN large USING (key)`` without shuffling ``large``.
 
-    ``few`` must be bounded by its definition (a top-k result). An outer join
-    can only broadcast its non-preserved side -- here the large one -- so the
-    join is an inner join with ``few`` broadcast, plus the rows of ``few``
-    without a match, with NULL attributes. Same rows as the left join,
+    ``few`` must be bounded by its definition (a top-k result). It becomes one value, an
+    array of its rows, in a scalar subquery: ``large`` is filtered by the keys in it while
+    it is scanned, and the few rows that match meet the array's rows. The subquery is used
+    twice and run once, so ``few`` is computed once. Same rows as the left join,
     duplicates included.
     """
-    matched = large.join(F.broadcast(few), key)
-    missing = few.join(F.broadcast(matched.select(key).distinct()), key, "left_anti")
-    for f in large.schema.fields:
-        if f.name != key:
-            missing = missing.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return matched.unionByName(missing)
+    rows = few.agg(F.collect_list(F.struct(*few.columns)).alias("rows")).scalar()
+    matched = large.where(F.array_contains(rows.getField(key), F.col(key)))
+    listed = few.sparkSession.range(1).select(F.inline(rows))
+    return listed.join(matched, key, "left")

@@ -61,3 +61,17 @@ def test_calendar_distinct_is_partial_before_exchange(spark):
     below = plan[plan.index("Exchange hashpartitioning"):]
     assert "HashAggregate(keys=[full_datetime" in below  # map-side DISTINCT before the shuffle
     assert plan.count("raise_error") == 2  # the strict parse runs once per branch, not twice
+
+
+@pytest.mark.parametrize("name", ["top_cities", "segments_by_state", "segments_by_city"])
+def test_places_need_no_expansion(spark, name):
+    assert "Expand" not in _plan(catalog.QUERIES[name](spark, SF_SMALL))
+
+
+@pytest.mark.parametrize("name", ["top_products_by_revenue", "top_products_by_quantity",
+                                  "top_sellers_by_revenue", "top_sellers_by_quantity"])
+def test_top_lists_are_computed_once(spark, name):
+    found = catalog.QUERIES[name](spark, SF_SMALL)
+    found.collect()
+    run = _plan(found).split("== Initial Plan ==")[0]
+    assert run.count("TakeOrderedAndProject") == 1 and "ReusedSubquery" in run
