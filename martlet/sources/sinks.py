@@ -71,6 +71,14 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
         if fs.exists(p) else []
 
 
+def has_parquet(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder with anything but the marks of a writer in it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and any(
+        not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(p))
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
 

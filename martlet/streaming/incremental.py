@@ -19,17 +19,16 @@ from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martlet.sources.sinks import has_parquet
+
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    """The target, or None where nothing was written yet; any other failure is raised."""
+    return spark.read.parquet(path) if has_parquet(spark, path) else None
 
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
