@@ -20,6 +20,8 @@ from martlet.plans import oracle
 from martlet.plans.star_versions import StarVersions, staging_changes
 from martlet.plans.store import stored_mart, stored_staging
 from martlet.session import shared_dir
+from martlet.sources.csv import read_csv
+from martlet.sources.evolving import EvolvingTable
 from martlet.sources.ingest import FILE_PREFIX, FILE_SUFFIX, ingest_csv, read_rejects
 from martlet.sources.reconcile import content_report, digest
 from martlet.sources.staging import STAGING_SCHEMAS
@@ -198,6 +200,48 @@ FROM (VALUES ('loaded'), ('altered'), ('swapped')) AS tables(t),
      (SELECT count(*) AS n FROM stg_order_payments)""")
 
 
+# -- schemas that drift between loads (S12) --------------------------------------------
+
+
+def _payment_waves(pay: DataFrame) -> list[DataFrame]:
+    """Three files of payments, each with other columns: whole amounts; amounts with cents,
+    reordered, one column fewer and one more; ids that are no numbers, and gaps."""
+    k = F.col("order_id").cast("bigint")
+    text = F.format_string("%.2f", "payment_value").alias("payment_value")
+    return [
+        pay.where(k % 3 == 0).select(
+            "order_id", "payment_sequential", "payment_type", "payment_installments",
+            F.floor("payment_value").alias("payment_value")),
+        pay.where(k % 3 == 1).select(
+            text, F.lit("web").alias("channel"), "payment_type", "order_id", "payment_installments"),
+        pay.where(k % 3 == 2).select(
+            F.concat(F.lit("R"), "order_id").alias("order_id"), "payment_sequential", "payment_type",
+            F.when(F.col("payment_sequential") == 1, F.col("payment_installments")).alias("payment_installments"),
+            text, F.lit("shop").alias("channel")),
+    ]
+
+
+def csv_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments of three files with differing columns, types inferred, as one table."""
+    folder = work_folder(spark, "drift")
+    table = EvolvingTable(spark, f"{folder}/table")
+    for number, wave in enumerate(_payment_waves(stored_staging(spark, sf_dir).order_payments)):
+        file = f"{folder}/arrivals/{number}"
+        wave.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(file)
+        table.append(read_csv(spark, file).df)
+    return table.read(load_as="load")
+
+
+QUERIES["csv_schema_drift"] = csv_schema_drift
+ORACLE_SQL["csv_schema_drift"] = oracle.with_star("""
+SELECT CASE WHEN k % 3 = 2 THEN 'R' || order_id ELSE CAST(k AS VARCHAR) END AS order_id,
+       CASE WHEN k % 3 <> 1 THEN payment_sequential END AS payment_sequential, payment_type,
+       CASE WHEN k % 3 <> 2 OR payment_sequential = 1 THEN CAST(payment_installments AS DOUBLE) END AS payment_installments,
+       CASE WHEN k % 3 = 0 THEN floor(payment_value) ELSE payment_value END AS payment_value,
+       CASE k % 3 WHEN 1 THEN 'web' WHEN 2 THEN 'shop' END AS channel, CAST(k % 3 AS INTEGER) AS load
+FROM (SELECT *, CAST(order_id AS BIGINT) AS k FROM stg_order_payments)""")
+
+
 # -- rejected records (S3) -------------------------------------------------------------
 
 
