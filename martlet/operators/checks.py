@@ -167,45 +167,58 @@ def _key_of(test: Test) -> tuple[str, str]:
     return test.table, test.column
 
 
-def test_report(tables: dict[str, DataFrame], kinds: tuple[str, ...] | None = None) -> DataFrame:
-    """(test_name, table_name, column_name, test_kind, failures, status), one row per test.
-
-    The whole suite is one job with one scan per table. A row of a table becomes
-    one (domain, column, key) entry per tested column; a domain is a key and all
-    columns that refer to it. One aggregate per (domain, key) counts the entries
-    of each column -- combined map-side, so a hot key costs a row per map task --
-    and shows all three kinds of failure: a NULL key, a key counted twice, a
-    counted key that its parent column does not have.
+class KeyTests:
+    """The tests of a suite as counts of keys.
+
+    A row of a table becomes one (domain, place, key) entry per tested column; a domain is
+    a key and all columns that refer to it, a place is a column in a domain. The counts of
+    each (domain, key), ``n0``, ``n1`` ... by place, show all kinds of failure: a NULL key,
+    a key counted twice, a counted key that its parent column does not have. So the failures
+    of every test are sums over (domain, key), and the counts of disjoint rows add up.
     """
-    suite = [t for t in SUITE if kinds is None or t.kind in kinds]
-    # column -> the domain its keys belong to
-    domain: dict[tuple[str, str], tuple[str, str]] = {}
-    for t in suite:
-        domain[_key_of(t)] = (t.parent, t.parent_column) if t.kind == "relationships" \
-            else domain.get(_key_of(t), _key_of(t))
-        if t.kind == "relationships":
-            domain[t.parent, t.parent_column] = (t.parent, t.parent_column)
-    columns = list(domain)
-    # a column can be a child in one domain and the key of its own: one entry each
-    owned = {_key_of(t) for t in suite if t.kind == "unique"} | {
-        (t.parent, t.parent_column) for t in suite if t.kind == "relationships"}
-    places = sorted({(domain[c], c) for c in columns} | {(c, c) for c in owned})
-    entries = None
-    for table in sorted({c[0] for _, c in places}):
-        own = [(i, d, c) for i, (d, c) in enumerate(places) if c[0] == table]
-        part = tables[table].select(F.explode(F.array(*[
-            F.struct(F.lit(".".join(d)).alias("domain"), F.lit(i).alias("place"),
-                     _key_text(c).alias("key")) for i, d, c in own])).alias("e")).select("e.*")
-        if ("fact_orders", "") in domain and table == "fact_orders":
-            part = part.where(F.col("key").isNotNull() | (F.col("domain") != "fact_orders."))
-        entries = part if entries is None else entries.unionByName(part)
-    counted = entries.groupBy("domain", "key").agg(*[
-        F.count_if(F.col("place") == i).alias(f"n{i}") for i in range(len(places))])
-
-    def n(column: tuple[str, str], of: tuple[str, str] | None = None) -> Column:
-        return F.col(f"n{places.index((of or domain[column], column))}")
-
-    def failed(t: Test) -> Column:
+
+    def __init__(self, kinds: tuple[str, ...] | None = None):
+        self.suite = [t for t in SUITE if kinds is None or t.kind in kinds]
+        # column -> the domain its keys belong to
+        domain: dict[tuple[str, str], tuple[str, str]] = {}
+        for t in self.suite:
+            domain[_key_of(t)] = (t.parent, t.parent_column) if t.kind == "relationships" \
+                else domain.get(_key_of(t), _key_of(t))
+            if t.kind == "relationships":
+                domain[t.parent, t.parent_column] = (t.parent, t.parent_column)
+        # a column can be a child in one domain and the key of its own: one entry each
+        owned = {_key_of(t) for t in self.suite if t.kind == "unique"} | {
+            (t.parent, t.parent_column) for t in self.suite if t.kind == "relationships"}
+        self.domain = domain
+        self.places = sorted({(domain[c], c) for c in domain} | {(c, c) for c in owned})
+        self.counts = [f"n{i}" for i in range(len(self.places))]
+
+    def entries(self, tables: dict[str, DataFrame]) -> DataFrame:
+        """(domain, place, key) of the given tables, one scan each."""
+        out = None
+        for table in sorted({c[0] for _, c in self.places} & set(tables)):
+            own = [(i, d, c) for i, (d, c) in enumerate(self.places) if c[0] == table]
+            part = tables[table].select(F.explode(F.array(*[
+                F.struct(F.lit(".".join(d)).alias("domain"), F.lit(i).alias("place"),
+                         _key_text(c).alias("key")) for i, d, c in own])).alias("e")).select("e.*")
+            if ("fact_orders", "") in self.domain and table == "fact_orders":
+                part = part.where(F.col("key").isNotNull() | (F.col("domain") != "fact_orders."))
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    def counted(self, entries: DataFrame) -> DataFrame:
+        """Counts per (domain, key), combined map-side: a hot key is a row per map task."""
+        return entries.groupBy("domain", "key").agg(*[
+            F.count_if(F.col("place") == i).alias(n) for i, n in enumerate(self.counts)])
+
+    def failures(self) -> list[Column]:
+        """An aggregate over counted keys per test, named after it."""
+        return [F.coalesce(self._failed(t), F.lit(0)).cast("bigint").alias(t.name) for t in self.suite]
+
+    def _failed(self, t: Test) -> Column:
+        def n(column: tuple[str, str], of: tuple[str, str] | None = None) -> Column:
+            return F.col(f"n{self.places.index((of or self.domain[column], column))}")
+
         own = _key_of(t)
         if t.kind == "not_null":
             return F.sum(F.when(F.col("key").isNull(), n(own)))
@@ -216,21 +229,31 @@ def test_report(tables: dict[str, DataFrame], kinds: tuple[str, ...] | None = No
             return F.sum(F.when(F.col("key").isNotNull() & (n(parent, parent) == 0), n(own, parent)))
         return F.count_if(n(own) > 1) if t.column else F.sum(n(own))
 
-    row = counted.agg(*[F.coalesce(failed(t), F.lit(0)).cast("bigint").alias(t.name) for t in suite])
-    counts = _unpivot(row, [t.name for t in suite])
+    def report(self, row: DataFrame) -> DataFrame:
+        """One row with the failures of each test -> a described row per test."""
+        counts = _unpivot(row, [t.name for t in self.suite])
 
-    def lookup(attr: str) -> Column:
-        return F.create_map(*[F.lit(x) for t in suite for x in (t.name, getattr(t, attr))])[
-            F.col("test_name")]
+        def lookup(attr: str) -> Column:
+            return F.create_map(*[F.lit(x) for t in self.suite for x in (t.name, getattr(t, attr))])[
+                F.col("test_name")]
 
-    return counts.select(
-        "test_name",
-        lookup("table").alias("table_name"),
-        lookup("column").alias("column_name"),
-        lookup("kind").alias("test_kind"),
-        "failures",
-        _status(F.col("failures")).alias("status"),
-    )
+        return counts.select(
+            "test_name",
+            lookup("table").alias("table_name"),
+            lookup("column").alias("column_name"),
+            lookup("kind").alias("test_kind"),
+            "failures",
+            _status(F.col("failures")).alias("status"),
+        )
+
+
+def test_report(tables: dict[str, DataFrame], kinds: tuple[str, ...] | None = None) -> DataFrame:
+    """(test_name, table_name, column_name, test_kind, failures, status), one row per test.
+
+    The whole suite is one job with one scan per table and one aggregate (``KeyTests``).
+    """
+    tests = KeyTests(kinds)
+    return tests.report(tests.counted(tests.entries(tables)).agg(*tests.failures()))
 
 
 def _key_text(column: tuple[str, str]) -> Column:

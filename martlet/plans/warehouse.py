@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from martlet.functions.money import cents, from_cents
 from martlet.operators import retention, sketches
 from martlet.plans import oracle
+from martlet.plans.delta_tests import DeltaTests
 from martlet.plans.star_versions import StarVersions, staging_changes
 from martlet.plans.store import stored_mart, stored_staging
 from martlet.session import shared_dir
@@ -30,6 +31,7 @@ from martlet.streaming.upsert import UpsertTable, incremental_upsert
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+STAR_TABLES = ("dim_customers", "dim_sellers", "dim_products", "dim_date", "fact_orders", "fact_order_items")
 
 
 def work_folder(spark: SparkSession, what: str) -> str:
@@ -164,6 +166,40 @@ FROM fact_orders o LEFT JOIN (
 GROUP BY 1""")
 
 
+# -- data tests over a change (C1-C3) ---------------------------------------------------
+
+
+def star_before(star: dict[str, DataFrame]) -> tuple[dict, dict, dict]:
+    """(an earlier star, the rows added since, the rows removed since): a month of orders and
+    a fifth of the sellers are missing, some products stand twice, some items name no product."""
+    def some(column: str, of: int) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(of)) == 0
+
+    march = F.coalesce(F.col("purchase_date_id").between(199703000000, 199703999999), F.lit(False))
+    lost = star["fact_order_items"].where(some("order_id", 97)).withColumn("product_id", F.lit(None).cast("string"))
+    added = {"fact_orders": star["fact_orders"].where(march),
+             "dim_sellers": star["dim_sellers"].where(some("seller_id", 5))}
+    removed = {"dim_products": star["dim_products"].where(some("product_id", 7)), "fact_order_items": lost}
+    before = star | {"fact_orders": star["fact_orders"].where(~march),
+                     "dim_sellers": star["dim_sellers"].where(~some("seller_id", 5))}
+    before |= {name: star[name].unionByName(rows) for name, rows in removed.items()}
+    return before, added, removed
+
+
+def test_report_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test report of the star, from the state of an earlier star and what changed."""
+    mart = stored_mart(spark, sf_dir)
+    before, added, removed = star_before({name: getattr(mart, name) for name in STAR_TABLES})
+    tests = DeltaTests(spark, work_folder(spark, "tests"), buckets=8)
+    tests.build(before)
+    tests.apply(added, removed)
+    return tests.report()
+
+
+QUERIES["test_report_delta"] = test_report_delta
+ORACLE_SQL["test_report_delta"] = oracle.with_star(oracle.report_sql(None))
+
+
 # -- reconciliation by content (S8) --------------------------------------------------
 
 

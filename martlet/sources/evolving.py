@@ -141,9 +141,7 @@ class EvolvingTable:
         self.spark, self.tables = spark, VersionedTables(spark, root)
 
     def _loads(self, manifest: Manifest) -> dict[str, Load]:
-        while "rollback_to" in manifest.info:
-            manifest = self.tables.manifest(manifest.info["rollback_to"])
-        return {part: Load.from_info(i) for part, i in manifest.info.get("loads", {}).items()}
+        return {part: Load.from_info(i) for part, i in self.tables.info(manifest).get("loads", {}).items()}
 
     def schema(self, version: int | None = None) -> T.StructType:
         return merged(self._loads(self.tables.manifest(version)).values())
