@@ -30,7 +30,8 @@ driver sees the sample, the entry nodes and counts only.
 
 Defined cases: ties go to the smaller id; with fewer candidates than asked for,
 all are returned; a query without a valid vector, or without a candidate, gets
-no rows; repeated rows of one id count once; an empty table gives an empty
+no rows; an id is one vector, of several different ones the least, component by
+component; an empty table gives an empty
 result; other columns, whatever their names, are ignored.
 """
 
@@ -187,6 +188,12 @@ def valid_vectors(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
         F.col("vec_id").isNotNull() & F.coalesce(_valid(F.col("original")), F.lit(False)))
 
 
+def _one_each(given: DataFrame, length: int) -> DataFrame:
+    """(vec_id, original), one row per id: of several vectors of one id the least."""
+    return given.where(F.size("original") == length).groupBy("vec_id").agg(
+        F.min("original").alias("original"))
+
+
 def _extended(longest: float):
     """mapInArrow: (node, original) -> (node, vec): with the length-giving coordinate."""
 
@@ -429,7 +436,7 @@ def build(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding")
     common = given.groupBy(F.size("original").alias("length")).agg(F.count("*").alias("n")).orderBy(
         F.desc("n"), "length").first()
     length = common["length"] if common else 0
-    rows = stage.write(given.where(F.size("original") == length).distinct(), "rows")
+    rows = stage.write(_one_each(given, length), "rows")
     vectors = stage.write(rows.groupBy("original").agg(F.min("vec_id").alias("node")), "vectors")
     members = stage.write(rows.join(vectors, "original").select("node", "vec_id"), "members")
     norm = F.sqrt(F.aggregate("original", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
@@ -615,8 +622,7 @@ def search(index: Index, queries: DataFrame, k: int = TOP, id_col: str = "vec_id
     indexed table). ``k`` is at most BEAM / 2.
     """
     stage = index.stage
-    asked = valid_vectors(queries, id_col, vec_col).where(
-        F.size("original") == index.length).dropDuplicates(["vec_id"])
+    asked = _one_each(valid_vectors(queries, id_col, vec_col), index.length)
     asked = stage.write(asked.select(F.col("vec_id").alias("q"), "original"), "queries")
     beam = stage.write(asked.mapInArrow(_enter(index.entry_ids, index.entry_vectors), _BEAM), "beam")
     count = index.nodes.count()

@@ -59,3 +59,20 @@ def test_few_candidates(spark):
     assert run(spark, [(0, [1.0, 2.0], "s")]) == []
     got = run(spark, [(0, [1.0, 0.0], "s"), (1, [1.0, 0.0], "s"), (2, [0.5, 0.0], "s")])
     assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == [(1, 1, 1.0), (2, 2, 0.5)]
+
+
+def test_an_id_with_several_vectors_is_the_least_one(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.standard_normal(6).tolist(), "s") for i in range(41)]
+    twice = [(i, rng.standard_normal(6).tolist(), "s") for i in (0, 3, 20, 3, 40)]
+    least = {}
+    for i, v, s in rows + twice:
+        v = np.asarray(v, np.float32).tolist()
+        least[i] = min(least.get(i, v), v)
+    for given in (rows + twice, twice + rows + rows):
+        got = run(spark, given)
+        _, want = brute([(i, v, "s") for i, v in least.items()])
+        assert len(got) == sum(map(len, want.values()))
+        for q, near in want.items():
+            own = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == q)
+            assert [i for _, i in own] == [i for _, i in near]
