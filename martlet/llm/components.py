@@ -21,7 +21,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
                                                            F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
     return both.where("b > a").join(least, "a").select(
-        F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+        F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
     linked = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return linked.unionByName(least.select("a", F.col("m").alias("b"))).where("a != b").distinct()
+    return linked.unionByName(least.select("a", F.col("m").alias("b"))).where("a != b")
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -42,7 +42,7 @@ def components(edges: DataFrame, stage: Stage) -> DataFrame:
     now = stage.write(edges.select("a", "b").where("a != b").distinct(), "edges")
     state = _state(now)
     while True:
-        new = stage.write(_small_star(_large_star(now)), "star")
+        new = stage.write(_small_star(_large_star(now).distinct()).distinct(), "star")
         new_state = _state(new)
         if new_state == state:
             break
@@ -57,5 +57,5 @@ def contracted(edges: DataFrame, stage: Stage) -> DataFrame:
     """(vertex, component) after one step: vertices of one component may still have different
     names, those with one name (a vertex not returned has its own) are of one component. Stars,
     the usual shape of links to pivots, are done after it."""
-    step = _small_star(_large_star(edges.select("a", "b").where("a != b").distinct()))
+    step = _small_star(_large_star(edges.select("a", "b").where("a != b")))
     return stage.write(step.groupBy(F.col("a").alias("vertex")).agg(F.min("b").alias("component")), "contracted")

@@ -32,7 +32,8 @@ metric, so a pivot p bounds every other distance: ``|d(x,p) - d(y,p)| <= d(x,y)`
    ``|a & b| = (|a| + |b| - |a ^ b|) / 2``. The likely rarest elements of the
    difference, as many as that bound demands, name the regions of the next
    round; the smaller difference of a pair needs few, in which it leads, and only
-   pairs with a leading member are sought. What is rare in a cell is told by
+   pairs with a leading member are sought. Of these regions those of at most ``SMALL``
+   members are compared at once, one of each that have the same members. What is rare in a cell is told by
    its centre, the majority of a small sample; the order has no bearing on the
    result. Regions only ever lose members, the pivots, so the recursion ends;
    regions that pivots settle entirely are not carried on.
@@ -67,7 +68,7 @@ from martlet.llm.components import components, contracted
 WORDS, SIMILARITY = 3, 0.9
 PIVOTS = 2
 SETTLE = (6, 16)  # pivots that settle a small region, at first and later
-SMALL = 64  # members of a cell that one task compares
+SMALL = 128  # members of a cell or region that one task compares
 SAMPLED = 15  # members whose majority is the centre of a cell
 # A region with HOT sets among one in HOT_EVERY is shared for certain, and by many.
 HOT, HOT_EVERY = 32, 256
@@ -234,15 +235,15 @@ def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _centre(table: pa.Table) -> pa.Table:
-    """The elements that most of a cell's sampled members have."""
+    """The elements that most of a cell's sampled members have, and the cell's pivot."""
     own = [np.frombuffer(x, np.uint64) for x in table.column("own").to_pylist()]
     elements, times = np.unique(np.concatenate(own), return_counts=True)
-    return pa.table({"cell": table.column("cell").slice(0, 1).combine_chunks(),
+    return pa.table({**{k: table.column(k).slice(0, 1).combine_chunks() for k in ("cell", "p")},
                      "centre": pa.array([elements[2 * times > len(own)].tobytes()], pa.binary())})
 
 
-def _small_cells(link: Link):
-    """applyInArrow: one cell (cell, x, c, d, own) -> its links (x, p, nx, np, diff)."""
+def _compared(link: Link):
+    """applyInArrow: one cell or region (x, c, d, own) -> its links (x, p, nx, np, diff)."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("d")
@@ -429,13 +430,15 @@ def _round(members: DataFrame, known: DataFrame | None, labels: DataFrame | None
     opened = stage.write(labelled.join(open_cells, "cell"), "open")
     settled = stage.write(opened.where(F.col("g") <= SMALL).join(own, "x").select(
         "cell", "x", "c", "d", "own").groupBy("cell").applyInArrow(
-            _small_cells(link), "x long, p long, nx long, np long, diff long"), "settled")
+            _compared(link), "x long, p long, nx long, np long, diff long"), "settled")
     large = opened.where(F.col("g") > SMALL)
     sampled = large.withColumn("rank", F.row_number().over(
         Window.partitionBy("cell").orderBy(F.xxhash64("x"), "x"))).where(F.col("rank") <= SAMPLED)
-    centres = stage.write(sampled.select("cell", "x").join(own, "x").select("cell", "own").groupBy(
-        "cell").applyInArrow(_centre, "cell long, centre binary"), "centres")
-    named = large.join(own, "x").join(other, "p").join(centres, "cell").select(
+    centres = sampled.select("cell", "x", "p").join(own, "x").select("cell", "p", "own").groupBy(
+        "cell").applyInArrow(_centre, "cell long, p long, centre binary")
+    # a cell's pivot and centre meet before they are joined with its members
+    centres = stage.write(centres.join(other, "p").select("cell", "other", "centre"), "centres")
+    named = large.join(own, "x").join(centres, "cell").select(
         "cell", "x", "c", "outer", "own", "other", "centre").mapInArrow(
             _differences(link), "cell long, x long, c long, e long, leads boolean")
     regions = stage.write(named.select(F.xxhash64("cell", "e").alias("region"), "x", "c", "leads"), "named")
@@ -448,6 +451,22 @@ def _round(members: DataFrame, known: DataFrame | None, labels: DataFrame | None
     return found, labels, settled, after
 
 
+def _small_regions(members: DataFrame, sets: DataFrame, stage: Stage, link: Link
+                   ) -> tuple[DataFrame, DataFrame]:
+    """(links of the regions of at most ``SMALL`` members, members of the larger ones)."""
+    hashed = [F.bit_xor(F.xxhash64("x", F.lit(seed))).alias(f"h{seed}") for seed in (1, 2)]
+    regions = stage.write(members.groupBy("region").agg(
+        F.count("*").alias("g"), F.min("x").alias("lo"), F.max("x").alias("hi"), *hashed), "sizes")
+    small = regions.where(F.col("g") <= SMALL).groupBy("g", "lo", "hi", "h1", "h2").agg(
+        F.min("region").alias("region")).select("region")
+    links = stage.write(members.join(small, "region").join(sets.select("x", "own"), "x").select(
+        "region", "x", "c", F.lit(0.0).alias("d"), "own").groupBy("region").applyInArrow(
+            _compared(link), "x long, p long, nx long, np long, diff long"), "small")
+    large = stage.write(members.join(regions.where(F.col("g") > SMALL), "region", "left_semi"), "large")
+    stage.release(regions, members)
+    return links, large
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``: components of links
@@ -467,6 +486,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _sets(words), "x long, own binary").distinct(), "sets")
     known = labels = pending = None
     while not members.isEmpty():
+        if known is not None:
+            close, members = _small_regions(members, sets, stage, link)
+            known, pending = known.unionByName(close), pending.unionByName(close)
+            if members.isEmpty():
+                break
         found, labels, pending, after = _round(members, known, labels, pending, sets, stage, link)
         known = (found if known is None else known.unionByName(found)).unionByName(pending)
         stage.release(members)

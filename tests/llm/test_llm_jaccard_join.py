@@ -5,6 +5,7 @@ import cases
 import numpy as np
 import pytest
 
+from martlet.llm import jaccard_join
 from martlet.llm.common import Stage
 from martlet.llm.components import components
 from martlet.llm.jaccard_join import Link, near_duplicates, projections, shingles
@@ -65,9 +66,11 @@ def test_empty(spark):
     assert near_duplicates(cases.frame(spark, [])).collect() == []
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_clusters_of_edited_copies(spark, seed):
-    """Groups of copies with up to six edits each, of many lengths: links and near misses."""
+@pytest.mark.parametrize("seed, small", [(1, 128), (2, 4)])
+def test_clusters_of_edited_copies(spark, monkeypatch, seed, small):
+    """Groups of copies with up to six edits each, of many lengths: links and near misses.
+    Where few members count as a small region, pivots divide the others again and again."""
+    monkeypatch.setattr(jaccard_join, "SMALL", small)
     rng = random.Random(seed)
     texts = []
     for group, size in enumerate((12, 25, 60, 150, 400)):
