@@ -18,7 +18,8 @@ metric, so a pivot p bounds every other distance: ``|d(x,p) - d(y,p)| <= d(x,y)`
    many sets need none.
 2. *Pivots.* Each region takes as pivots those of its leading members (at first
    all lead) that share most regions: ``PIVOTS``, or all of few enough (``SETTLE``); the distance of every member to them is
-   computed exactly from the shingle sets. Pairs with a pivot are settled.
+   computed exactly from the shingle sets. Pairs with a pivot are settled. Where only the
+   link matters, not the distance, parity bits (``_parity``) tell most unlinked pairs first.
 3. *Voronoi cells.* A member's home is its nearest pivot; it is replicated to
    every smaller pivot with ``d(x,p) <= d(x,home) + 2r``. By the triangle inequality a
    linked pair meets in the smaller home of the two. In a cell of at most ``SMALL``
@@ -206,14 +207,43 @@ def _sketch(words: int, link: Link):
     return run
 
 
+def _parity(own: np.ndarray) -> bytes:
+    """One bit for each remainder of the elements: how many have it, odd or even. Every
+    element that only one of two sets has turns one bit, so their bits differ in at most
+    as many places as the sets do. The number of bits is a power of two, 2 to 4 an element."""
+    bits = 1 << max(6, (2 * len(own)).bit_length())
+    return np.packbits(np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1,
+                       bitorder="little").tobytes()
+
+
+def _apart(a: bytes, b: bytes) -> int:
+    """The places in which two sets' parity bits differ, the longer ones folded."""
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    return int(np.unpackbits(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
+
+
 def _sets(words: int):
-    """mapInArrow: (x, text) -> (x, own): the shingle set as bytes."""
+    """mapInArrow: (x, text) -> (x, n, parity, own): the shingle set as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [shingles(t, words) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(x) for x in own], pa.int64()),
+                 pa.array([_parity(x) for x in own], pa.binary()),
+                 pa.array([x.tobytes() for x in own], pa.binary())], names=["x", "n", "parity", "own"])
+
+    return run
+
+
+def _may_link(link: Link):
+    """mapInArrow: (x, p, nx, np, px, pp) -> (x, p) of the pairs whose parity bits allow a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [shingles(t, words).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())],
-                                             names=["x", "own"])
+            allowed = [_apart(a, b) * link.far <= (m + n) * link.near for m, n, a, b in
+                       zip(*(c.to_pylist() for c in batch.columns[2:]))]
+            yield batch.select(["x", "p"]).filter(pa.array(allowed, pa.bool_()))
 
     return run
 
@@ -395,12 +425,21 @@ def _round(members: DataFrame, known: DataFrame | None, labels: DataFrame | None
     near = members.join(pivots, "region").where("x != p")
     # a pair of pivots is measured once; one of a settled region only if it may join components
     pairs = near.where("NOT settled OR c != cp").select(
-        F.greatest("x", "p").alias("x"), F.least("x", "p").alias("p")).distinct()
+        F.greatest("x", "p").alias("x"), F.least("x", "p").alias("p"), "settled").groupBy(
+        "x", "p").agg(F.min("settled").alias("settled"))
     if not first:
         pairs = pairs.join(known, ["x", "p"], "left_anti")
     own = sets.select("x", "own")
     other = sets.select(F.col("x").alias("p"), F.col("own").alias("other"))
-    found = stage.write(pairs.join(own, "x").join(other, "p").select(
+    pairs = stage.write(pairs, "pairs")
+    brief = sets.select("x", F.col("n").alias("nx"), F.col("parity").alias("px"))
+    allowed = pairs.where("settled").select("x", "p").join(brief, "x").join(
+        brief.toDF("p", "np", "pp"), "p").where(
+        F.least("nx", "np") * link.q >= F.greatest("nx", "np") * link.p).select(
+        "x", "p", "nx", "np", "px", "pp").mapInArrow(_may_link(link), "x long, p long").distinct()
+    # the other pairs' distances place members in cells
+    measured = stage.write(allowed.unionByName(pairs.where("NOT settled").select("x", "p")), "measured")
+    found = stage.write(measured.join(own, "x").join(other, "p").select(
         "x", "p", "own", "other").mapInArrow(
             _distances, "x long, p long, nx long, np long, diff long"), "distances")
     every = found if first else known.unionByName(found)
@@ -447,7 +486,7 @@ def _round(members: DataFrame, known: DataFrame | None, labels: DataFrame | None
         "lo < hi AND leads").select("region")
     after = stage.write(regions.join(open_regions, "region", "left_semi").groupBy(
         "region", "x", "c").agg(F.max("leads").alias("leads")), "regions")
-    stage.release(pivots, cells, opened, centres, regions)
+    stage.release(pivots, pairs, measured, cells, opened, centres, regions)
     return found, labels, settled, after
 
 
@@ -482,8 +521,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("doc_id").alias("rep")), "classes")
     members = _first_regions(sketch, classes, stage)
     wanted = members.select(F.col("x").alias("doc_id")).distinct()
-    sets = stage.write(rows.join(wanted, "doc_id", "left_semi").mapInArrow(
-        _sets(words), "x long, own binary").distinct(), "sets")
+    # repeated rows go before their sets are made, while they lie by id
+    sets = stage.write(rows.join(wanted, "doc_id", "left_semi").distinct().mapInArrow(
+        _sets(words), "x long, n long, parity binary, own binary"), "sets")
     known = labels = pending = None
     while not members.isEmpty():
         if known is not None:

@@ -140,3 +140,15 @@ def test_similarity_outside_its_range_is_an_error():
     for similarity in (0, 1, 1.5):
         with pytest.raises(ValueError):
             Link.at(similarity)
+
+
+def test_parity_bits_differ_in_at_most_as_many_places_as_the_sets():
+    rng = np.random.default_rng(3)
+    for n, m, common in ((0, 5, 0), (1, 1, 1), (40, 300, 30), (500, 520, 480), (700, 30, 30), (5000, 5100, 10)):
+        shared, a, b = (rng.integers(0, 1 << 63, k).astype(np.uint64) for k in (common, n - common, m - common))
+        x, y = np.unique(np.append(shared, a)), np.unique(np.append(shared, b))
+        apart = jaccard_join._apart(jaccard_join._parity(x), jaccard_join._parity(y))
+        differ = len(np.setxor1d(x, y))
+        assert apart <= differ and (apart - differ) % 2 == 0
+        if common == 10:  # unlike sets are told
+            assert apart * 19 > len(x) + len(y)
