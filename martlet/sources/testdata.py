@@ -39,14 +39,19 @@ CATEGORY_TRANSLATION = [
 ]
 
 
-# The large tables. A Parquet row group cannot be split, so the adapter deals
-# their rows out evenly once; AQE sizes the partitions.
-LARGE_TABLES = ("orders", "lineitem")
+# The large tables and their keys. A Parquet row group cannot be split, so the adapter
+# deals their rows out once. By key, since dealing them out in turn would sort every
+# task's rows first (and spill them); AQE sizes the partitions and splits a hot key's.
+LARGE_TABLES = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+
+
+def raw_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def read_raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.hint("rebalance") if name in LARGE_TABLES else df
+    df = spark.read.parquet(raw_path(sf_dir, name))
+    return df.hint("rebalance", LARGE_TABLES[name]) if name in LARGE_TABLES else df
 
 
 def _key_text(col: str) -> Column:
