@@ -21,10 +21,10 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import SparkSession
 
 from martlet.plans.mart import Mart, read_mart, write_mart
-from martlet.session import app_id, ensure_conf, shared_dir
+from martlet.session import app_id, ensure_conf, fit_tasks, input_bytes, shared_dir
 from martlet.sources.sinks import write_table
 from martlet.sources.staging import Staging
-from martlet.sources.testdata import load_staging
+from martlet.sources.testdata import RAW_TABLES, load_staging, raw_path
 
 _LOCK = threading.Lock()
 _STORED: dict[tuple[str, str], Mart] = {}
@@ -74,6 +74,7 @@ def stored_staging(spark: SparkSession, sf_dir: str) -> Staging:
     with _LOCK:
         staged = _STAGED.get(key)
         if staged is None:
+            fit_tasks(spark, input_bytes(spark, *(raw_path(sf_dir, name) for name in RAW_TABLES)))
             paths = write_staging(load_staging(spark, sf_dir, extras=True), out)
             staged = _STAGED[key] = read_staging(spark, paths)
     return staged

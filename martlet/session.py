@@ -156,6 +156,29 @@ def size_session(spark: SparkSession, input_bytes: int) -> dict[str, str]:
     return wanted
 
 
+# Stored bytes of input to a map task, and to a reduce task before AQE coalesces them.
+MAP_BYTES, REDUCE_BYTES = 16 << 20, 2 << 20
+
+
+def fit_tasks(spark: SparkSession, size: int) -> None:
+    """Let a task's share stay what it is while the input grows to ``size`` bytes.
+
+    A hash aggregate or a sort that outgrows its task's memory is spilled, and the more so the
+    larger its share. Splits of a scan get a ceiling, and exchanges begin with partitions
+    in proportion to the input; AQE coalesces those that turn out small. Settings the user gave
+    are left alone, and the number of partitions is only raised.
+    """
+    sc = _context(spark)
+    given = dict(sc.getConf().getAll()) if sc is not None else {}
+    split, first = "spark.sql.files.maxPartitionBytes", \
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if split not in given:
+        spark.conf.set(split, str(MAP_BYTES))
+    now = spark.conf.get(first, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    if first not in given and size // REDUCE_BYTES > int(now):
+        spark.conf.set(first, str(size // REDUCE_BYTES))
+
+
 def input_bytes(spark: SparkSession, *paths: str) -> int:
     """Bytes under ``paths`` (folders or files that Hadoop's file systems can list)."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
