@@ -175,6 +175,9 @@ class KeyTests:
     each (domain, key), ``n0``, ``n1`` ... by place, show all kinds of failure: a NULL key,
     a key counted twice, a counted key that its parent column does not have. So the failures
     of every test are sums over (domain, key), and the counts of disjoint rows add up.
+
+    Domains and their places are numbers, and places are numbered in each domain anew: a row
+    has as many counts as the largest domain has places, not as many as there are tests.
     """
 
     def __init__(self, kinds: tuple[str, ...] | None = None):
@@ -191,18 +194,21 @@ class KeyTests:
             (t.parent, t.parent_column) for t in self.suite if t.kind == "relationships"}
         self.domain = domain
         self.places = sorted({(domain[c], c) for c in domain} | {(c, c) for c in owned})
-        self.counts = [f"n{i}" for i in range(len(self.places))]
+        self.domains = sorted({d for d, _ in self.places})
+        self.slots = {(d, c): [x for at, x in self.places if at == d].index(c) for d, c in self.places}
+        self.counts = [f"n{i}" for i in range(max(self.slots.values(), default=0) + 1)]
 
     def entries(self, tables: dict[str, DataFrame]) -> DataFrame:
         """(domain, place, key) of the given tables, one scan each."""
         out = None
         for table in sorted({c[0] for _, c in self.places} & set(tables)):
-            own = [(i, d, c) for i, (d, c) in enumerate(self.places) if c[0] == table]
+            own = [(self.domains.index(d), i, c) for (d, c), i in self.slots.items() if c[0] == table]
             part = tables[table].select(F.explode(F.array(*[
-                F.struct(F.lit(".".join(d)).alias("domain"), F.lit(i).alias("place"),
-                         _key_text(c).alias("key")) for i, d, c in own])).alias("e")).select("e.*")
+                F.struct(F.lit(d).alias("domain"), F.lit(i).alias("place"),
+                         _key_text(c).alias("key")) for d, i, c in own])).alias("e")).select("e.*")
             if ("fact_orders", "") in self.domain and table == "fact_orders":
-                part = part.where(F.col("key").isNotNull() | (F.col("domain") != "fact_orders."))
+                unmarked = self.domains.index(("fact_orders", ""))
+                part = part.where(F.col("key").isNotNull() | (F.col("domain") != unmarked))
             out = part if out is None else out.unionByName(part)
         return out
 
@@ -216,18 +222,21 @@ class KeyTests:
         return [F.coalesce(self._failed(t), F.lit(0)).cast("bigint").alias(t.name) for t in self.suite]
 
     def _failed(self, t: Test) -> Column:
-        def n(column: tuple[str, str], of: tuple[str, str] | None = None) -> Column:
-            return F.col(f"n{self.places.index((of or self.domain[column], column))}")
-
         own = _key_of(t)
+        domain = own if t.kind == "unique" else self.domain[own]
+        here = F.col("domain") == self.domains.index(domain)
+
+        def n(column: tuple[str, str]) -> Column:
+            return F.col(f"n{self.slots[domain, column]}")
+
         if t.kind == "not_null":
-            return F.sum(F.when(F.col("key").isNull(), n(own)))
+            return F.sum(F.when(here & F.col("key").isNull(), n(own)))
         if t.kind == "unique":
-            return F.count_if(F.col("key").isNotNull() & (n(own, own) > 1))
+            return F.count_if(here & F.col("key").isNotNull() & (n(own) > 1))
         if t.kind == "relationships":
-            parent = (t.parent, t.parent_column)
-            return F.sum(F.when(F.col("key").isNotNull() & (n(parent, parent) == 0), n(own, parent)))
-        return F.count_if(n(own) > 1) if t.column else F.sum(n(own))
+            orphan = F.col("key").isNotNull() & (n((t.parent, t.parent_column)) == 0)
+            return F.sum(F.when(here & orphan, n(own)))
+        return F.count_if(here & (n(own) > 1)) if t.column else F.sum(F.when(here, n(own)))
 
     def report(self, row: DataFrame) -> DataFrame:
         """One row with the failures of each test -> a described row per test."""
@@ -264,7 +273,9 @@ def _key_text(column: tuple[str, str]) -> Column:
         return F.when(lifecycle_violation(), F.lit("out of order"))
     if len(names) == 1:
         return F.col(names[0]).cast("string")
-    return F.to_json(F.struct(*names))  # a NULL part is left out, like no other value
+    # each part after its length, a NULL part as a dash: no two lists of parts look the same
+    texts = [F.col(name).cast("string") for name in names]
+    return F.concat(*[F.coalesce(F.concat(F.length(x), F.lit(":"), x), F.lit("-")) for x in texts])
 
 
 # -- further quality checks (accepted values, ranges, row-count drift) ---------
