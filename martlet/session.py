@@ -157,7 +157,7 @@ def size_session(spark: SparkSession, input_bytes: int) -> dict[str, str]:
 
 
 # Stored bytes of input to a map task, and to a reduce task before AQE coalesces them.
-MAP_BYTES, REDUCE_BYTES = 16 << 20, 2 << 20
+MAP_BYTES, REDUCE_BYTES = 16 << 20, 4 << 20
 
 
 def fit_tasks(spark: SparkSession, size: int) -> None:

@@ -24,9 +24,9 @@ def test_partitions_are_raised_with_the_input_only(spark):
         fit_tasks(spark, 1 << 20)
         assert spark.conf.get(name, None) is None
         fit_tasks(spark, 6 << 30)
-        assert int(spark.conf.get(name)) == 3072 and spark.conf.get(split) == str(16 << 20)
+        assert int(spark.conf.get(name)) == 1536 and spark.conf.get(split) == str(16 << 20)
         fit_tasks(spark, 1 << 30)
-        assert int(spark.conf.get(name)) == 3072
+        assert int(spark.conf.get(name)) == 1536
     finally:
         spark.conf.set(split, was)
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
