@@ -56,7 +56,7 @@ def _differing(both: DataFrame, names: list[str]) -> DataFrame:
     A row's bucket is a hash of the row; a bucket's digest is the number of its rows and two
     sums over a second hash, map-side combined to ``DIGEST_BUCKETS`` rows a task at most. So
     a table that did not change is scanned and hashed, but no row of it is shuffled. A bucket that
-    differs is told equal only if two sums of 64 bits agree by chance.
+    differs is told equal only if both sums (of the halves of 64 bits) agree by chance.
     """
     row = [*names, *[F.col(n).isNull() for n in names]]  # a hash alone passes over nulls
     both = both.withColumn("_bucket", F.pmod(F.xxhash64(*row), F.lit(DIGEST_BUCKETS)))
