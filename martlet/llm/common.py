@@ -4,7 +4,8 @@
 shared folder the cluster names in ``spark.checkpoint.dir`` and reading it
 back, so a lost executor costs a task of the current round and not the whole
 history. ``Stage`` keeps track of the tables of one operator call; tables that
-no later plan reads are released.
+no later plan reads are released, and the shuffle files behind a table go once it
+is written, not when the driver's garbage collector next meets them.
 
 *Fixed hash folds.* Contracts define held-out rows by ``crc32`` of the id as
 text, ``fold`` spells that once.
@@ -23,6 +24,8 @@ from martlet.session import app_id, shared_dir
 
 # Rows of an Arrow batch handed to Python: bounds a batch of very long texts.
 ARROW_ROWS = 500
+# Spark's setting (from 4.1) that removes a query's shuffle files when the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -52,7 +55,12 @@ class Stage:
         """``df`` written as Parquet and read back."""
         path = f"{self.root}/{self._count:03d}-{what}"
         self._count += 1
-        df.write.parquet(path)
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:  # the caller's own queries keep theirs
+            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         back = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(back)] = path
         self._keep.append(back)

@@ -41,7 +41,9 @@ metric, so a pivot p bounds every other distance: ``|d(x,p) - d(y,p)| <= d(x,y)`
 5. *Components* of the links (``components``), joined back to all documents.
 
 No step emits all pairs of a group: a region of g members costs g distances
-a pivot. Sets are fetched only for members of regions, keyed by document.
+a pivot. Parity bits come with the sketch; whole sets are made only for documents whose
+distance to some pivot is measured in the first round, as later rounds divide these alone.
+The sketch's region keys are released once the first regions are drawn.
 
 Defined cases: null texts and texts without words have an empty set and link
 with nothing; fewer words than a shingle form one shingle; rows that share a
@@ -178,18 +180,19 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _sketch(words: int, link: Link):
-    """mapInArrow: (doc_id, text) -> (doc_id, n, h1, h2, regions)."""
+    """mapInArrow: (doc_id, text) -> (doc_id, n, h1, h2, parity, regions)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            sizes, first, second, regions = [], [], [], []
+            sizes, first, second, parity, regions = [], [], [], [], []
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 own = shingles(text, words)
                 digest = xxhash.xxh3_128_intdigest(own.tobytes())
                 sizes.append(len(own))
                 first.append(h1 := (digest >> 64) - (1 << 63))
                 second.append((digest & ((1 << 64) - 1)) - (1 << 63))
+                parity.append(None if doc_id is None else _parity(own))
                 # copies of a set met before in this task add nothing to its regions, nor do
                 # rows without an id, which take no part
                 if doc_id is None or h1 in seen:
@@ -201,8 +204,9 @@ def _sketch(words: int, link: Link):
                 seen.add(h1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()),
-                 pa.array(second, pa.int64()), pa.array(regions, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "h1", "h2", "regions"])
+                 pa.array(second, pa.int64()), pa.array(parity, pa.binary()),
+                 pa.array(regions, pa.list_(pa.int64()))],
+                names=["doc_id", "n", "h1", "h2", "parity", "regions"])
 
     return run
 
@@ -223,15 +227,13 @@ def _apart(a: bytes, b: bytes) -> int:
 
 
 def _sets(words: int):
-    """mapInArrow: (x, text) -> (x, n, parity, own): the shingle set as bytes."""
+    """mapInArrow: (x, text) -> (x, own): the shingle set as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [shingles(t, words) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) for x in own], pa.int64()),
-                 pa.array([_parity(x) for x in own], pa.binary()),
-                 pa.array([x.tobytes() for x in own], pa.binary())], names=["x", "n", "parity", "own"])
+            own = [shingles(t, words).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())],
+                                             names=["x", "own"])
 
     return run
 
@@ -416,29 +418,41 @@ def _joined(edges: DataFrame, labels: DataFrame | None, stage: Stage) -> DataFra
     return contracted(edges, stage)
 
 
-def _round(members: DataFrame, known: DataFrame | None, labels: DataFrame | None,
-           pending: DataFrame | None, sets: DataFrame, stage: Stage, link: Link) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """One level of the recursion: (distances found, names by the links so far as
-    (vertex, component), links of small cells, not yet among these, members of the next regions)."""
-    first = known is None
-    pivots = stage.write(_pivots(members, SETTLE[0] if first else SETTLE[1]), "pivots")
-    near = members.join(pivots, "region").where("x != p")
+def _near(members: DataFrame, pivots: DataFrame) -> DataFrame:
+    """The members of each region beside its pivots."""
+    return members.join(pivots, "region").where("x != p")
+
+
+def _to_measure(members: DataFrame, pivots: DataFrame, known: DataFrame | None,
+                brief: DataFrame, stage: Stage, link: Link) -> DataFrame:
+    """(x, p): the pairs with a pivot whose distance is wanted and not known yet."""
+    near = _near(members, pivots)
     # a pair of pivots is measured once; one of a settled region only if it may join components
     pairs = near.where("NOT settled OR c != cp").select(
         F.greatest("x", "p").alias("x"), F.least("x", "p").alias("p"), "settled").groupBy(
         "x", "p").agg(F.min("settled").alias("settled"))
-    if not first:
+    if known is not None:
         pairs = pairs.join(known, ["x", "p"], "left_anti")
-    own = sets.select("x", "own")
-    other = sets.select(F.col("x").alias("p"), F.col("own").alias("other"))
     pairs = stage.write(pairs, "pairs")
-    brief = sets.select("x", F.col("n").alias("nx"), F.col("parity").alias("px"))
     allowed = pairs.where("settled").select("x", "p").join(brief, "x").join(
         brief.toDF("p", "np", "pp"), "p").where(
         F.least("nx", "np") * link.q >= F.greatest("nx", "np") * link.p).select(
         "x", "p", "nx", "np", "px", "pp").mapInArrow(_may_link(link), "x long, p long").distinct()
     # the other pairs' distances place members in cells
     measured = stage.write(allowed.unionByName(pairs.where("NOT settled").select("x", "p")), "measured")
+    stage.release(pairs)
+    return measured
+
+
+def _round(members: DataFrame, pivots: DataFrame, measured: DataFrame, known: DataFrame | None,
+           labels: DataFrame | None, pending: DataFrame | None, sets: DataFrame, stage: Stage,
+           link: Link) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """One level of the recursion: (distances found, names by the links so far as
+    (vertex, component), links of small cells, not yet among these, members of the next regions)."""
+    first = known is None
+    near = _near(members, pivots)
+    own = sets.select("x", "own")
+    other = sets.select(F.col("x").alias("p"), F.col("own").alias("other"))
     found = stage.write(measured.join(own, "x").join(other, "p").select(
         "x", "p", "own", "other").mapInArrow(
             _distances, "x long, p long, nx long, np long, diff long"), "distances")
@@ -486,7 +500,7 @@ def _round(members: DataFrame, known: DataFrame | None, labels: DataFrame | None
         "lo < hi AND leads").select("region")
     after = stage.write(regions.join(open_regions, "region", "left_semi").groupBy(
         "region", "x", "c").agg(F.max("leads").alias("leads")), "regions")
-    stage.release(pivots, pairs, measured, cells, opened, centres, regions)
+    stage.release(pivots, measured, cells, opened, centres, regions)
     return found, labels, settled, after
 
 
@@ -516,22 +530,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"))
     sketch = stage.write(rows.mapInArrow(
-        _sketch(words, link), "doc_id long, n long, h1 long, h2 long, regions array<long>"), "sketch")
+        _sketch(words, link),
+        "doc_id long, n long, h1 long, h2 long, parity binary, regions array<long>"), "sketch")
     classes = stage.write(sketch.where("doc_id IS NOT NULL AND n > 0").groupBy("h1", "h2", "n").agg(
         F.min("doc_id").alias("rep")), "classes")
     members = _first_regions(sketch, classes, stage)
     wanted = members.select(F.col("x").alias("doc_id")).distinct()
-    # repeated rows go before their sets are made, while they lie by id
-    sets = stage.write(rows.join(wanted, "doc_id", "left_semi").distinct().mapInArrow(
-        _sets(words), "x long, n long, parity binary, own binary"), "sets")
-    known = labels = pending = None
+    brief = stage.write(sketch.join(wanted, "doc_id", "left_semi").select(
+        F.col("doc_id").alias("x"), F.col("n").alias("nx"), F.col("parity").alias("px")).distinct(), "brief")
+    digests = stage.write(sketch.select("doc_id", "n", "h1", "h2"), "digests")
+    stage.release(sketch)  # its region keys are its bulk
+    sets = known = labels = pending = None
     while not members.isEmpty():
         if known is not None:
             close, members = _small_regions(members, sets, stage, link)
             known, pending = known.unionByName(close), pending.unionByName(close)
             if members.isEmpty():
                 break
-        found, labels, pending, after = _round(members, known, labels, pending, sets, stage, link)
+        pivots = stage.write(_pivots(members, SETTLE[0] if known is None else SETTLE[1]), "pivots")
+        measured = _to_measure(members, pivots, known, brief, stage, link)
+        if sets is None:  # no later round needs another set
+            asked = measured.select(F.explode(F.array("x", "p")).alias("doc_id")).distinct()
+            # repeated rows go before their sets are made, while they lie by id
+            sets = stage.write(rows.join(asked, "doc_id", "left_semi").distinct().mapInArrow(
+                _sets(words), "x long, own binary"), "sets")
+        found, labels, pending, after = _round(
+            members, pivots, measured, known, labels, pending, sets, stage, link)
         known = (found if known is None else known.unionByName(found)).unionByName(pending)
         stage.release(members)
         members = after
@@ -539,8 +563,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = components(links if known is None else _linked(known, link), stage)
     named = stage.write(classes.join(labels, classes["rep"] == labels["vertex"], "left").select(
         "h1", "h2", "n", F.coalesce("component", "rep").alias("component_id")), "named")
-    stage.release_all_but(sketch, named)  # the result reads these two
-    return sketch.select("doc_id", "n", "h1", "h2").join(named, ["h1", "h2", "n"], "left").select(
+    stage.release_all_but(digests, named)  # the result reads these two
+    return digests.join(named, ["h1", "h2", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
         .otherwise(F.col("doc_id")).alias("component_id"))

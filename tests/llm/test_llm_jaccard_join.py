@@ -1,12 +1,15 @@
 import random
 import re
+import time
+from pathlib import Path
 
 import cases
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from martlet.llm import jaccard_join
-from martlet.llm.common import Stage
+from martlet.llm.common import CLEANUP, Stage
 from martlet.llm.components import components
 from martlet.llm.jaccard_join import Link, near_duplicates, projections, shingles
 
@@ -152,3 +155,48 @@ def test_parity_bits_differ_in_at_most_as_many_places_as_the_sets():
         assert apart <= differ and (apart - differ) % 2 == 0
         if common == 10:  # unlike sets are told
             assert apart * 19 > len(x) + len(y)
+
+
+def test_sets_are_made_for_measured_documents_only(spark, monkeypatch):
+    # pairs too far apart to link, of which many share a region all the same, and a few links
+    rows = []
+    for k in range(30):
+        base = [f"w{k}x{i}" for i in range(100)]
+        far = [f"{w}y" if i % 20 == 10 else w for i, w in enumerate(base)]
+        near = [f"{w}z" if i == 50 else w for i, w in enumerate(base)]
+        texts = [base, far, near] if k % 6 == 0 else [base, far]
+        rows += [(10 * k + j, " ".join(t), "en", "s", 1, "", 0, "") for j, t in enumerate(texts)]
+    seen, at_distances = {}, []
+    write = Stage.write
+
+    def written(self, df, what):
+        if what == "distances" and not at_distances:
+            at_distances.extend(t for t in self._keep if id(t) in self._paths)
+        back = write(self, df, what)
+        if what in ("regions", "measured", "sets"):
+            ids = [c for c in ("x", "p") if c in df.columns]
+            seen.setdefault(what, {v for r in back.select(*ids).collect() for v in r})
+        return back
+
+    monkeypatch.setattr(Stage, "write", written)
+    check(spark, rows)
+    assert seen["sets"] == seen["measured"] < seen["regions"]
+    # nor do the region keys of all documents lie on disk while the sets are shipped
+    assert at_distances and not [t.columns for t in at_distances if "regions" in t.columns]
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    def files():
+        dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {f.name for d in dirs for f in Path(d.toString()).rglob("shuffle_*.data")}
+
+    rows, before = spark.range(1000).withColumn("k", F.expr("id % 7")), spark.conf.get(CLEANUP, None)
+    kept = rows.groupBy("k").count()
+    assert kept.count() == 7
+    there = files()
+    back = Stage(spark, "test").write(rows.repartition(3, "k").groupBy("id").count(), "counts")
+    until = time.time() + 20
+    while files() - there and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - there
+    assert (back.count(), kept.count(), spark.conf.get(CLEANUP, None)) == (1000, 7, before)
