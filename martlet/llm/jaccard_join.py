@@ -547,6 +547,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             known, pending = known.unionByName(close), pending.unionByName(close)
             if members.isEmpty():
                 break
+            # regions only lose members, so the rounds to come need no other sets
+            every, sets = sets, stage.write(sets.join(members.select("x").distinct(), "x", "left_semi"), "sets")
+            stage.release(every)
         pivots = stage.write(_pivots(members, SETTLE[0] if known is None else SETTLE[1]), "pivots")
         measured = _to_measure(members, pivots, known, brief, stage, link)
         if sets is None:  # no later round needs another set
