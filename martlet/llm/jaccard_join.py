@@ -17,14 +17,17 @@ metric, so a pivot p bounds every other distance: ``|d(x,p) - d(y,p)| <= d(x,y)`
    set fall away in one sorted exchange; those that a sample shows to be shared by
    many sets need none.
 2. *Pivots.* Each region takes as pivots those of its leading members (at first
-   all lead) that share most regions: ``PIVOTS``, or all of few enough (``SETTLE``); the distance of every member to them is
-   computed exactly from the shingle sets. Pairs with a pivot are settled. Where only the
-   link matters, not the distance, parity bits (``_parity``) tell most unlinked pairs first.
-3. *Voronoi cells.* A member's home is its nearest pivot; it is replicated to
-   every smaller pivot with ``d(x,p) <= d(x,home) + 2r``. By the triangle inequality a
-   linked pair meets in the smaller home of the two. In a cell of at most ``SMALL``
-   members the pairs within each other's window, ``|d(x,p) - d(y,p)| <= r``, are
-   compared at once; larger ones are divided further.
+   all lead) that share most regions: ``PIVOTS``, or all of few enough (``SETTLE``). The distance of
+   every member to them is taken between parity bits (``_parity``), folded to one width a region:
+   it is a metric too and at most ``|x ^ p|``, so it rules most links out. The pairs it
+   leaves are measured exactly from the shingle sets, which settles all pairs with a pivot.
+3. *Voronoi cells.* A member's home is its nearest pivot by parity bits; it is replicated to
+   every smaller pivot with ``d(x,p) <= d(x,home) + 2r``, r being the most differences that a link
+   leaves x. By the triangle inequality a linked pair meets in the smaller home of the two. In a
+   cell of at most ``SMALL`` members the pairs within each other's window, ``|d(x,p) - d(y,p)| <= r``,
+   are compared at once by parity bits, and those that may link exactly, from their sets. Larger
+   cells, and those with more than ``DENSE`` such pairs a member (unless their whole sets can be
+   compared at once, ``SETS``), are divided further.
 4. *Recursion.* Components are wanted, so only pairs that the links found so far do not
    show to be of one component are sought; cells and regions whose members are of one component
    are closed before their elements are named, so a group of near copies costs its size.
@@ -41,8 +44,8 @@ metric, so a pivot p bounds every other distance: ``|d(x,p) - d(y,p)| <= d(x,y)`
 5. *Components* of the links (``components``), joined back to all documents.
 
 No step emits all pairs of a group: a region of g members costs g distances
-a pivot. Parity bits come with the sketch; whole sets are made only for documents whose
-distance to some pivot is measured in the first round, as later rounds divide these alone.
+a pivot. Parity bits come with the sketch; whole sets are made only for documents of pairs that
+parity bits do not rule out and of cells that are divided further, and go when they have served.
 The sketch's region keys are released once the first regions are drawn.
 
 Defined cases: null texts and texts without words have an empty set and link
@@ -71,7 +74,10 @@ from martlet.llm.components import components, contracted
 WORDS, SIMILARITY = 3, 0.9
 PIVOTS = 2
 SETTLE = (6, 16)  # pivots that settle a small region, at first and later
-SMALL = 128  # members of a cell or region that one task compares
+SMALL = 8192  # members of a cell or region that one task compares by parity bits,
+SMALL_BITS = 1 << 27  # which are so many at most
+SETS = 128  # members whose whole sets one task compares
+DENSE = 4  # pairs a member that parity bits may leave to be measured
 SAMPLED = 15  # members whose majority is the centre of a cell
 # A region with HOT sets among one in HOT_EVERY is shared for certain, and by many.
 HOT, HOT_EVERY = 32, 256
@@ -220,10 +226,16 @@ def _parity(own: np.ndarray) -> bytes:
                        bitorder="little").tobytes()
 
 
-def _apart(a: bytes, b: bytes) -> int:
-    """The places in which two sets' parity bits differ, the longer ones folded."""
-    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
-    return int(np.unpackbits(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
+def _folded(bits: bytes, size: int) -> np.ndarray:
+    """Parity bits folded to so many bytes: those of the remainders by fewer."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, np.uint64).reshape(-1, size // 8), axis=0)
+
+
+def _apart(a: bytes, b: bytes, most: int | None = None) -> int:
+    """The places in which two sets' parity bits differ, folded to the shorter ones' length,
+    or to ``most`` bytes if that is less. At one length it is a metric."""
+    size = min(len(a), len(b), most or len(a))
+    return int(np.bitwise_count(_folded(a, size) ^ _folded(b, size)).sum())
 
 
 def _sets(words: int):
@@ -238,14 +250,23 @@ def _sets(words: int):
     return run
 
 
-def _may_link(link: Link):
-    """mapInArrow: (x, p, nx, np, px, pp) -> (x, p) of the pairs whose parity bits allow a link."""
+def _places(link: Link):
+    """mapInArrow: (x, p, w, settled, seek, nx, np, px, pp) -> (x, p, w, settled, nx, np, d, may):
+    the distance of parity bits at width w, and whether the pair is sought and they allow a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            allowed = [_apart(a, b) * link.far <= (m + n) * link.near for m, n, a, b in
-                       zip(*(c.to_pylist() for c in batch.columns[2:]))]
-            yield batch.select(["x", "p"]).filter(pa.array(allowed, pa.bool_()))
+            d, may = [], []
+            for w, seek, m, n, a, b in zip(*(batch.column(k).to_pylist() for k in (
+                    "w", "seek", "nx", "np", "px", "pp"))):
+                d.append(_apart(a, b, w // 8))
+                may.append(seek and min(m, n) * link.q >= max(m, n) * link.p
+                           and d[-1] * link.far <= (m + n) * link.near
+                           and _apart(a, b) * link.far <= (m + n) * link.near)
+            kept = batch.select(["x", "p", "w", "settled", "nx", "np"])
+            yield pa.RecordBatch.from_arrays(
+                [*kept.columns, pa.array(d, pa.int64()), pa.array(may, pa.bool_())],
+                names=[*kept.schema.names, "d", "may"])
 
     return run
 
@@ -275,17 +296,15 @@ def _centre(table: pa.Table) -> pa.Table:
 
 
 def _compared(link: Link):
-    """applyInArrow: one cell or region (x, c, d, own) -> its links (x, p, nx, np, diff)."""
+    """applyInArrow: one cell or region (cell, x, c, own) -> its links (x, p, nx, np, diff)."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("d")
-        x, c, d = (table.column(k).to_numpy() for k in ("x", "c", "d"))
+        x, c = (table.column(k).to_numpy() for k in ("x", "c"))
         own = [np.frombuffer(o, np.uint64) for o in table.column("own").to_pylist()]
         n = np.array([len(o) for o in own])
         rows = []
         for i in range(len(x)):
-            end = np.searchsorted(d, d[i] + link.radius + 1e-9, "right")
-            seek = np.arange(i + 1, end)
+            seek = np.arange(i + 1, len(x))
             seek = seek[(c[seek] != c[i]) & (np.minimum(n[seek], n[i]) * link.q >= np.maximum(n[seek], n[i]) * link.p)]
             for j in seek.tolist():
                 diff = len(np.setxor1d(own[i], own[j], assume_unique=True))
@@ -298,8 +317,40 @@ def _compared(link: Link):
     return run
 
 
+def _candidates(link: Link):
+    """applyInArrow: one cell or region (cell, x, c, d, nx, px) -> (cell, x, p) of the pairs whose
+    parity bits allow a link; of one that has too many of them a row without a pair."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("d")
+        x, c, d, n = (table.column(k).to_numpy() for k in ("x", "c", "d", "nx"))
+        bits = table.column("px").to_pylist()
+        size = min(map(len, bits))
+        bits = np.stack([_folded(b, size) for b in bits])
+        ends = np.searchsorted(d, d + n * link.near // link.p, "right")
+        a, b, found = [], [], 0
+        for i in range(len(x)):
+            seek = np.arange(i + 1, ends[i])
+            seek = seek[(c[seek] != c[i]) & (np.minimum(n[seek], n[i]) * link.q >= np.maximum(n[seek], n[i]) * link.p)]
+            if not len(seek):
+                continue
+            differ = np.bitwise_count(bits[seek] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            seek = x[seek[differ * link.far <= (n[i] + n[seek]) * link.near]]
+            a.append(np.maximum(seek, x[i]))
+            b.append(np.minimum(seek, x[i]))
+            found += len(seek)
+            if found > DENSE * len(x):
+                a, b = [pa.nulls(1, pa.int64())], [pa.nulls(1, pa.int64())]
+                break
+        pairs = [pa.chunked_array([pa.array(v, pa.int64()) for v in vs], pa.int64()) for vs in (a, b)]
+        cell = pa.array(np.full(len(pairs[0]), table.column("cell")[0].as_py(), np.int64))
+        return pa.table({"cell": cell, "x": pairs[0], "p": pairs[1]})
+
+    return run
+
+
 def _differences(link: Link):
-    """mapInArrow: (cell, x, c, outer, own, other, centre) -> (cell, x, c, e, leads): the
+    """mapInArrow: (cell, x, c, w, outer, own, other, centre) -> (cell, x, c, w, e, leads): the
     rarest elements of the difference to the pivot, as many as a link demands.
 
     Let a be the smaller difference of a linked pair and b the larger, t the most by
@@ -314,8 +365,8 @@ def _differences(link: Link):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells, xs, labels, leads, elements = [], [], [], [], []
-            for cell, x, label, outer, a, b, c in zip(*(col.to_pylist() for col in batch.columns)):
+            leads, elements = [], []
+            for outer, a, b, c in zip(*(col.to_pylist() for col in batch.columns[4:])):
                 delta, n, n_pivot = _difference(a, b), len(a) // 8, len(b) // 8
                 size, most = len(delta), link.most(n)
                 in_pivot = np.isin(delta, np.frombuffer(b, np.uint64), assume_unique=True)
@@ -328,17 +379,12 @@ def _differences(link: Link):
                 larger = max(0, size - max(1, half, size - most) + 1)
                 elements.append(delta[:larger])
                 leads.append(np.arange(len(elements[-1])) < smaller)
-                cells.append(cell)
-                xs.append(x)
-                labels.append(label)
             sizes = [len(e) for e in elements]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.array(cells, np.int64), sizes)),
-                 pa.array(np.repeat(np.array(xs, np.int64), sizes)),
-                 pa.array(np.repeat(np.array(labels, np.int64), sizes)),
+                [*(pa.array(np.repeat(k.to_numpy(), sizes)) for k in batch.columns[:4]),
                  pa.array(np.concatenate([np.zeros(0, np.int64), *elements])),
                  pa.array(np.concatenate([np.zeros(0, bool), *leads]))],
-                names=["cell", "x", "c", "e", "leads"])
+                names=["cell", "x", "c", "w", "e", "leads"])
 
     return run
 
@@ -367,8 +413,8 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _first_regions(sketch: DataFrame, classes: DataFrame, stage: Stage) -> DataFrame:
-    """(region, x, leads, c): representatives of the sets that share a projection; all of
-    them lead, and each is a component of its own."""
+    """(region, x, w, leads, c): representatives of the sets that share a projection, with the
+    width of their parity bits; all of them lead, and each is a component of its own."""
 
     def members(rows: DataFrame) -> DataFrame:
         return rows.where("doc_id IS NOT NULL").select(F.explode("regions").alias("region"), "h1")
@@ -384,25 +430,27 @@ def _first_regions(sketch: DataFrame, classes: DataFrame, stage: Stage) -> DataF
     cold = every.repartition("region").sortWithinPartitions("region", "h1").mapInArrow(
         _shared, "region long, h1 long")
     kept = cold if kept is None else cold.unionByName(kept)
-    first = stage.write(kept.join(classes.select("h1", F.col("rep").alias("x")), "h1").select(
-        "region", "x", F.lit(True).alias("leads"), F.col("x").alias("c")).distinct(), "regions")
+    width = F.expr("shiftleft(1, greatest(6, length(bin(2 * n))))").cast("long")  # as _parity has it
+    first = stage.write(kept.join(classes.select("h1", F.col("rep").alias("x"), width.alias("w")), "h1").groupBy(
+        "region", "x").agg(F.min("w").alias("w")).select(
+        "region", "x", "w", F.lit(True).alias("leads"), F.col("x").alias("c")), "regions")
     stage.release(hot)
     return first
 
 
 def _pivots(members: DataFrame, settle: int) -> DataFrame:
-    """(region, p, cp, settled): each region's pivots, of its leading members those that
-    share most regions. ``settle`` of them settle a region with no more leading members
+    """(region, p, cp, settled, w): each region's pivots, of its leading members those that
+    share most regions, and the width at which all its members' parity bits can be compared. ``settle`` of them settle a region with no more leading members
     (or one more member) at once; a larger one gets ``PIVOTS`` and is divided."""
     central = members.groupBy("x").agg(F.count("*").alias("shares"))
     order = Window.partitionBy("region").orderBy(F.desc("shares"), "x")
     sizes = members.groupBy("region").agg(
-        F.count("*").alias("g"), F.count_if("leads").alias("leading")).select(
-        "region", ((F.col("leading") <= settle) | (F.col("g") <= settle + 1)).alias("settled"))
-    ranked = members.where("leads").join(central, "x").withColumn(
+        F.count("*").alias("g"), F.count_if("leads").alias("leading"), F.min("w").alias("w")).select(
+        "region", ((F.col("leading") <= settle) | (F.col("g") <= settle + 1)).alias("settled"), "w")
+    ranked = members.where("leads").drop("w").join(central, "x").withColumn(
         "rank", F.row_number().over(order)).where(F.col("rank") <= settle)
     return ranked.join(sizes, "region").where(F.col("settled") | (F.col("rank") <= PIVOTS)).select(
-        "region", F.col("x").alias("p"), F.col("c").alias("cp"), "settled")
+        "region", F.col("x").alias("p"), F.col("c").alias("cp"), "settled", "w")
 
 
 def _linked(found: DataFrame, link: Link) -> DataFrame:
@@ -420,71 +468,117 @@ def _joined(edges: DataFrame, labels: DataFrame | None, stage: Stage) -> DataFra
 
 def _near(members: DataFrame, pivots: DataFrame) -> DataFrame:
     """The members of each region beside its pivots."""
-    return members.join(pivots, "region").where("x != p")
-
-
-def _to_measure(members: DataFrame, pivots: DataFrame, known: DataFrame | None,
-                brief: DataFrame, stage: Stage, link: Link) -> DataFrame:
-    """(x, p): the pairs with a pivot whose distance is wanted and not known yet."""
-    near = _near(members, pivots)
-    # a pair of pivots is measured once; one of a settled region only if it may join components
-    pairs = near.where("NOT settled OR c != cp").select(
-        F.greatest("x", "p").alias("x"), F.least("x", "p").alias("p"), "settled").groupBy(
-        "x", "p").agg(F.min("settled").alias("settled"))
-    if known is not None:
-        pairs = pairs.join(known, ["x", "p"], "left_anti")
-    pairs = stage.write(pairs, "pairs")
-    allowed = pairs.where("settled").select("x", "p").join(brief, "x").join(
-        brief.toDF("p", "np", "pp"), "p").where(
-        F.least("nx", "np") * link.q >= F.greatest("nx", "np") * link.p).select(
-        "x", "p", "nx", "np", "px", "pp").mapInArrow(_may_link(link), "x long, p long").distinct()
-    # the other pairs' distances place members in cells
-    measured = stage.write(allowed.unionByName(pairs.where("NOT settled").select("x", "p")), "measured")
-    stage.release(pairs)
-    return measured
-
-
-def _round(members: DataFrame, pivots: DataFrame, measured: DataFrame, known: DataFrame | None,
-           labels: DataFrame | None, pending: DataFrame | None, sets: DataFrame, stage: Stage,
-           link: Link) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """One level of the recursion: (distances found, names by the links so far as
-    (vertex, component), links of small cells, not yet among these, members of the next regions)."""
-    first = known is None
-    near = _near(members, pivots)
-    own = sets.select("x", "own")
-    other = sets.select(F.col("x").alias("p"), F.col("own").alias("other"))
-    found = stage.write(measured.join(own, "x").join(other, "p").select(
-        "x", "p", "own", "other").mapInArrow(
-            _distances, "x long, p long, nx long, np long, diff long"), "distances")
-    every = found if first else known.unionByName(found)
+    return members.drop("w").join(pivots, "region").where("x != p")
+
+
+@dataclass(frozen=True)
+class _Source:
+    """Where the search gets documents from: their texts, and (x, nx, px), sizes and parity bits."""
+
+    rows: DataFrame
+    brief: DataFrame
+    words: int
+    link: Link
+    stage: Stage
+
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """(x, own): the shingle sets of the documents in the first column of ``ids``."""
+        asked = ids.toDF("doc_id").distinct()
+        # repeated rows go before their sets are made, while they lie by id
+        return self.stage.write(self.rows.join(asked, "doc_id", "left_semi").distinct().mapInArrow(
+            _sets(self.words), "x long, own binary"), "sets")
+
+    def measured(self, pairs: DataFrame) -> DataFrame:
+        """(x, p, nx, np, diff) of the pairs (x, p), from their sets."""
+        pairs = self.stage.write(pairs, "measured")
+        own = self.sets(pairs.select(F.explode(F.array("x", "p"))))
+        found = self.stage.write(pairs.join(own, "x").join(own.toDF("p", "other"), "p").select(
+            "x", "p", "own", "other").mapInArrow(
+                _distances, "x long, p long, nx long, np long, diff long"), "distances")
+        self.stage.release(pairs, own)
+        return found
+
+
+def _placed(members: DataFrame, pivots: DataFrame, source: _Source) -> DataFrame:
+    """(x, p, w, settled, nx, np, d, may): the pairs with a pivot that may link, and all of
+    unsettled regions, at these regions' widths."""
+    brief = source.brief
+    # a pair of pivots is met once; one of a settled region only if it may join components
+    pairs = _near(members, pivots).where("NOT settled OR c != cp").select(
+        F.greatest("x", "p").alias("x"), F.least("x", "p").alias("p"), "w", "settled",
+        (F.col("c") != F.col("cp")).alias("seek")).groupBy("x", "p", "w").agg(
+        F.min("settled").alias("settled"), F.max("seek").alias("seek"))
+    return source.stage.write(pairs.join(brief, "x").join(brief.toDF("p", "np", "pp"), "p").select(
+        "x", "p", "w", "settled", "seek", "nx", "np", "px", "pp").mapInArrow(
+            _places(source.link), "x long, p long, w long, settled boolean, nx long, np long, "
+                                  "d long, may boolean").where("may OR NOT settled"), "placed")
+
+
+def _at_once(groups: DataFrame, source: _Source) -> tuple[DataFrame, DataFrame]:
+    """Of cells or regions (cell, x, c, d, w, g, ...): (distances of the pairs that may link in
+    those compared at once, the rows of the others)."""
+    stage, link = source.stage, source.link
+    few = F.col("g") <= min(SETS, SMALL)
+    fits = few | (F.col("g") <= SMALL) & (F.col("g") * F.col("w") <= SMALL_BITS)
+    close = stage.write(groups.where(fits).select("cell", "x", "c", "d").join(source.brief, "x").groupBy(
+        "cell").applyInArrow(_candidates(link), "cell long, x long, p long"), "close")
+    found = source.measured(close.where("x IS NOT NULL").select("x", "p").distinct())
+    dense = close.where("x IS NULL").select("cell")
+    if dense.isEmpty():
+        return found, groups.where(~fits)
+    dense = groups.join(dense, "cell", "left_semi")
+    own = source.sets(dense.where(few).select("x"))
+    whole = stage.write(dense.where(few).join(own, "x").select("cell", "x", "c", "own").groupBy(
+        "cell").applyInArrow(_compared(link), "x long, p long, nx long, np long, diff long"), "whole")
+    stage.release(own)
+    return found.unionByName(whole), groups.where(~fits).unionByName(dense.where(~few))
+
+
+def _round(members: DataFrame, pivots: DataFrame, known: DataFrame | None, labels: DataFrame | None,
+           pending: DataFrame | None, source: _Source
+           ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
+    """One level of the recursion: (distances found, names by the links so far as (vertex,
+    component), distances found in cells, not yet among these, members of the next regions)."""
+    stage, link, first = source.stage, source.link, known is None
+    placed = _placed(members, pivots, source)
+    asked = placed.where("may").select("x", "p").distinct()
+    found = source.measured(asked if first else asked.join(known, ["x", "p"], "left_anti"))
     new = found if pending is None else found.unionByName(pending)
     labels = _joined(_linked(new, link), labels, stage)
 
     # Voronoi cells of the regions that their pivots do not settle
-    both = every.unionByName(every.select(F.col("p").alias("x"), F.col("x").alias("p"),
-                                          F.col("np").alias("nx"), F.col("nx").alias("np"), "diff"))
-    distance = 2 * F.col("diff") / (F.col("nx") + F.col("np") + F.col("diff"))
+    sides = placed.select("x", "p", "w", F.col("nx").alias("n"), "d")
+    both = sides.unionByName(placed.select(F.col("p").alias("x"), F.col("x").alias("p"), "w",
+                                           F.col("np").alias("n"), "d"))
     chosen = pivots.select("region", F.col("p").alias("x"))
-    unsettled = near.where("NOT settled").select("region", "x", "p").join(
+    unsettled = _near(members, pivots).where("NOT settled").select("region", "x", "p", "w").join(
         chosen, ["region", "x"], "left_anti")
-    placed = unsettled.join(both, ["x", "p"]).select("region", "x", "p", distance.alias("d"))
-    home = F.min(F.struct("d", "p")).over(Window.partitionBy("region", "x"))
-    cell = F.col("p") if first else F.xxhash64("region", "p")
-    cells = stage.write(placed.withColumn("home", home).where(
-        (F.col("p") <= F.col("home.p")) & (F.col("d") <= F.col("home.d") + 2 * link.radius + 1e-9)).select(
-        cell.alias("cell"), "x", "p", "d").distinct(), "cells")
+    homed = unsettled.join(both, ["x", "p", "w"]).withColumn(
+        "home", F.min(F.struct("d", "p")).over(Window.partitionBy("region", "x")))
+    cell = F.xxhash64("p", "w") if first else F.xxhash64("region", "p")
+    most = F.expr(f"n * {link.near} div {link.p}")
+    cells = stage.write(homed.where(
+        (F.col("p") <= F.col("home.p")) & (F.col("d") <= F.col("home.d") + 2 * most)).select(
+        cell.alias("cell"), "x", "p", "w", "d").distinct(), "cells")
     of_x = labels.select(F.col("vertex").alias("x"), F.col("component").alias("c"))
     of_p = labels.select(F.col("vertex").alias("p"), F.col("component").alias("cp"))
     labelled = cells.join(of_x, "x", "left").join(of_p, "p", "left").select(
-        "cell", "x", "p", "d", F.coalesce("c", "x").alias("c"),
+        "cell", "x", "p", "w", "d", F.coalesce("c", "x").alias("c"),
         (F.coalesce("c", "x") != F.coalesce("cp", "p")).alias("outer"))
     open_cells = labelled.groupBy("cell").agg(
         F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("g")).where("lo < hi").select("cell", "g")
     opened = stage.write(labelled.join(open_cells, "cell"), "open")
-    settled = stage.write(opened.where(F.col("g") <= SMALL).join(own, "x").select(
-        "cell", "x", "c", "d", "own").groupBy("cell").applyInArrow(
-            _compared(link), "x long, p long, nx long, np long, diff long"), "settled")
-    large = opened.where(F.col("g") > SMALL)
+    settled, large = _at_once(opened, source)
+    after = None if large.isEmpty() else _divided(stage.write(large, "large"), source)
+    stage.release(pivots, placed, cells, opened)
+    return found, labels, settled, after
+
+
+def _divided(large: DataFrame, source: _Source) -> DataFrame:
+    """(region, x, w, c, leads): the members of the next regions of cells (cell, x, p, w, c, outer)."""
+    stage, link = source.stage, source.link
+    sets = source.sets(large.select(F.explode(F.array("x", "p"))))
+    own, other = sets, sets.toDF("p", "other")
     sampled = large.withColumn("rank", F.row_number().over(
         Window.partitionBy("cell").orderBy(F.xxhash64("x"), "x"))).where(F.col("rank") <= SAMPLED)
     centres = sampled.select("cell", "x", "p").join(own, "x").select("cell", "p", "own").groupBy(
@@ -492,32 +586,32 @@ def _round(members: DataFrame, pivots: DataFrame, measured: DataFrame, known: Da
     # a cell's pivot and centre meet before they are joined with its members
     centres = stage.write(centres.join(other, "p").select("cell", "other", "centre"), "centres")
     named = large.join(own, "x").join(centres, "cell").select(
-        "cell", "x", "c", "outer", "own", "other", "centre").mapInArrow(
-            _differences(link), "cell long, x long, c long, e long, leads boolean")
-    regions = stage.write(named.select(F.xxhash64("cell", "e").alias("region"), "x", "c", "leads"), "named")
+        "cell", "x", "c", "w", "outer", "own", "other", "centre").mapInArrow(
+            _differences(link), "cell long, x long, c long, w long, e long, leads boolean")
+    regions = stage.write(named.select(F.xxhash64("cell", "e").alias("region"), "x", "c", "w", "leads"), "named")
     open_regions = regions.groupBy("region").agg(
         F.min("c").alias("lo"), F.max("c").alias("hi"), F.max("leads").alias("leads")).where(
         "lo < hi AND leads").select("region")
     after = stage.write(regions.join(open_regions, "region", "left_semi").groupBy(
-        "region", "x", "c").agg(F.max("leads").alias("leads")), "regions")
-    stage.release(pivots, measured, cells, opened, centres, regions)
-    return found, labels, settled, after
+        "region", "x", "c", "w").agg(F.max("leads").alias("leads")), "regions")
+    stage.release(large, sets, centres, regions)
+    return after
 
 
-def _small_regions(members: DataFrame, sets: DataFrame, stage: Stage, link: Link
-                   ) -> tuple[DataFrame, DataFrame]:
-    """(links of the regions of at most ``SMALL`` members, members of the larger ones)."""
+def _small_regions(members: DataFrame, source: _Source) -> tuple[DataFrame, DataFrame]:
+    """(distances in the regions that are compared at once, members of the others)."""
+    stage = source.stage
     hashed = [F.bit_xor(F.xxhash64("x", F.lit(seed))).alias(f"h{seed}") for seed in (1, 2)]
     regions = stage.write(members.groupBy("region").agg(
         F.count("*").alias("g"), F.min("x").alias("lo"), F.max("x").alias("hi"), *hashed), "sizes")
-    small = regions.where(F.col("g") <= SMALL).groupBy("g", "lo", "hi", "h1", "h2").agg(
-        F.min("region").alias("region")).select("region")
-    links = stage.write(members.join(small, "region").join(sets.select("x", "own"), "x").select(
-        "region", "x", "c", F.lit(0.0).alias("d"), "own").groupBy("region").applyInArrow(
-            _compared(link), "x long, p long, nx long, np long, diff long"), "small")
-    large = stage.write(members.join(regions.where(F.col("g") > SMALL), "region", "left_semi"), "large")
-    stage.release(regions, members)
-    return links, large
+    # of those that have the same members one is compared, or divided
+    once = regions.groupBy("g", "lo", "hi", "h1", "h2").agg(F.min("region").alias("region"))
+    groups = stage.write(members.withColumnRenamed("region", "cell").join(
+        once.select(F.col("region").alias("cell"), "g"), "cell").withColumn("d", F.lit(0).cast("long")), "groups")
+    found, rest = _at_once(groups, source)
+    large = stage.write(rest.withColumnRenamed("cell", "region").drop("g", "d"), "large")
+    stage.release(regions, members, groups)
+    return found, large
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -540,25 +634,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("doc_id").alias("x"), F.col("n").alias("nx"), F.col("parity").alias("px")).distinct(), "brief")
     digests = stage.write(sketch.select("doc_id", "n", "h1", "h2"), "digests")
     stage.release(sketch)  # its region keys are its bulk
-    sets = known = labels = pending = None
-    while not members.isEmpty():
+    source = _Source(rows, brief, words, link, stage)
+    known = labels = pending = None
+    while members is not None and not members.isEmpty():
         if known is not None:
-            close, members = _small_regions(members, sets, stage, link)
+            close, members = _small_regions(members, source)
             known, pending = known.unionByName(close), pending.unionByName(close)
             if members.isEmpty():
                 break
-            # regions only lose members, so the rounds to come need no other sets
-            every, sets = sets, stage.write(sets.join(members.select("x").distinct(), "x", "left_semi"), "sets")
-            stage.release(every)
         pivots = stage.write(_pivots(members, SETTLE[0] if known is None else SETTLE[1]), "pivots")
-        measured = _to_measure(members, pivots, known, brief, stage, link)
-        if sets is None:  # no later round needs another set
-            asked = measured.select(F.explode(F.array("x", "p")).alias("doc_id")).distinct()
-            # repeated rows go before their sets are made, while they lie by id
-            sets = stage.write(rows.join(asked, "doc_id", "left_semi").distinct().mapInArrow(
-                _sets(words), "x long, own binary"), "sets")
-        found, labels, pending, after = _round(
-            members, pivots, measured, known, labels, pending, sets, stage, link)
+        found, labels, pending, after = _round(members, pivots, known, labels, pending, source)
         known = (found if known is None else known.unionByName(found)).unionByName(pending)
         stage.release(members)
         members = after

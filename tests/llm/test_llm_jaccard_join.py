@@ -185,6 +185,62 @@ def test_sets_are_made_for_measured_documents_only(spark, monkeypatch):
     assert at_distances and not [t.columns for t in at_distances if "regions" in t.columns]
 
 
+def _rows_written(monkeypatch):
+    """Rows of the staged tables by name, as they are written."""
+    seen, write = {}, Stage.write
+
+    def written(self, df, what):
+        back = write(self, df, what)
+        seen.setdefault(what, []).append(back.count())
+        return back
+
+    monkeypatch.setattr(Stage, "write", written)
+    return seen
+
+
+def test_a_shared_passage_ships_no_sets(spark, monkeypatch):
+    # 200 texts share a passage, so regions, but none links with another
+    passage = [f"p{i}" for i in range(100)]
+    rows = [(k, " ".join([*passage, *(f"w{k}x{i}" for i in range(30))]), "en", "s", 1, "", 0, "")
+            for k in range(200)]
+    near = " ".join([*passage, *(f"w7x{i}" for i in range(29)), "other"])
+    seen = _rows_written(monkeypatch)
+    check(spark, [*rows, (200, near, "en", "s", 1, "", 0, "")])
+    assert seen["regions"][0] > 200  # every text is in some
+    assert sum(seen["sets"]) == 2 and "centres" not in seen  # whole sets of the linked pair only
+
+
+@pytest.mark.parametrize("dense, sets", [(0, 128), (0, 3)])
+def test_cells_with_many_near_misses(spark, monkeypatch, dense, sets):
+    """Cells in which parity bits leave too many pairs: compared by whole sets, or divided."""
+    monkeypatch.setattr(jaccard_join, "DENSE", dense)
+    monkeypatch.setattr(jaccard_join, "SETS", sets)
+    monkeypatch.setattr(jaccard_join, "SETTLE", (2, 2))
+    rng, texts = random.Random(11), []
+    for group, size in enumerate((40, 90)):
+        base = [f"w{group}x{i}" for i in range(size)]
+        for _ in range(30):
+            copy = base[:]
+            for i in rng.sample(range(size), rng.randrange(1 + size // 25)):
+                copy[i] = f"e{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    seen = _rows_written(monkeypatch)
+    check(spark, [(i, t, "en", "s", 1, "", 0, "") for i, t in enumerate(texts)])
+    assert ("centres" if sets == 3 else "whole") in seen
+
+
+def test_one_width_makes_parity_bits_a_metric():
+    rng = np.random.default_rng(8)
+    universe = rng.integers(0, 1 << 63, 900).astype(np.uint64)
+    bits = [jaccard_join._parity(np.unique(rng.choice(universe, n, replace=False)))
+            for n in (40, 70, 150, 300, 600)]
+    for a in bits:
+        for b in bits:
+            for c in bits:
+                ab, bc, ac = (jaccard_join._apart(x, y, 16) for x, y in ((a, b), (b, c), (a, c)))
+                assert abs(ab - bc) <= ac <= ab + bc
+
+
 def test_staged_tables_leave_no_shuffle_files(spark):
     def files():
         dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
