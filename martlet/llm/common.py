@@ -20,12 +20,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from martlet.session import app_id, shared_dir
+from martlet.session import CLEANUP, app_id, shared_dir
 
 # Rows of an Arrow batch handed to Python: bounds a batch of very long texts.
 ARROW_ROWS = 500
-# Spark's setting (from 4.1) that removes a query's shuffle files when the query ends.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def prepare(spark: SparkSession) -> SparkSession:

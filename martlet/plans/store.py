@@ -21,7 +21,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import SparkSession
 
 from martlet.plans.mart import Mart, read_mart, write_mart
-from martlet.session import app_id, ensure_conf, fit_tasks, input_bytes, shared_dir
+from martlet.session import TOGETHER_BYTES, app_id, ensure_conf, fit_tasks, input_bytes, shared_dir
 from martlet.sources.sinks import write_table
 from martlet.sources.staging import Staging
 from martlet.sources.testdata import RAW_TABLES, load_staging, raw_path
@@ -38,6 +38,15 @@ def _folder(spark: SparkSession, sf_dir: str, layer: str) -> tuple[tuple[str, st
     return key, f"{shared_dir(spark)}/martlet-{layer}/{key[0]}/{tag}"
 
 
+def _raw_bytes(spark: SparkSession, sf_dir: str) -> int:
+    return input_bytes(spark, *(raw_path(sf_dir, name) for name in RAW_TABLES))
+
+
+def write_together(spark: SparkSession, sf_dir: str) -> bool:
+    """Whether the tables over ``sf_dir`` are small enough to be written at once."""
+    return _raw_bytes(spark, sf_dir) <= TOGETHER_BYTES
+
+
 def write_staging(staging: Staging, out_dir: str, concurrent: bool = True) -> dict[str, str]:
     """Write every staging table; the independent jobs are submitted together
     so that one table's narrow stages do not leave the other cores idle."""
@@ -74,8 +83,9 @@ def stored_staging(spark: SparkSession, sf_dir: str) -> Staging:
     with _LOCK:
         staged = _STAGED.get(key)
         if staged is None:
-            fit_tasks(spark, input_bytes(spark, *(raw_path(sf_dir, name) for name in RAW_TABLES)))
-            paths = write_staging(load_staging(spark, sf_dir, extras=True), out)
+            fit_tasks(spark, _raw_bytes(spark, sf_dir))
+            paths = write_staging(load_staging(spark, sf_dir, extras=True), out,
+                                  concurrent=write_together(spark, sf_dir))
             staged = _STAGED[key] = read_staging(spark, paths)
     return staged
 
@@ -87,7 +97,8 @@ def stored_mart(spark: SparkSession, sf_dir: str) -> Mart:
     with _LOCK:
         star = _STORED.get(key)
         if star is None:
-            star = _STORED[key] = read_mart(spark, write_mart(spark, Mart(staging), out))
+            star = _STORED[key] = read_mart(spark, write_mart(
+                spark, Mart(staging), out, concurrent=write_together(spark, sf_dir)))
     return star
 
 

@@ -11,6 +11,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -156,6 +159,45 @@ def size_session(spark: SparkSession, input_bytes: int) -> dict[str, str]:
     return wanted
 
 
+# Spark's setting (from 4.1) that removes a query's shuffle files when the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_CLEANING_LOCK = threading.Lock()
+_CLEANING: dict[int, tuple[int, str | None]] = {}  # session -> blocks open, the setting before them
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that begin in this block leave no shuffle files behind.
+
+    Else the files of every finished job stay on disk until the driver's garbage collector
+    next meets them. Meant for queries that run once, as writes do: run again, they would
+    make their shuffles anew. Blocks may be nested and opened by several threads.
+    """
+    key = id(spark)
+    with _CLEANING_LOCK:
+        blocks, before = _CLEANING.get(key, (0, None))
+        if not blocks:
+            before = spark.conf.get(CLEANUP, None)
+            spark.conf.set(CLEANUP, "true")
+        _CLEANING[key] = blocks + 1, before
+    try:
+        yield
+    finally:
+        with _CLEANING_LOCK:
+            blocks, before = _CLEANING.pop(key)
+            if blocks > 1:
+                _CLEANING[key] = blocks - 1, before
+            elif before is None:
+                spark.conf.unset(CLEANUP)
+            else:
+                spark.conf.set(CLEANUP, before)
+
+
+# Stored bytes of input up to which tables that do not depend on each other are written
+# together. A larger one fills the cores alone, and the shuffle files of several would lie
+# on disk at once.
+TOGETHER_BYTES = 64 << 20
+
 # Stored bytes of input to a map task, and to a reduce task before AQE coalesces them.
 MAP_BYTES, REDUCE_BYTES = 16 << 20, 4 << 20
 

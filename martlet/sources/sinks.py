@@ -15,6 +15,8 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlet.session import shuffles_removed
+
 log = logging.getLogger(__name__)
 
 # Namespace the mart tables land in (the custom schema name, used verbatim).
@@ -36,7 +38,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", *,
     writer = df.write.mode("overwrite").format(fmt).options(**(PACKED if fmt == "parquet" else {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    with shuffles_removed(df.sparkSession):
+        writer.save(path)
     return True
 
 
