@@ -19,8 +19,9 @@ so what is shuffled grows with the change; unchanged months are neither read nor
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,9 +30,10 @@ from pyspark.sql import functions as F
 from martlet.functions.timekeys import blank_to_null, try_minute_key
 from martlet.operators import dims, facts
 from martlet.plans.mart import MART_TABLES, Mart
-from martlet.sources.sinks import drop_files
+from martlet.session import shuffles_removed
+from martlet.sources.sinks import PACKED, drop_files
 from martlet.sources.staging import Staging
-from martlet.sources.versioned import Manifest, VersionedTables
+from martlet.sources.versioned import Manifest, TableVersion, VersionedTables
 
 NO_MONTH = "none"
 CUSTOMER_PARTS = 64
@@ -81,10 +83,11 @@ def changed_rows(before: DataFrame, after: DataFrame) -> DataFrame:
         "_n != 0").select(*names)
 
 
-def _at_once(jobs: dict[str, Callable[[], object]]) -> dict:
+def _at_once(jobs: dict[str, Callable[[], object]], together: bool = True) -> dict:
     """The results of jobs that do not depend on each other, submitted together: one job's
-    narrow stages leave cores idle that the others fill."""
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    narrow stages leave cores idle that the others fill. Otherwise one after another, so
+    that the shuffle files of only one lie on disk."""
+    with ThreadPoolExecutor(max_workers=4 if together else 1) as pool:
         running = {name: pool.submit(job) for name, job in jobs.items()}
         return {name: job.result() for name, job in running.items()}
 
@@ -96,8 +99,25 @@ def staging_changes(before: Staging, after: Staging) -> dict[str, DataFrame]:
 
 
 class StarVersions:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.tables = spark, VersionedTables(spark, root)
+    def __init__(self, spark: SparkSession, root: str, together: bool = True):
+        """``together``: whether independent tables are written at once."""
+        self.spark, self.tables, self.together = spark, VersionedTables(spark, root), together
+
+    @contextmanager
+    def _work(self) -> Iterator[str]:
+        """A folder that goes with this block. The shuffle files behind what is written or
+        collected in the block go with each query."""
+        work = f"{self.tables.root}/work/{uuid.uuid4().hex}"
+        try:
+            with shuffles_removed(self.spark):
+                yield work
+        finally:
+            drop_files(self.spark, work)
+
+    def _staged(self, work: str, name: str, rows: DataFrame) -> DataFrame:
+        """``rows`` written below ``work`` and read back."""
+        rows.write.options(**PACKED).parquet(f"{work}/{name}")
+        return self.spark.read.schema(rows.schema).parquet(f"{work}/{name}")
 
     def mart(self, version: int | None = None) -> Mart:
         """All tables of one version (the newest by default)."""
@@ -107,14 +127,22 @@ class StarVersions:
     def rebuild(self, staging: Staging, tables: tuple[str, ...] = MART_TABLES) -> Manifest:
         """A full build of ``tables``; other tables stay as they are in the newest version."""
         base, mart = self.tables.manifest(), Mart(staging)
-        new = _at_once({
-            name: partial(self.tables.write, name, *self._split(name, mart.table(name)))
-            for name in MART_TABLES if name in tables and name != "fact_order_items"})
-        if "fact_order_items" in tables:
-            orders = new.get("fact_orders") or base.tables["fact_orders"]
-            stored = self.tables.read(Manifest(0, {"fact_orders": orders}), "fact_orders")
-            new["fact_order_items"] = self.tables.write(
-                "fact_order_items", *self._items(staging.order_items, stored))
+        with self._work() as work:
+            def write(name: str, rows: DataFrame, part: Column | str | None) -> TableVersion:
+                if not name.startswith("fact_"):
+                    return self.tables.write(name, rows, part)
+                # dealt out by month when the shuffle files of the fact's joins are gone
+                done = self.tables.write(name, self._staged(work, name, rows), part)
+                drop_files(self.spark, f"{work}/{name}")
+                return done
+
+            new = _at_once({
+                name: partial(write, name, *self._split(name, mart.table(name)))
+                for name in MART_TABLES if name in tables and name != "fact_order_items"}, self.together)
+            if "fact_order_items" in tables:
+                orders = new.get("fact_orders") or base.tables["fact_orders"]
+                stored = self.tables.read(Manifest(0, {"fact_orders": orders}), "fact_orders")
+                new["fact_order_items"] = write("fact_order_items", *self._items(staging.order_items, stored))
         return self.tables.commit(base, new, kind="rebuild")
 
     @staticmethod
@@ -137,14 +165,12 @@ class StarVersions:
     def maintain(self, staging: Staging, changes: dict[str, DataFrame]) -> Manifest:
         """Bring the newest version up to ``staging``; ``changes``: for each staging table the
         old and new rows that differ from the layer that version was built from."""
-        base = self.tables.manifest()
-        work = f"{self.tables.root}/work/{uuid.uuid4().hex}"
-
-        def staged(name: str, rows: DataFrame) -> DataFrame:
-            rows.write.parquet(f"{work}/{name}")
-            return self.spark.read.schema(rows.schema).parquet(f"{work}/{name}")
+        with self._work() as work:
+            return self._maintain(staging, changes, partial(self._staged, work))
 
-        changes = _at_once({name: partial(staged, name, rows) for name, rows in changes.items()})
+    def _maintain(self, staging, changes, staged) -> Manifest:
+        base = self.tables.manifest()
+        changes = _at_once({name: partial(staged, name, rows) for name, rows in changes.items()}, self.together)
         new, replaced = {}, {}
 
         def order_facts() -> None:
@@ -165,10 +191,8 @@ class StarVersions:
             "facts": order_facts,
             "customers": lambda: self._customers(base, staging, changes, staged, new, replaced),
             "calendar": lambda: self._calendar(base, staging, changes, new, replaced),
-            "products": products, "sellers": sellers})
-        done = self.tables.commit(base, new, replaced, kind="maintain")
-        drop_files(self.spark, work)
-        return done
+            "products": products, "sellers": sellers}, self.together)
+        return self.tables.commit(base, new, replaced, kind="maintain")
 
     @staticmethod
     def _changed_orders(staging: Staging, changes: dict[str, DataFrame]) -> DataFrame:

@@ -19,7 +19,7 @@ from martlet.operators import retention, sketches
 from martlet.plans import oracle
 from martlet.plans.delta_tests import DeltaTests
 from martlet.plans.star_versions import StarVersions, staging_changes
-from martlet.plans.store import stored_mart, stored_staging
+from martlet.plans.store import stored_mart, stored_staging, write_together
 from martlet.session import shared_dir
 from martlet.sources.csv import read_csv
 from martlet.sources.evolving import EvolvingTable
@@ -45,7 +45,7 @@ def star_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two builds and a rollback; each row is read from one version as a whole. The second
     build leaves the sellers alone, so its version names the first one's files."""
     staging = stored_staging(spark, sf_dir)
-    star = StarVersions(spark, work_folder(spark, "versions"))
+    star = StarVersions(spark, work_folder(spark, "versions"), write_together(spark, sf_dir))
     first = replace(staging, orders=staging.orders.where("order_status = 'delivered'"))
     star.rebuild(first, ("dim_sellers", "fact_orders", "fact_order_items"))
     star.rebuild(staging, ("fact_orders", "fact_order_items"))
@@ -138,7 +138,7 @@ def mart_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The star built before a second wave and maintained after it, by purchase month, with
     the months that were rewritten."""
     after = stored_staging(spark, sf_dir)
-    star = StarVersions(spark, work_folder(spark, "maintain"))
+    star = StarVersions(spark, work_folder(spark, "maintain"), write_together(spark, sf_dir))
     before = _before(after)
     star.rebuild(before)
     done = star.maintain(after, staging_changes(before, after))

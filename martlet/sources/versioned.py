@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martlet.session import shuffles_removed
 from martlet.sources.sinks import PACKED, drop_files, subfolders
 
 WHOLE = "all"  # the part of a table that has only one
@@ -132,7 +133,8 @@ class VersionedTables:
             named = rows.withColumn(PART, F.lit(WHOLE) if part is None else part)
         if part is not None:
             named = named.hint("rebalance", PART)
-        named.write.options(**PACKED).partitionBy(PART).parquet(f"{self.root}/{folder}")
+        with shuffles_removed(self.spark):
+            named.write.options(**PACKED).partitionBy(PART).parquet(f"{self.root}/{folder}")
         return TableVersion(_nullable(named.drop(PART).schema), {
             name.split("=", 1)[1]: f"{folder}/{name}"
             for name in subfolders(self.spark, f"{self.root}/{folder}") if name.startswith(f"{PART}=")})

@@ -4,12 +4,16 @@ import glob
 import os
 import time
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import functions as F
 
 from martlet.plans import mart, store
+from martlet.plans.star_versions import StarVersions, _at_once, staging_changes
 from martlet.session import CLEANUP, shuffles_removed
 from martlet.sources.sinks import write_table
+from tests.fixtures import item, order, payment, staging
 
 
 def shuffle_files(spark):
@@ -83,3 +87,38 @@ def test_large_tables_are_written_one_after_another(spark, tmp_dir, monkeypatch)
     tables = mart.Mart.from_tables(dict.fromkeys(mart.MART_TABLES))
     mart.write_mart(spark, tables, tmp_dir, mart.MART_TABLES[:4], concurrent=False)
     assert most == [1, 1, 1, 1]
+
+
+def test_a_versioned_star_leaves_neither_shuffles_nor_work(spark, tmp_dir):
+    st = staging(
+        spark, customers=[(f"c{i}", f"u{i % 5}", "1", "x", "S") for i in range(20)],
+        orders=[order(f"o{i}", f"c{i}", p=f"2017-0{1 + i % 3}-01 10:00:00", a=f"2017-0{1 + i % 3}-01 11:00:00",
+                      c=None, d=None, e="2017-12-01 10:00:00") for i in range(20)],
+        items=[item(f"o{i % 20}", i, pid=f"p{i % 7}") for i in range(60)],
+        payments=[payment(f"o{i}", 1) for i in range(20)])
+    later = replace(st, order_items=st.order_items.where("order_id <> 'o3'"))
+    before = shuffle_files(spark)
+    star = StarVersions(spark, tmp_dir, together=False)
+    star.rebuild(st)
+    assert left_over(spark, before) == set()
+    assert star.mart().fact_order_items.agg(F.sum("quantity")).first()[0] == 60
+    before = shuffle_files(spark)
+    done = star.maintain(later, staging_changes(st, later))
+    assert left_over(spark, before) == set()
+    assert done.info["replaced"]["fact_orders"] == ["201701"]
+    assert star.mart().fact_order_items.agg(F.sum("quantity")).first()[0] == 57
+    assert os.listdir(f"{tmp_dir}/work") == []
+
+
+def test_jobs_run_one_after_another_where_asked(spark):
+    now, most = [], []
+
+    def job(i):
+        now.append(i)
+        most.append(len(now))
+        time.sleep(0.05)
+        now.remove(i)
+        return i
+
+    jobs = {i: partial(job, i) for i in range(4)}
+    assert _at_once(jobs, together=False) == {i: i for i in range(4)} and set(most) == {1}
