@@ -32,13 +32,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", *,
 
     Returns whether a write happened.
     """
-    if skip_empty and df.isEmpty():
-        log.warning("source for %s is empty; keeping the existing table", path)
-        return False
-    writer = df.write.mode("overwrite").format(fmt).options(**(PACKED if fmt == "parquet" else {}))
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     with shuffles_removed(df.sparkSession):
+        if skip_empty and df.isEmpty():
+            log.warning("source for %s is empty; keeping the existing table", path)
+            return False
+        writer = df.write.mode("overwrite").format(fmt).options(**(PACKED if fmt == "parquet" else {}))
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
         writer.save(path)
     return True
 
